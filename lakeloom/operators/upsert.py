@@ -12,10 +12,13 @@ and drops. Semantics:
 * unmatched target row -> keep; nothing is deleted.
 
 Keys compare with ``=``, so a NULL key never matches and is inserted on every
-run. Those NULL-key rows would all hash to one reducer, and a full outer join
-cannot be split by the adaptive skew rule, so they get a deterministic spread
-value (hash of the row) as an extra join column. It never makes them match,
-it only scatters them; non-NULL keys carry 0 on both sides and match as before.
+run. Such rows would all hash to one reducer of the join, and a full outer
+join cannot be split by the adaptive skew rule, so they bypass the join:
+NULL-key target rows are kept and NULL-key source rows inserted by a plain
+union (the ``IS NULL`` / ``IS NOT NULL`` filters reach the Parquet scan, and
+row groups without NULL keys are skipped by their statistics). The join then
+stays partitioned by the business key alone, which is also what lets a target
+bucketed by that key join without being shuffled.
 """
 
 from __future__ import annotations
@@ -32,14 +35,12 @@ INSERT, UPDATE, KEEP = "insert", "update", "keep"
 ACTION = "action"
 
 
-def _spread(cols: list[str], keys: Sequence[str], n: int):
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n))).otherwise(F.lit(0))
+def _any_null(keys: Sequence[str]):
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
 def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
-                   ts: str, op: str = ">", *, action_col: str = ACTION,
-                   null_key_spread: int | None = None) -> DataFrame:
+                   ts: str, op: str = ">", *, action_col: str = ACTION) -> DataFrame:
     """Merge ``source`` into ``target``; returns the target's columns plus
     ``action_col``. ``source`` should hold one row per non-NULL key (run
     :func:`~lakeloom.operators.dedup.latest_per_key` first)."""
@@ -53,17 +54,14 @@ def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     for k in (*keys, ts):
         if k not in tcols or k not in scols:
             raise ValueError(f"column {k} must exist in both target and source")
-    if null_key_spread is None:
-        null_key_spread = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         return df.select(*[F.col(k).alias(f"__{tag}k{i}") for i, k in enumerate(keys)],
-                         _spread(df.columns, keys, null_key_spread).alias(f"__{tag}spread"),
                          F.struct(*[F.col(c) for c in df.columns]).alias(f"__{tag}"))
 
-    t, s = side(target, "t"), side(source, "s")
+    has_null = _any_null(keys)
+    t, s = side(target.filter(~has_null), "t"), side(source.filter(~has_null), "s")
     cond = [t[f"__tk{i}"] == s[f"__sk{i}"] for i in range(len(keys))]
-    cond.append(t["__tspread"] == s["__sspread"])
     j = t.join(s, reduce(lambda a, b: a & b, cond), "full")
 
     tv, sv = F.col("__t"), F.col("__s")
@@ -83,7 +81,13 @@ def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[st
         else:
             out.append(F.when(a == INSERT, F.lit(None).cast(tschema[c].dataType))
                        .otherwise(tval).alias(c))
-    return j.select(*out, a)
+    tschema_cols = [F.col(c) for c in tcols]
+    null_target = target.filter(has_null).select(*tschema_cols, F.lit(KEEP).alias(action_col))
+    null_source = source.filter(has_null).select(
+        *[(F.col(c).cast(tschema[c].dataType) if c in scols
+           else F.lit(None).cast(tschema[c].dataType)).alias(c) for c in tcols],
+        F.lit(INSERT).alias(action_col))
+    return j.select(*out, a).unionByName(null_target).unionByName(null_source)
 
 
 def action_counts(merged: DataFrame, action_col: str = ACTION) -> DataFrame:
