@@ -10,19 +10,32 @@ is left to the storage lifecycle.
 
 Row counts and merge metrics are gathered with ``DataFrame.observe`` during
 the write itself: no second job recomputes the plan to count it.
+
+For a partitioned target an upsert rewrites only the partitions it touches
+(those holding a key of the batch, plus those receiving new rows): the
+touched rows are merged and written under a new version folder, then each
+touched partition of the catalog table is pointed at its new folder (or added,
+or dropped when it became empty). Untouched partitions are neither read nor
+copied, so an hourly batch against a multi-year table costs a key-only scan
+of the target plus a rewrite of a few partitions, not a rewrite of the table.
+Without a transactional format the partition switches are separate catalog
+calls: a reader running concurrently can see some switched and some not.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeloom.operators.upsert import ACTION, INSERT, guarded_upsert, metric_columns
+from lakeloom.operators.upsert import ACTION, INSERT, _any_null, guarded_upsert, metric_columns
 from lakeloom.session import warehouse_root
 from lakeloom.spec import as_tuple
 
@@ -37,6 +50,7 @@ class LoadResult:
     updated: int = 0
     deleted: int = 0
     rows_written: int = 0
+    partitions_rewritten: int | None = None   # None: whole table written
 
 
 def _quote(name: str) -> str:
@@ -100,12 +114,24 @@ def overwrite_table(df: DataFrame, name: str, *, partition_cols: Sequence[str] |
 def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: str,
                  op: str = ">", *, partition_cols: Sequence[str] | None = None,
                  buckets: int | None = None, root: str | None = None,
-                 create_if_missing: bool = True) -> LoadResult:
+                 create_if_missing: bool = True, scope: str = "auto") -> LoadResult:
     """M1/M2 (+ M3): merge ``source`` into table ``name`` with the guard
     ``source.ts op target.ts``; create the table from ``source`` when it does
-    not exist. A failing merge raises and leaves the target untouched."""
+    not exist. A failing merge raises and leaves the target untouched.
+
+    ``scope``: ``"auto"`` rewrites only touched partitions when the target
+    is partitioned (and not bucketed), else the whole table; ``"full"``
+    always rewrites the whole table.
+    """
     spark = source.sparkSession
     keys = as_tuple(keys)
+    if spark.catalog.tableExists(name) and scope == "auto" and not buckets:
+        parts = _partition_columns(spark, name)
+        if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
+                and _scopable(spark.table(name).schema, parts):
+            res = _upsert_partitions(source, name, keys, ts, op, parts, root)
+            if res is not None:
+                return res
     src_obs = Observation()
     source = source.observe(src_obs, F.count(F.lit(1)).alias("rows"))
     if not spark.catalog.tableExists(name):
@@ -124,3 +150,96 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     return LoadResult(name, operation, path, int(src_obs.get.get("rows", 0)),
                       inserted=int(m.get("inserted") or 0), updated=int(m.get("updated") or 0),
                       deleted=0, rows_written=int(m.get("rows") or 0))
+
+
+# ---------------------------------------------------------------- partition scope
+_SEP = "\u0001"
+_SCOPABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.StringType)
+
+
+def _partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
+    return tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+
+
+def _scopable(schema: T.StructType, parts: Sequence[str]) -> bool:
+    return all(isinstance(schema[c].dataType, _SCOPABLE) for c in parts)
+
+
+def _spec_sql(parts: Sequence[str], values: Sequence, schema: T.StructType) -> str:
+    out = []
+    for c, v in zip(parts, values):
+        t = schema[c].dataType
+        if isinstance(t, T.DateType):
+            lit = f"DATE'{v}'"
+        elif isinstance(t, T.StringType):
+            lit = "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        else:
+            lit = str(int(v))
+        out.append(f"`{c}` = {lit}")
+    return "PARTITION (" + ", ".join(out) + ")"
+
+
+_PLAIN = re.compile(r"^[A-Za-z0-9_.-]*$")
+
+
+def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
+                       parts: tuple[str, ...], root: str | None) -> LoadResult | None:
+    """Rewrite only the partitions the batch touches; None -> caller falls
+    back to a whole-table rewrite (NULL or unusual partition values)."""
+    spark = source.sparkSession
+    target = spark.table(name)
+    schema = target.schema
+    pk = F.concat_ws(_SEP, *[F.col(c).cast("string") for c in parts])
+    src = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_src = src.count()
+        nn = ~_any_null(keys)
+        # partitions holding a key of the batch: key + partition columns only
+        matched = (target.select(*keys, *parts).filter(nn)
+                   .join(src.select(*keys).filter(nn).distinct(), list(keys), "left_semi")
+                   .select(*parts))
+        touched_rows = (matched.unionByName(src.select(*parts)).distinct()
+                        .select(*parts, pk.alias("_pk")).collect())
+        if not touched_rows:
+            return LoadResult(name, "MERGE", "", n_src, partitions_rewritten=0)
+        if any(r[c] is None for r in touched_rows for c in parts) or \
+                any(not _PLAIN.match(str(r[c])) for r in touched_rows for c in parts):
+            return None
+        touched = {r["_pk"]: tuple(r[c] for c in parts) for r in touched_rows}
+        current = guarded_upsert(target.filter(pk.isin(list(touched))), src, keys, ts, op)
+        obs = Observation()
+        current = current.observe(obs, *metric_columns(),
+                                  F.collect_set(pk).alias("written_partitions"))
+        tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+        db, tbl = _split(name)
+        path = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}/v_{tag}"
+        (current.drop(ACTION).hint("rebalance", *parts).write.mode("errorifexists")
+         .partitionBy(*parts).parquet(path))
+        m = obs.get
+    finally:
+        src.unpersist()
+    written = set(m.get("written_partitions") or [])
+    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quote(name)}").collect()}
+
+    def dirname(vals):
+        return "/".join(f"{c}={v}" for c, v in zip(parts, vals))
+
+    adds, drops = [], []
+    for key, vals in touched.items():
+        spec = _spec_sql(parts, vals, schema)
+        if key in written:
+            loc = f"{path}/{dirname(vals)}"
+            if dirname(vals) in existing:
+                spark.sql(f"ALTER TABLE {_quote(name)} {spec} SET LOCATION '{loc}'")
+            else:
+                adds.append(f"{spec} LOCATION '{loc}'")
+        elif dirname(vals) in existing:
+            drops.append(spec)
+    if adds:
+        spark.sql(f"ALTER TABLE {_quote(name)} ADD " + " ".join(adds))
+    if drops:
+        spark.sql(f"ALTER TABLE {_quote(name)} DROP " + ", ".join(drops))
+    spark.catalog.refreshTable(name)
+    return LoadResult(name, "MERGE", path, n_src, inserted=int(m.get("inserted") or 0),
+                      updated=int(m.get("updated") or 0), deleted=0,
+                      rows_written=int(m.get("rows") or 0), partitions_rewritten=len(written))

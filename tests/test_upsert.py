@@ -137,3 +137,24 @@ def test_history_latest_entry(spark, tmp_base):
     assert last_load(spark, "h_t", root=tmp_base)["inserted"] == 2
     assert last_load(spark, "other", root=tmp_base) is None
     assert latest_entries(read_history(spark, tmp_base)).count() == 1
+
+
+def test_partition_scope_rewrites_only_touched(spark):
+    schema = SCHEMA + ", date date"
+    name = "ups_scope"
+    rows = [(i, D(2024, 1, 1 + i % 5), f"v{i}", dt.date(2024, 1, 1 + i % 5)) for i in range(50)]
+    upsert_table(spark.createDataFrame(rows, schema), name, ["k"], "ts", partition_cols=["date"])
+    # key 0 lives in 2024-01-01 (alone with 5, 10, ...); move every key of 01-05 to 01-09
+    moved = [(i, D(2024, 1, 9), f"m{i}", dt.date(2024, 1, 9)) for i in range(4, 50, 5)]
+    r = upsert_table(spark.createDataFrame(moved, schema), name, ["k"], "ts",
+                     partition_cols=["date"])
+    assert r.partitions_rewritten == 1 and r.updated == 10 and r.inserted == 0
+    parts = sorted(x[0] for x in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    assert parts == [f"date=2024-01-0{d}" for d in (1, 2, 3, 4, 9)]     # 01-05 emptied, dropped
+    got = {x.k: x.date for x in spark.table(name).collect()}
+    assert len(got) == 50 and got[4] == dt.date(2024, 1, 9) and got[3] == dt.date(2024, 1, 4)
+    # a batch touching one partition reads only that partition of the target
+    again = spark.createDataFrame([(3, D(2024, 1, 10), "z", dt.date(2024, 1, 4))], schema)
+    r2 = upsert_table(again, name, ["k"], "ts", partition_cols=["date"])
+    assert r2.partitions_rewritten == 1 and r2.rows_written == 10
+    assert spark.table(name).count() == 50
