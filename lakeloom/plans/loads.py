@@ -15,6 +15,7 @@ duplicate, and the result is the same because each transform is row-wise
 from __future__ import annotations
 
 import logging
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,7 +66,10 @@ def _landing(spec: TableSpec) -> str:
     return f"{spec.landing_base.rstrip('/')}/{spec.source}"
 
 
-def _finish(spark: SparkSession, result: LoadResult, record: bool) -> LoadResult:
+def _finish(spark: SparkSession, result: LoadResult, record: bool,
+            skipped: list | None = None) -> LoadResult:
+    if skipped:
+        result = replace(result, skipped_files=len(skipped))
     if record:
         append_history(spark, result)
     log.info("%s %s: source=%d inserted=%d updated=%d", result.operation, result.table,
@@ -78,23 +82,27 @@ def load_raw_incremental(spark: SparkSession, spec: TableSpec, n_folders: int |
     """Newest ``n_folders`` landing folders merged with ``>=``."""
     n = spec.n_folders if n_folders == -1 else n_folders
     order = spec.newest_file_wins and spec.dedups
+    skipped: list = []
     df = read_incremental(spark, _landing(spec), spec.schema, n,
-                          ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order)
+                          ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order,
+                          drift=spec.schema_drift, skipped=skipped)
     df = prepare(df, spec, (ORDER_COL,) if order else ())
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets)
-    return _finish(spark, res, record)
+    return _finish(spark, res, record, skipped)
 
 
 def load_raw_full(spark: SparkSession, spec: TableSpec, record: bool = True) -> LoadResult:
     """Newest snapshot, replaced with its schema."""
     order = spec.newest_file_wins and spec.dedups
+    skipped: list = []
     df = read_full_snapshot(spark, _landing(spec), spec.schema, spec.snapshot_mode,
-                            ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order)
+                            ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order,
+                            drift=spec.schema_drift, skipped=skipped)
     df = prepare(df, spec, (ORDER_COL,) if order else ())
     res = overwrite_table(df, spec.target, partition_cols=_partitions(spec, df),
                           buckets=spec.buckets, bucket_cols=spec.key)
-    return _finish(spark, res, record)
+    return _finish(spark, res, record, skipped)
 
 
 def _source(spark: SparkSession, spec: TableSpec) -> DataFrame:

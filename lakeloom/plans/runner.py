@@ -31,6 +31,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("inserted", T.LongType()),
     T.StructField("updated", T.LongType()),
     T.StructField("error", T.StringType()),
+    T.StructField("skipped_files", T.LongType()),
 ])
 
 
@@ -56,10 +57,11 @@ def _one(spark: SparkSession, cfg: TableSpec | Mapping[str, Any], spec_kw: dict)
     try:
         spec = as_spec(cfg, **spec_kw)
         r = load_table(spark, spec)
-        return (spec.target, "SUCCESS", r.source_rows, load_type, category, r.inserted, r.updated, None)
+        return (spec.target, "SUCCESS", r.source_rows, load_type, category, r.inserted,
+                r.updated, None, r.skipped_files)
     except Exception as e:  # isolate the table; the report carries the reason
         log.error("load of %s failed: %s", name, e)
-        return (name, "FAILED", 0, load_type, category, 0, 0, f"{type(e).__name__}: {e}")
+        return (name, "FAILED", 0, load_type, category, 0, 0, f"{type(e).__name__}: {e}", 0)
 
 
 def run_loads(spark: SparkSession, configs: Iterable[TableSpec | Mapping[str, Any]],

@@ -2,8 +2,8 @@
 
 One row per load is appended to a Parquet folder under the warehouse root:
 ``(table_name, ts, operation, source_rows, inserted, updated, deleted,
-rows_written, path)``. Reading the newest entry per table is the same
-latest-row-per-key operator the loads use.
+rows_written, path, skipped_files)``. Reading the newest entry per table is
+the same latest-row-per-key operator the loads use.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("deleted", T.LongType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("path", T.StringType()),
+    T.StructField("skipped_files", T.LongType()),
 ])
 
 
@@ -37,7 +38,8 @@ def history_path(spark: SparkSession, root: str | None = None) -> str:
 
 def append_history(spark: SparkSession, result: LoadResult, root: str | None = None) -> None:
     row = (result.table, dt.datetime.now(dt.timezone.utc), result.operation, result.source_rows,
-           result.inserted, result.updated, result.deleted, result.rows_written, result.path)
+           result.inserted, result.updated, result.deleted, result.rows_written, result.path,
+           result.skipped_files)
     spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(
         history_path(spark, root))
 

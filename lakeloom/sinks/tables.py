@@ -51,6 +51,7 @@ class LoadResult:
     deleted: int = 0
     rows_written: int = 0
     partitions_rewritten: int | None = None   # None: whole table written
+    skipped_files: int = 0                     # landing files left out by the footer check
 
 
 def _quote(name: str) -> str:

@@ -9,6 +9,7 @@ them) come back to the driver; the file list itself stays in Spark.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Sequence
 
@@ -17,6 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.sources.drift import failing_files
+
+log = logging.getLogger("lakeloom.landing")
+
+DRIFT_MODES = ("off", "report", "exclude", "error")
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 LEVELS = ("y", "m", "d", "h")
 ORDER_COL = "_landing_order"
@@ -127,33 +133,73 @@ def read_landing_folders(spark: SparkSession, paths: Sequence[str], schema: T.St
     return enforce_schema(df, schema)
 
 
+def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
+                 skipped: list | None = None) -> list[str] | None:
+    """Check the footers of ``files`` (listing rows) against ``schema``.
+
+    ``off``: no check. ``report``: log and record failing files, read all.
+    ``exclude``: read only files that pass. ``error``: raise if any fails.
+    Returns None to read as planned, else the explicit file paths to read.
+    Failing files are appended to ``skipped`` as ``(path, status, detail)``.
+    """
+    if drift not in DRIFT_MODES:
+        raise ValueError(f"drift must be one of {DRIFT_MODES}, got {drift!r}")
+    if drift == "off":
+        return None
+    bad = failing_files(files, schema)
+    if not bad:
+        return None
+    if skipped is not None:
+        skipped.extend(bad)
+    for path, status, detail in bad[:20]:
+        log.warning("landing file %s: %s %s", path, status, detail)
+    if drift == "error":
+        raise ValueError(f"{len(bad)} landing file(s) do not match the schema, "
+                         f"e.g. {bad[0][0]}: {bad[0][1]} {bad[0][2]}")
+    if drift == "report":
+        return None
+    drop = {p for p, _, _ in bad}
+    good = [r["path"] for r in files.select("path").collect() if r["path"] not in drop]
+    if not good:
+        raise ValueError(f"No readable parquet files left after the schema check "
+                         f"({len(drop)} skipped)")
+    return good
+
+
 def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_folders: int | None = 2,
-                     *, ignore_corrupt_files: bool = True, with_order: bool = False) -> DataFrame:
+                     *, ignore_corrupt_files: bool = True, with_order: bool = False,
+                     drift: str = "off", skipped: list | None = None) -> DataFrame:
     """L3: all Parquet files of the ``n_folders`` newest hour folders.
 
     Raises when there is no folder or the chosen folders hold no Parquet
     file. ``n_folders=None`` reads every folder (a backfill): then the base
-    is scanned recursively and no folder list passes through the driver.
+    is scanned recursively and no folder list passes through the driver
+    (unless the footer check excludes files, which needs the file list).
     """
     listing = list_landing_files(spark, base)
+    parquet = listing.filter(F.col("is_parquet"))
+    opts = dict(ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)
     if n_folders is None:
-        if not listing.filter(F.col("is_parquet")).limit(1).collect():
+        if not parquet.limit(1).collect():
             raise ValueError(f"No parquet files found under {base}")
-        return read_landing_folders(spark, [base], schema, ignore_corrupt_files=ignore_corrupt_files,
-                                    with_order=with_order, recursive=True)
+        files = screen_files(parquet, schema, drift, skipped)
+        if files is not None:
+            return read_landing_folders(spark, files, schema, **opts)
+        return read_landing_folders(spark, [base], schema, recursive=True, **opts)
     folders = latest_folders(listing, n_folders)
     if not folders:
         raise ValueError(f"No incremental folders found under {base}")
     if sum(k for _, k in folders) == 0:
         raise ValueError(f"No parquet files found in the latest folders under {base}")
     paths = [f for f, k in folders if k > 0]
-    return read_landing_folders(spark, paths, schema, ignore_corrupt_files=ignore_corrupt_files,
-                                with_order=with_order)
+    files = screen_files(parquet.filter(F.col("folder").isin(paths)), schema, drift, skipped)
+    return read_landing_folders(spark, files if files is not None else paths, schema, **opts)
 
 
 def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
                        mode: str = "latest_file", *, ignore_corrupt_files: bool = True,
-                       with_order: bool = False) -> DataFrame:
+                       with_order: bool = False, drift: str = "off",
+                       skipped: list | None = None) -> DataFrame:
     """The newest folder; then its greatest file name
     (``latest_file``) or all its Parquet files (``latest_folder``)."""
     listing = list_landing_files(spark, base)
@@ -163,11 +209,12 @@ def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
     folder, k = folders[0]
     if k == 0:
         raise ValueError(f"No parquet files found in folder {folder}")
+    in_folder = listing.filter((F.col("folder") == folder) & F.col("is_parquet"))
     if mode == "latest_folder":
         paths = [folder]
     else:
-        row = (listing.filter((F.col("folder") == folder) & F.col("is_parquet"))
-               .agg(F.max("path").alias("p")).first())
-        paths = [row["p"]]
-    return read_landing_folders(spark, paths, schema, ignore_corrupt_files=ignore_corrupt_files,
-                                with_order=with_order)
+        paths = [in_folder.agg(F.max("path").alias("p")).first()["p"]]
+        in_folder = in_folder.filter(F.col("path") == paths[0])
+    files = screen_files(in_folder, schema, drift, skipped)
+    return read_landing_folders(spark, files if files is not None else paths, schema,
+                                ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)

@@ -90,6 +90,7 @@ class TableSpec:
     snapshot_mode: str = "latest_file"
     ignore_corrupt_files: bool = True
     newest_file_wins: bool = True
+    schema_drift: str = "exclude"      # footer check: off | report | exclude | error
     # target layout
     buckets: int | None = None
     options: Mapping[str, Any] = field(default_factory=dict)
@@ -116,6 +117,8 @@ class TableSpec:
             raise ValueError(f"update_op must be '>' or '>=', got {self.update_op!r}")
         if self.on_unknown_transform not in ("error", "skip"):
             raise ValueError("on_unknown_transform must be 'error' or 'skip'")
+        if self.schema_drift not in ("off", "report", "exclude", "error"):
+            raise ValueError("schema_drift must be off, report, exclude or error")
         if self.snapshot_mode not in ("latest_file", "latest_folder"):
             raise ValueError("snapshot_mode must be 'latest_file' or 'latest_folder'")
         if self.load_type == INCREMENTAL and not (self.key and self.timestamp):

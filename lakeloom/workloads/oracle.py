@@ -67,6 +67,12 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_id, ts, user_id, event_type, value, props FROM events "
         "WHERE date_trunc('hour', ts) = (SELECT max(date_trunc('hour', ts)) FROM events)"),
     "landing_corrupt_tolerance": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "landing_schema_drift": f"""SELECT * FROM (VALUES
+  ('drift_excluded', 'SUCCESS', (SELECT count(*) FROM (SELECT * FROM events
+     WHERE date_trunc('hour', ts) IN ({_NEWEST_HOURS.format(n=2)}) QUALIFY {_RN_EVENTS}) d),
+   CAST(1 AS BIGINT)),
+  ('drift_fatal', 'FAILED', CAST(0 AS BIGINT), CAST(0 AS BIGINT)))
+  AS r(table_name, status, row_count, skipped_files)""",
     "cast_columns": (
         "SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice, "
         "o_orderdate, TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority FROM orders"),

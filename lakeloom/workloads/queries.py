@@ -297,9 +297,11 @@ def q_raw_incremental_e2e(spark, sf_dir):
     base = scratch_path(spark, "landing-raw")
     spec = _events_raw_spec(_uniq("raw_events"), base)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    stage_landing(ev.filter(F.col("ts") < split), f"{base}/events_landing", "ts")
+    stage_landing(ev.filter(F.col("ts") < split), f"{base}/events_landing", "ts",
+                  one_file_per_folder=True)
     load_raw_incremental(spark, spec, n_folders=None)             # backfill: every folder
-    stage_landing(ev.filter(F.col("ts") >= split), f"{base}/events_landing", "ts")
+    stage_landing(ev.filter(F.col("ts") >= split), f"{base}/events_landing", "ts",
+                  one_file_per_folder=True)
     load_raw_incremental(spark, spec, n_folders=2)                # newest two hours
     return spark.table(spec.target)
 
@@ -370,7 +372,8 @@ def q_run_report(spark, sf_dir):
 
 def q_stream_upsert(spark, sf_dir):
     base = scratch_path(spark, "landing-stream")
-    stage_landing(table(spark, sf_dir, "events"), f"{base}/events_landing", "ts")
+    stage_landing(table(spark, sf_dir, "events"), f"{base}/events_landing", "ts",
+                  one_file_per_folder=True)
     spec = _events_raw_spec(_uniq("stream_events"), base)
     q = start_landing_stream(spark, spec, max_files_per_trigger=250, record=False)
     q.awaitTermination()
@@ -379,6 +382,23 @@ def q_stream_upsert(spark, sf_dir):
     return spark.table(spec.target)
 
 
+def q_landing_schema_drift(spark, sf_dir):
+    """The newest hour also holds a file whose ``user_id`` became text.
+    With ``exclude`` the load skips that file and reports it; with ``error``
+    the load fails; neither loses rows silently."""
+    ev = table(spark, sf_dir, "events")
+    base = scratch_path(spark, "landing-drift")
+    stage_landing(ev, f"{base}/events_landing", "ts", one_file_per_folder=True)
+    newest = ev.agg(F.max(F.date_trunc("hour", "ts")).alias("h"))
+    drifted = (ev.join(newest, F.date_trunc("hour", ev["ts"]) == newest["h"], "left_semi")
+               .withColumn("user_id", F.col("user_id").cast("string")))
+    stage_landing(drifted, f"{base}/events_landing", "ts", one_file_per_folder=True)
+    specs = [_events_raw_spec(name, base).with_(schema_drift=mode)
+             for name, mode in (("drift_excluded", "exclude"), ("drift_fatal", "error"))]
+    report = run_loads(spark, specs, max_workers=2)
+    return report.select("table_name", "status", "row_count", "skipped_files")
+
+
 def q_revenue_latest_facts(spark, sf_dir):
     """Flagship: columns -> DERIVE_YMD -> latest per key -> PRICE_REVENUE."""
     spec = TableSpec(target="flagship", source="facts", key=("shop_id", "event_type"),
@@ -393,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_latest_folders": q_landing_latest_folders,
     "landing_full_snapshot": q_landing_full_snapshot,
     "landing_corrupt_tolerance": q_landing_corrupt_tolerance,
+    "landing_schema_drift": q_landing_schema_drift,
     "cast_columns": q_cast_columns,
     "alias_columns": q_alias_columns,
     "derive_ymd": q_derive_ymd,
