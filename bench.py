@@ -37,6 +37,7 @@ HEADLINE = [
     "raw_full_e2e",
     "raw_incremental_e2e",
     "landing_latest_folders",
+    "landing_schema_drift",
     "stream_upsert",
     "run_report",
 ]

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -158,3 +160,31 @@ def test_partition_scope_rewrites_only_touched(spark):
     r2 = upsert_table(again, name, ["k"], "ts", partition_cols=["date"])
     assert r2.partitions_rewritten == 1 and r2.rows_written == 10
     assert spark.table(name).count() == 50
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_batch_order_independent(spark, partitioned):
+    rnd = random.Random(11)
+    days = rnd.sample(range(1, 28), 27)          # distinct timestamps across all batches
+    base = [(i, D(2024, 1, days.pop()), f"b{i}") for i in range(0, 8)]
+    a = [(i, D(2024, 1, days.pop()), f"a{i}") for i in range(4, 12)]
+    b = [(i, D(2024, 1, days.pop()), f"c{i}") for i in range(6, 14) if days]
+    schema = SCHEMA + ", date date"
+
+    def with_date(rows):
+        return spark.createDataFrame([r + (r[1].date(),) for r in rows], schema)
+
+    finals = []
+    for order in ((a, b), (b, a)):
+        name = f"ups_order_{int(partitioned)}_{len(finals)}"
+        parts = ["date"] if partitioned else None
+        upsert_table(with_date(base), name, ["k"], "ts", ">", partition_cols=parts)
+        for batch in order:
+            upsert_table(with_date(batch), name, ["k"], "ts", ">", partition_cols=parts)
+        finals.append(sorted(map(tuple, spark.table(name).select("k", "ts", "v").collect())))
+    assert finals[0] == finals[1]
+    newest = {}
+    for k, ts, v in base + a + b:
+        if k not in newest or ts > newest[k][0]:
+            newest[k] = (ts, v)
+    assert finals[0] == sorted((k, ts, v) for k, (ts, v) in newest.items())
