@@ -114,6 +114,15 @@ def _source(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return df
 
 
+def _target_date_partition(spec: TableSpec) -> str | None:
+    """The target's ``date`` partition when DERIVE_YMD derives it from the
+    watermark column itself (then the newest partition holds the max)."""
+    if (spec.partition_cols and "date" in spec.partition_cols
+            and "DERIVE_YMD" in spec.active_transforms and spec.ymd_source == spec.timestamp):
+        return "date"
+    return None
+
+
 def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool = True) -> LoadResult:
     """Rows after the target's high watermark, merged with ``>``;
     the target is created from the batch when it does not exist yet."""
@@ -122,7 +131,8 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
         wm = high_watermark(spec.target, spec.date_watermark_col, spark)
         df = after_date_watermark(df, spec.date_watermark_col, wm)
     elif spec.timestamp:
-        wm = high_watermark(spec.target, spec.timestamp, spark)
+        wm = high_watermark(spec.target, spec.timestamp, spark,
+                            partition_col=_target_date_partition(spec))
         df = after_watermark(df, spec.timestamp, wm, inclusive=spec.watermark_inclusive,
                              lookback=spec.watermark_lookback, prune_col=spec.prune_partition_col)
     if spec.columns:

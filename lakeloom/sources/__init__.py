@@ -4,13 +4,15 @@ from lakeloom.sources.landing import (
     enforce_schema,
     latest_folders,
     list_landing_files,
+    newest_folders,
     read_full_snapshot,
     read_incremental,
     read_landing_folders,
+    walk_newest_folders,
 )
 from lakeloom.sources.tables import read_table, table_exists
 
 __all__ = [
-    "enforce_schema", "latest_folders", "list_landing_files", "read_full_snapshot",
-    "read_incremental", "read_landing_folders", "read_table", "table_exists",
+    "enforce_schema", "latest_folders", "list_landing_files", "newest_folders", "read_full_snapshot",
+    "read_incremental", "read_landing_folders", "walk_newest_folders", "read_table", "table_exists",
 ]

@@ -1,10 +1,19 @@
 """Landing files: ``{base}/{year}/{month}/{day}/{hour}/*.parquet``.
 
-The listing is a DataFrame (``binaryFile`` source, ``path`` only, so file
-contents are never read); folders are ranked by their numeric year / month /
-day / hour values, so unpadded names ("9" < "10") order correctly. A folder
-level may also be written ``name=value``. Only the chosen folder paths (N of
-them) come back to the driver; the file list itself stays in Spark.
+Folders are ranked by their numeric year / month / day / hour values, so
+unpadded names ("9" < "10") order correctly; a level may also be written
+``name=value``. Finding the newest N hour folders walks the tree top down
+through the cluster's Hadoop file system: list the years, enter the newest,
+list its months, and so on, backing up only when a branch holds fewer than N
+hours. An hourly load therefore lists a handful of directories, not every
+file the landing area has accumulated over years. Hidden entries (``_`` or
+``.`` prefix) are skipped as Spark's file index skips them.
+
+Where the JVM gateway is not available (Spark Connect) the same answer comes
+from a listing DataFrame (``binaryFile`` source, ``path`` only, so file
+contents are never read). A backfill over every folder reads the base
+recursively and uses the listing DataFrame for its file checks, so the file
+list stays in Spark.
 """
 
 from __future__ import annotations
@@ -91,6 +100,86 @@ def list_landing_files(spark: SparkSession, base: str) -> DataFrame:
         .filter(F.col("file_name") != ""))
 
 
+_HIDDEN = ("_", ".")
+
+
+def _name_key(name: str) -> tuple:
+    """Python twin of :func:`_sort_key`: numbers by value, before other text."""
+    v = name.split("=", 1)[1] if "=" in name else name
+    try:
+        return (0, int(v), "")
+    except ValueError:
+        return (1, 0, v)
+
+
+def _hadoop_fs(spark: SparkSession, base: str):
+    """``(FileSystem, Path)`` for ``base`` through the JVM gateway, or None
+    when there is no gateway (Spark Connect)."""
+    try:
+        sc = spark.sparkContext
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    except Exception:
+        return None
+    if jvm is None:
+        return None
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    return path.getFileSystem(conf), path
+
+
+def walk_newest_folders(spark: SparkSession, base: str,
+                        n: int) -> list[tuple[str, list[str]]] | None:
+    """L2/T1 as a top-down walk: the ``n`` newest hour folders, newest first,
+    each with its Parquet files (suffix compared case-insensitively). An empty
+    hour folder counts as a folder. None when there is no JVM gateway."""
+    got = _hadoop_fs(spark, base)
+    if got is None:
+        return None
+    fs, root = got
+    if not fs.exists(root):
+        return []
+    out: list[tuple[str, list[str]]] = []
+
+    def visit(path, depth: int) -> None:
+        entries = [st for st in fs.listStatus(path)
+                   if not st.getPath().getName().startswith(_HIDDEN)]
+        if depth == len(LEVELS):
+            files = sorted(st.getPath().toString() for st in entries
+                           if st.isFile() and st.getPath().getName().lower().endswith(".parquet"))
+            out.append((path.toString(), files))
+            return
+        dirs = sorted((st for st in entries if st.isDirectory()),
+                      key=lambda st: _name_key(st.getPath().getName()), reverse=True)
+        for st in dirs:
+            if len(out) >= n:
+                return
+            visit(st.getPath(), depth + 1)
+
+    visit(root, 0)
+    return out[:n]
+
+
+def newest_folders(spark: SparkSession, base: str, n: int) -> list[tuple[str, list[str]]]:
+    """The ``n`` newest hour folders with their Parquet files: the walk, or
+    the listing DataFrame when there is no JVM gateway (that listing only
+    sees folders holding at least one file)."""
+    walked = walk_newest_folders(spark, base, n)
+    if walked is not None:
+        return walked
+    listing = list_landing_files(spark, base)
+    chosen = [f for f, _ in latest_folders(listing, n)]
+    files: dict[str, list[str]] = {f: [] for f in chosen}
+    for r in (listing.filter(F.col("folder").isin(chosen) & F.col("is_parquet"))
+              .select("folder", "path").collect()):
+        files[r["folder"]].append(r["path"])
+    return [(f, sorted(files[f])) for f in chosen]
+
+
+def _paths_frame(spark: SparkSession, paths: Sequence[str], per_task: int = 256) -> DataFrame:
+    """A DataFrame of file paths, spread so each task opens ~``per_task``."""
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    return df.repartition(-(-len(paths) // per_task)) if len(paths) > per_task else df
+
+
 def latest_folders(listing: DataFrame, n: int | None) -> list[tuple[str, int]]:
     """The ``n`` newest hour folders as ``(folder, parquet_files)``,
     newest first; ``n=None`` returns every folder. Only folder names cross to
@@ -176,24 +265,23 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
     is scanned recursively and no folder list passes through the driver
     (unless the footer check excludes files, which needs the file list).
     """
-    listing = list_landing_files(spark, base)
-    parquet = listing.filter(F.col("is_parquet"))
     opts = dict(ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)
     if n_folders is None:
+        parquet = list_landing_files(spark, base).filter(F.col("is_parquet"))
         if not parquet.limit(1).collect():
             raise ValueError(f"No parquet files found under {base}")
         files = screen_files(parquet, schema, drift, skipped)
         if files is not None:
             return read_landing_folders(spark, files, schema, **opts)
         return read_landing_folders(spark, [base], schema, recursive=True, **opts)
-    folders = latest_folders(listing, n_folders)
+    folders = newest_folders(spark, base, n_folders)
     if not folders:
         raise ValueError(f"No incremental folders found under {base}")
-    if sum(k for _, k in folders) == 0:
+    paths = [p for _, fs in folders for p in fs]
+    if not paths:
         raise ValueError(f"No parquet files found in the latest folders under {base}")
-    paths = [f for f, k in folders if k > 0]
-    files = screen_files(parquet.filter(F.col("folder").isin(paths)), schema, drift, skipped)
-    return read_landing_folders(spark, files if files is not None else paths, schema, **opts)
+    kept = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
+    return read_landing_folders(spark, kept if kept is not None else paths, schema, **opts)
 
 
 def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
@@ -202,19 +290,13 @@ def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
                        skipped: list | None = None) -> DataFrame:
     """The newest folder; then its greatest file name
     (``latest_file``) or all its Parquet files (``latest_folder``)."""
-    listing = list_landing_files(spark, base)
-    folders = latest_folders(listing, 1)
+    folders = newest_folders(spark, base, 1)
     if not folders:
         raise ValueError(f"No full folders found under {base}")
-    folder, k = folders[0]
-    if k == 0:
+    folder, files = folders[0]
+    if not files:
         raise ValueError(f"No parquet files found in folder {folder}")
-    in_folder = listing.filter((F.col("folder") == folder) & F.col("is_parquet"))
-    if mode == "latest_folder":
-        paths = [folder]
-    else:
-        paths = [in_folder.agg(F.max("path").alias("p")).first()["p"]]
-        in_folder = in_folder.filter(F.col("path") == paths[0])
-    files = screen_files(in_folder, schema, drift, skipped)
-    return read_landing_folders(spark, files if files is not None else paths, schema,
+    paths = files if mode == "latest_folder" else [max(files)]
+    kept = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
+    return read_landing_folders(spark, kept if kept is not None else paths, schema,
                                 ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)

@@ -88,3 +88,26 @@ def test_newest_delivery_wins_ties(spark, tmp_base):
                      key=("id",), timestamp="ts", update_op=">=", landing_base=tmp_base)
     load_raw_incremental(spark, spec, n_folders=2)
     assert [r.v for r in spark.table("landing_ties").collect()] == ["newer"]
+
+
+def test_walk_matches_listing_and_skips_hidden(spark, tmp_base):
+    from lakeloom.sources import newest_folders, walk_newest_folders
+    put(tmp_base, "2024", "1", "9", "9", "a.parquet", [1])
+    put(tmp_base, "2024", "1", "10", "0", "b.parquet", [2])
+    put(tmp_base, "2024", "1", "10", "0", "c.PARQUET", [3])
+    put(tmp_base, "2023", "12", "31", "23", "d.parquet", [4])
+    put(tmp_base, "2025", "_temporary", "1", "1", "e.parquet", [5])     # hidden: skipped
+    for n in (1, 2, 3, 7):
+        walked = walk_newest_folders(spark, tmp_base, n)
+        listed = latest_folders(list_landing_files(spark, tmp_base), n)
+        assert [f for f, _ in walked] == [f for f, _ in listed]
+        assert [len(fs) for _, fs in walked] == [k for _, k in listed]
+    assert walk_newest_folders(spark, os.path.join(tmp_base, "nope"), 2) == []
+    # name=value folders and an empty newest hour (it counts, as a folder walk does)
+    put(tmp_base + "/kv", "year=2024", "month=2", "day=1", "hour=7", "a.parquet", [1])
+    put(tmp_base + "/kv", "year=2024", "month=2", "day=1", "hour=10", "b.parquet", [2])
+    os.makedirs(os.path.join(tmp_base, "kv", "year=2024", "month=2", "day=1", "hour=11"))
+    got = newest_folders(spark, tmp_base + "/kv", 2)
+    assert [f.rsplit("/", 1)[1] for f, _ in got] == ["hour=11", "hour=10"]
+    assert [len(fs) for _, fs in got] == [0, 1]
+    assert [r.id for r in read_incremental(spark, tmp_base + "/kv", SCHEMA, 2).collect()] == [2]

@@ -42,3 +42,23 @@ def test_date_watermark(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 2),)], "d date")
     wm = high_watermark(df.filter("d < '2024-01-02'"), "d")
     assert after_date_watermark(df, "d", wm).count() == 1
+
+
+def test_watermark_from_newest_partition(spark):
+    from lakeloom.operators.watermark import newest_partition
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr(
+        "*", "year(ts) AS year", "to_date(ts) AS date")
+    ev = ev.unionByName(ev.limit(3).selectExpr(
+        "event_id", "CAST(NULL AS timestamp_ntz) AS ts", "user_id", "event_type", "value", "props",
+        "CAST(NULL AS int) AS year", "CAST(NULL AS date) AS date"))      # a NULL partition
+    overwrite_table(ev, "wm_newest_part", partition_cols=["year", "date"])
+    full = high_watermark("wm_newest_part", "ts", spark)
+    newest = newest_partition(spark, "wm_newest_part", "date")
+    assert newest == full.value.date()
+    assert high_watermark("wm_newest_part", "ts", spark, partition_col="date") == full
+    plan = spark.table("wm_newest_part").filter(f"date >= DATE'{newest}'")._jdf \
+        .queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert newest_partition(spark, "wm_newest_part", "event_type") is None   # not a partition
+    overwrite_table(ev.drop("year", "date"), "wm_unpartitioned")
+    assert high_watermark("wm_unpartitioned", "ts", spark, partition_col="date") == full
