@@ -60,6 +60,10 @@ def _partitions(spec: TableSpec, df: DataFrame) -> tuple[str, ...] | None:
     return spec.partition_cols
 
 
+def upsert_scope(spec: TableSpec) -> str:
+    return "batch" if spec.fixed_partition else "auto"
+
+
 def _landing(spec: TableSpec) -> str:
     if not spec.landing_base or spec.schema is None:
         raise ValueError(f"{spec.target}: a raw load needs landing_base and schema")
@@ -88,7 +92,8 @@ def load_raw_incremental(spark: SparkSession, spec: TableSpec, n_folders: int |
                           drift=spec.schema_drift, skipped=skipped)
     df = prepare(df, spec, (ORDER_COL,) if order else ())
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
-                       partition_cols=_partitions(spec, df), buckets=spec.buckets)
+                       partition_cols=_partitions(spec, df), buckets=spec.buckets,
+                       scope=upsert_scope(spec))
     return _finish(spark, res, record, skipped)
 
 
@@ -139,7 +144,8 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
         df = df.select(*spec.columns)
     df = prepare(df, spec)
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
-                       partition_cols=_partitions(spec, df), buckets=spec.buckets)
+                       partition_cols=_partitions(spec, df), buckets=spec.buckets,
+                       scope=upsert_scope(spec))
     return _finish(spark, res, record)
 
 

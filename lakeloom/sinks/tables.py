@@ -122,15 +122,23 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
 
     ``scope``: ``"auto"`` rewrites only touched partitions when the target
     is partitioned (and not bucketed), else the whole table; ``"full"``
-    always rewrites the whole table.
+    always rewrites the whole table; ``"batch"`` is ``"auto"`` for targets
+    whose rows never change partition (partition columns derived from an
+    immutable column such as a creation time): the touched partitions are
+    then the batch's own, and the target is not scanned to find where its
+    keys live. With ``"batch"`` a key whose partition did change is inserted
+    again instead of updated, so use it only when that cannot happen.
     """
+    if scope not in ("auto", "full", "batch"):
+        raise ValueError(f"scope must be auto, full or batch, got {scope!r}")
     spark = source.sparkSession
     keys = as_tuple(keys)
-    if spark.catalog.tableExists(name) and scope == "auto" and not buckets:
+    if spark.catalog.tableExists(name) and scope != "full" and not buckets:
         parts = _partition_columns(spark, name)
         if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
                 and _scopable(spark.table(name).schema, parts):
-            res = _upsert_partitions(source, name, keys, ts, op, parts, root)
+            res = _upsert_partitions(source, name, keys, ts, op, parts, root,
+                                     batch_only=scope == "batch")
             if res is not None:
                 return res
     src_obs = Observation()
@@ -184,7 +192,8 @@ _PLAIN = re.compile(r"^[A-Za-z0-9_.-]*$")
 
 
 def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
-                       parts: tuple[str, ...], root: str | None) -> LoadResult | None:
+                       parts: tuple[str, ...], root: str | None,
+                       batch_only: bool = False) -> LoadResult | None:
     """Rewrite only the partitions the batch touches; None -> caller falls
     back to a whole-table rewrite (NULL or unusual partition values)."""
     spark = source.sparkSession
@@ -194,13 +203,15 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_src = src.count()
-        nn = ~_any_null(keys)
-        # partitions holding a key of the batch: key + partition columns only
-        matched = (target.select(*keys, *parts).filter(nn)
-                   .join(src.select(*keys).filter(nn).distinct(), list(keys), "left_semi")
-                   .select(*parts))
-        touched_rows = (matched.unionByName(src.select(*parts)).distinct()
-                        .select(*parts, pk.alias("_pk")).collect())
+        touched = src.select(*parts)
+        if not batch_only:
+            # partitions holding a key of the batch: key + partition columns only
+            nn = ~_any_null(keys)
+            touched = touched.unionByName(
+                target.select(*keys, *parts).filter(nn)
+                .join(src.select(*keys).filter(nn).distinct(), list(keys), "left_semi")
+                .select(*parts))
+        touched_rows = touched.distinct().select(*parts, pk.alias("_pk")).collect()
         if not touched_rows:
             return LoadResult(name, "MERGE", "", n_src, partitions_rewritten=0)
         if any(r[c] is None for r in touched_rows for c in parts) or \

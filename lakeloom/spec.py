@@ -55,7 +55,10 @@ class TableSpec:
 
     Target side: ``partition_cols`` for the written table, ``update_op``
     (``">"`` or ``">="``) for the upsert guard, ``buckets`` to bucket the
-    target by ``key`` so later upserts read it without a shuffle.
+    target by ``key`` so later upserts read it without a shuffle,
+    ``fixed_partition`` when a key's partition never changes (partitions
+    derived from an immutable creation time), so an upsert rewrites the
+    batch's partitions without scanning the target for its keys.
     """
 
     target: str
@@ -93,6 +96,7 @@ class TableSpec:
     schema_drift: str = "exclude"      # footer check: off | report | exclude | error
     # target layout
     buckets: int | None = None
+    fixed_partition: bool = False      # a key's partition never changes -> upsert scope "batch"
     options: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self):

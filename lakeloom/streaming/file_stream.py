@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.plans.loads import _landing, _partitions, prepare
+from lakeloom.plans.loads import _landing, _partitions, prepare, upsert_scope
 from lakeloom.session import scratch_path
 from lakeloom.sinks.history import append_history
 from lakeloom.sinks.tables import upsert_table
@@ -41,7 +41,8 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         prepared = prepare(batch, spec)
         res = upsert_table(prepared, spec.target, spec.key, spec.timestamp, spec.update_op,
-                           partition_cols=_partitions(spec, prepared), buckets=spec.buckets)
+                           partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
+                           scope=upsert_scope(spec))
         if record:
             append_history(spark, res)
 

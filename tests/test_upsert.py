@@ -188,3 +188,23 @@ def test_batch_order_independent(spark, partitioned):
         if k not in newest or ts > newest[k][0]:
             newest[k] = (ts, v)
     assert finals[0] == sorted((k, ts, v) for k, (ts, v) in newest.items())
+
+
+def test_batch_scope_for_fixed_partitions(spark):
+    # the partition follows the key's creation day, which never changes
+    schema = "k long, created date, ts timestamp_ntz, v string"
+    base = [(i, dt.date(2024, 1, 1 + i % 4), D(2024, 2, 1), f"b{i}") for i in range(40)]
+    batch = [(i, dt.date(2024, 1, 1 + i % 4), D(2024, 2, 2), f"n{i}") for i in range(36, 48, 4)]
+    results = {}
+    for scope in ("auto", "batch"):
+        name = f"ups_fixed_{scope}"
+        upsert_table(spark.createDataFrame(base, schema), name, ["k"], "ts", ">",
+                     partition_cols=["created"])
+        r = upsert_table(spark.createDataFrame(batch, schema), name, ["k"], "ts", ">",
+                         partition_cols=["created"], scope=scope)
+        assert (r.inserted, r.updated, r.partitions_rewritten) == (2, 1, 1)
+        results[scope] = sorted(map(tuple, spark.table(name).collect()))
+    assert results["auto"] == results["batch"] and len(results["batch"]) == 42
+    with pytest.raises(ValueError, match="scope"):
+        upsert_table(spark.createDataFrame(batch, schema), "ups_fixed_auto", ["k"], "ts",
+                     scope="partial")
