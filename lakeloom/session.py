@@ -25,12 +25,32 @@ ADAPTIVE_CONF = {
 }
 
 
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a job expected to shuffle ``shuffle_bytes``.
+
+    Adaptive execution starts from ``initialPartitionNum`` partitions and
+    coalesces them to ``advisoryPartitionSizeInBytes``: starting high keeps
+    every reducer's input bounded at 100 TB scale (the default of 200 would
+    give reducers of hundreds of GB), while small stages still collapse to a
+    few tasks. Skew splitting and rebalanced writes use the same target size.
+    """
+    n = max(200, min(max_partitions, -(-shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "lakeloom", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "lakeloom", extra: dict | None = None,
+                  shuffle_bytes: int | None = None) -> SparkSession:
     """Create (or fetch) a session with the adaptive settings applied.
 
     ``master`` and ``shuffle_partitions`` are for local runs; on a cluster
-    leave them unset so the cluster's own configuration applies.
+    leave them unset so the cluster's own configuration applies, and pass
+    ``shuffle_bytes`` (the largest expected shuffle) to size partitions.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -40,6 +60,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_bytes:
+        conf.update(scale_conf(shuffle_bytes))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -56,3 +56,48 @@ def test_dependent_tables_load_in_one_run(spark):
     assert {r.status for r in rep.collect()} == {"SUCCESS"}
     got = sorted((r.shop_id, r.revenue) for r in spark.table("dep_fact2").collect())
     assert got == [(1, 10.0), (2, 0.0)]
+
+
+def test_dictionary_configs_run_both_hops(spark, tmp_base):
+    """Raw hop from a landing folder, then clean hop, both as plain dicts."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("shop_id", T.LongType()),
+                           T.StructField("created_at", T.TimestampType()),
+                           T.StructField("sales", T.DoubleType())])
+    for h, rows in (("3", [(1, 1.0), (2, 2.0)]), ("4", [(1, 5.0)])):
+        folder = os.path.join(tmp_base, "dict_shop_sales", "2024", "01", "02", h)
+        os.makedirs(folder)
+        ts = pa.array([D(2024, 1, 2, int(h))] * len(rows), pa.timestamp("us", tz="UTC"))
+        pq.write_table(pa.table({"shop_id": pa.array([r[0] for r in rows], pa.int64()),
+                                 "created_at": ts, "sales": [r[1] for r in rows]}),
+                       os.path.join(folder, "part.parquet"))
+    raw = {"bronze_table": "dict_shop_sales", "load_type": "INCREMENTAL", "table_category": "FACT",
+           "schema": schema, "dedup_cols": ["shop_id"], "timestamp_col": "created_at",
+           "partition_timestamp_col": "created_at", "requires_transform": True,
+           "transform_config": {"type": ["DERIVE_YMD"]}}
+    spec = TableSpec.from_dict(raw, landing_base=tmp_base)
+    assert spec.update_op == ">=" and spec.partition_cols == ("year", "month", "date")
+    rep = run_loads(spark, [raw], landing_base=tmp_base).first()
+    assert (rep.status, rep.row_count, rep.inserted) == ("SUCCESS", 2, 2)
+    clean = {"gold_table": "dict_fact_sales", "bronze_table": "dict_shop_sales",
+             "load_type": "INCREMENTAL", "table_category": "FACT",
+             "columns": ["shop_id", "created_at", "sales"], "dedup_cols": ["shop_id"],
+             "timestamp_col": "created_at", "partition_timestamp_col": "created_at",
+             "partition_cols": ["year", "month", "date"], "requires_transform": True,
+             "transform_config": {"type": "DERIVE_YMD"}}
+    assert TableSpec.from_dict(clean).update_op == ">"
+    assert run_loads(spark, [clean]).first().status == "SUCCESS"
+    got = sorted((r.shop_id, r.sales) for r in spark.table("dict_fact_sales").collect())
+    assert got == [(1, 5.0), (2, 2.0)]
+
+
+def test_scale_conf_bounds_reducers():
+    from lakeloom.session import scale_conf
+    big = scale_conf(100 * 2**40)
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
+    assert scale_conf(2**30)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
+    assert scale_conf(200 * 2**30)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "800"
