@@ -30,6 +30,7 @@ HEADLINE = [
     "incremental_filter_pruned",
     "upsert_gt",
     "upsert_metrics",
+    "upsert_fixed_partition",
     "create_on_missing",
     "full_overwrite_partitioned",
     "clean_full_e2e",

@@ -202,16 +202,18 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
     pk = F.concat_ws(_SEP, *[F.col(c).cast("string") for c in parts])
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_src = src.count()
-        touched = src.select(*parts)
+        # the batch's own partitions, with its row count (one pass over the batch)
+        touched = src.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
         if not batch_only:
             # partitions holding a key of the batch: key + partition columns only
             nn = ~_any_null(keys)
             touched = touched.unionByName(
                 target.select(*keys, *parts).filter(nn)
                 .join(src.select(*keys).filter(nn).distinct(), list(keys), "left_semi")
-                .select(*parts))
-        touched_rows = touched.distinct().select(*parts, pk.alias("_pk")).collect()
+                .select(*parts).distinct().withColumn("_n", F.lit(0).cast("long")))
+        touched_rows = (touched.groupBy(*parts).agg(F.sum("_n").alias("_n"))
+                        .select(*parts, pk.alias("_pk"), "_n").collect())
+        n_src = sum(int(r["_n"]) for r in touched_rows)
         if not touched_rows:
             return LoadResult(name, "MERGE", "", n_src, partitions_rewritten=0)
         if any(r[c] is None for r in touched_rows for c in parts) or \

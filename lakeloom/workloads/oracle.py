@@ -110,6 +110,16 @@ FROM events e LEFT JOIN p ON p.shop_id = e.user_id""",
     "upsert_gt": _upsert_sql(">"),
     "upsert_ge": _upsert_sql(">="),
     "upsert_metrics": f"SELECT action, count(*) AS n FROM ({_upsert_sql('>')}) u GROUP BY action",
+    "upsert_fixed_partition": """WITH t AS (
+  SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year, CAST(o_orderdate AS TIMESTAMP) AS version_ts
+  FROM orders WHERE o_orderdate < DATE '1998-01-01'),
+s AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 1.1 AS o_totalprice, o_orderdate,
+         o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+         CAST(o_orderdate + INTERVAL 30 DAY AS TIMESTAMP) AS version_ts
+  FROM orders WHERE o_orderstatus = 'O' OR o_orderdate >= DATE '1998-01-01')
+SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)
+UNION ALL SELECT * FROM s""",
     "latest_load_history": (
         "SELECT o_orderpriority AS table_name, o_orderdate AS ts, o_orderstatus AS operation, "
         "o_orderkey AS load_id, o_totalprice AS rows_written FROM orders "

@@ -382,6 +382,25 @@ def q_stream_upsert(spark, sf_dir):
     return spark.table(spec.target)
 
 
+def q_upsert_fixed_partition(spark, sf_dir):
+    """Upsert into a target partitioned by order year, which never changes
+    for an order: only the batch's own year partitions are read and
+    rewritten, and the target is not scanned to locate its keys."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    cut = F.lit("1998-01-01").cast("date")
+    name = _uniq("orders_by_year")
+    base = orders.filter(F.col("o_orderdate") < cut).withColumn(
+        "version_ts", F.col("o_orderdate").cast("timestamp_ntz"))
+    upsert_table(base, name, ["o_orderkey"], "version_ts", ">", partition_cols=["o_year"])
+    # open orders re-delivered a month later with a new price, plus new 1998 orders
+    batch = (orders.filter((F.col("o_orderstatus") == "O") | (F.col("o_orderdate") >= cut))
+             .withColumn("o_totalprice", F.col("o_totalprice") * 1.1)
+             .withColumn("version_ts", F.date_add("o_orderdate", 30).cast("timestamp_ntz")))
+    upsert_table(batch, name, ["o_orderkey"], "version_ts", ">", partition_cols=["o_year"],
+                 scope="batch")
+    return spark.table(name)
+
+
 def q_landing_schema_drift(spark, sf_dir):
     """The newest hour also holds a file whose ``user_id`` became text.
     With ``exclude`` the load skips that file and reports it; with ``error``
@@ -430,6 +449,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_gt": q_upsert_gt,
     "upsert_ge": q_upsert_ge,
     "upsert_metrics": q_upsert_metrics,
+    "upsert_fixed_partition": q_upsert_fixed_partition,
     "latest_load_history": q_latest_load_history,
     "create_on_missing": q_create_on_missing,
     "full_overwrite_partitioned": q_full_overwrite_partitioned,
