@@ -8,6 +8,13 @@ guard (``source.ts >= target.ts`` keeps the newest row whatever the batch
 order), never from arrival order. Each micro-batch is deduplicated and merged
 inside ``foreachBatch``; a replayed batch after a failure re-applies the same
 rows, which the guard makes harmless.
+
+The file source lists the watched tree on every trigger and remembers every
+file it has processed. Over years of hourly folders both grow without bound,
+so ``clean_source`` (Spark's ``cleanSource``) can archive or delete each file
+once its batch is committed, keeping the watched tree to the files not yet
+loaded. It changes the landing area, so it is opt-in; ``max_file_age``
+bounds the remembered-file log.
 """
 
 from __future__ import annotations
@@ -26,8 +33,14 @@ from lakeloom.spec import TableSpec
 def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: str | None = None,
                          available_now: bool = True, processing_time: str | None = None,
                          max_files_per_trigger: int | None = None,
+                         clean_source: str | None = None, archive_dir: str | None = None,
+                         max_file_age: str | None = None,
                          record: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it drains what is there and stops."""
+    """Start the stream; with ``available_now`` it drains what is there and stops.
+
+    ``clean_source``: ``"archive"`` (move processed files under
+    ``archive_dir``, which must lie outside the landing base) or ``"delete"``.
+    """
     if not spec.dedups:
         raise ValueError(f"{spec.target}: a streaming upsert needs key and timestamp")
     reader = (spark.readStream.schema(spec.schema)
@@ -36,6 +49,16 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
               .option("ignoreCorruptFiles", str(spec.ignore_corrupt_files).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
+    if clean_source:
+        if clean_source not in ("archive", "delete"):
+            raise ValueError("clean_source must be 'archive' or 'delete'")
+        if clean_source == "archive" and not archive_dir:
+            raise ValueError("clean_source='archive' needs archive_dir")
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     stream = enforce_schema(reader.parquet(_landing(spec)), spec.schema)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:

@@ -19,3 +19,26 @@ def test_stream_equals_batch(spark):
     want = latest_per_key(ev, ["user_id", "event_type"], "ts", ["event_id"])
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_stream_archives_processed_files(spark):
+    import glob
+    import os
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    base = scratch_path(spark, "stream-archive")
+    stage_landing(ev, f"{base}/ev", "ts", one_file_per_folder=True)
+    before = len(glob.glob(f"{base}/ev/*/*/*/*/*.parquet"))
+    spec = TableSpec(target="stream_archived", source="ev", load_type="INCREMENTAL",
+                     schema=EVENTS_SCHEMA, key=("user_id", "event_type"), timestamp="ts",
+                     tiebreak=("event_id",), update_op=">=", landing_base=base)
+    q = start_landing_stream(spark, spec, max_files_per_trigger=50, record=False,
+                             clean_source="archive", archive_dir=f"{base}/archive")
+    q.awaitTermination()
+    assert q.exception() is None
+    want = latest_per_key(ev, ["user_id", "event_type"], "ts", ["event_id"])
+    got = spark.table("stream_archived")
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+    archived = [p for p in glob.glob(f"{base}/archive/**/*.parquet", recursive=True)]
+    left = len(glob.glob(f"{base}/ev/*/*/*/*/*.parquet"))
+    assert archived and left < before and len(archived) + left == before
+    assert not os.path.commonpath([f"{base}/archive", f"{base}/ev"]).endswith("/ev")
