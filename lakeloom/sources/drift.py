@@ -24,7 +24,9 @@ file lacks is not drift: it reads as NULL.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -84,9 +86,20 @@ def compatible(arrow_type, physical: str, target: T.DataType) -> bool:
     return name == target.simpleString()
 
 
+_URI_SAFE = ":/@!$&'()*+,;=-._~"
+
+
+def uri_form(path: str) -> str:
+    """``path`` with the characters a URI escapes percent-encoded (spaces,
+    ``%`` ...), as ``_metadata.file_path`` shows a file listed as ``path``."""
+    return quote(path, safe=_URI_SAFE)
+
+
 def _open(path: str):
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
+    if re.match(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", path):    # a URI: pyarrow wants it encoded
+        path = uri_form(path)
     fs, inner = pafs.FileSystem.from_uri(path)
     return pq.read_metadata(inner, filesystem=fs)
 

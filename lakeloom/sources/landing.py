@@ -20,14 +20,14 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.sources.drift import failing_files
+from lakeloom.sources.drift import failing_files, uri_form
 
 log = logging.getLogger("lakeloom.landing")
 
@@ -201,12 +201,15 @@ def enforce_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()
 
 def read_landing_folders(spark: SparkSession, paths: Sequence[str], schema: T.StructType, *,
                          ignore_corrupt_files: bool = True, with_order: bool = False,
-                         only_parquet_suffix: bool = True, recursive: bool = False) -> DataFrame:
+                         only_parquet_suffix: bool = True, recursive: bool = False,
+                         exclude: Collection[str] = ()) -> DataFrame:
     """Read Parquet files (or folders of them) with a fixed schema.
 
     ``ignoreCorruptFiles`` is set on this read only. ``with_order`` adds
     ``_landing_order`` (folder and file name of each row's file) so equal
     timestamps can be resolved in favour of the newest delivery.
+    ``exclude``: files to leave out. The filter is on ``_metadata.file_path``,
+    which Spark applies while listing, so excluded files are never opened.
     """
     r = spark.read.schema(schema).option("ignoreCorruptFiles", str(ignore_corrupt_files).lower())
     if only_parquet_suffix:
@@ -214,6 +217,9 @@ def read_landing_folders(spark: SparkSession, paths: Sequence[str], schema: T.St
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     df = r.parquet(*paths)
+    if exclude:
+        forms = sorted({f for p in exclude for f in (p, uri_form(p))})
+        df = df.filter(~F.col("_metadata.file_path").isin(forms))
     if with_order:
         fp = _strip_scheme(F.col("_metadata.file_path"))
         segs = [F.element_at(F.split(fp, "/"), -i) for i in (5, 4, 3, 2, 1)]
@@ -223,21 +229,21 @@ def read_landing_folders(spark: SparkSession, paths: Sequence[str], schema: T.St
 
 
 def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
-                 skipped: list | None = None) -> list[str] | None:
+                 skipped: list | None = None) -> set[str]:
     """Check the footers of ``files`` (listing rows) against ``schema``.
 
     ``off``: no check. ``report``: log and record failing files, read all.
-    ``exclude``: read only files that pass. ``error``: raise if any fails.
-    Returns None to read as planned, else the explicit file paths to read.
+    ``exclude``: leave failing files out. ``error``: raise if any fails.
+    Returns the paths to leave out (only failing files reach the driver).
     Failing files are appended to ``skipped`` as ``(path, status, detail)``.
     """
     if drift not in DRIFT_MODES:
         raise ValueError(f"drift must be one of {DRIFT_MODES}, got {drift!r}")
     if drift == "off":
-        return None
+        return set()
     bad = failing_files(files, schema)
     if not bad:
-        return None
+        return set()
     if skipped is not None:
         skipped.extend(bad)
     for path, status, detail in bad[:20]:
@@ -246,13 +252,12 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
         raise ValueError(f"{len(bad)} landing file(s) do not match the schema, "
                          f"e.g. {bad[0][0]}: {bad[0][1]} {bad[0][2]}")
     if drift == "report":
-        return None
+        return set()
     drop = {p for p, _, _ in bad}
-    good = [r["path"] for r in files.select("path").collect() if r["path"] not in drop]
-    if not good:
+    if files.count() <= len(drop):
         raise ValueError(f"No readable parquet files left after the schema check "
                          f"({len(drop)} skipped)")
-    return good
+    return drop
 
 
 def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_folders: int | None = 2,
@@ -262,26 +267,24 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
 
     Raises when there is no folder or the chosen folders hold no Parquet
     file. ``n_folders=None`` reads every folder (a backfill): then the base
-    is scanned recursively and no folder list passes through the driver
-    (unless the footer check excludes files, which needs the file list).
+    is scanned recursively and no folder or file list passes through the
+    driver (files excluded by the footer check are filtered out by path).
     """
     opts = dict(ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)
     if n_folders is None:
         parquet = list_landing_files(spark, base).filter(F.col("is_parquet"))
         if not parquet.limit(1).collect():
             raise ValueError(f"No parquet files found under {base}")
-        files = screen_files(parquet, schema, drift, skipped)
-        if files is not None:
-            return read_landing_folders(spark, files, schema, **opts)
-        return read_landing_folders(spark, [base], schema, recursive=True, **opts)
+        drop = screen_files(parquet, schema, drift, skipped)
+        return read_landing_folders(spark, [base], schema, recursive=True, exclude=drop, **opts)
     folders = newest_folders(spark, base, n_folders)
     if not folders:
         raise ValueError(f"No incremental folders found under {base}")
     paths = [p for _, fs in folders for p in fs]
     if not paths:
         raise ValueError(f"No parquet files found in the latest folders under {base}")
-    kept = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
-    return read_landing_folders(spark, kept if kept is not None else paths, schema, **opts)
+    drop = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
+    return read_landing_folders(spark, [p for p in paths if p not in drop], schema, **opts)
 
 
 def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
@@ -297,6 +300,6 @@ def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
     if not files:
         raise ValueError(f"No parquet files found in folder {folder}")
     paths = files if mode == "latest_folder" else [max(files)]
-    kept = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
-    return read_landing_folders(spark, kept if kept is not None else paths, schema,
+    drop = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
+    return read_landing_folders(spark, [p for p in paths if p not in drop], schema,
                                 ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)

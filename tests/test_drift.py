@@ -102,3 +102,13 @@ def test_load_reports_skipped_files(spark, tmp_base):
     r = load_raw_incremental(spark, spec, n_folders=1, record=False)
     assert r.skipped_files == 1 and r.source_rows == 1
     assert [x.id for x in spark.table("drift_load").collect()] == [1]
+
+
+def test_backfill_exclusion_never_opens_drifted_file(spark, tmp_base):
+    put(tmp_base, "0", "a b.parquet", [1, 2])                 # a space: URI-encoded path
+    put(tmp_base, "1", "c d.parquet", [3], pa.string())
+    skipped = []
+    df = read_incremental(spark, tmp_base, SCHEMA, None, drift="exclude", skipped=skipped,
+                          ignore_corrupt_files=False)       # opening it would raise
+    assert sorted(r.id for r in df.collect()) == [1, 2] and len(skipped) == 1
+    assert skipped[0][1] == DRIFT and skipped[0][0].endswith("c d.parquet")
