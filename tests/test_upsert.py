@@ -136,9 +136,15 @@ def test_history_latest_entry(spark, tmp_base):
     from lakeloom.sinks.tables import LoadResult
     for i in range(3):
         append_history(spark, LoadResult("h_t", "MERGE", "p", 5, inserted=i), root=tmp_base)
+    append_history(spark, LoadResult("db.h_u", "CREATE", "q", 7, inserted=7), root=tmp_base)
     assert last_load(spark, "h_t", root=tmp_base)["inserted"] == 2
+    assert last_load(spark, "db.h_u", root=tmp_base)["operation"] == "CREATE"
     assert last_load(spark, "other", root=tmp_base) is None
-    assert latest_entries(read_history(spark, tmp_base)).count() == 1
+    assert latest_entries(read_history(spark, tmp_base)).count() == 2
+    one = read_history(spark, tmp_base).filter("table_name = 'h_t'")
+    assert "PartitionFilters: [isnotnull(table_name" in \
+        one._jdf.queryExecution().executedPlan().toString()
+    assert read_history(spark, tmp_base).columns[0] == "table_name"
 
 
 def test_partition_scope_rewrites_only_touched(spark):
