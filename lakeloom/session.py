@@ -8,8 +8,10 @@ Only when that setting is absent (local tests) do we create one in /tmp.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +72,38 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context.
+
+    Only the footer check runs Python inside tasks; its function is pickled by
+    reference to this package, so the executors need the package. It is
+    zipped on the driver and distributed with ``addPyFile`` (Spark copies it
+    to every executor, including ones added later), or as a Python artifact
+    under Spark Connect. A cluster that installs the package on its executors
+    gets the same code either way.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:       # Spark Connect: no SparkContext on the client
+        sc = None
+    holder = sc if sc is not None else spark
+    if getattr(holder, "_lakeloom_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="lakeloom-pyfiles-"), "lakeloom.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    if sc is not None:
+        sc.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
+    holder._lakeloom_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a local one only if it is unset."""
     d = spark.conf.get("spark.checkpoint.dir", None)

@@ -134,6 +134,8 @@ def check_file(path: str, schema: T.StructType) -> tuple[str, str, str]:
 def check_footers(files: DataFrame, schema: T.StructType, path_col: str = "path") -> DataFrame:
     """One ``(path, status, detail)`` row per file of ``files``; the footers
     are opened by the tasks that hold the paths."""
+    from lakeloom.session import ship_package
+    ship_package(files.sparkSession)
     schema_json = schema.json()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

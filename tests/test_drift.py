@@ -112,3 +112,12 @@ def test_backfill_exclusion_never_opens_drifted_file(spark, tmp_base):
                           ignore_corrupt_files=False)       # opening it would raise
     assert sorted(r.id for r in df.collect()) == [1, 2] and len(skipped) == 1
     assert skipped[0][1] == DRIFT and skipped[0][0].endswith("c d.parquet")
+
+
+def test_package_shipped_once(spark):
+    from lakeloom.session import ship_package
+    ship_package(spark)
+    ship_package(spark)                      # a second call is a no-op
+    assert spark.sparkContext._lakeloom_shipped
+    files = spark.sparkContext._jsc.sc().listFiles()
+    assert any(str(files.apply(i)).endswith("lakeloom.zip") for i in range(files.size()))
