@@ -82,6 +82,8 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
     path = f"{root}/{(db + '.') if db else ''}{tbl}/v_{tag}"
     stage = f"{db + '.' if db else ''}{tbl}__stage_{tag}"
+    if db and not spark.catalog.databaseExists(db):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}")
     if parts and rebalance and not buckets:
         df = df.hint("rebalance", *parts)
     w = df.write.format("parquet").mode("errorifexists").option("path", path)

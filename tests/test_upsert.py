@@ -214,3 +214,12 @@ def test_batch_scope_for_fixed_partitions(spark):
     with pytest.raises(ValueError, match="scope"):
         upsert_table(spark.createDataFrame(batch, schema), "ups_fixed_auto", ["k"], "ts",
                      scope="partial")
+
+
+def test_two_part_name_creates_database(spark):
+    df = spark.createDataFrame([(1, D(2024, 1, 1), "a")], SCHEMA)
+    r = upsert_table(df, "lakeloom_newdb.t", ["k"], "ts")
+    assert r.operation == "CREATE" and spark.catalog.databaseExists("lakeloom_newdb")
+    r = upsert_table(df.selectExpr("k", "ts + INTERVAL 1 DAY AS ts", "'b' AS v"),
+                     "lakeloom_newdb.t", ["k"], "ts")
+    assert r.updated == 1 and spark.table("lakeloom_newdb.t").first().v == "b"
