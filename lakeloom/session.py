@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 
@@ -72,6 +73,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_SHIP_LOCK = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per context.
 
@@ -87,8 +91,13 @@ def ship_package(spark: SparkSession) -> None:
     except Exception:       # Spark Connect: no SparkContext on the client
         sc = None
     holder = sc if sc is not None else spark
-    if getattr(holder, "_lakeloom_shipped", False):
-        return
+    with _SHIP_LOCK:                # loads of one run may start in parallel threads
+        if not getattr(holder, "_lakeloom_shipped", False):
+            _ship(spark, sc)
+            holder._lakeloom_shipped = True
+
+
+def _ship(spark: SparkSession, sc) -> None:
     pkg = os.path.dirname(os.path.abspath(__file__))
     zpath = os.path.join(tempfile.mkdtemp(prefix="lakeloom-pyfiles-"), "lakeloom.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
@@ -101,7 +110,6 @@ def ship_package(spark: SparkSession) -> None:
         sc.addPyFile(zpath)
     else:
         spark.addArtifacts(zpath, pyfile=True)
-    holder._lakeloom_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -67,7 +67,7 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
                            partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
                            scope=upsert_scope(spec))
         if record:
-            append_history(spark, res)
+            append_history(batch.sparkSession, res)
 
     w = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{spec.target}")))

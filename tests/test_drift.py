@@ -121,3 +121,12 @@ def test_package_shipped_once(spark):
     assert spark.sparkContext._lakeloom_shipped
     files = spark.sparkContext._jsc.sc().listFiles()
     assert any(str(files.apply(i)).endswith("lakeloom.zip") for i in range(files.size()))
+
+
+def test_package_shipping_is_thread_safe(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from lakeloom.session import ship_package
+    spark.sparkContext._lakeloom_shipped = True      # already shipped by an earlier test
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: ship_package(spark), range(8)))
