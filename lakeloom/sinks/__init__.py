@@ -1,10 +1,17 @@
 """Sinks: versioned overwrite (M4, M6), upsert write-back (M1, M2, M3) and the
 load history with merge metrics (M5, T3)."""
 
-from lakeloom.sinks.history import append_history, last_load, latest_entries, read_history
+from lakeloom.sinks.history import (
+    append_history,
+    history_view,
+    last_load,
+    latest_entries,
+    read_history,
+    table_history,
+)
 from lakeloom.sinks.tables import LoadResult, overwrite_table, upsert_table, write_version
 
 __all__ = [
-    "LoadResult", "append_history", "last_load", "latest_entries", "overwrite_table",
-    "read_history", "upsert_table", "write_version",
+    "LoadResult", "append_history", "history_view", "last_load", "latest_entries", "overwrite_table",
+    "read_history", "table_history", "upsert_table", "write_version",
 ]

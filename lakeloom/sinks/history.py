@@ -77,3 +77,16 @@ def last_load(spark: SparkSession, table: str, root: str | None = None) -> dict
     for k in ("inserted", "updated", "deleted"):
         r[k] = int(r.get(k) or 0)
     return r
+
+
+def table_history(spark: SparkSession, table: str, root: str | None = None) -> DataFrame:
+    """Every recorded load of ``table``, newest first (the history of one
+    table; reads only that table's history partition)."""
+    return (read_history(spark, root).filter(F.col("table_name") == table)
+            .orderBy(F.col("ts").desc()))
+
+
+def history_view(spark: SparkSession, view: str = "load_history", root: str | None = None) -> str:
+    """Expose the load history to SQL as a temporary view; returns its name."""
+    read_history(spark, root).createOrReplaceTempView(view)
+    return view

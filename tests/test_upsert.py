@@ -145,6 +145,10 @@ def test_history_latest_entry(spark, tmp_base):
     assert "PartitionFilters: [isnotnull(table_name" in \
         one._jdf.queryExecution().executedPlan().toString()
     assert read_history(spark, tmp_base).columns[0] == "table_name"
+    from lakeloom.sinks import history_view, table_history
+    assert [r.inserted for r in table_history(spark, "h_t", tmp_base).collect()] == [2, 1, 0]
+    v = history_view(spark, "hist_v", tmp_base)
+    assert spark.sql(f"SELECT max(inserted) AS m FROM {v} WHERE table_name = 'db.h_u'").first().m == 7
 
 
 def test_partition_scope_rewrites_only_touched(spark):
