@@ -8,6 +8,7 @@ Only when that setting is absent (local tests) do we create one in /tmp.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import threading
@@ -81,10 +82,11 @@ def ship_package(spark: SparkSession) -> None:
 
     Only the footer check runs Python inside tasks; its function is pickled by
     reference to this package, so the executors need the package. It is
-    zipped on the driver and distributed with ``addPyFile`` (Spark copies it
-    to every executor, including ones added later), or as a Python artifact
-    under Spark Connect. A cluster that installs the package on its executors
-    gets the same code either way.
+    zipped in memory, written under ``spark.checkpoint.dir`` (shared storage
+    on a cluster) through the Hadoop file system, and distributed with
+    ``addPyFile``, which also reaches executors added later. A Spark Connect
+    client uploads it as a Python artifact instead. A cluster that installs
+    the package on its executors gets the same code either way.
     """
     try:
         sc = spark.sparkContext
@@ -97,19 +99,35 @@ def ship_package(spark: SparkSession) -> None:
             holder._lakeloom_shipped = True
 
 
-def _ship(spark: SparkSession, sc) -> None:
+def _package_zip() -> bytes:
     pkg = os.path.dirname(os.path.abspath(__file__))
-    zpath = os.path.join(tempfile.mkdtemp(prefix="lakeloom-pyfiles-"), "lakeloom.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    if sc is not None:
-        sc.addPyFile(zpath)
-    else:
-        spark.addArtifacts(zpath, pyfile=True)
+    return buf.getvalue()
+
+
+def _ship(spark: SparkSession, sc) -> None:
+    data = _package_zip()
+    if sc is None:
+        with tempfile.TemporaryDirectory(prefix="lakeloom-artifact-") as d:
+            local = os.path.join(d, "lakeloom.zip")
+            with open(local, "wb") as f:
+                f.write(data)
+            spark.addArtifacts(local, pyfile=True)
+        return
+    target = f"{scratch_path(spark, 'pyfiles')}/lakeloom.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    sc.addPyFile(target)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
