@@ -50,10 +50,20 @@ def dependency_levels(specs: Sequence[TableSpec]) -> list[list[TableSpec]]:
     return levels
 
 
+def _describe_jobs(spark: SparkSession, text: str | None) -> None:
+    """Label this thread's Spark jobs (event log, job listings), if the
+    session has a SparkContext."""
+    try:
+        spark.sparkContext.setJobDescription(text)
+    except Exception:  # Spark Connect: no SparkContext on the client
+        pass
+
+
 def _one(spark: SparkSession, cfg: TableSpec | Mapping[str, Any], spec_kw: dict) -> tuple:
     name = cfg.target if isinstance(cfg, TableSpec) else cfg.get("gold_table") or cfg.get("bronze_table")
     load_type = cfg.load_type if isinstance(cfg, TableSpec) else cfg.get("load_type")
     category = cfg.category if isinstance(cfg, TableSpec) else cfg.get("table_category")
+    _describe_jobs(spark, f"lakeloom load {name} ({load_type})")
     try:
         spec = as_spec(cfg, **spec_kw)
         r = load_table(spark, spec)
