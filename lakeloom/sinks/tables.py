@@ -63,6 +63,26 @@ def _split(name: str) -> tuple[str | None, str]:
     return (".".join(parts[:-1]) or None, parts[-1])
 
 
+def _relocatable(spark: SparkSession, name: str, schema: T.StructType) -> bool:
+    """An existing external, unpartitioned, unbucketed Parquet table whose
+    columns (names and types) equal ``schema``: a new version only has to
+    be pointed at, in one catalog call."""
+    if not spark.catalog.tableExists(name):
+        return False
+    t = spark.catalog.getTable(name)
+    if (t.tableType or "").upper() != "EXTERNAL":
+        return False
+    cols = spark.catalog.listColumns(name)
+    if any(c.isPartition or c.isBucket for c in cols):
+        return False
+    provider = [r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(name)}").collect()
+                if r[0] == "Provider"]
+    if [p.lower() for p in provider] != ["parquet"]:
+        return False
+    current = spark.table(name).schema
+    return [(f.name, f.dataType) for f in current] == [(f.name, f.dataType) for f in schema]
+
+
 def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | None = None,
                   buckets: int | None = None, bucket_cols: Sequence[str] = (),
                   root: str | None = None, rebalance: bool = True) -> str:
@@ -71,6 +91,12 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     ``rebalance`` asks adaptive execution to rebalance rows by the partition
     columns before writing, so each date folder gets a few right-sized files
     instead of one small file per task.
+
+    An existing unpartitioned table with the same columns is switched with
+    one ``SET LOCATION`` (readers see the old or the new version, never no
+    table). Otherwise the version is registered as a stage table that
+    replaces the old definition (drop + rename + partition recovery), which
+    also replaces the schema.
     """
     spark = df.sparkSession
     parts = as_tuple(partition_cols)
@@ -84,6 +110,11 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     stage = f"{db + '.' if db else ''}{tbl}__stage_{tag}"
     if db and not spark.catalog.databaseExists(db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}")
+    if not parts and not buckets and _relocatable(spark, name, df.schema):
+        df.write.format("parquet").mode("errorifexists").save(path)
+        spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+        return path
     if parts and rebalance and not buckets:
         df = df.hint("rebalance", *parts)
     w = df.write.format("parquet").mode("errorifexists").option("path", path)

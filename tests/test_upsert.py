@@ -227,3 +227,18 @@ def test_two_part_name_creates_database(spark):
     r = upsert_table(df.selectExpr("k", "ts + INTERVAL 1 DAY AS ts", "'b' AS v"),
                      "lakeloom_newdb.t", ["k"], "ts")
     assert r.updated == 1 and spark.table("lakeloom_newdb.t").first().v == "b"
+
+
+def test_same_schema_overwrite_switches_location(spark):
+    from lakeloom.sinks import overwrite_table
+    df = spark.createDataFrame([(1, D(2024, 1, 1), "a")], SCHEMA)
+    p1 = overwrite_table(df, "switch_t").path
+    p2 = overwrite_table(df.selectExpr("k + 1 AS k", "ts", "v"), "switch_t").path
+    loc = [r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED switch_t").collect() if r[0] == "Location"]
+    assert p1 != p2 and loc[0].rstrip("/").endswith(p2.rstrip("/").split(":")[-1])
+    assert [r.k for r in spark.table("switch_t").collect()] == [2]
+    # a different schema replaces the definition
+    overwrite_table(df.selectExpr("k", "v"), "switch_t")
+    assert spark.table("switch_t").columns == ["k", "v"]
+    r = upsert_table(df.selectExpr("k", "'b' AS v"), "switch_t", ["k"], "v", ">")
+    assert r.updated == 1 and spark.table("switch_t").first().v == "b"
