@@ -94,9 +94,9 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
 
     An existing unpartitioned table with the same columns is switched with
     one ``SET LOCATION`` (readers see the old or the new version, never no
-    table). Otherwise the version is registered as a stage table that
-    replaces the old definition (drop + rename + partition recovery), which
-    also replaces the schema.
+    table). Otherwise the version is registered as a stage table (the write
+    registers its partitions) that replaces the old definition (drop +
+    rename), which also replaces the schema.
     """
     spark = df.sparkSession
     parts = as_tuple(partition_cols)
@@ -126,7 +126,9 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     if spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE {_quote(name)}")
     spark.sql(f"ALTER TABLE {_quote(stage)} RENAME TO {_quote(name)}")
-    if parts:
+    # the write registered the stage's partitions and a rename keeps them; a
+    # catalog that drops them on rename gets them back from the folders
+    if parts and not spark.sql(f"SHOW PARTITIONS {_quote(name)}").limit(1).collect():
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return path
