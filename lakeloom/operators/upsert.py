@@ -13,12 +13,17 @@ and drops. Semantics:
 
 Keys compare with ``=``, so a NULL key never matches and is inserted on every
 run. Such rows would all hash to one reducer of the join, and a full outer
-join cannot be split by the adaptive skew rule, so they bypass the join:
-NULL-key target rows are kept and NULL-key source rows inserted by a plain
-union (the ``IS NULL`` / ``IS NOT NULL`` filters reach the Parquet scan, and
-row groups without NULL keys are skipped by their statistics). The join then
-stays partitioned by the business key alone, which is also what lets a target
-bucketed by that key join without being shuffled.
+join cannot be split by the adaptive skew rule. Two ways around it:
+
+* ``null_keys="salt"`` (default): the join key gets one more column, 0 for a
+  row with a key and, for a row with a NULL key, a hash of the whole row
+  spread over ``salt_buckets`` values. NULL-key rows still never match but
+  land on many reducers, and each side is read once.
+* ``null_keys="split"``: NULL-key rows bypass the join through a union
+  (target rows kept, source rows inserted); the ``IS NULL`` / ``IS NOT NULL``
+  filters reach the Parquet scans. The join then stays keyed by the business
+  key alone, which lets a target bucketed by that key join without being
+  shuffled; the price is a second, statistics-pruned scan of each side.
 """
 
 from __future__ import annotations
@@ -40,13 +45,16 @@ def _any_null(keys: Sequence[str]):
 
 
 def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
-                   ts: str, op: str = ">", *, action_col: str = ACTION) -> DataFrame:
+                   ts: str, op: str = ">", *, action_col: str = ACTION,
+                   null_keys: str = "salt", salt_buckets: int = 1024) -> DataFrame:
     """Merge ``source`` into ``target``; returns the target's columns plus
     ``action_col``. ``source`` should hold one row per non-NULL key (run
     :func:`~lakeloom.operators.dedup.latest_per_key` first)."""
     keys = as_tuple(keys)
     if op not in (">", ">="):
         raise ValueError(f"op must be '>' or '>=', got {op!r}")
+    if null_keys not in ("salt", "split"):
+        raise ValueError(f"null_keys must be 'salt' or 'split', got {null_keys!r}")
     tcols, scols = target.columns, source.columns
     extra = [c for c in scols if c not in tcols]
     if extra:
@@ -55,13 +63,24 @@ def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[st
         if k not in tcols or k not in scols:
             raise ValueError(f"column {k} must exist in both target and source")
 
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*[F.col(k).alias(f"__{tag}k{i}") for i, k in enumerate(keys)],
-                         F.struct(*[F.col(c) for c in df.columns]).alias(f"__{tag}"))
-
     has_null = _any_null(keys)
-    t, s = side(target.filter(~has_null), "t"), side(source.filter(~has_null), "s")
+    salted = null_keys == "salt"
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        cols = [F.col(k).alias(f"__{tag}k{i}") for i, k in enumerate(keys)]
+        if salted:
+            spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)) + 1
+            cols.append(F.when(has_null, spread).otherwise(F.lit(0).cast("long"))
+                        .alias(f"__{tag}salt"))
+        return df.select(*cols, F.struct(*[F.col(c) for c in df.columns]).alias(f"__{tag}"))
+
+    if salted:
+        t, s = side(target, "t"), side(source, "s")
+    else:
+        t, s = side(target.filter(~has_null), "t"), side(source.filter(~has_null), "s")
     cond = [t[f"__tk{i}"] == s[f"__sk{i}"] for i in range(len(keys))]
+    if salted:
+        cond.append(t["__tsalt"] == s["__ssalt"])
     j = t.join(s, reduce(lambda a, b: a & b, cond), "full")
 
     tv, sv = F.col("__t"), F.col("__s")
@@ -81,13 +100,16 @@ def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[st
         else:
             out.append(F.when(a == INSERT, F.lit(None).cast(tschema[c].dataType))
                        .otherwise(tval).alias(c))
+    merged = j.select(*out, a)
+    if salted:
+        return merged
     tschema_cols = [F.col(c) for c in tcols]
     null_target = target.filter(has_null).select(*tschema_cols, F.lit(KEEP).alias(action_col))
     null_source = source.filter(has_null).select(
         *[(F.col(c).cast(tschema[c].dataType) if c in scols
            else F.lit(None).cast(tschema[c].dataType)).alias(c) for c in tcols],
         F.lit(INSERT).alias(action_col))
-    return j.select(*out, a).unionByName(null_target).unionByName(null_source)
+    return merged.unionByName(null_target).unionByName(null_source)
 
 
 def action_counts(merged: DataFrame, action_col: str = ACTION) -> DataFrame:

@@ -184,7 +184,10 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
         merged = source.withColumn(ACTION, F.lit(INSERT))
         operation = "CREATE"
     else:
-        merged = guarded_upsert(spark.table(name), source, keys, ts, op)
+        # a target bucketed by the key keeps its bucketing only if the join is
+        # on the key alone: then NULL keys bypass the join instead of salting
+        merged = guarded_upsert(spark.table(name), source, keys, ts, op,
+                                null_keys="split" if buckets else "salt")
         operation = "MERGE"
     obs = Observation()
     merged = merged.observe(obs, *metric_columns())

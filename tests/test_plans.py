@@ -30,7 +30,7 @@ def test_incremental_filter_is_a_literal_at_the_scan(spark):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_upsert_keeps_null_keys_out_of_the_join(spark):
+def test_upsert_spreads_null_keys_with_a_salt(spark):
     plan = plan_of(QUERIES["upsert_gt"](spark, SF))
-    assert "FullOuter" in plan and "Union" in plan
+    assert "FullOuter" in plan and "xxhash64" in plan and "Union" not in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
