@@ -75,7 +75,10 @@ def _finish(spark: SparkSession, result: LoadResult, record: bool,
     if skipped:
         result = replace(result, skipped_files=len(skipped))
     if record:
-        append_history(spark, result)
+        try:
+            append_history(spark, result)
+        except Exception as e:  # the table is loaded; a history failure must not undo that
+            log.warning("%s loaded, but its history entry was not written: %s", result.table, e)
     log.info("%s %s: source=%d inserted=%d updated=%d", result.operation, result.table,
              result.source_rows, result.inserted, result.updated)
     return result

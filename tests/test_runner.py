@@ -101,3 +101,17 @@ def test_scale_conf_bounds_reducers():
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
     assert scale_conf(2**30)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
     assert scale_conf(200 * 2**30)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "800"
+
+
+def test_history_failure_does_not_fail_the_load(spark, monkeypatch, caplog):
+    import lakeloom.plans.loads as loads
+
+    def broken(*a, **k):
+        raise OSError("history store unavailable")
+    monkeypatch.setattr(loads, "append_history", broken)
+    spark.createDataFrame([(1, D(2024, 1, 1))], "k long, ts timestamp_ntz") \
+        .createOrReplaceTempView("hist_fail_src")
+    rep = run_loads(spark, [TableSpec(target="hist_fail_t", source="hist_fail_src",
+                                      key=("k",), timestamp="ts")]).first()
+    assert rep.status == "SUCCESS" and spark.table("hist_fail_t").count() == 1
+    assert "history entry was not written" in caplog.text
