@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -95,28 +95,47 @@ def uri_form(path: str) -> str:
     return quote(path, safe=_URI_SAFE)
 
 
-def _open(path: str):
+def _filesystem(path: str, cache: dict | None):
+    """``(FileSystem, path inside it)``. Within a task one file system per
+    scheme and authority is built (for object stores that is a client with
+    its own connection setup) and reused for the other files under it."""
     import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-    if re.match(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", path):    # a URI: pyarrow wants it encoded
-        path = uri_form(path)
-    fs, inner = pafs.FileSystem.from_uri(path)
-    return pq.read_metadata(inner, filesystem=fs)
-
-
-def check_file(path: str, schema: T.StructType) -> tuple[str, str, str]:
-    """``(path, status, detail)`` for one file; status is ok / drift /
-    unreadable (not Parquet, truncated) / unchecked (no pyarrow file system
-    for the path's scheme)."""
+    m = re.match(r"^([a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)(.*)$", path)
+    if not m:                                   # a plain local path
+        return pafs.LocalFileSystem(), path
+    root, rest = m.group(1), unquote(uri_form(m.group(2)))
+    if cache is not None and root in cache:
+        fs, head = cache[root]
+        return fs, head + rest
+    fs, inner = pafs.FileSystem.from_uri(uri_form(path))   # pyarrow wants an encoded URI
+    if cache is not None and inner.endswith(rest):
+        cache[root] = (fs, inner[:len(inner) - len(rest)])
+    return fs, inner
+
+
+def check_file(path: str, schema: T.StructType, cache: dict | None = None) -> tuple[str, str, str]:
+    """``(path, status, detail)`` for one file.
+
+    ``unreadable`` only when the bytes are not a valid Parquet file (no
+    magic bytes, truncated footer): what ``ignoreCorruptFiles`` would skip.
+    When the file cannot be reached from Python at all (no pyarrow file
+    system for the scheme, no HDFS client library, credentials, network, a
+    file gone since the listing) the status is ``unchecked`` and the file is
+    read as usual, so Spark's own reader decides; a check that cannot look
+    must never drop data.
+    """
     import pyarrow as pa
+    import pyarrow.parquet as pq
+    try:
+        fs, inner = _filesystem(path, cache)
+    except Exception as e:
+        return path, UNCHECKED, f"{type(e).__name__}: {str(e)[:200]}"
     try:
-        md = _open(path)
-    except (pa.ArrowNotImplementedError, pa.ArrowInvalid) as e:
-        if "scheme" in str(e).lower() or "filesystem" in str(e).lower():
-            return path, UNCHECKED, str(e)[:200]
+        md = pq.read_metadata(inner, filesystem=fs)
+    except pa.ArrowInvalid as e:
         return path, UNREADABLE, str(e)[:200]
-    except Exception as e:  # I/O error, bad footer
-        return path, UNREADABLE, f"{type(e).__name__}: {str(e)[:200]}"
+    except Exception as e:
+        return path, UNCHECKED, f"{type(e).__name__}: {str(e)[:200]}"
     arrow = md.schema.to_arrow_schema()
     physical = {md.schema.column(i).name: md.schema.column(i).physical_type
                 for i in range(md.num_columns)}
@@ -140,8 +159,9 @@ def check_footers(files: DataFrame, schema: T.StructType, path_col: str = "path"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         expected = T.StructType.fromJson(json.loads(schema_json))
+        cache: dict = {}
         for pdf in batches:
-            rows = [check_file(p, expected) for p in pdf[path_col]]
+            rows = [check_file(p, expected, cache) for p in pdf[path_col]]
             yield pd.DataFrame(rows, columns=["path", "status", "detail"])
 
     return files.select(path_col).mapInPandas(run, CHECK_SCHEMA)

@@ -130,3 +130,18 @@ def test_package_shipping_is_thread_safe(spark):
     spark.sparkContext._lakeloom_shipped = True      # already shipped by an earlier test
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(lambda _: ship_package(spark), range(8)))
+
+
+@pytest.mark.parametrize("path", ["hdfs://namenode:8020/lake/2024/1/1/0/a.parquet",
+                                  "s3a://bucket/lake/a.parquet", "file:/no/such/dir/a.parquet"])
+def test_unreachable_files_are_unchecked_not_dropped(path):
+    from lakeloom.sources.drift import UNCHECKED
+    assert check_file(path, SCHEMA)[1] == UNCHECKED
+
+
+def test_only_failing_files_are_excluded(spark, tmp_base):
+    from lakeloom.sources.drift import failing_files
+    put(tmp_base, "0", "good.parquet", [1])
+    good = "file:" + os.path.join(tmp_base, "2024", "1", "1", "0", "good.parquet")
+    paths = spark.createDataFrame([(good,), ("hdfs://nn:8020/x/a.parquet",)], "path string")
+    assert failing_files(paths, SCHEMA) == []
