@@ -71,3 +71,23 @@ def test_dedup_moves_before_transforms_only_when_legal(spark):
                    transforms=("ALIAS_COLUMNS",), alias_columns={"c": "ts"})
     out2 = prepare(df.withColumn("c", df.ts.cast("string")), s2).collect()
     assert len(out2) == 1
+
+
+def test_enrichment_runs_on_deduplicated_facts(spark):
+    from lakeloom.sinks import overwrite_table
+    from lakeloom.spec import LookupSpec
+    overwrite_table(spark.createDataFrame([(1, 5.0, D(2024, 1, 1)), (1, 7.0, D(2024, 1, 3))],
+                                          "shop_id long, price double, created date"), "dd_dim")
+    facts = spark.createDataFrame([(1, D(2024, 1, 1), 2.0), (1, D(2024, 1, 2), 3.0),
+                                   (None, D(2024, 1, 2), 4.0)],
+                                  "shop_id long, ts timestamp_ntz, sales double")
+    spec = TableSpec(target="t", source="s", key=("shop_id",), timestamp="ts",
+                     transforms=("PRICE_REVENUE",),
+                     lookup=LookupSpec("dd_dim", "shop_id", "price", "sales", "created"))
+    out = prepare(facts, spec)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the fact-side window sits below the join: one row per key enters it
+    join_at, window_at = plan.find("Join LeftOuter"), plan.rfind("Window [row_number()")
+    assert 0 <= join_at < window_at
+    got = sorted(((r.shop_id, r.sales, r.price, r.revenue) for r in out.collect()), key=repr)
+    assert got == sorted([(1, 3.0, 7.0, 21.0), (None, 4.0, 0.0, 0.0)], key=repr)
