@@ -221,13 +221,20 @@ def read_landing_folders(spark: SparkSession, paths: Sequence[str], schema: T.St
         forms = sorted({f for p in exclude for f in (p, uri_form(p))})
         df = df.filter(~F.col("_metadata.file_path").isin(forms))
     if with_order:
-        fp = _strip_scheme(F.col("_metadata.file_path"))
-        segs = [F.element_at(F.split(fp, "/"), -i) for i in (5, 4, 3, 2, 1)]
-        order = F.concat_ws("/", folder_order(*segs[:4]), segs[4])
-        return enforce_schema(df.withColumn(ORDER_COL, order), schema, keep=(ORDER_COL,))
+        return enforce_schema(df.withColumn(ORDER_COL, landing_order()), schema,
+                              keep=(ORDER_COL,))
     return enforce_schema(df, schema)
 
 
+def landing_order() -> Column:
+    """Delivery order of a row's file: its hour folder (numeric) then its
+    file name, so the newest delivery sorts last. Batch and streaming file
+    sources both expose ``_metadata.file_path``."""
+    fp = _strip_scheme(F.col("_metadata.file_path"))
+    segs = [F.element_at(F.split(fp, "/"), -i) for i in (5, 4, 3, 2, 1)]
+    return F.concat_ws("/", folder_order(*segs[:4]), segs[4])
+
+
 def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
                  skipped: list | None = None) -> set[str]:
     """Check the footers of ``files`` (listing rows) against ``schema``.

@@ -26,7 +26,7 @@ from lakeloom.plans.loads import _landing, _partitions, prepare, upsert_scope
 from lakeloom.session import scratch_path
 from lakeloom.sinks.history import append_history
 from lakeloom.sinks.tables import upsert_table
-from lakeloom.sources.landing import PARQUET_GLOB, enforce_schema
+from lakeloom.sources.landing import ORDER_COL, PARQUET_GLOB, enforce_schema, landing_order
 from lakeloom.spec import TableSpec
 
 
@@ -59,10 +59,14 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    stream = enforce_schema(reader.parquet(_landing(spec)), spec.schema)
+    order = (ORDER_COL,) if spec.newest_file_wins else ()
+    stream = reader.parquet(_landing(spec))
+    if order:   # within a micro-batch, equal timestamps go to the newest delivery
+        stream = stream.withColumn(ORDER_COL, landing_order())
+    stream = enforce_schema(stream, spec.schema, keep=order)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        prepared = prepare(batch, spec)
+        prepared = prepare(batch, spec, order)
         res = upsert_table(prepared, spec.target, spec.key, spec.timestamp, spec.update_op,
                            partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
                            scope=upsert_scope(spec))

@@ -42,3 +42,28 @@ def test_stream_archives_processed_files(spark):
     left = len(glob.glob(f"{base}/ev/*/*/*/*/*.parquet"))
     assert archived and left < before and len(archived) + left == before
     assert not os.path.commonpath([f"{base}/archive", f"{base}/ev"]).endswith("/ev")
+
+
+def test_stream_newest_delivery_wins_ties(spark, tmp_base):
+    import datetime as dt
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("v", T.StringType())])
+    ts = pa.array([dt.datetime(2024, 1, 1)], pa.timestamp("us"))
+    for h, v in (("10", "newer"), ("9", "older")):
+        folder = os.path.join(tmp_base, "tbl", "2024", "1", "1", h)
+        os.makedirs(folder)
+        pq.write_table(pa.table({"id": pa.array([1], pa.int64()), "ts": ts, "v": [v]}),
+                       os.path.join(folder, "f.parquet"))
+    spec = TableSpec(target="stream_ties", source="tbl", load_type="INCREMENTAL", schema=schema,
+                     key=("id",), timestamp="ts", update_op=">=", landing_base=tmp_base)
+    q = start_landing_stream(spark, spec, record=False,
+                             checkpoint=os.path.join(tmp_base, "ckpt"))
+    q.awaitTermination()
+    assert q.exception() is None
+    assert [r.v for r in spark.table("stream_ties").collect()] == ["newer"]
+    assert spark.table("stream_ties").columns[:3] == ["id", "ts", "v"]
