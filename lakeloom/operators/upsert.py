@@ -69,7 +69,10 @@ def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     def side(df: DataFrame, tag: str) -> DataFrame:
         cols = [F.col(k).alias(f"__{tag}k{i}") for i, k in enumerate(keys)]
         if salted:
-            spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)) + 1
+            # Spark cannot hash map values; the other columns spread the rows
+            hashable = [F.col(f.name) for f in df.schema.fields
+                        if "map<" not in f.dataType.simpleString()] or [F.lit(0)]
+            spread = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)) + 1
             cols.append(F.when(has_null, spread).otherwise(F.lit(0).cast("long"))
                         .alias(f"__{tag}salt"))
         return df.select(*cols, F.struct(*[F.col(c) for c in df.columns]).alias(f"__{tag}"))

@@ -249,3 +249,14 @@ def test_same_schema_overwrite_switches_location(spark):
     assert spark.table("switch_t").columns == ["k", "v"]
     r = upsert_table(df.selectExpr("k", "'b' AS v"), "switch_t", ["k"], "v", ">")
     assert r.updated == 1 and spark.table("switch_t").first().v == "b"
+
+
+def test_salted_upsert_with_map_column(spark):
+    schema = "k long, ts timestamp_ntz, attrs map<string,string>"
+    t = spark.createDataFrame([(1, D(2024, 1, 1), {"a": "1"}), (None, D(2024, 1, 1), {"b": "2"})],
+                              schema)
+    s = spark.createDataFrame([(1, D(2024, 1, 2), {"a": "9"}), (None, D(2024, 1, 3), {})], schema)
+    rows = sorted((r.k, r.action) for r in guarded_upsert(t, s, ["k"], "ts").collect()
+                  if r.k is not None)
+    assert rows == [(1, "update")]
+    assert guarded_upsert(t, s, ["k"], "ts").filter("k IS NULL").count() == 2
