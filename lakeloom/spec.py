@@ -10,11 +10,14 @@ dictionary form (``bronze_table`` / ``gold_table`` / ``dedup_cols`` /
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+import logging
 from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql.types import StructType
 
+log = logging.getLogger("lakeloom.spec")
+
 FULL = "FULL"
 INCREMENTAL = "INCREMENTAL"
 LOAD_TYPES = (FULL, INCREMENTAL)
@@ -22,6 +25,20 @@ LOAD_TYPES = (FULL, INCREMENTAL)
 # Names of the year / month / date columns written by DERIVE_YMD.
 YMD_COLUMNS = ("year", "month", "date")
 
+# The key names of the dictionary configuration form, as
+# existing configuration lists spell them (table entry, then its
+# "transform_config" entry). They are read as they are.
+CONFIG_KEYS = (
+    "bronze_table", "gold_table", "load_type", "table_category", "isLoad", "schema",
+    "columns", "dedup_cols", "timestamp_col", "partition_timestamp_col", "partition_cols",
+    "requires_transform", "transform_config",
+)
+TRANSFORM_CONFIG_KEYS = (
+    "type", "cast_map", "alias_columns", "join_table", "join_key", "price_col", "sales_col",
+)
+# Our own additions to the dictionary form (not in existing lists).
+EXTRA_TRANSFORM_CONFIG_KEYS = ("order_col", "order_tiebreak")
+
 
 @dataclass(frozen=True)
 class LookupSpec:
@@ -160,7 +177,13 @@ class TableSpec:
         table is partitioned by year/month/date when a partition timestamp is
         set).
         """
+        unknown = sorted(set(cfg) - set(CONFIG_KEYS))
         tc = dict(cfg.get("transform_config") or {})
+        unknown += sorted(f"transform_config.{k}" for k in
+                          set(tc) - set(TRANSFORM_CONFIG_KEYS) - set(EXTRA_TRANSFORM_CONFIG_KEYS))
+        if unknown:
+            log.warning("%s: configuration keys not understood, ignored: %s",
+                        cfg.get("gold_table") or cfg.get("bronze_table"), unknown)
         types = tc.get("type") or ()
         if isinstance(types, str):
             types = (types,)

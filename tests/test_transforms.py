@@ -96,3 +96,10 @@ def test_requires_transform_false_is_identity(spark):
 def test_incremental_spec_needs_key_and_timestamp():
     with pytest.raises(ValueError):
         TableSpec(target="t", source="s", load_type="INCREMENTAL", key=("k",))
+
+
+def test_unknown_config_keys_are_reported(caplog):
+    cfg = {"bronze_table": "x", "load_type": "FULL", "dedup_col": ["k"],
+           "transform_config": {"type": "DERIVE_YMD", "cast_mapp": {}}}
+    TableSpec.from_dict(cfg)
+    assert "dedup_col" in caplog.text and "transform_config.cast_mapp" in caplog.text
