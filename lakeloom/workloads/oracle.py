@@ -107,6 +107,10 @@ FROM events e LEFT JOIN p ON p.shop_id = e.user_id""",
     "incremental_filter_pruned": (
         "SELECT * FROM events WHERE ts > "
         "(SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')"),
+    "date_watermark_filter": (
+        'SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS "date" '
+        "FROM events WHERE CAST(ts AS DATE) > "
+        "(SELECT max(CAST(ts AS DATE)) FROM events WHERE ts < TIMESTAMP '2024-01-20')"),
     "upsert_gt": _upsert_sql(">"),
     "upsert_ge": _upsert_sql(">="),
     "upsert_metrics": f"SELECT action, count(*) AS n FROM ({_upsert_sql('>')}) u GROUP BY action",

@@ -28,7 +28,12 @@ from lakeloom.functions.transforms import alias_columns, apply_transforms, cast_
 from lakeloom.operators.dedup import latest_per_key, latest_value
 from lakeloom.operators.enrich import price_revenue
 from lakeloom.operators.upsert import action_counts, guarded_upsert
-from lakeloom.operators.watermark import after_watermark, high_watermark, watermark_frame
+from lakeloom.operators.watermark import (
+    after_date_watermark,
+    after_watermark,
+    high_watermark,
+    watermark_frame,
+)
 from lakeloom.plans.loads import load_clean_full, load_clean_incremental, load_raw_full, \
     load_raw_incremental, prepare
 from lakeloom.plans.runner import run_loads
@@ -246,6 +251,18 @@ def q_incremental_filter_pruned(spark, sf_dir):
     return after_watermark(spark.table(raw), "ts", wm, prune_col="date").select(*EVENT_COLS)
 
 
+def q_date_watermark_filter(spark, sf_dir):
+    """rows whose date partition is after the last loaded date; the
+    predicate is on the partition column, so whole partitions are skipped."""
+    ev = table(spark, sf_dir, "events")
+    raw = _uniq("raw_events_by_day")
+    spec = TableSpec(target=raw, source="events", timestamp="ts")
+    overwrite_table(derive_ymd(ev, spec), raw, partition_cols=YMD_COLUMNS)
+    loaded = spark.table(raw).filter(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    wm = high_watermark(loaded, "date")
+    return after_date_watermark(spark.table(raw), "date", wm).select(*EVENT_COLS, "date")
+
+
 def q_upsert_gt(spark, sf_dir):
     t, s = _upsert_sides(spark, sf_dir)
     return guarded_upsert(t, s, EVENT_KEY, "ts", ">")
@@ -446,6 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "watermark_max": q_watermark_max,
     "incremental_filter": q_incremental_filter,
     "incremental_filter_pruned": q_incremental_filter_pruned,
+    "date_watermark_filter": q_date_watermark_filter,
     "upsert_gt": q_upsert_gt,
     "upsert_ge": q_upsert_ge,
     "upsert_metrics": q_upsert_metrics,

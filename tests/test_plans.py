@@ -34,3 +34,8 @@ def test_upsert_spreads_null_keys_with_a_salt(spark):
     plan = plan_of(QUERIES["upsert_gt"](spark, SF))
     assert "FullOuter" in plan and "xxhash64" in plan and "Union" not in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_date_watermark_prunes_partitions(spark):
+    plan = plan_of(QUERIES["date_watermark_filter"](spark, SF))
+    assert "PartitionFilters: [isnotnull(date" in plan and "(date#" in plan
