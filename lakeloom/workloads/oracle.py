@@ -142,6 +142,8 @@ UNION ALL SELECT * FROM s""",
   ('report_missing_source', 'FAILED', CAST(0 AS BIGINT), 'FULL', 'DIMENSION'),
   ('report_bad_type', 'FAILED', CAST(0 AS BIGINT), 'DELTA', 'DIMENSION'))
   AS r(table_name, status, row_count, load_type, category)""",
+    "run_outcomes": ("SELECT CAST(3 AS BIGINT) AS total, CAST(1 AS BIGINT) AS success, "
+                     "CAST(2 AS BIGINT) AS failed FROM (SELECT count(*) FROM events) e"),
     "stream_upsert": f"SELECT *, {_YMD.format(c='ts')} FROM ({_DEDUP_EVENTS}) d",
     "revenue_latest_facts": _FACT_REVENUE,
 }

@@ -36,7 +36,7 @@ from lakeloom.operators.watermark import (
 )
 from lakeloom.plans.loads import load_clean_full, load_clean_incremental, load_raw_full, \
     load_raw_incremental, prepare
-from lakeloom.plans.runner import run_loads
+from lakeloom.plans.runner import outcome_counts, run_loads
 from lakeloom.session import scratch_path
 from lakeloom.sinks.history import latest_entries
 from lakeloom.sinks.tables import overwrite_table, upsert_table
@@ -372,18 +372,27 @@ def q_clean_full_e2e(spark, sf_dir):
     return spark.table(spec.target)
 
 
-def q_run_report(spark, sf_dir):
-    register_inputs(spark, sf_dir, ("events",))
+def _report_specs() -> list[TableSpec]:
     ok = TableSpec(target="report_events_latest", source="events", load_type=FULL,
                    category="FACT", columns=EVENT_COLS, key=EVENT_KEY, timestamp="ts",
                    tiebreak=("event_id",))
-    specs = [
+    return [
         ok,
         TableSpec(target="report_disabled", source="events", enabled=False),
         TableSpec(target="report_missing_source", source="no_such_table_anywhere"),
         TableSpec(target="report_bad_type", source="events", load_type="DELTA"),
     ]
-    report = run_loads(spark, specs, max_workers=2)
+
+
+def q_run_outcomes(spark, sf_dir):
+    """A3: tables loaded / succeeded / failed in one run."""
+    register_inputs(spark, sf_dir, ("events",))
+    return outcome_counts(run_loads(spark, _report_specs(), max_workers=2))
+
+
+def q_run_report(spark, sf_dir):
+    register_inputs(spark, sf_dir, ("events",))
+    report = run_loads(spark, _report_specs(), max_workers=2)
     return report.select("table_name", "status", "row_count", "load_type", "category")
 
 
@@ -476,6 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_incremental_e2e": q_clean_incremental_e2e,
     "clean_full_e2e": q_clean_full_e2e,
     "run_report": q_run_report,
+    "run_outcomes": q_run_outcomes,
     "stream_upsert": q_stream_upsert,
     "revenue_latest_facts": q_revenue_latest_facts,
 }
