@@ -87,6 +87,11 @@ ORACLE_SQL: dict[str, str] = {
     "dedup_latest": _DEDUP_EVENTS,
     "dedup_no_timestamp": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
     "dedup_exact_copies": "SELECT * FROM nation",
+    "dedup_date_timestamp": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+        "CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderpriority FROM orders "
+        "QUALIFY row_number() OVER (PARTITION BY o_custkey "
+        "ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) = 1"),
     "latest_price": (
         "SELECT o_custkey, o_totalprice AS listing_price FROM orders WHERE o_custkey IS NOT NULL "
         "QUALIFY row_number() OVER (PARTITION BY o_custkey "

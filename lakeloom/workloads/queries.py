@@ -214,6 +214,14 @@ def q_dedup_exact_copies(spark, sf_dir):
     return prepare(n.unionByName(n), spec)
 
 
+def q_dedup_date_timestamp(spark, sf_dir):
+    """A date used as the dedup timestamp is ranked (and kept) as a
+    timestamp without time zone: the newest order of each customer."""
+    spec = TableSpec(target="latest_order", source="orders", key=("o_custkey",),
+                     timestamp="o_orderdate", tiebreak=("o_orderkey",))
+    return prepare(table(spark, sf_dir, "orders"), spec)
+
+
 def q_latest_price(spark, sf_dir):
     return latest_value(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice",
                         "o_orderdate", ["o_orderkey"], alias="listing_price")
@@ -466,6 +474,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_no_timestamp": q_dedup_no_timestamp,
     "dedup_exact_copies": q_dedup_exact_copies,
+    "dedup_date_timestamp": q_dedup_date_timestamp,
     "latest_price": q_latest_price,
     "dedup_dirty_keys": q_dedup_dirty_keys,
     "price_revenue": q_price_revenue,
