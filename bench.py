@@ -25,9 +25,11 @@ HEADLINE = [
     "dedup_latest",
     "dedup_dirty_keys",
     "latest_price",
+    "dedup_date_timestamp",
     "transform_chain",
     "incremental_filter",
     "incremental_filter_pruned",
+    "date_watermark_filter",
     "upsert_gt",
     "upsert_metrics",
     "upsert_fixed_partition",
