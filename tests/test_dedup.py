@@ -91,3 +91,14 @@ def test_enrichment_runs_on_deduplicated_facts(spark):
     assert 0 <= join_at < window_at
     got = sorted(((r.shop_id, r.sales, r.price, r.revenue) for r in out.collect()), key=repr)
     assert got == sorted([(1, 3.0, 7.0, 21.0), (None, 4.0, 0.0, 0.0)], key=repr)
+
+
+def test_ties_resolve_by_row_content(spark):
+    from lakeloom.operators.dedup import exact_duplicates_removed
+    rows = [(1, D(2024, 1, 1), "a", {"x": 1}), (1, D(2024, 1, 1), "c", {"y": 2}),
+            (1, D(2024, 1, 1), "b", {})]
+    schema = "k long, ts timestamp_ntz, v string, m map<string,int>"
+    for perm in ([0, 1, 2], [2, 1, 0], [1, 0, 2]):
+        df = spark.createDataFrame([rows[i] for i in perm], schema).repartition(3)
+        assert [r.v for r in latest_per_key(df, ["k"], "ts").collect()] == ["c"]
+        assert [r.v for r in exact_duplicates_removed(df, ["k"]).collect()] == ["c"]
