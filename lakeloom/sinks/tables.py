@@ -260,8 +260,8 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         touched = {r["_pk"]: tuple(r[c] for c in parts) for r in touched_rows}
         current = guarded_upsert(target.filter(pk.isin(list(touched))), src, keys, ts, op)
         obs = Observation()
-        current = current.observe(obs, *metric_columns(),
-                                  F.collect_set(pk).alias("written_partitions"))
+        current = current.observe(obs, *metric_columns(), F.collect_set(
+            F.struct(pk.alias("_pk"), *[F.col(c) for c in parts])).alias("written_partitions"))
         tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
         db, tbl = _split(name)
         path = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}/v_{tag}"
@@ -270,7 +270,13 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         m = obs.get
     finally:
         src.unpersist()
-    written = set(m.get("written_partitions") or [])
+    written_rows = m.get("written_partitions") or []
+    written = {r["_pk"] for r in written_rows}
+    # every written partition is switched in, even one the first pass did not
+    # name (it cannot happen with a deterministic batch; a lost row would be worse)
+    for r in written_rows:
+        if r["_pk"] not in touched:
+            touched[r["_pk"]] = tuple(r[c] for c in parts)
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quote(name)}").collect()}
 
     def dirname(vals):
