@@ -122,9 +122,13 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
         w = w.partitionBy(*parts)
     if buckets:
         w = w.bucketBy(buckets, *as_tuple(bucket_cols))
+    if not spark.catalog.tableExists(name):
+        # a new table: the catalog entry is created only once the data is written
+        w.saveAsTable(name)
+        spark.catalog.refreshTable(name)
+        return path
     w.saveAsTable(stage)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {_quote(name)}")
+    spark.sql(f"DROP TABLE {_quote(name)}")
     spark.sql(f"ALTER TABLE {_quote(stage)} RENAME TO {_quote(name)}")
     # the write registered the stage's partitions and a rename keeps them; a
     # catalog that drops them on rename gets them back from the folders

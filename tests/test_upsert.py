@@ -260,3 +260,12 @@ def test_salted_upsert_with_map_column(spark):
                   if r.k is not None)
     assert rows == [(1, "update")]
     assert guarded_upsert(t, s, ["k"], "ts").filter("k IS NULL").count() == 2
+
+
+def test_failed_create_registers_nothing(spark):
+    from pyspark.sql import functions as F
+    bad = spark.createDataFrame([(1, D(2024, 1, 1), "a")], SCHEMA).withColumn(
+        "v", F.when(F.col("k") > 0, F.raise_error(F.lit("boom"))).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        upsert_table(bad, "ups_never_created", ["k"], "ts")
+    assert not spark.catalog.tableExists("ups_never_created")
