@@ -32,6 +32,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("updated", T.LongType()),
     T.StructField("error", T.StringType()),
     T.StructField("skipped_files", T.LongType()),
+    T.StructField("partitions_rewritten", T.LongType()),
 ])
 
 
@@ -68,10 +69,10 @@ def _one(spark: SparkSession, cfg: TableSpec | Mapping[str, Any], spec_kw: dict)
         spec = as_spec(cfg, **spec_kw)
         r = load_table(spark, spec)
         return (spec.target, "SUCCESS", r.source_rows, load_type, category, r.inserted,
-                r.updated, None, r.skipped_files)
+                r.updated, None, r.skipped_files, r.partitions_rewritten)
     except Exception as e:  # isolate the table; the report carries the reason
         log.error("load of %s failed: %s", name, e)
-        return (name, "FAILED", 0, load_type, category, 0, 0, f"{type(e).__name__}: {e}", 0)
+        return (name, "FAILED", 0, load_type, category, 0, 0, f"{type(e).__name__}: {e}", 0, None)
 
 
 def run_loads(spark: SparkSession, configs: Iterable[TableSpec | Mapping[str, Any]],

@@ -2,7 +2,7 @@
 
 One row per load is appended to a Parquet folder under the warehouse root:
 ``(table_name, ts, operation, source_rows, inserted, updated, deleted,
-rows_written, path, skipped_files)``, partitioned by ``table_name`` so that
+rows_written, path, skipped_files, partitions_rewritten)``, partitioned by ``table_name`` so that
 one table's entries are read without listing or opening the others' files
 (an hourly load of many tables adds thousands of entries a year). Reading
 the newest entry per table is the same latest-row-per-key operator the
@@ -32,6 +32,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("rows_written", T.LongType()),
     T.StructField("path", T.StringType()),
     T.StructField("skipped_files", T.LongType()),
+    T.StructField("partitions_rewritten", T.LongType()),   # NULL: the whole table
 ])
 
 
@@ -42,7 +43,7 @@ def history_path(spark: SparkSession, root: str | None = None) -> str:
 def append_history(spark: SparkSession, result: LoadResult, root: str | None = None) -> None:
     row = (result.table, dt.datetime.now(dt.timezone.utc), result.operation, result.source_rows,
            result.inserted, result.updated, result.deleted, result.rows_written, result.path,
-           result.skipped_files)
+           result.skipped_files, result.partitions_rewritten)
     (spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1).write.mode("append")
      .partitionBy("table_name").parquet(history_path(spark, root)))
 

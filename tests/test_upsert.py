@@ -146,6 +146,8 @@ def test_history_latest_entry(spark, tmp_base):
     append_history(spark, LoadResult("db.h_u", "CREATE", "q", 7, inserted=7), root=tmp_base)
     assert last_load(spark, "h_t", root=tmp_base)["inserted"] == 2
     assert last_load(spark, "db.h_u", root=tmp_base)["operation"] == "CREATE"
+    append_history(spark, LoadResult("db.h_u", "MERGE", "r", 3, partitions_rewritten=2), root=tmp_base)
+    assert last_load(spark, "db.h_u", root=tmp_base)["partitions_rewritten"] == 2
     assert last_load(spark, "other", root=tmp_base) is None
     assert latest_entries(read_history(spark, tmp_base)).count() == 2
     one = read_history(spark, tmp_base).filter("table_name = 'h_t'")
