@@ -19,6 +19,13 @@ INT96) timestamp read as a timestamp, and string / binary read as either.
 Anything else is drift, including reads Spark performs but which change the
 value (an int32 read as byte, a date read as its day number). A column the
 file lacks is not drift: it reads as NULL.
+
+Statuses: ``ok``; ``drift``; ``unreadable`` (the bytes are not a valid
+Parquet file, which ``ignoreCorruptFiles`` would skip too); ``unchecked``
+(the file cannot be reached from Python: no pyarrow file system for the
+scheme, no HDFS library, credentials, network). Unchecked files are read as
+usual, so Spark's reader decides; the check never drops a file it could not
+look at.
 """
 
 from __future__ import annotations
