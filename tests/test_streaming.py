@@ -67,3 +67,32 @@ def test_stream_newest_delivery_wins_ties(spark, tmp_base):
     assert q.exception() is None
     assert [r.v for r in spark.table("stream_ties").collect()] == ["newer"]
     assert spark.table("stream_ties").columns[:3] == ["id", "ts", "v"]
+
+
+def test_stream_out_of_order_delivery_equals_batch(spark):
+    """Newest hours arrive first (file modification times reversed): the
+    merge guard, not arrival order, decides the result."""
+    import glob
+    import os
+
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet") \
+        .filter(F.col("ts") < F.lit("2024-01-04").cast("timestamp_ntz"))
+    base = scratch_path(spark, "stream-reversed")
+    stage_landing(ev, f"{base}/ev", "ts", one_file_per_folder=True)
+    files = sorted(glob.glob(f"{base}/ev/*/*/*/*/*.parquet"),
+                   key=lambda p: [int(x.split("=")[1]) for x in p.split("/")[-5:-1]])
+    t0 = 1_700_000_000
+    for i, path in enumerate(reversed(files)):          # newest hour gets the oldest mtime
+        os.utime(path, (t0 + i, t0 + i))
+    spec = TableSpec(target="stream_reversed", source="ev", load_type="INCREMENTAL",
+                     schema=EVENTS_SCHEMA, key=("user_id", "event_type"), timestamp="ts",
+                     tiebreak=("event_id",), update_op=">=", landing_base=base)
+    q = start_landing_stream(spark, spec, max_files_per_trigger=max(1, len(files) // 5),
+                             record=False)
+    q.awaitTermination()
+    assert q.exception() is None and len(q.recentProgress) >= 5
+    got = spark.table("stream_reversed")
+    want = latest_per_key(ev, ["user_id", "event_type"], "ts", ["event_id"])
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
