@@ -136,7 +136,9 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
     the target is created from the batch when it does not exist yet."""
     df = _source(spark, spec)
     if spec.date_watermark_col:
-        wm = high_watermark(spec.target, spec.date_watermark_col, spark)
+        # when the target is partitioned by that date, only its newest partition is read
+        wm = high_watermark(spec.target, spec.date_watermark_col, spark,
+                            partition_col=spec.date_watermark_col)
         df = after_date_watermark(df, spec.date_watermark_col, wm)
     elif spec.timestamp:
         wm = high_watermark(spec.target, spec.timestamp, spark,
