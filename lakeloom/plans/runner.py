@@ -51,11 +51,16 @@ def dependency_levels(specs: Sequence[TableSpec]) -> list[list[TableSpec]]:
     return levels
 
 
-def _describe_jobs(spark: SparkSession, text: str | None) -> None:
-    """Label this thread's Spark jobs (event log, job listings), if the
-    session has a SparkContext."""
+def _describe_jobs(spark: SparkSession, text: str | None, pool: str | None = None) -> None:
+    """Label this thread's Spark jobs (event log, job listings) and, when the
+    cluster schedules FAIR, give them their own pool so tables loading at the
+    same time share the executors instead of queueing behind the first job.
+    Needs a SparkContext (not available under Spark Connect)."""
     try:
-        spark.sparkContext.setJobDescription(text)
+        sc = spark.sparkContext
+        sc.setJobDescription(text)
+        if pool and spark.conf.get("spark.scheduler.mode", "FIFO").upper() == "FAIR":
+            sc.setLocalProperty("spark.scheduler.pool", pool)
     except Exception:  # Spark Connect: no SparkContext on the client
         pass
 
@@ -64,7 +69,7 @@ def _one(spark: SparkSession, cfg: TableSpec | Mapping[str, Any], spec_kw: dict)
     name = cfg.target if isinstance(cfg, TableSpec) else cfg.get("gold_table") or cfg.get("bronze_table")
     load_type = cfg.load_type if isinstance(cfg, TableSpec) else cfg.get("load_type")
     category = cfg.category if isinstance(cfg, TableSpec) else cfg.get("table_category")
-    _describe_jobs(spark, f"lakeloom load {name} ({load_type})")
+    _describe_jobs(spark, f"lakeloom load {name} ({load_type})", pool=f"lakeloom-{name}")
     try:
         spec = as_spec(cfg, **spec_kw)
         r = load_table(spark, spec)
