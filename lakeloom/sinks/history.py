@@ -2,16 +2,22 @@
 
 One row per load is appended to a Parquet folder under the warehouse root:
 ``(table_name, ts, operation, source_rows, inserted, updated, deleted,
-rows_written, path, skipped_files, partitions_rewritten)``, partitioned by ``table_name`` so that
-one table's entries are read without listing or opening the others' files
-(an hourly load of many tables adds thousands of entries a year). Reading
-the newest entry per table is the same latest-row-per-key operator the
-loads use.
+rows_written, path, skipped_files, partitions_rewritten)``, partitioned by
+``table_name`` so that one table's entries are read without listing or
+opening the others' files (an hourly load of many tables adds thousands of
+entries a year). Each entry is written to its own ``entry=<tag>`` folder:
+appends from concurrent loads (threads of one run, or separate jobs) never
+share a job's temporary output folder, which appends into one shared folder
+do. Reading the newest entry per table is the same latest-row-per-key
+operator the loads use.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +50,10 @@ def append_history(spark: SparkSession, result: LoadResult, root: str | None = N
     row = (result.table, dt.datetime.now(dt.timezone.utc), result.operation, result.source_rows,
            result.inserted, result.updated, result.deleted, result.rows_written, result.path,
            result.skipped_files, result.partitions_rewritten)
-    (spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1).write.mode("append")
-     .partitionBy("table_name").parquet(history_path(spark, root)))
+    tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:12]}"
+    folder = f"{history_path(spark, root)}/table_name={quote(result.table, safe='')}/entry={tag}"
+    (spark.createDataFrame([row], HISTORY_SCHEMA).drop("table_name").coalesce(1)
+     .write.mode("errorifexists").parquet(folder))
 
 
 def read_history(spark: SparkSession, root: str | None = None) -> DataFrame:

@@ -271,3 +271,17 @@ def test_failed_create_registers_nothing(spark):
     with pytest.raises(Exception):
         upsert_table(bad, "ups_never_created", ["k"], "ts")
     assert not spark.catalog.tableExists("ups_never_created")
+
+
+def test_concurrent_history_appends_all_land(spark, tmp_base):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from lakeloom.sinks.tables import LoadResult
+    names = [f"db.conc_{i % 3} x/y" for i in range(12)]          # odd characters too
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda n: append_history(spark, LoadResult(n, "MERGE", "p", 1), root=tmp_base),
+                      names))
+    hist = read_history(spark, tmp_base)
+    assert hist.count() == 12
+    assert sorted({r.table_name for r in hist.collect()}) == sorted(set(names))
+    assert last_load(spark, "db.conc_1 x/y", root=tmp_base)["source_rows"] == 1
