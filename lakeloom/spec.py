@@ -36,7 +36,13 @@ CONFIG_KEYS = (
 TRANSFORM_CONFIG_KEYS = (
     "type", "cast_map", "alias_columns", "join_table", "join_key", "price_col", "sales_col",
 )
-# Our own additions to the dictionary form (not in existing lists).
+# Our own additions to the dictionary form (not in existing lists): optional
+# per-table settings that map one to one onto TableSpec fields.
+EXTRA_CONFIG_KEYS = (
+    "tiebreak", "fixed_partition", "prune_partition_col", "date_watermark_col",
+    "watermark_inclusive", "watermark_lookback", "schema_drift", "n_folders", "snapshot_mode",
+    "buckets", "dedup_without_timestamp", "strict_cast", "on_unknown_transform",
+)
 EXTRA_TRANSFORM_CONFIG_KEYS = ("order_col", "order_tiebreak")
 
 
@@ -177,7 +183,7 @@ class TableSpec:
         table is partitioned by year/month/date when a partition timestamp is
         set).
         """
-        unknown = sorted(set(cfg) - set(CONFIG_KEYS))
+        unknown = sorted(set(cfg) - set(CONFIG_KEYS) - set(EXTRA_CONFIG_KEYS))
         tc = dict(cfg.get("transform_config") or {})
         unknown += sorted(f"transform_config.{k}" for k in
                           set(tc) - set(TRANSFORM_CONFIG_KEYS) - set(EXTRA_TRANSFORM_CONFIG_KEYS))
@@ -229,6 +235,7 @@ class TableSpec:
             update_op=op,
             landing_base=landing_base,
         )
+        kw.update({k: cfg[k] for k in EXTRA_CONFIG_KEYS if k in cfg})
         kw.update(overrides)
         return cls(**kw)
 

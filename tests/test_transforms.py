@@ -103,3 +103,12 @@ def test_unknown_config_keys_are_reported(caplog):
            "transform_config": {"type": "DERIVE_YMD", "cast_mapp": {}}}
     TableSpec.from_dict(cfg)
     assert "dedup_col" in caplog.text and "transform_config.cast_mapp" in caplog.text
+
+
+def test_dictionary_form_takes_per_table_settings(caplog):
+    cfg = {"gold_table": "g", "bronze_table": "b", "load_type": "INCREMENTAL",
+           "dedup_cols": ["k"], "timestamp_col": "ts", "fixed_partition": True,
+           "tiebreak": ["id"], "prune_partition_col": "date", "schema_drift": "error"}
+    s = TableSpec.from_dict(cfg)
+    assert s.fixed_partition and s.tiebreak == ("id",) and s.prune_partition_col == "date"
+    assert s.schema_drift == "error" and "not understood" not in caplog.text
