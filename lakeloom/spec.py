@@ -41,7 +41,7 @@ TRANSFORM_CONFIG_KEYS = (
 EXTRA_CONFIG_KEYS = (
     "tiebreak", "fixed_partition", "prune_partition_col", "date_watermark_col",
     "watermark_inclusive", "watermark_lookback", "schema_drift", "n_folders", "snapshot_mode",
-    "buckets", "dedup_without_timestamp", "strict_cast", "on_unknown_transform",
+    "buckets", "dedup_without_timestamp", "strict_cast", "on_unknown_transform", "update_op",
 )
 EXTRA_TRANSFORM_CONFIG_KEYS = ("order_col", "order_tiebreak")
 
