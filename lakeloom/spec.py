@@ -36,6 +36,14 @@ CONFIG_KEYS = (
 TRANSFORM_CONFIG_KEYS = (
     "type", "cast_map", "alias_columns", "join_table", "join_key", "price_col", "sales_col",
 )
+# Default column names of the PRICE_REVENUE lookup (the price
+# column, the fact's sales column, and the lookup column that decides the
+# newest row) and the default table category.
+DEFAULT_PRICE_COL = "price"
+DEFAULT_SALES_COL = "daily_sales"
+DEFAULT_ORDER_COL = "creation_timestamp"
+DEFAULT_CATEGORY = "DIMENSION"
+
 # Our own additions to the dictionary form (not in existing lists): optional
 # per-table settings that map one to one onto TableSpec fields.
 EXTRA_CONFIG_KEYS = (
@@ -59,9 +67,9 @@ class LookupSpec:
 
     table: str
     key: str
-    price_col: str = "price"
-    sales_col: str = "daily_sales"
-    order_col: str = "creation_timestamp"
+    price_col: str = DEFAULT_PRICE_COL
+    sales_col: str = DEFAULT_SALES_COL
+    order_col: str = DEFAULT_ORDER_COL
     tiebreak: tuple[str, ...] = ()
 
 
@@ -87,7 +95,7 @@ class TableSpec:
     target: str
     source: str
     load_type: str = FULL
-    category: str = "DIMENSION"
+    category: str = DEFAULT_CATEGORY
     columns: tuple[str, ...] | None = None
     schema: StructType | None = None
     key: tuple[str, ...] = ()
@@ -198,9 +206,9 @@ class TableSpec:
             jt = tc["join_table"]
             lookup = LookupSpec(
                 table=f"{target_db}.{jt}" if target_db else jt,
-                key=tc["join_key"], price_col=tc.get("price_col", "price"),
-                sales_col=tc.get("sales_col", "daily_sales"),
-                order_col=tc.get("order_col", "creation_timestamp"),
+                key=tc["join_key"], price_col=tc.get("price_col", DEFAULT_PRICE_COL),
+                sales_col=tc.get("sales_col", DEFAULT_SALES_COL),
+                order_col=tc.get("order_col", DEFAULT_ORDER_COL),
                 tiebreak=tuple(tc.get("order_tiebreak") or ()))
         clean = "gold_table" in cfg
         bronze = cfg["bronze_table"]
@@ -219,7 +227,7 @@ class TableSpec:
             target=f"{target_db}.{target}" if target_db else target,
             source=source,
             load_type=cfg.get("load_type", FULL),
-            category=cfg.get("table_category", "DIMENSION"),
+            category=cfg.get("table_category", DEFAULT_CATEGORY),
             columns=cfg.get("columns"),
             schema=cfg.get("schema"),
             key=tuple(cfg.get("dedup_cols") or ()),
