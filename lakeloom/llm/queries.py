@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import packing, token_counts, token_files
+from lakeloom.llm import chat, fingerprints, lang_id, mixing, packing, token_counts, token_files
 from lakeloom.llm.tokens import known_path
 from lakeloom.session import scratch_path
 
@@ -30,15 +30,51 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path).drop("shard", "block")
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format, write, read back. Conversation -7 is added to the table's."""
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    path = scratch_path(spark, "chat")
+    chat.format_conversations(rows.unionByName(planted)).write.parquet(path)
+    return chat.read_back(spark.read.schema(chat.FORMATTED).parquet(path))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with likenesses."""
+    return fingerprints.fingerprint_edits(_read(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length histogram and its suffix sums, one row per distinct length."""
     return token_counts.token_counts(_read(spark, sf_dir, "documents"), known_path("byte_bpe_50k.json"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; learned from documents that are not held out."""
+    docs = _read(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.filter(~lang_id.held_out()))
+    return lang_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix_sizes(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_files": op3_token_files,
+    "op4_chat_formatting": op4_chat_formatting,
+    "op5_fingerprints": op5_fingerprints,
     "op7_token_counts": op7_token_counts,
+    "op8_language_id": op8_language_id,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mixing": mixing.MIX_SQL,
+}
