@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import range_buckets, written
 
-SAMPLES = 16
+SAMPLES = 32
 _SPACE = r"[\x20\x09-\x0D]+"
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import chat, fingerprints, lang_id, mixing, packing, token_counts, token_files
+from lakeloom.llm import chat, fingerprints, lang_id, mixing, packing, substring_dedup, \
+    token_counts, token_files
 from lakeloom.llm.tokens import known_path
 from lakeloom.session import scratch_path
 
@@ -47,6 +48,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_read(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that earlier runs of 20 words cover, per document."""
+    return substring_dedup.removal_digest(_read(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length histogram and its suffix sums, one row per distinct length."""
     return token_counts.token_counts(_read(spark, sf_dir, "documents"), known_path("byte_bpe_50k.json"))
@@ -70,11 +76,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_fingerprints": op5_fingerprints,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_substring_dedup": substring_dedup.SUBSTRING_SQL,
     "op9_mixing": mixing.MIX_SQL,
 }
