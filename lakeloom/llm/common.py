@@ -77,6 +77,25 @@ def running_before(df: DataFrame, group: list[str], order: list[Column], value:
         "l.*", (F.coalesce(F.col("l._own"), F.lit(0)) + F.col("r._base")).alias(out)).drop("_own")
 
 
+def numbered(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """``_n, _t`` with one row per document and ``_n`` in the order of
+    documents; and None, or ``_n, _id, _h, _rows`` where doc_ids are null or
+    repeated. Rows that repeat doc_id and text are one document."""
+    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_t"))
+    n, named, different = own.agg(F.count("*"), F.count("_id"), F.countDistinct("_id")).head()
+    if n == named == different:
+        return own.select(F.col("_id").alias("_n"), "_t"), None
+    own = own.withColumn("_h", F.xxhash64(F.coalesce("_t", F.lit(""))))
+    keys = own.groupBy("_id", "_h").agg(F.count("*").alias("_rows"))
+    order = [F.col("_id").asc_nulls_last(), F.col("_h")]
+    held = range_buckets(written(keys, f"{name}-keys"), order, f"{name}-order").withColumn("_one", F.lit(1).cast("long"))
+    names = written(running_before(held, [], order, "_one", "_n").select("_n", "_id", "_h", "_rows"), f"{name}-names")
+    one = own.dropDuplicates(["_id", "_h"]).alias("d").join(
+        names.alias("k"), F.col("d._id").eqNullSafe(F.col("k._id")) & (F.col("d._h") == F.col("k._h"))) \
+        .select("k._n", "d._t")
+    return written(one, f"{name}-docs"), names
+
+
 # --- connected components -------------------------------------------------
 
 def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import chat, fingerprints, lang_id, mixing, packing, substring_dedup, \
-    token_counts, token_files
+from lakeloom.llm import chat, fingerprints, lang_id, minhash, mixing, packing, substring_dedup, \
+    token_counts, token_files, vector_dedup
 from lakeloom.llm.tokens import known_path
 from lakeloom.session import scratch_path
 
@@ -17,6 +17,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in a sequence of at most 2048 tokens."""
     return packing.pack_documents(_read(spark, sf_dir, "documents"), known_path("word_bpe_49k.json"),
@@ -71,7 +76,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(_read(spark, sf_dir, "documents"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and survivor of every vector."""
+    return vector_dedup.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_files": op3_token_files,
     "op4_chat_formatting": op4_chat_formatting,
@@ -80,9 +91,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_substring_dedup": substring_dedup.SUBSTRING_SQL,
     "op9_mixing": mixing.MIX_SQL,
+    "op10_embedding_near_dedup": vector_dedup.VECTOR_SQL,
 }

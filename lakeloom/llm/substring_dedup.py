@@ -27,7 +27,6 @@ of the text, a null doc_id comes last. Empty tables give no rows.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Words, chunks, prepare, range_buckets, range_hashes, running_before, written
+from lakeloom.llm.common import Words, chunks, numbered, prepare, range_hashes, written
 from lakeloom.llm.fm_index import FmIndex
 
 WINDOW = 20
@@ -86,24 +85,6 @@ class Anchors:
             self.hash = self.fragment = np.zeros(0, dtype=np.int64)
 
 
-def _numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame | None]:
-    """``_n, _t`` with one row per document and ``_n`` in the order of
-    documents, and, where doc_id alone does not do, ``_n, _id, _rows``."""
-    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_t"))
-    n, named, different = own.agg(F.count("*"), F.count("_id"), F.countDistinct("_id")).head()
-    if n == named == different:
-        return own.select(F.col("_id").alias("_n"), "_t"), None
-    own = own.withColumn("_h", F.xxhash64(F.coalesce("_t", F.lit(""))))
-    keys = own.groupBy("_id", "_h").agg(F.count("*").alias("_rows"))
-    order = [F.col("_id").asc_nulls_last(), F.col("_h")]
-    held = range_buckets(written(keys, "substr-keys"), order, "substr-order").withColumn("_one", F.lit(1).cast("long"))
-    names = written(running_before(held, [], order, "_one", "_n").select("_n", "_id", "_h", "_rows"), "substr-names")
-    one = own.dropDuplicates(["_id", "_h"]).alias("d").join(
-        names.alias("k"), F.col("d._id").eqNullSafe(F.col("k._id")) & (F.col("d._h") == F.col("k._h"))) \
-        .select("k._n", "d._t")
-    return written(one, "substr-docs"), names
-
-
 def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``_n, start, stop``: word ranges covered by repeats (they may overlap).
     ``docs`` has ``_n`` (distinct, in document order) and ``_t``."""
@@ -229,10 +210,10 @@ def _search(table: pa.Table, window: int, depth: int) -> pa.Table:
 
 
 def _merged(docs: DataFrame, doc_id: str, text: str, window: int, gram: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    numbered, names = _numbered(docs, doc_id, text)
-    runs = written(repeated_runs(numbered, window, gram), "substr-runs")
+    own, names = numbered(docs, "substr", doc_id, text)
+    runs = written(repeated_runs(own, window, gram), "substr-runs")
     per_doc = runs.groupBy("_n").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    return numbered, per_doc, names
+    return own, per_doc, names
 
 
 def _gone(words: Words, lists: pa.Array) -> np.ndarray:
@@ -262,7 +243,7 @@ def removal_digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    gram: int = GRAM) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` (of the kept words joined
     by one space) of every row."""
-    numbered, per_doc, names = _merged(docs, doc_id, text, window, gram)
+    docs_n, per_doc, names = _merged(docs, doc_id, text, window, gram)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -276,7 +257,7 @@ def removal_digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     "n_removed": np.diff(before).astype(np.int64),
                     "kept_sha256": [hashlib.sha256(raw[a:max(a, z - 1)]).hexdigest() for a, z in zip(at, at[1:])]})
 
-    out = numbered.join(per_doc, "_n", "left").select("_n", "_t", "runs").mapInArrow(
+    out = docs_n.join(per_doc, "_n", "left").select("_n", "_t", "runs").mapInArrow(
         digest, "_n long, n_words long, n_removed long, kept_sha256 string")
     if names is None:
         return out.withColumnRenamed("_n", "doc_id")
@@ -288,7 +269,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     """Rows of ``docs`` with repeats cut out of ``text`` (a removed word goes
     with the white space after it) and ``n_chars`` counted anew; documents
     that lose all their words go, texts without repeats stay as they are."""
-    numbered, per_doc, names = _merged(docs, "doc_id", "text", window, gram)
+    _, per_doc, names = _merged(docs, "doc_id", "text", window, gram)
     cols = docs.columns
     here = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
     at_id, at_text = f"c{cols.index('doc_id')}", f"c{cols.index('text')}"
