@@ -141,6 +141,44 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
     raise RuntimeError(f"{name}: components did not settle in {max_rounds} rounds")
 
 
+# --- comparing within groups, in tiles ---------------------------------------
+
+def tiled(rows: DataFrame, group: str, ident: str, block: int) -> DataFrame:
+    """Deal each group's rows to tiles of two blocks: every two rows of a
+    group meet in exactly one tile ``(group, i, j)``, where ``mine`` is the
+    row's own block. Blocks hold about ``block`` rows, or the root of the
+    group's size where that is more."""
+    size = rows.groupBy(group).agg(F.count("*").alias("_size"))
+    blocks = F.ceil(F.col("_size") / F.greatest(F.lit(block), F.ceil(F.sqrt("_size")))).cast("int")
+    own = rows.join(size, group).withColumn("_blocks", blocks) \
+        .withColumn("mine", F.pmod(F.xxhash64(ident), F.col("_blocks")).cast("int")) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return own.withColumns({"i": F.least("mine", "_other"), "j": F.greatest("mine", "_other")}) \
+        .drop("_size", "_blocks", "_other")
+
+
+def runs(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole runs of equal integer ``keys``, with the runs' edges (first 0, last the row count)."""
+    held: pa.Table | None = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+        if not t.num_rows:
+            continue
+        new = np.zeros(t.num_rows, dtype=bool)
+        for k in keys:
+            v = t[k].to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        edge = np.flatnonzero(new)
+        if len(edge):
+            yield t.slice(0, int(edge[-1])), np.concatenate([[0], edge])
+            held = t.slice(int(edge[-1]))
+        else:
+            held = t
+    if held is not None and held.num_rows:
+        yield held, np.array([0, held.num_rows])
+
+
 # --- vectorised text kernels ----------------------------------------------
 
 def splitmix(x: np.ndarray) -> np.ndarray:

@@ -9,9 +9,9 @@ probability equal to the probability Jaccard similarity of the documents.
 
 Bands of registers file documents into buckets. In each bucket every document
 is compared with the bucket's first one; afterwards only documents of one
-bucket that are still in different groups are compared. A pair is first judged
-by its registers (only those far below the threshold leave) and then exactly,
-on its shingles: it is linked when its probability Jaccard or its plain Jaccard
+bucket that are still in different groups are compared, in tiles of registers
+that return likely pairs only. A pair is first judged by its registers (only
+those far below the threshold leave) and then exactly, on its shingles: it is linked when its probability Jaccard or its plain Jaccard
 similarity is at least ``THRESHOLD``. Groups are connected components; the
 smallest doc_id names a group and is the document that stays.
 
@@ -39,7 +39,10 @@ from lakeloom.llm.common import (
     gram_hashes,
     numbered,
     prepare,
+    range_parts,
+    runs,
     splitmix,
+    tiled,
     written,
 )
 
@@ -47,7 +50,15 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5
-REGISTERS = BANDS * ROWS
+#: Registers of a signature; bands use the first BANDS * ROWS, all of them
+#: estimate a pair's similarity.
+REGISTERS = 256
+#: A pair whose estimate lies this many standard deviations below the
+#: threshold leaves without an exact comparison (about 1 in 10,000 pairs at
+#: the threshold).
+DEVIATIONS = 3.7
+#: Smallest block of a tile.
+BLOCK = 64
 #: Documents that one step of the kernel works on.
 _DOCS = 2000
 _ID = np.uint64(20)                 # a packed shingle: 44 bits of hash, 20 of weight
@@ -147,33 +158,85 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTE
     return docs.select("_n", "_t").mapInArrow(sign, "_n long, registers binary")
 
 
+def _registers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(len(column), -1)
+
+
+def _band_keys(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    regs = registers[:, :bands * rows].reshape(len(registers), bands, rows)
+    key = np.broadcast_to(splitmix(np.arange(bands, dtype=np.uint64)), regs.shape[:2]).copy()
+    for k in range(rows):
+        key = splitmix(key ^ regs[:, :, k].astype(np.uint64))
+    return key.view(np.int64)
+
+
+def _least(registers: int, threshold: float) -> float:
+    return registers * threshold - DEVIATIONS * (registers * threshold * (1 - threshold)) ** 0.5
+
+
 def _bands(signed: DataFrame, bands: int, rows: int) -> DataFrame:
     """``_n, bucket`` for each band."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            regs = np.frombuffer(b"".join(b.column("registers").to_pylist()), dtype="<u4").reshape(b.num_rows, bands, rows)
-            key = np.broadcast_to(splitmix(np.arange(bands, dtype=np.uint64)), regs.shape[:2]).copy()
-            for k in range(rows):
-                key = splitmix(key ^ regs[:, :, k].astype(np.uint64))
+            key = _band_keys(_registers(b.column("registers")), bands, rows)
             yield pa.RecordBatch.from_pydict({"_n": np.repeat(b.column("_n").to_numpy(), bands).astype(np.int64),
-                                              "bucket": key.reshape(-1).view(np.int64)})
+                                              "bucket": key.reshape(-1)})
 
     return signed.mapInArrow(split, "_n long, bucket long")
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, shingle: int, threshold: float,
-              registers: int, name: str) -> DataFrame:
-    """``a, b`` of those pairs that are similar enough."""
-    # five standard deviations of the estimate below the threshold
-    least = registers * threshold - 5 * (registers * threshold * (1 - threshold)) ** 0.5
-
+def _likely(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose registers do not rule out the threshold."""
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype="<u4").reshape(b.num_rows, registers)
-                    for c in ("ra", "rb"))
-            ok = pa.array((x == y).sum(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(ok)
+            x, y = _registers(b.column("ra")), _registers(b.column("rb"))
+            ok = (x == y).sum(axis=1) >= _least(x.shape[1], threshold)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
 
+    first = signed.select(F.col("_n").alias("a"), F.col("registers").alias("ra"))
+    second = signed.select(F.col("_n").alias("b"), F.col("registers").alias("rb"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "ra", "rb").mapInArrow(near, "a long, b long")
+
+
+def _likely_in_buckets(placed: DataFrame, signed: DataFrame, threshold: float, bands: int, rows: int,
+                       nearest: bool) -> DataFrame:
+    """Likely pairs of documents that share a bucket but no root
+    (``bucket, _n, root``). Registers are compared in tiles; a pair is
+    returned once, by the first band in which it agrees. ``nearest``: only
+    each document's likeliest partner of a tile."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, edges in runs(batches, ["bucket", "i", "j"]):
+            regs, n, root = _registers(t["registers"].combine_chunks()), t["_n"].to_numpy(), t["root"].to_numpy()
+            mine, i, j, bucket = (t[k].to_numpy() for k in ("mine", "i", "j", "bucket"))
+            least = _least(regs.shape[1], threshold)
+            found: list[np.ndarray] = []
+            for lo, hi in zip(edges, edges[1:]):
+                left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
+                right = lo + np.flatnonzero(mine[lo:hi] == j[lo])
+                for x in left:
+                    y = right[(root[right] != root[x]) & (n[right] > n[x] if i[lo] == j[lo] else True)]
+                    same = regs[y] == regs[x]
+                    agree = same.sum(axis=1)
+                    y, same, agree = y[agree >= least], same[agree >= least], agree[agree >= least]
+                    if len(y):
+                        agreed = same[:, :bands * rows].reshape(len(y), bands, rows).all(axis=2).argmax(axis=1)
+                        key = _band_keys(regs[x:x + 1], bands, rows)[0]
+                        here = key[agreed] == bucket[lo]
+                        y, agree = y[here], agree[here]
+                        if nearest and len(y) > 1:
+                            y = y[[int(agree.argmax())]]
+                        found.append(np.column_stack([np.minimum(n[x], n[y]), np.maximum(n[x], n[y])]))
+            pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+            yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    keys = ["bucket", "i", "j"]
+    tiles = tiled(placed, "bucket", "_n", BLOCK).join(signed, "_n")
+    return tiles.select(*keys, "mine", "_n", "root", "registers").repartitionByRange(range_parts(tiles), *keys) \
+        .sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
+
+
+def _verified(likely: DataFrame, docs: DataFrame, shingle: int, threshold: float, name: str) -> DataFrame:
+    """``a, b`` of those pairs that are similar enough, by their shingles."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = [max(similarities(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8"))) >= threshold
@@ -189,10 +252,7 @@ def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, shingle: int
                     [b.column("_n").slice(i, j - i),
                      pa.array([raw[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())], ["_n", "s"])
 
-    first = signed.select(F.col("_n").alias("a"), F.col("registers").alias("ra"))
-    second = signed.select(F.col("_n").alias("b"), F.col("registers").alias("rb"))
-    likely = written(pairs.join(first, "a").join(second, "b").select("a", "b", "ra", "rb")
-                     .mapInArrow(near, "a long, b long"), f"{name}-likely")
+    likely = written(likely, f"{name}-likely")
     some = likely.select(F.col("a").alias("_n")).union(likely.select("b")).distinct()
     sets = written(docs.join(some, "_n", "left_semi").select("_n", "_t").mapInArrow(shingles, "_n long, s binary"),
                    f"{name}-sets")
@@ -203,12 +263,11 @@ def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, shingle: int
 
 def _groups(docs: DataFrame, shingle: int, threshold: float, bands: int, rows: int) -> DataFrame:
     """``_n, _root`` of all documents ``_n, _t``."""
-    registers = bands * rows
     texts = written(docs.filter(F.col("_t").rlike(r"[^\x20\x09-\x0D]"))
                     .select("_n", F.xxhash64("_t").alias("h"), F.xxhash64(F.lit(1), "_t").alias("k")), "minhash-texts")
     copies = texts.groupBy("h", "k").agg(F.min("_n").alias("rep"))
     copies = written(copies, "minhash-copies")
-    signed = written(signatures(docs, shingle, registers)
+    signed = written(signatures(docs, shingle)
                      .join(copies.select(F.col("rep").alias("_n")), "_n", "left_semi"), "minhash-registers")
     filed = _bands(signed, bands, rows)
     buckets = written(filed.groupBy("bucket").agg(F.min("_n").alias("lead"), F.max("_n").alias("other"))
@@ -216,21 +275,21 @@ def _groups(docs: DataFrame, shingle: int, threshold: float, bands: int, rows: i
     members = written(_bands(signed, bands, rows).join(buckets, "bucket"), "minhash-members")
     pairs = written(members.filter("_n <> lead").select(F.col("lead").alias("a"), F.col("_n").alias("b")).distinct(),
                     "minhash-pairs")
-    links = _verified(pairs, signed, docs, shingle, threshold, registers, "minhash")
+    links = _verified(_likely(pairs, signed, threshold), docs, shingle, threshold, "minhash")
     roots = connected_components(links, "minhash")
-    # documents of one bucket in different groups meet once more
-    placed = members.select("bucket", "_n").join(roots.withColumnRenamed("node", "_n"), "_n", "left") \
-        .select("bucket", "_n", F.coalesce("root", "_n").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-        .filter("lo < hi").select("bucket")
-    placed = written(placed.join(mixed, "bucket", "left_semi"), "minhash-mixed")
-    x, y = placed.alias("x"), placed.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x._n") < F.col("y._n"))
-                  & (F.col("x.root") != F.col("y.root"))) \
-        .select(F.col("x._n").alias("a"), F.col("y._n").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = _verified(written(rest, "minhash-rest"), signed, docs, shingle, threshold, registers, "minhash-more")
-    if not more.isEmpty():
-        roots = connected_components(links.union(more), "minhash-all")
+    # documents of one bucket in different groups: first each one's likeliest
+    # partner, which joins most of what belongs together, then all that is left
+    for nearest in (True, False):
+        placed = members.select("bucket", "_n").join(roots.withColumnRenamed("node", "_n"), "_n", "left") \
+            .select("bucket", "_n", F.coalesce("root", "_n").alias("root"))
+        mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+            .filter("lo < hi").select("bucket")
+        placed = written(placed.join(mixed, "bucket", "left_semi"), "minhash-mixed")
+        more = _verified(_likely_in_buckets(placed, signed, threshold, bands, rows, nearest), docs, shingle,
+                         threshold, "minhash-more")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = connected_components(links, "minhash-all")
     named = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("h", "k", F.coalesce("root", "rep").alias("_root"))
     linked = texts.join(named, ["h", "k"]).select("_n", "_root")
