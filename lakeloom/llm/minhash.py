@@ -58,7 +58,7 @@ REGISTERS = 256
 #: the threshold).
 DEVIATIONS = 3.7
 #: Smallest block of a tile.
-BLOCK = 64
+BLOCK = 256
 #: Documents that one step of the kernel works on.
 _DOCS = 2000
 _ID = np.uint64(20)                 # a packed shingle: 44 bits of hash, 20 of weight
