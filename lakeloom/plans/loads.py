@@ -172,4 +172,4 @@ def load_table(spark: SparkSession, spec: TableSpec, record: bool = True) -> Loa
         return (load_raw_incremental if raw else load_clean_incremental)(spark, spec, record=record)
     if spec.load_type == FULL:
         return (load_raw_full if raw else load_clean_full)(spark, spec, record=record)
-    raise ValueError(f"Unknown load_type: {spec.load_type}. Must be INCREMENTAL or FULL")
+    raise ValueError(f"{spec.target}: load type {spec.load_type!r} is neither INCREMENTAL nor FULL")

@@ -9,6 +9,7 @@ the shared executors). A failing table becomes a FAILED row; the others go on.
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
@@ -36,11 +37,19 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
+def dependencies(specs: Sequence[TableSpec]) -> dict[str, set[str]]:
+    """Configured targets that each target reads: its lookup table, and its
+    source where that is a table loaded in the same run."""
+    targets = {s.target for s in specs}
+    return {s.target: ({s.source, s.lookup.table if s.lookup else s.source} & targets) - {s.target}
+            for s in specs}
+
+
 def dependency_levels(specs: Sequence[TableSpec]) -> list[list[TableSpec]]:
-    """Group specs into levels; every lookup table of a spec that is itself a
-    configured target sits in an earlier level. Cycles raise."""
+    """Group specs into levels; every table that a spec reads and that is
+    itself a configured target sits in an earlier level. Cycles raise."""
     by_target = {s.target: s for s in specs}
-    deps = {s.target: ({s.lookup.table} & by_target.keys()) if s.lookup else set() for s in specs}
+    deps = dependencies(specs)
     levels, done = [], set()
     while len(done) < len(specs):
         ready = [s for s in specs if s.target not in done and deps[s.target] <= done]
@@ -80,9 +89,20 @@ def _one(spark: SparkSession, cfg: TableSpec | Mapping[str, Any], spec_kw: dict)
         return (name, "FAILED", 0, load_type, category, 0, 0, f"{type(e).__name__}: {e}", 0, None)
 
 
+def _failed(spec: TableSpec, reason: str) -> tuple:
+    log.error("load of %s failed: %s", spec.target, reason)
+    return (spec.target, "FAILED", 0, spec.load_type, spec.category, 0, 0, reason, 0, None)
+
+
 def run_loads(spark: SparkSession, configs: Iterable[TableSpec | Mapping[str, Any]],
               max_workers: int = 4, **spec_kw) -> DataFrame:
-    """Load every enabled table; return one report row per table."""
+    """Load every enabled table; return one report row per table.
+
+    Tables that read another table of the run wait for it. One faulty
+    configuration never stops the others: duplicates of a target, members of
+    a cycle, and tables that read a table which failed are reported FAILED
+    with the reason, and the rest is loaded.
+    """
     items = [c for c in configs
              if (c.enabled if isinstance(c, TableSpec) else c.get("isLoad", True))]
     specs, broken = [], []
@@ -92,9 +112,30 @@ def run_loads(spark: SparkSession, configs: Iterable[TableSpec | Mapping[str, An
         except Exception:
             broken.append(c)       # reported as FAILED by _one below
     rows = [_one(spark, c, spec_kw) for c in broken]
-    for level in dependency_levels(specs):
-        with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(level)))) as pool:
-            rows.extend(pool.map(lambda s: _one(spark, s, spec_kw), level))
+    # two configurations of one target would overwrite each other: both fail
+    often = {t for t, n in Counter(s.target for s in specs).items() if n > 1}
+    rows += [_failed(s, "another configuration has the same target") for s in specs if s.target in often]
+    specs = [s for s in specs if s.target not in often]
+    deps = dependencies(specs)
+    bad = often | {r[0] for r in rows}
+    left = list(specs)
+    while left:
+        open_ = {s.target for s in left}
+        ready = [s for s in left if not deps[s.target] & open_]
+        if not ready:
+            rows += [_failed(s, f"dependency cycle among {sorted(open_)}") for s in left]
+            break
+        reads = {s.target: {s.source, s.lookup.table if s.lookup else s.source} & bad for s in ready}
+        skipped = [s for s in ready if reads[s.target]]
+        rows += [_failed(s, f"skipped: {', '.join(sorted(reads[s.target]))} failed in this run") for s in skipped]
+        run = [s for s in ready if not reads[s.target]]
+        if run:
+            with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(run)))) as pool:
+                done = list(pool.map(lambda s: _one(spark, s, spec_kw), run))
+            rows += done
+            bad |= {r[0] for r in done if r[1] != "SUCCESS"}
+        bad |= {s.target for s in skipped}
+        left = [s for s in left if s not in ready]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import threading
 import uuid
@@ -55,6 +56,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     ``master`` and ``shuffle_partitions`` are for local runs; on a cluster
     leave them unset so the cluster's own configuration applies, and pass
     ``shuffle_bytes`` (the largest expected shuffle) to size partitions.
+    Beyond 25 TB of shuffle the partition count stays at ``scale_conf``'s
+    ``max_partitions`` and reducers grow past 256 MB; raise both there.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -130,14 +133,32 @@ def _ship(spark: SparkSession, sc) -> None:
     sc.addPyFile(target)
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local one only if it is unset."""
+    """The shared scratch folder: ``spark.checkpoint.dir``, else the folder
+    given to ``setCheckpointDir``, else (a ``local`` master only) a temporary
+    folder of this application. Anywhere else an unset folder is an error: a
+    machine-local one would not be seen by the executors."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:       # Spark Connect: no SparkContext on the client
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        master = spark.conf.get("spark.master", "")
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        with _SHIP_LOCK:
+            d = _LOCAL_DIRS.get(sc.applicationId)
+            if d is None:
+                d = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

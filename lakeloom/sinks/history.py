@@ -78,7 +78,7 @@ def last_load(spark: SparkSession, table: str, root: str | None = None) -> dict
     Reads one table's entries, takes the newest (``ORDER BY ts DESC LIMIT 1``)
     and returns it as a dict; missing metrics read as 0.
     """
-    rows = (read_history(spark, root).filter(F.col("table_name") == table)
+    rows = (table_history(spark, table, root)
             .orderBy(F.col("ts").desc()).limit(1).collect())
     if not rows:
         return None
@@ -91,7 +91,15 @@ def last_load(spark: SparkSession, table: str, root: str | None = None) -> dict
 def table_history(spark: SparkSession, table: str, root: str | None = None) -> DataFrame:
     """Every recorded load of ``table``, newest first (the history of one
     table; reads only that table's history partition)."""
-    return (read_history(spark, root).filter(F.col("table_name") == table)
+    base = history_path(spark, root)
+    try:        # list this table's folder only
+        own = (spark.read.schema(HISTORY_SCHEMA).option("basePath", base)
+               .parquet(f"{base}/table_name={quote(table, safe='')}"))
+    except Exception as e:  # no load of this table recorded yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], HISTORY_SCHEMA)
+        raise
+    return (own.filter(F.col("table_name") == table).select(*HISTORY_SCHEMA.fieldNames())
             .orderBy(F.col("ts").desc()))
 
 

@@ -1,25 +1,30 @@
 """Table write-back without a transactional table format.
 
-Every write goes to a **new version folder** and the catalog name is then
-pointed at it (stage table, drop the old external definition, rename,
-recover partitions). The folder being read is never the folder being
-written, so an upsert can read its own target, and a job that dies half way
-(lost executors beyond retry, driver failure) leaves the previous version
-intact and registered. Old versions stay on storage for rollback; retention
-is left to the storage lifecycle.
+Every write goes to a **new version folder**, which is registered as a stage
+table; then the old definition is renamed aside, the stage takes its name and
+the old definition is dropped last. The folder being read is never the folder
+being written, so an upsert can read its own target. A job that dies half way
+leaves either the old definition under its name or, between the two renames,
+under its set-aside name; the next write to the table puts it back first
+(:func:`heal`), so a retry always merges into the previous version and never
+creates the table anew. Old versions stay on storage for rollback until
+:func:`prune_versions` deletes the folders that no definition refers to.
+
+Only tables of this sink and external Parquet tables are replaced this way.
+Any other existing table is refused, except that an upsert into a format with
+row-level operations goes to the format's own ``mergeInto``.
 
 Row counts and merge metrics are gathered with ``DataFrame.observe`` during
 the write itself: no second job recomputes the plan to count it.
 
 For a partitioned target an upsert rewrites only the partitions it touches
 (those holding a key of the batch, plus those receiving new rows): the
-touched rows are merged and written under a new version folder, then each
-touched partition of the catalog table is pointed at its new folder (or added,
-or dropped when it became empty). Untouched partitions are neither read nor
-copied, so an hourly batch against a multi-year table costs a key-only scan
-of the target plus a rewrite of a few partitions, not a rewrite of the table.
-Without a transactional format the partition switches are separate catalog
-calls: a reader running concurrently can see some switched and some not.
+touched rows are merged and written under a new version folder, and a stage
+definition is made of the new folders and the locations of the untouched
+partitions. The same swap by rename follows, so all partitions switch together.
+Untouched partitions are neither read nor copied: an hourly batch against a
+multi-year table costs a key-only scan of the target plus a rewrite of a few
+partitions, not a rewrite of the table.
 """
 
 from __future__ import annotations
@@ -63,6 +68,121 @@ def _split(name: str) -> tuple[str | None, str]:
     return (".".join(parts[:-1]) or None, parts[-1])
 
 
+#: Table property of every table this sink creates.
+OWNED = "lakeloom.sink"
+_FILES = {"parquet", "orc", "csv", "json", "text", "avro", "hive", "binaryfile", "xml"}
+_ASIDE = "__old_"
+_STAGE = "__stage_"
+
+
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(name)}").collect()
+    return {r[0]: r[1] for r in rows if r[0] in ("Provider", "Type", "Table Properties", "Location")}
+
+
+def check_target(spark: SparkSession, name: str) -> bool:
+    """False for a table whose format merges rows itself; raises for one this
+    sink must not replace (neither its own nor external Parquet)."""
+    d = _details(spark, name)
+    provider, kind = d.get("Provider", "").lower(), d.get("Type", "").upper()
+    if provider and provider not in _FILES:
+        return False
+    if f"{OWNED}=" in d.get("Table Properties", "") or (provider == "parquet" and kind == "EXTERNAL"):
+        return True
+    raise ValueError(f"{name} is a {kind.lower()} {provider} table that this sink did not create; "
+                     "it is left as it is")
+
+
+def _siblings(spark: SparkSession, name: str, mark: str) -> list[str]:
+    """Definitions that a swap of ``name`` may have left, oldest first."""
+    db, tbl = _split(name)
+    where = f" IN {_quote(db)}" if db else ""
+    if db and not spark.catalog.databaseExists(db):
+        return []
+    rows = spark.sql(f"SHOW TABLES{where} LIKE '{tbl}{mark}*'").collect()
+    own = re.compile(re.escape(tbl + mark) + r"\d+_[0-9a-f]{8}", re.I)
+    return sorted(f"{db + '.' if db else ''}{r['tableName']}" for r in rows if own.fullmatch(r["tableName"]))
+
+
+def heal(spark: SparkSession, name: str) -> None:
+    """Undo a swap that did not finish: the set-aside definition gets its name
+    back, left-over stage definitions go (their folders stay)."""
+    aside = _siblings(spark, name, _ASIDE)
+    if aside and not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {_quote(aside[-1])} RENAME TO {_quote(name)}")
+        spark.catalog.refreshTable(name)
+        aside = aside[:-1]
+    for left in [*aside, *_siblings(spark, name, _STAGE)]:
+        spark.sql(f"DROP TABLE IF EXISTS {_quote(left)}")
+
+
+def _swap(spark: SparkSession, name: str, stage: str) -> None:
+    """Give ``stage`` the name: old definition aside, stage in, old one last."""
+    kept = [f"'{r['key']}' = '{r['value']}'" for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
+            if r["key"].startswith("lakeloom.")]
+    if kept:
+        spark.sql(f"ALTER TABLE {_quote(stage)} SET TBLPROPERTIES ({', '.join(kept)})")
+    tag = _split(stage)[1].rpartition(_STAGE)[2]
+    aside = f"{name}{_ASIDE}{tag}"
+    spark.sql(f"ALTER TABLE {_quote(name)} RENAME TO {_quote(aside)}")
+    spark.sql(f"ALTER TABLE {_quote(stage)} RENAME TO {_quote(name)}")
+    spark.sql(f"DROP TABLE {_quote(aside)}")
+
+
+def _own(spark: SparkSession, name: str) -> None:
+    spark.sql(f"ALTER TABLE {_quote(name)} SET TBLPROPERTIES ('{OWNED}' = '1')")
+
+
+def _locations(spark: SparkSession, name: str) -> dict[tuple[str, ...], str]:
+    """Location of each registered partition, by its values in column order."""
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(_quote(name))
+    parts = _partition_columns(spark, name)
+    found = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty())
+    out = {}
+    for i in range(found.size()):
+        p = found.apply(i)
+        out[tuple(p.spec().apply(c) for c in parts)] = p.location().toString()
+    return out
+
+
+def prune_versions(spark: SparkSession, name: str, keep: int = 1, root: str | None = None) -> list[str]:
+    """Delete version folders of ``name`` that its definition does not refer
+    to, but for the ``keep`` newest of them; returns the deleted folders."""
+    heal(spark, name)
+    db, tbl = _split(name)
+    base = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}"
+    live = [_details(spark, name).get("Location", "")]
+    if _partition_columns(spark, name):
+        live += _locations(spark, name).values()
+    used = {m[1] for x in live if (m := re.search(r"/(v_\d+_[0-9a-f]{8})(/|$)", x))}
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(path))
+    free = [n for n in names if re.fullmatch(r"v_\d+_[0-9a-f]{8}", n) and n not in used]
+    gone = free[:len(free) - keep] if keep else free
+    for n in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{n}"), True)
+    return [f"{base}/{n}" for n in gone]
+
+
+def _merge_into(source: DataFrame, name: str, keys: Sequence[str], ts: str, op: str) -> LoadResult:
+    """Upsert by the table format's own row-level merge."""
+    n = Observation()
+    src = source.observe(n, F.count(F.lit(1)).alias("rows")).alias("source")
+    match = None
+    for k in keys:
+        own = F.col(f"{name}.{k}") == F.col(f"source.{k}")
+        match = own if match is None else match & own
+    new, old = F.col(f"source.{ts}"), F.col(f"{name}.{ts}")
+    (src.mergeInto(name, match).whenMatched(new >= old if op == ">=" else new > old).updateAll()
+     .whenNotMatched().insertAll().merge())
+    return LoadResult(name, "MERGE", "", int(n.get.get("rows", 0)))
+
+
 def _relocatable(spark: SparkSession, name: str, schema: T.StructType) -> bool:
     """An existing external, unpartitioned, unbucketed Parquet table whose
     columns (names and types) equal ``schema``: a new version only has to
@@ -107,7 +227,10 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     db, tbl = _split(name)
     tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
     path = f"{root}/{(db + '.') if db else ''}{tbl}/v_{tag}"
-    stage = f"{db + '.' if db else ''}{tbl}__stage_{tag}"
+    stage = f"{db + '.' if db else ''}{tbl}{_STAGE}{tag}"
+    heal(spark, name)
+    if spark.catalog.tableExists(name) and not check_target(spark, name):
+        raise ValueError(f"{name} has its own table format; write to it with that format")
     if db and not spark.catalog.databaseExists(db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}")
     if not parts and not buckets and _relocatable(spark, name, df.schema):
@@ -125,11 +248,12 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     if not spark.catalog.tableExists(name):
         # a new table: the catalog entry is created only once the data is written
         w.saveAsTable(name)
+        _own(spark, name)
         spark.catalog.refreshTable(name)
         return path
     w.saveAsTable(stage)
-    spark.sql(f"DROP TABLE {_quote(name)}")
-    spark.sql(f"ALTER TABLE {_quote(stage)} RENAME TO {_quote(name)}")
+    _own(spark, stage)
+    _swap(spark, name, stage)
     # the write registered the stage's partitions and a rename keeps them; a
     # catalog that drops them on rename gets them back from the folders
     if parts and not spark.sql(f"SHOW PARTITIONS {_quote(name)}").limit(1).collect():
@@ -172,6 +296,9 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
         raise ValueError(f"scope must be auto, full or batch, got {scope!r}")
     spark = source.sparkSession
     keys = as_tuple(keys)
+    heal(spark, name)
+    if spark.catalog.tableExists(name) and not check_target(spark, name):
+        return _merge_into(source, name, keys, ts, op)
     if spark.catalog.tableExists(name) and scope != "full" and not buckets:
         parts = _partition_columns(spark, name)
         if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
@@ -281,26 +408,27 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
     for r in written_rows:
         if r["_pk"] not in touched:
             touched[r["_pk"]] = tuple(r[c] for c in parts)
-    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quote(name)}").collect()}
 
     def dirname(vals):
         return "/".join(f"{c}={v}" for c, v in zip(parts, vals))
 
-    adds, drops = [], []
+    # the new list of partitions: untouched ones keep their locations
+    where = {v: loc for v, loc in _locations(spark, name).items()}
     for key, vals in touched.items():
-        spec = _spec_sql(parts, vals, schema)
+        text = tuple(str(v) for v in vals)
         if key in written:
-            loc = f"{path}/{dirname(vals)}"
-            if dirname(vals) in existing:
-                spark.sql(f"ALTER TABLE {_quote(name)} {spec} SET LOCATION '{loc}'")
-            else:
-                adds.append(f"{spec} LOCATION '{loc}'")
-        elif dirname(vals) in existing:
-            drops.append(spec)
-    if adds:
-        spark.sql(f"ALTER TABLE {_quote(name)} ADD " + " ".join(adds))
-    if drops:
-        spark.sql(f"ALTER TABLE {_quote(name)} DROP " + ", ".join(drops))
+            where[text] = f"{path}/{dirname(vals)}"
+        else:
+            where.pop(text, None)
+    stage = f"{db + '.' if db else ''}{tbl}{_STAGE}{tag}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {_quote(stage)} ({columns}) USING parquet "
+              f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) LOCATION '{path}' "
+              f"TBLPROPERTIES ('{OWNED}' = '1')")
+    if where:
+        spark.sql(f"ALTER TABLE {_quote(stage)} ADD " + " ".join(
+            f"{_spec_sql(parts, vals, schema)} LOCATION '{loc}'" for vals, loc in where.items()))
+    _swap(spark, name, stage)
     spark.catalog.refreshTable(name)
     return LoadResult(name, "MERGE", path, n_src, inserted=int(m.get("inserted") or 0),
                       updated=int(m.get("updated") or 0), deleted=0,

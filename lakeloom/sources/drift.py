@@ -23,9 +23,9 @@ file lacks is not drift: it reads as NULL.
 Statuses: ``ok``; ``drift``; ``unreadable`` (the bytes are not a valid
 Parquet file, which ``ignoreCorruptFiles`` would skip too); ``unchecked``
 (the file cannot be reached from Python: no pyarrow file system for the
-scheme, no HDFS library, credentials, network). Unchecked files are read as
-usual, so Spark's reader decides; the check never drops a file it could not
-look at.
+scheme, no HDFS library, credentials, network). When there is an unchecked file
+the whole read runs without ``ignoreCorruptFiles``: Spark's reader then raises
+instead of skipping a file that nobody looked at.
 """
 
 from __future__ import annotations
@@ -174,7 +174,13 @@ def check_footers(files: DataFrame, schema: T.StructType, path_col: str = "path"
     return files.select(path_col).mapInPandas(run, CHECK_SCHEMA)
 
 
-def failing_files(files: DataFrame, schema: T.StructType) -> list[tuple[str, str, str]]:
-    """The files that drifted or cannot be read (only these reach the driver)."""
-    bad = check_footers(files, schema).filter(f"status IN ('{DRIFT}', '{UNREADABLE}')")
-    return [(r["path"], r["status"], r["detail"]) for r in bad.collect()]
+def failing_files(files: DataFrame, schema: T.StructType) -> tuple[list[tuple[str, str, str]], int]:
+    """The files that drifted or cannot be read (only these reach the
+    driver), and the number of files that could not be looked at."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    seen = Observation()
+    checked = check_footers(files, schema).observe(
+        seen, F.count(F.when(F.col("status") == UNCHECKED, 1)).alias("unchecked"))
+    bad = checked.filter(f"status IN ('{DRIFT}', '{UNREADABLE}')").collect()
+    return [(r["path"], r["status"], r["detail"]) for r in bad], int(seen.get["unchecked"] or 0)

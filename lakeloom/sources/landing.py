@@ -235,6 +235,14 @@ def landing_order() -> Column:
     return F.concat_ws("/", folder_order(*segs[:4]), segs[4])
 
 
+class Screened(set):
+    """Paths to leave out; ``unchecked`` files could not be looked at."""
+
+    def __init__(self, paths=(), unchecked: int = 0):
+        super().__init__(paths)
+        self.unchecked = unchecked
+
+
 def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
                  skipped: list | None = None) -> set[str]:
     """Check the footers of ``files`` (listing rows) against ``schema``.
@@ -247,10 +255,13 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
     if drift not in DRIFT_MODES:
         raise ValueError(f"drift must be one of {DRIFT_MODES}, got {drift!r}")
     if drift == "off":
-        return set()
-    bad = failing_files(files, schema)
+        return Screened()
+    bad, unchecked = failing_files(files, schema)
+    if unchecked:
+        log.warning("%d landing file(s) could not be opened for the footer check; they are read "
+                    "without ignoreCorruptFiles, so a file that does not fit fails the load", unchecked)
     if not bad:
-        return set()
+        return Screened(unchecked=unchecked)
     if skipped is not None:
         skipped.extend(bad)
     for path, status, detail in bad[:20]:
@@ -259,8 +270,8 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
         raise ValueError(f"{len(bad)} landing file(s) do not match the schema, "
                          f"e.g. {bad[0][0]}: {bad[0][1]} {bad[0][2]}")
     if drift == "report":
-        return set()
-    drop = {p for p, _, _ in bad}
+        return Screened(unchecked=unchecked)
+    drop = Screened((p for p, _, _ in bad), unchecked=unchecked)
     if files.count() <= len(drop):
         raise ValueError(f"No readable parquet files left after the schema check "
                          f"({len(drop)} skipped)")
@@ -281,16 +292,18 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
     if n_folders is None:
         parquet = list_landing_files(spark, base).filter(F.col("is_parquet"))
         if not parquet.limit(1).collect():
-            raise ValueError(f"No parquet files found under {base}")
+            raise ValueError(f"{base} holds no Parquet file")
         drop = screen_files(parquet, schema, drift, skipped)
+        opts["ignore_corrupt_files"] &= not drop.unchecked
         return read_landing_folders(spark, [base], schema, recursive=True, exclude=drop, **opts)
     folders = newest_folders(spark, base, n_folders)
     if not folders:
-        raise ValueError(f"No incremental folders found under {base}")
+        raise ValueError(f"{base} holds no hour folder to load")
     paths = [p for _, fs in folders for p in fs]
     if not paths:
-        raise ValueError(f"No parquet files found in the latest folders under {base}")
+        raise ValueError(f"the newest hour folders of {base} hold no Parquet file")
     drop = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
+    opts["ignore_corrupt_files"] &= not drop.unchecked
     return read_landing_folders(spark, [p for p in paths if p not in drop], schema, **opts)
 
 
@@ -302,11 +315,15 @@ def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
     (``latest_file``) or all its Parquet files (``latest_folder``)."""
     folders = newest_folders(spark, base, 1)
     if not folders:
-        raise ValueError(f"No full folders found under {base}")
+        raise ValueError(f"{base} holds no snapshot folder")
     folder, files = folders[0]
     if not files:
-        raise ValueError(f"No parquet files found in folder {folder}")
+        raise ValueError(f"snapshot folder {folder} holds no Parquet file")
     paths = files if mode == "latest_folder" else [max(files)]
+    if len(files) > len(paths):
+        log.warning("snapshot folder %s holds %d Parquet files; mode %s reads only %s",
+                    folder, len(files), mode, paths[0])
     drop = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
     return read_landing_folders(spark, [p for p in paths if p not in drop], schema,
-                                ignore_corrupt_files=ignore_corrupt_files, with_order=with_order)
+                                ignore_corrupt_files=ignore_corrupt_files and not drop.unchecked,
+                                with_order=with_order)

@@ -124,7 +124,7 @@ class TableSpec:
     snapshot_mode: str = "latest_file"
     ignore_corrupt_files: bool = True
     newest_file_wins: bool = True
-    schema_drift: str = "exclude"      # footer check: off | report | exclude | error
+    schema_drift: str = "error"      # footer check: off | report | exclude | error
     # target layout
     buckets: int | None = None
     fixed_partition: bool = False      # a key's partition never changes -> upsert scope "batch"

@@ -6,30 +6,51 @@ checkpoint, however late it arrives. The file source orders new files by
 modification time, not by folder name, so correctness comes from the merge
 guard (``source.ts >= target.ts`` keeps the newest row whatever the batch
 order), never from arrival order. Each micro-batch is deduplicated and merged
-inside ``foreachBatch``; a replayed batch after a failure re-applies the same
-rows, which the guard makes harmless.
+inside ``foreachBatch``. The checkpoint belongs to the target (by default it is
+derived from its name), and the last merged epoch is kept as a property of the
+target, so a batch replayed after a failure is not merged again.
+
+A file that does not fit the schema, or is not Parquet, fails the batch and the
+checkpoint does not advance, so no file is marked done unread. Only
+``schema_drift="off"`` or ``"exclude"`` hands such files to Spark's
+``ignoreCorruptFiles``, which skips them.
 
 The file source lists the watched tree on every trigger and remembers every
 file it has processed. Over years of hourly folders both grow without bound,
 so ``clean_source`` (Spark's ``cleanSource``) can archive or delete each file
 once its batch is committed, keeping the watched tree to the files not yet
-loaded. It changes the landing area, so it is opt-in; ``max_file_age``
-bounds the remembered-file log.
+loaded. It changes the landing area, so it is opt-in. ``max_file_age`` bounds
+the remembered-file log: files whose modification time is older than that,
+counted from the newest file, are ignored (Spark's own default is seven days),
+so set it above the longest delay of a delivery.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeloom.plans.loads import _landing, _partitions, prepare, upsert_scope
-from lakeloom.session import scratch_path
+from lakeloom.session import warehouse_root
 from lakeloom.sinks.history import append_history
 from lakeloom.sinks.tables import upsert_table
 from lakeloom.sources.landing import ORDER_COL, PARQUET_GLOB, enforce_schema, landing_order
 from lakeloom.spec import TableSpec
 
 
+def _last_epoch(spark: SparkSession, target: str, mark: str) -> int:
+    """Last epoch of this checkpoint that the target holds (-1: none)."""
+    if not spark.catalog.tableExists(target):
+        return -1
+    for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect():
+        if r["key"] == mark and re.fullmatch(r"\d+", r["value"]):
+            return int(r["value"])
+    return -1
+
+
 def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: str | None = None,
                          available_now: bool = True, processing_time: str | None = None,
                          max_files_per_trigger: int | None = None,
@@ -46,7 +67,8 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
     reader = (spark.readStream.schema(spec.schema)
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", PARQUET_GLOB)
-              .option("ignoreCorruptFiles", str(spec.ignore_corrupt_files).lower()))
+              .option("ignoreCorruptFiles", str(
+                  spec.ignore_corrupt_files and spec.schema_drift in ("off", "exclude")).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_file_age:
@@ -65,16 +87,24 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
         stream = stream.withColumn(ORDER_COL, landing_order())
     stream = enforce_schema(stream, spec.schema, keep=order)
 
+    checkpoint = checkpoint or f"{warehouse_root(spark)}/_streams/{spec.target}"
+    mark = f"lakeloom.epoch.{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id <= _last_epoch(spark, spec.target, mark):
+            return                      # a replay of a batch that was merged
         prepared = prepare(batch, spec, order)
         res = upsert_table(prepared, spec.target, spec.key, spec.timestamp, spec.update_op,
                            partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
                            scope=upsert_scope(spec))
+        spark.sql(f"ALTER TABLE {spec.target} SET TBLPROPERTIES ('{mark}' = '{epoch_id}')")
+        # the batch runs in a cloned session: the caller's one has its own cache
+        spark.catalog.refreshTable(spec.target)
         if record:
             append_history(batch.sparkSession, res)
 
     w = (stream.writeStream.foreachBatch(merge_batch)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{spec.target}")))
+         .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:

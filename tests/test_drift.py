@@ -99,6 +99,9 @@ def test_load_reports_skipped_files(spark, tmp_base):
                    f"{folder}/wide.parquet")
     spec = TableSpec(target="drift_load", source="tbl", load_type="INCREMENTAL", schema=schema,
                      key=("id",), timestamp="ts", update_op=">=", landing_base=tmp_base)
+    with pytest.raises(ValueError, match="do not match the schema"):       # the default
+        load_raw_incremental(spark, spec, n_folders=1, record=False)
+    spec = spec.with_(schema_drift="exclude")
     r = load_raw_incremental(spark, spec, n_folders=1, record=False)
     assert r.skipped_files == 1 and r.source_rows == 1
     assert [x.id for x in spark.table("drift_load").collect()] == [1]
@@ -144,4 +147,4 @@ def test_only_failing_files_are_excluded(spark, tmp_base):
     put(tmp_base, "0", "good.parquet", [1])
     good = "file:" + os.path.join(tmp_base, "2024", "1", "1", "0", "good.parquet")
     paths = spark.createDataFrame([(good,), ("hdfs://nn:8020/x/a.parquet",)], "path string")
-    assert failing_files(paths, SCHEMA) == []
+    assert failing_files(paths, SCHEMA) == ([], 1)       # the second cannot be looked at

@@ -44,15 +44,15 @@ def test_incremental_reads_newest_n_with_schema(spark, tmp_base):
 
 def test_missing_base_and_no_parquet(spark, tmp_base):
     assert list_landing_files(spark, os.path.join(tmp_base, "nope")).count() == 0
-    with pytest.raises(ValueError, match="No incremental folders"):
+    with pytest.raises(ValueError, match="no hour folder"):
         read_incremental(spark, os.path.join(tmp_base, "nope"), SCHEMA, 2)
     folder = os.path.join(tmp_base, "t", "2024", "01", "01", "00")
     os.makedirs(folder)
     with open(os.path.join(folder, "readme.txt"), "w") as f:
         f.write("x")
-    with pytest.raises(ValueError, match="No parquet files"):
+    with pytest.raises(ValueError, match="no Parquet file"):
         read_incremental(spark, os.path.join(tmp_base, "t"), SCHEMA, 1)
-    with pytest.raises(ValueError, match="No parquet files"):
+    with pytest.raises(ValueError, match="no Parquet file"):
         read_full_snapshot(spark, os.path.join(tmp_base, "t"), SCHEMA)
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lakeloom.workloads import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = "nation customer orders lineitem events".split()
@@ -35,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
     rows = df.collect()
@@ -46,7 +47,8 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -22,7 +22,7 @@ def test_report_isolates_failures_and_skips_disabled(spark):
     rep = {r.table_name: r for r in run_loads(spark, specs).collect()}
     assert set(rep) == {"runner_ok", "runner_bad", "runner_dict"}
     assert rep["runner_ok"].status == "SUCCESS" and rep["runner_ok"].row_count == 1
-    assert rep["runner_bad"].status == "FAILED" and "Unknown load_type" in rep["runner_bad"].error
+    assert rep["runner_bad"].status == "FAILED" and "neither INCREMENTAL nor FULL" in rep["runner_bad"].error
     assert rep["runner_dict"].status == "FAILED"
     c = outcome_counts(run_loads(spark, specs)).first()
     assert (c.total, c.success, c.failed) == (3, 1, 2)
