@@ -74,37 +74,39 @@ def likeness(a: Column, b: Column) -> Column:
     return same / F.size(a)
 
 
+#: A document's key; no part is null, so joins and groupings share one shuffle.
+_KEY = ["_null", "_id", "_h"]
+
+
 def _chain(docs: DataFrame) -> DataFrame:
-    """``_id, _h`` of each distinct document with its length, its rows, its
+    """Key of each distinct document with its length, its rows, its
     successor's key and its predecessor's key and length, in ascending order
     of doc_id."""
-    key = ["_id", "_h"]
+    key = _KEY
     meta = written(docs.select(*key, F.char_length("_t").cast("long").alias("_len")).groupBy(*key, "_len")
                    .agg(F.count("*").alias("_rows")), "prints-keys")
-    order = [F.col("_id").asc_nulls_last(), F.col("_h")]
+    order = [F.col(c) for c in key]
     held = range_buckets(meta, order, "prints-order")
     me = F.struct(*key, "_len")
     w = Window.partitionBy("_bucket").orderBy(*order)
     own = held.select("*", F.lag(me).over(w).alias("_prev"), F.lead(me).over(w).alias("_next"))
     # the ends of each range meet the neighbouring ranges; the last meets the first
-    ends = held.groupBy("_bucket").agg(F.min(F.struct(F.col("_id").isNull(), *key, "_len")).alias("_lo"),
-                                       F.max(F.struct(F.col("_id").isNull(), *key, "_len")).alias("_hi"))
+    ends = held.groupBy("_bucket").agg(F.min(me).alias("_lo"), F.max(me).alias("_hi"))
     e = Window.orderBy("_bucket")
     every = e.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select("_bucket", F.coalesce(F.lag("_hi").over(e), F.last("_hi").over(every)).alias("_before"),
                        F.coalesce(F.lead("_lo").over(e), F.first("_lo").over(every)).alias("_after"))
-    bare = lambda c: F.struct(*[F.col(f"{c}.{n}").alias(n) for n in (*key, "_len")])
     full = own.join(ends, "_bucket").select(
-        *key, "_len", "_rows", F.coalesce("_prev", bare("_before")).alias("_prev"),
-        F.coalesce("_next", bare("_after")).alias("_next"))
-    return written(full.select(*key, "_len", "_rows", F.col("_prev._id").alias("_pid"), F.col("_prev._h").alias("_ph"),
-                               F.col("_prev._len").alias("_plen"), F.col("_next._id").alias("_nid"),
-                               F.col("_next._h").alias("_nh")), "prints-chain")
+        *key, "_len", "_rows", F.coalesce("_prev", "_before").alias("_prev"),
+        F.coalesce("_next", "_after").alias("_next"))
+    return written(full.select(*key, "_len", "_rows", *[F.col(f"_prev.{c}").alias(f"_p{c}") for c in (*key, "_len")],
+                               *[F.col(f"_next.{c}").alias(f"_n{c}") for c in key]), "prints-chain")
 
 
-def _on(a: str, b: str, left: tuple[str, str], right: tuple[str, str]) -> Column:
-    return F.col(f"{a}.{left[0]}").eqNullSafe(F.col(f"{b}.{right[0]}")) \
-        & (F.col(f"{a}.{left[1]}") == F.col(f"{b}.{right[1]}"))
+def _on(a: str, b: str, left: str = "", right: str = "") -> Column:
+    """Equal keys; ``left`` and ``right`` prefix the names of the columns."""
+    same = [F.col(f"{a}.{left}{c}") == F.col(f"{b}.{right}{c}") for c in _KEY]
+    return same[0] & same[1] & same[2]
 
 
 def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, doc_id: str = "doc_id",
@@ -117,37 +119,38 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, doc_id: str = "do
     near_edited, near_next.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.xxhash64(t).alias("_h"), t.alias("_t"))
+    name = F.col(doc_id).cast("long")
+    own = docs.select(name.isNull().alias("_null"), F.coalesce(name, F.lit(0).cast("long")).alias("_id"),
+                      F.xxhash64(t).alias("_h"), t.alias("_t"))
     chain = _chain(own)
     repeated = not chain.filter("_rows > 1").isEmpty()
     if repeated:
-        own = own.dropDuplicates(["_id", "_h"])
-    key = ("_id", "_h")
-    placed = own.alias("d").join(chain.alias("c"), _on("d", "c", key, key)) \
-        .select("d._id", "d._h", "d._t", "c._len", "c._pid", "c._ph", "c._plen")
-    heads = placed.select("_pid", "_ph", F.substring("_t", F.lit(1), F.floor(F.col("_plen") / 4).cast("int")).alias("_head"))
-    cut = F.floor(F.col("p._len") / 4)
-    edited = F.concat(F.substring(F.col("p._t"), F.lit(1), (F.col("p._len") - cut).cast("int")), F.col("h._head"))
-    both = placed.alias("p").join(heads.alias("h"), _on("p", "h", key, ("_pid", "_ph"))) \
-        .select("p._id", "p._h", "p._t", edited.alias("_e"))
-    texts = both.select("_id", "_h", F.explode(F.array(
+        own = own.dropDuplicates(_KEY)
+    mine = [f"d.{c}" for c in _KEY]
+    placed = own.alias("d").join(chain.alias("c"), _on("d", "c")) \
+        .select(*mine, "d._t", "c._len", *[f"c._p{c}" for c in (*_KEY, "_len")])
+    heads = placed.select(*[f"_p{c}" for c in _KEY], F.substring(
+        "_t", F.lit(1), F.floor(F.col("_p_len") / 4).cast("int")).alias("_head"))
+    cut = F.floor(F.col("d._len") / 4)
+    edited = F.concat(F.substring(F.col("d._t"), F.lit(1), (F.col("d._len") - cut).cast("int")), F.col("h._head"))
+    both = placed.alias("d").join(heads.alias("h"), _on("d", "h", "", "_p")) \
+        .select(*mine, "d._t", edited.alias("_e"))
+    texts = both.select(*_KEY, F.explode(F.array(
         F.struct(F.lit(False).alias("_edit"), F.col("_t").alias("text")),
         F.struct(F.lit(True).alias("_edit"), F.col("_e").alias("text")))).alias("v")) \
-        .select("_id", "_h", "v._edit", "v.text")
-    signed = signatures(texts, ["_id", "_h", "_edit"], "text", samples)
-    per_doc = signed.groupBy("_id", "_h").agg(
+        .select(*_KEY, "v._edit", "v.text")
+    signed = signatures(texts, [*_KEY, "_edit"], "text", samples)
+    per_doc = signed.groupBy(*_KEY).agg(
         F.max(F.when(~F.col("_edit"), F.col("sample"))).alias("_s"),
         F.max(F.when(F.col("_edit"), F.col("sample"))).alias("_es"))
-    hashes = both.select("_id", "_h", F.unhex(F.sha2(F.col("_e"), 256)).alias("_sha"))
-    done = written(per_doc.alias("a").join(hashes.alias("b"), _on("a", "b", key, key))
-                   .select("a.*", "b._sha"), "prints")
-    nexts = chain.alias("c").join(done.alias("n"), _on("c", "n", ("_nid", "_nh"), key)) \
-        .select("c._id", "c._h", "c._len", "c._rows", F.col("n._s").alias("_ns"))
-    out = done.alias("d").join(nexts.alias("x"), _on("d", "x", key, key)) \
-        .select("d.*", "x._len", "x._rows", "x._ns")
+    hashes = both.select(*_KEY, F.unhex(F.sha2(F.col("_e"), 256)).alias("_sha"))
+    done = written(per_doc.join(hashes, _KEY), "prints")
+    nexts = chain.alias("c").join(done.alias("n"), _on("c", "n", "_n")) \
+        .select(*[f"c.{c}" for c in _KEY], "c._len", "c._rows", F.col("n._s").alias("_ns"))
+    out = done.join(nexts, _KEY)
     if repeated:
         out = out.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"))))
-    return out.select(F.col("_id").alias("doc_id"), F.col("_len").alias("n_chars"),
+    return out.select(F.when(~F.col("_null"), F.col("_id")).alias("doc_id"), F.col("_len").alias("n_chars"),
                       F.lower(F.hex("_sha")).alias("edited_sha256"), fingerprint(F.col("_s")).alias("fingerprint"),
                       fingerprint(F.col("_es")).alias("edited_fingerprint"),
                       likeness(F.col("_s"), F.col("_es")).alias("near_edited"),
