@@ -53,10 +53,16 @@ def signatures(texts: DataFrame, keys: list[str], text: str = "text", samples: i
     key. Where ``texts`` is already partitioned by some of ``keys``, nothing
     is shuffled."""
     words = F.split(F.coalesce(F.col(text), F.lit("")), _SPACE)
-    words = F.filter(words, lambda w: w != "")
-    words = F.when(F.size(words) > 0, words).otherwise(F.array(F.lit("")))
-    terms = texts.select(*keys, F.explode(words).alias("_w")).select(*keys, F.xxhash64("_w").alias("_w"))
-    counted = terms.groupBy(*keys, "_w").agg(F.count("*").alias("_n"))
+    texts = texts.select(*keys, F.filter(words, lambda w: w != "").alias("_words"))
+    words = F.when(F.size("_words") > 0, F.col("_words")).otherwise(F.array(F.lit("")))
+    # a text's terms are counted in its own row, as runs of its sorted hashes,
+    # so that no aggregation holds a row per term
+    hashed = texts.select(*keys, F.sort_array(F.transform(words, lambda w: F.xxhash64(w))).alias("_terms"))
+    begun = hashed.select(*keys, "_terms", F.filter(
+        F.sequence(F.lit(0), F.size("_terms") - 1),
+        lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1))).alias("_at"))
+    counted = begun.select(*keys, F.inline_outer(F.transform("_at", lambda p, k: F.struct(
+        F.get("_terms", p).alias("_w"), (F.coalesce(F.get("_at", k + 1), F.size("_terms")) - p).alias("_n")))))
     logs = counted.select(*keys, "_w", F.ln(F.col("_n").cast("double")).alias("_s"))
     least = logs.groupBy(*keys).agg(*[F.min(_sample(F.col("_w"), F.col("_s"), k)).alias(f"_m{k}")
                                       for k in range(samples)])
