@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import replace
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +24,9 @@ from lakeloom.functions.transforms import apply_transforms, transform_writes
 from lakeloom.operators.dedup import exact_duplicates_removed, latest_per_key
 from lakeloom.operators.watermark import after_date_watermark, after_watermark, high_watermark
 from lakeloom.sinks.history import append_history
-from lakeloom.sinks.tables import LoadResult, overwrite_table, upsert_table
-from lakeloom.sources.landing import ORDER_COL, read_full_snapshot, read_incremental
+from lakeloom.sinks.tables import LoadResult, get_note, overwrite_table, set_note, upsert_table
+from lakeloom.sources.landing import ORDER_COL, folder_key, folder_of, newest_folder, read_full_snapshot, \
+    read_incremental
 from lakeloom.spec import FULL, INCREMENTAL, TableSpec
 
 log = logging.getLogger("lakeloom.loads")
@@ -86,17 +88,31 @@ def _finish(spark: SparkSession, result: LoadResult, record: bool,
 
 def load_raw_incremental(spark: SparkSession, spec: TableSpec, n_folders: int | None = -1,
                          record: bool = True) -> LoadResult:
-    """Newest ``n_folders`` landing folders merged with ``>=``."""
+    """Newest ``n_folders`` landing folders merged with ``>=``.
+
+    With ``catch_up`` every folder since the newest one of the last load is
+    read too, so a missed run or an hour that is still filling loses nothing.
+    That folder is noted on the target after the merge; a job that dies
+    before only reads more folders the next time. A file that the footer
+    check left out holds the note at its folder until it is mended or removed.
+    """
     n = spec.n_folders if n_folders == -1 else n_folders
+    landing = _landing(spec)
+    upto = newest_folder(spark, landing) if spec.catch_up else None
+    seen = (get_note(spark, spec.target, "landing") or "|").rpartition("|") if spec.catch_up else ("", "", "")
+    since = unquote(seen[2]) if unquote(seen[0]) == landing else None
     order = spec.newest_file_wins and spec.dedups
     skipped: list = []
-    df = read_incremental(spark, _landing(spec), spec.schema, n,
+    df = read_incremental(spark, landing, spec.schema, n,
                           ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order,
-                          drift=spec.schema_drift, skipped=skipped)
+                          drift=spec.schema_drift, skipped=skipped, since=since)
     df = prepare(df, spec, (ORDER_COL,) if order else ())
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
                        scope=upsert_scope(spec))
+    if upto:
+        upto = min([upto, *(folder_of(path) for path, _, _ in skipped)], key=folder_key)
+        set_note(spark, spec.target, "landing", f"{quote(landing, safe='/:')}|{quote(upto, safe='/=')}")
     return _finish(spark, res, record, skipped)
 
 

@@ -133,6 +133,20 @@ def _own(spark: SparkSession, name: str) -> None:
     spark.sql(f"ALTER TABLE {_quote(name)} SET TBLPROPERTIES ('{OWNED}' = '1')")
 
 
+def get_note(spark: SparkSession, name: str, key: str) -> str | None:
+    """Table property ``lakeloom.<key>`` of ``name``; swaps keep it."""
+    heal(spark, name)
+    if not spark.catalog.tableExists(name):
+        return None
+    found = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
+             if r["key"] == f"lakeloom.{key}"]
+    return found[0] if found else None
+
+
+def set_note(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {_quote(name)} SET TBLPROPERTIES ('lakeloom.{key}' = '{value}')")
+
+
 def _locations(spark: SparkSession, name: str) -> dict[tuple[str, ...], str]:
     """Location of each registered partition, by its values in column order."""
     state = spark._jsparkSession.sessionState()
@@ -215,8 +229,8 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     An existing unpartitioned table with the same columns is switched with
     one ``SET LOCATION`` (readers see the old or the new version, never no
     table). Otherwise the version is registered as a stage table (the write
-    registers its partitions) that replaces the old definition (drop +
-    rename), which also replaces the schema.
+    registers its partitions) that replaces the old definition (set aside,
+    then dropped), which also replaces the schema.
     """
     spark = df.sparkSession
     parts = as_tuple(partition_cols)

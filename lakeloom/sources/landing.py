@@ -126,10 +126,11 @@ def _hadoop_fs(spark: SparkSession, base: str):
     return path.getFileSystem(conf), path
 
 
-def walk_newest_folders(spark: SparkSession, base: str,
-                        n: int) -> list[tuple[str, list[str]]] | None:
+def walk_newest_folders(spark: SparkSession, base: str, n: int,
+                        since: str | None = None) -> list[tuple[str, list[str]]] | None:
     """L2/T1 as a top-down walk: the ``n`` newest hour folders, newest first,
-    each with its Parquet files (suffix compared case-insensitively). An empty
+    each with its Parquet files (suffix compared case-insensitively), and with
+    ``since`` (``y/m/d/h``) every other folder not older than that one. An empty
     hour folder counts as a folder. None when there is no JVM gateway."""
     got = _hadoop_fs(spark, base)
     if got is None:
@@ -138,11 +139,12 @@ def walk_newest_folders(spark: SparkSession, base: str,
     if not fs.exists(root):
         return []
     out: list[tuple[str, list[str]]] = []
+    oldest = folder_key(since) if since else None
 
-    def visit(path, depth: int) -> None:
+    def visit(path, key: tuple) -> None:
         entries = [st for st in fs.listStatus(path)
                    if not st.getPath().getName().startswith(_HIDDEN)]
-        if depth == len(LEVELS):
+        if len(key) == len(LEVELS):
             files = sorted(st.getPath().toString() for st in entries
                            if st.isFile() and st.getPath().getName().lower().endswith(".parquet"))
             out.append((path.toString(), files))
@@ -150,23 +152,30 @@ def walk_newest_folders(spark: SparkSession, base: str,
         dirs = sorted((st for st in entries if st.isDirectory()),
                       key=lambda st: _name_key(st.getPath().getName()), reverse=True)
         for st in dirs:
-            if len(out) >= n:
+            at = (*key, _name_key(st.getPath().getName()))
+            if len(out) >= n and (oldest is None or at < oldest[:len(at)]):
                 return
-            visit(st.getPath(), depth + 1)
+            visit(st.getPath(), at)
 
-    visit(root, 0)
-    return out[:n]
+    visit(root, ())
+    return out
 
 
-def newest_folders(spark: SparkSession, base: str, n: int) -> list[tuple[str, list[str]]]:
-    """The ``n`` newest hour folders with their Parquet files: the walk, or
-    the listing DataFrame when there is no JVM gateway (that listing only
-    sees folders holding at least one file)."""
-    walked = walk_newest_folders(spark, base, n)
+def newest_folders(spark: SparkSession, base: str, n: int,
+                   since: str | None = None) -> list[tuple[str, list[str]]]:
+    """The ``n`` newest hour folders, and every other one not older than
+    ``since``, with their Parquet files: the walk, or the listing DataFrame
+    when there is no JVM gateway (that listing only sees folders holding at
+    least one file)."""
+    walked = walk_newest_folders(spark, base, n, since)
     if walked is not None:
         return walked
     listing = list_landing_files(spark, base)
     chosen = [f for f, _ in latest_folders(listing, n)]
+    if since:
+        order = folder_order(*[F.col(f"{lv}_name") for lv in LEVELS])
+        newer = listing.filter(order >= folder_order(*[F.lit(name) for name in since.split("/")]))
+        chosen += [f for f, _ in latest_folders(newer, None) if f not in chosen]
     files: dict[str, list[str]] = {f: [] for f in chosen}
     for r in (listing.filter(F.col("folder").isin(chosen) & F.col("is_parquet"))
               .select("folder", "path").collect()):
@@ -174,6 +183,22 @@ def newest_folders(spark: SparkSession, base: str, n: int) -> list[tuple[str, li
     return [(f, sorted(files[f])) for f in chosen]
 
 
+def folder_of(path: str) -> str:
+    """``y/m/d/h`` of a landing file's path."""
+    return "/".join(path.split("/")[-len(LEVELS) - 1:-1])
+
+
+def folder_key(folder: str) -> tuple:
+    """Sort key of ``y/m/d/h``."""
+    return tuple(_name_key(name) for name in folder.split("/"))
+
+
+def newest_folder(spark: SparkSession, base: str) -> str | None:
+    """``y/m/d/h`` of the newest hour folder, None when there is none."""
+    found = newest_folders(spark, base, 1)
+    return folder_of(f"{found[0][0].rstrip('/')}/") if found else None
+
+
 def _paths_frame(spark: SparkSession, paths: Sequence[str], per_task: int = 256) -> DataFrame:
     """A DataFrame of file paths, spread so each task opens ~``per_task``."""
     df = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -280,8 +305,10 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
 
 def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_folders: int | None = 2,
                      *, ignore_corrupt_files: bool = True, with_order: bool = False,
-                     drift: str = "off", skipped: list | None = None) -> DataFrame:
-    """L3: all Parquet files of the ``n_folders`` newest hour folders.
+                     drift: str = "off", skipped: list | None = None,
+                     since: str | None = None) -> DataFrame:
+    """L3: all Parquet files of the ``n_folders`` newest hour folders, and of
+    every other folder not older than ``since`` (``y/m/d/h``).
 
     Raises when there is no folder or the chosen folders hold no Parquet
     file. ``n_folders=None`` reads every folder (a backfill): then the base
@@ -296,7 +323,7 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
         drop = screen_files(parquet, schema, drift, skipped)
         opts["ignore_corrupt_files"] &= not drop.unchecked
         return read_landing_folders(spark, [base], schema, recursive=True, exclude=drop, **opts)
-    folders = newest_folders(spark, base, n_folders)
+    folders = newest_folders(spark, base, n_folders, since)
     if not folders:
         raise ValueError(f"{base} holds no hour folder to load")
     paths = [p for _, fs in folders for p in fs]

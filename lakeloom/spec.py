@@ -121,6 +121,7 @@ class TableSpec:
     # landing options
     landing_base: str | None = None
     n_folders: int | None = 2
+    catch_up: bool = True            # also read every folder since the last one loaded
     snapshot_mode: str = "latest_file"
     ignore_corrupt_files: bool = True
     newest_file_wins: bool = True

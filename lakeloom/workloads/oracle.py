@@ -12,7 +12,7 @@ _DEDUP_EVENTS = f"SELECT * FROM events QUALIFY {_RN_EVENTS}"
 _NEWEST_HOURS = ("SELECT DISTINCT date_trunc('hour', ts) AS hr FROM events "
                  "ORDER BY hr DESC LIMIT {n}")
 _LOOKUP = ("SELECT o_custkey AS shop_id, o_totalprice AS lp FROM orders "
-           "WHERE o_orderstatus = 'O' AND o_custkey IS NOT NULL QUALIFY row_number() OVER "
+           "WHERE o_custkey % 3 <> 0 QUALIFY row_number() OVER "
            "(PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, "
            "o_orderkey DESC NULLS LAST) = 1")
 
@@ -32,19 +32,15 @@ UNION ALL
 SELECT s.*{a('update')} FROM s JOIN t ON {key} WHERE s.ts {op} t.ts"""
 
 
-_RAW_INCREMENTAL = f"""WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20' QUALIFY {_RN_EVENTS}),
-h AS ({_NEWEST_HOURS.format(n=2)}),
-s AS (SELECT * FROM events WHERE date_trunc('hour', ts) IN (SELECT hr FROM h) QUALIFY {_RN_EVENTS}),
-m AS (
-  SELECT s.* FROM s WHERE NOT EXISTS
-    (SELECT 1 FROM t WHERE t.user_id = s.user_id AND t.event_type = s.event_type)
-  UNION ALL
-  SELECT t.* FROM t WHERE NOT EXISTS
-    (SELECT 1 FROM s WHERE t.user_id = s.user_id AND t.event_type = s.event_type AND s.ts >= t.ts)
-  UNION ALL
-  SELECT s.* FROM s JOIN t ON t.user_id = s.user_id AND t.event_type = s.event_type
-  WHERE s.ts >= t.ts)
-SELECT *, {_YMD.format(c='ts')} FROM m"""
+_LOADED = f"SELECT *, {_YMD.format(c='ts')} FROM ({_DEDUP_EVENTS}) d"
+
+_HISTORY = f"""WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20' QUALIFY {_RN_EVENTS}),
+s AS (SELECT *, EXISTS (SELECT 1 FROM t WHERE t.user_id = e.user_id AND t.event_type = e.event_type) AS known
+  FROM events e WHERE ts > (SELECT max(ts) FROM t) QUALIFY {_RN_EVENTS})
+SELECT 'CREATE' AS operation, count(*) AS source_rows, count(*) AS inserted,
+  CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted FROM t
+UNION ALL
+SELECT 'MERGE', count(*), count(*) FILTER (WHERE NOT known), count(*) FILTER (WHERE known), CAST(0 AS BIGINT) FROM s"""
 
 _FACT_REVENUE = f"""WITH f AS (
   SELECT event_id, ts AS created_at, user_id AS shop_id, event_type, value AS daily_sales
@@ -136,7 +132,7 @@ UNION ALL SELECT * FROM s""",
         "ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) = 1"),
     "create_on_missing": _DEDUP_EVENTS,
     "full_overwrite_partitioned": f"SELECT *, {_YMD.format(c='ts')} FROM events",
-    "raw_incremental_e2e": _RAW_INCREMENTAL,
+    "raw_incremental_e2e": _LOADED,
     "raw_full_e2e": (
         "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
         "c_mktsegment FROM customer"),
@@ -147,8 +143,17 @@ UNION ALL SELECT * FROM s""",
   ('report_missing_source', 'FAILED', CAST(0 AS BIGINT), 'FULL', 'DIMENSION'),
   ('report_bad_type', 'FAILED', CAST(0 AS BIGINT), 'DELTA', 'DIMENSION'))
   AS r(table_name, status, row_count, load_type, category)""",
-    "run_outcomes": ("SELECT CAST(3 AS BIGINT) AS total, CAST(1 AS BIGINT) AS success, "
-                     "CAST(2 AS BIGINT) AS failed FROM (SELECT count(*) FROM events) e"),
+    "run_outcomes": ("SELECT count(*) + 2 AS total, count(n.k) AS success, count(*) - count(n.k) + 2 AS failed "
+                     "FROM region LEFT JOIN (SELECT DISTINCT n_regionkey AS k FROM nation) n ON n.k = r_regionkey"),
+    "clean_incremental_enriched": _FACT_REVENUE,
+    "load_history": _HISTORY,
+    "landing_missing_base": f"""SELECT * FROM (VALUES
+  ('present', 'SUCCESS', (SELECT count(*) FROM (SELECT * FROM events
+     WHERE date_trunc('hour', ts) IN ({_NEWEST_HOURS.format(n=1)}) QUALIFY {_RN_EVENTS}) d)),
+  ('missing', 'FAILED', CAST(0 AS BIGINT)))
+  AS r(table_name, status, row_count)""",
+    "custom_transform": f"SELECT *, value > 50 AS high_value FROM ({_DEDUP_EVENTS}) d",
+    "run_two_hops": _LOADED,
     "stream_upsert": f"SELECT *, {_YMD.format(c='ts')} FROM ({_DEDUP_EVENTS}) d",
     "revenue_latest_facts": _FACT_REVENUE,
 }

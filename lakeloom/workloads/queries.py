@@ -9,8 +9,9 @@ folder first stage the data they need *with Spark* under a fresh folder of
 
 Stand-ins (the generated tables are not the reference's tables):
 fact = ``events`` (user_id -> shop_id, value -> daily_sales, ts ->
-created_at); price lookup = open ``orders`` (o_custkey -> shop_id,
-o_totalprice -> price, o_orderdate -> creation_timestamp); dirty keys =
+created_at); price lookup = ``orders`` (o_custkey -> shop_id, null for every
+third customer, whose facts stay unmatched; o_totalprice -> price, o_orderdate
+-> creation_timestamp); dirty keys =
 ``lineitem`` by (l_orderkey, l_linenumber); snapshot = ``customer``;
 no-timestamp table = ``nation``.
 """
@@ -24,7 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.functions.transforms import alias_columns, apply_transforms, cast_columns, derive_ymd
+from lakeloom.functions.transforms import alias_columns, apply_transforms, cast_columns, derive_ymd, \
+    register_transform
 from lakeloom.operators.dedup import latest_per_key, latest_value
 from lakeloom.operators.enrich import price_revenue
 from lakeloom.operators.upsert import action_counts, guarded_upsert
@@ -38,7 +40,7 @@ from lakeloom.plans.loads import load_clean_full, load_clean_incremental, load_r
     load_raw_incremental, prepare
 from lakeloom.plans.runner import outcome_counts, run_loads
 from lakeloom.session import scratch_path
-from lakeloom.sinks.history import latest_entries
+from lakeloom.sinks.history import latest_entries, table_history
 from lakeloom.sinks.tables import overwrite_table, upsert_table
 from lakeloom.sources.landing import read_full_snapshot, read_incremental, read_landing_folders
 from lakeloom.sources.tables import read_table
@@ -93,9 +95,10 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """open orders as the listing dimension holding a price per shop."""
-    return (table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O")
-            .select("o_orderkey", F.col("o_custkey").alias("shop_id"),
+    """orders as the listing dimension holding a price per shop; every third
+    customer's key is NULL, so that shops without a price exist."""
+    return (table(spark, sf_dir, "orders")
+            .select("o_orderkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("shop_id"),
                     F.col("o_totalprice").alias("price"),
                     F.col("o_orderdate").alias("creation_timestamp")))
 
@@ -327,7 +330,7 @@ def q_raw_incremental_e2e(spark, sf_dir):
     load_raw_incremental(spark, spec, n_folders=None)             # backfill: every folder
     stage_landing(ev.filter(F.col("ts") >= split), f"{base}/events_landing", "ts",
                   one_file_per_folder=True)
-    load_raw_incremental(spark, spec, n_folders=2)                # newest two hours
+    load_raw_incremental(spark, spec, n_folders=2)                # every hour since the backfill
     return spark.table(spec.target)
 
 
@@ -365,27 +368,97 @@ def q_clean_incremental_e2e(spark, sf_dir):
     return spark.table(spec.target)
 
 
-def q_clean_full_e2e(spark, sf_dir):
-    raw_fact, dim = _uniq("raw_fact"), _uniq("dim_listing")
-    overwrite_table(facts(spark, sf_dir), raw_fact)
-    overwrite_table(price_lookup(spark, sf_dir), dim)
-    spec = TableSpec(target=_uniq("fact_sales"), source=raw_fact, load_type=FULL, category="FACT",
+def _fact_spec(target: str, source: str, lookup: str, load_type: str) -> TableSpec:
+    return TableSpec(target=target, source=source, load_type=load_type, category="FACT",
                      columns=("event_id", "created_at", "shop_id", "event_type", "daily_sales"),
                      key=("shop_id", "event_type"), timestamp="created_at",
                      partition_cols=YMD_COLUMNS, transforms=("DERIVE_YMD", "PRICE_REVENUE"),
-                     lookup=LookupSpec(dim, "shop_id", "price", "daily_sales",
+                     lookup=LookupSpec(lookup, "shop_id", "price", "daily_sales",
                                        "creation_timestamp", ("o_orderkey",)),
                      tiebreak=("event_id",))
+
+
+def q_clean_incremental_enriched(spark, sf_dir):
+    """R1c with J3: the rows after the watermark get their price and revenue
+    and are merged into the fact table."""
+    raw_fact, dim = _uniq("raw_fact"), _uniq("dim_listing")
+    ev = facts(spark, sf_dir)
+    overwrite_table(price_lookup(spark, sf_dir), dim)
+    spec = _fact_spec(_uniq("fact_sales"), raw_fact, dim, INCREMENTAL)
+    overwrite_table(ev.filter(F.col("created_at") < F.lit(SPLIT_TS).cast("timestamp_ntz")), raw_fact)
+    load_clean_incremental(spark, spec)
+    overwrite_table(ev, raw_fact)
+    load_clean_incremental(spark, spec)
+    return spark.table(spec.target)
+
+
+def q_load_history(spark, sf_dir):
+    """M5: two loads record themselves; their entries read back."""
+    ev, raw = table(spark, sf_dir, "events"), _uniq("raw_events")
+    spec = TableSpec(target=_uniq("recorded_events"), source=raw, load_type=INCREMENTAL,
+                     columns=EVENT_COLS, key=EVENT_KEY, timestamp="ts", tiebreak=("event_id",))
+    overwrite_table(ev.filter(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")), raw)
+    load_clean_incremental(spark, spec)
+    overwrite_table(ev, raw)
+    load_clean_incremental(spark, spec)
+    return table_history(spark, spec.target).select("operation", "source_rows", "inserted", "updated", "deleted")
+
+
+def q_run_two_hops(spark, sf_dir):
+    """R2: a clean table and the raw table it reads, in one run."""
+    base = scratch_path(spark, "landing-hops")
+    stage_landing(table(spark, sf_dir, "events"), f"{base}/events_landing", "ts", one_file_per_folder=True)
+    raw = _events_raw_spec(_uniq("raw_events"), base).with_(n_folders=None)
+    clean = TableSpec(target=_uniq("clean_events"), source=raw.target, load_type=INCREMENTAL,
+                      category="FACT", columns=EVENT_COLS, key=EVENT_KEY, timestamp="ts",
+                      partition_cols=YMD_COLUMNS, transforms=("DERIVE_YMD",), tiebreak=("event_id",))
+    run_loads(spark, [clean, raw])
+    return spark.table(clean.target)
+
+
+def q_landing_missing_base(spark, sf_dir):
+    """A landing base that does not exist fails its own table only; an
+    hour folder without a Parquet file counts as a folder and adds no row."""
+    base = scratch_path(spark, "landing-missing")
+    stage_landing(table(spark, sf_dir, "events"), f"{base}/events_landing", "ts", one_file_per_folder=True)
+    (table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
+     .write.text(f"{base}/events_landing/y=2100/m=1/d=1/h=0"))
+    names = {"present": _uniq("landing_present"), "missing": _uniq("landing_missing")}
+    report = run_loads(spark, [_events_raw_spec(names["present"], base),
+                               _events_raw_spec(names["missing"], f"{base}/nowhere")])
+    return _renamed(report, names).select("table_name", "status", "row_count")
+
+
+def q_custom_transform(spark, sf_dir):
+    """A transform that a user registers."""
+    register_transform("FLAG_HIGH_VALUE", lambda df, spec: df.withColumn("high_value", F.col("value") > 50),
+                       lambda spec: {"high_value"})
+    spec = TableSpec(target="flagged", source="events", key=EVENT_KEY, timestamp="ts",
+                     transforms=("FLAG_HIGH_VALUE",), tiebreak=("event_id",))
+    return prepare(table(spark, sf_dir, "events"), spec)
+
+
+def _renamed(report: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The report under fixed table names."""
+    name = F.col("table_name")
+    for fixed, own in names.items():
+        name = F.when(F.col("table_name") == own, fixed).otherwise(name)
+    return report.withColumn("table_name", name)
+
+
+def q_clean_full_e2e(spark, sf_dir):
+    raw_fact, dim = _uniq("raw_fact"), _uniq("dim_listing")
+    overwrite_table(facts(spark, sf_dir), raw_fact)
+    overwrite_table(price_lookup(spark, sf_dir), dim)
+    spec = _fact_spec(_uniq("fact_sales"), raw_fact, dim, FULL)
     load_clean_full(spark, spec)
     return spark.table(spec.target)
 
 
-def _report_specs() -> list[TableSpec]:
-    ok = TableSpec(target="report_events_latest", source="events", load_type=FULL,
-                   category="FACT", columns=EVENT_COLS, key=EVENT_KEY, timestamp="ts",
-                   tiebreak=("event_id",))
+def _report_specs(ok: str) -> list[TableSpec]:
     return [
-        ok,
+        TableSpec(target=ok, source="events", load_type=FULL, category="FACT", columns=EVENT_COLS,
+                  key=EVENT_KEY, timestamp="ts", tiebreak=("event_id",)),
         TableSpec(target="report_disabled", source="events", enabled=False),
         TableSpec(target="report_missing_source", source="no_such_table_anywhere"),
         TableSpec(target="report_bad_type", source="events", load_type="DELTA"),
@@ -393,15 +466,21 @@ def _report_specs() -> list[TableSpec]:
 
 
 def q_run_outcomes(spark, sf_dir):
-    """A3: tables loaded / succeeded / failed in one run."""
-    register_inputs(spark, sf_dir, ("events",))
-    return outcome_counts(run_loads(spark, _report_specs(), max_workers=2))
+    """A3: tables loaded / succeeded / failed in one run. One table per
+    region; a region without nations has no source."""
+    nations, made = table(spark, sf_dir, "nation"), _uniq("outcome")
+    keys = [r[0] for r in table(spark, sf_dir, "region").select("r_regionkey").collect()]
+    for k in (r[0] for r in nations.select("n_regionkey").distinct().collect()):
+        nations.filter(F.col("n_regionkey") == k).createOrReplaceTempView(f"{made}_nations_{k}")
+    specs = [TableSpec(target=f"{made}_{k}", source=f"{made}_nations_{k}", load_type=FULL) for k in keys]
+    return outcome_counts(run_loads(spark, [*specs, *_report_specs("")[2:]]))
 
 
 def q_run_report(spark, sf_dir):
     register_inputs(spark, sf_dir, ("events",))
-    report = run_loads(spark, _report_specs(), max_workers=2)
-    return report.select("table_name", "status", "row_count", "load_type", "category")
+    names = {"report_events_latest": _uniq("report_events")}
+    report = run_loads(spark, _report_specs(names["report_events_latest"]), max_workers=2)
+    return _renamed(report, names).select("table_name", "status", "row_count", "load_type", "category")
 
 
 def q_stream_upsert(spark, sf_dir):
@@ -446,9 +525,10 @@ def q_landing_schema_drift(spark, sf_dir):
     drifted = (ev.join(newest, F.date_trunc("hour", ev["ts"]) == newest["h"], "left_semi")
                .withColumn("user_id", F.col("user_id").cast("string")))
     stage_landing(drifted, f"{base}/events_landing", "ts", one_file_per_folder=True)
-    specs = [_events_raw_spec(name, base).with_(schema_drift=mode)
+    names = {"drift_excluded": _uniq("drift_excluded"), "drift_fatal": _uniq("drift_fatal")}
+    specs = [_events_raw_spec(names[name], base).with_(schema_drift=mode)
              for name, mode in (("drift_excluded", "exclude"), ("drift_fatal", "error"))]
-    report = run_loads(spark, specs, max_workers=2)
+    report = _renamed(run_loads(spark, specs, max_workers=2), names)
     return report.select("table_name", "status", "row_count", "skipped_files")
 
 
@@ -493,6 +573,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_full_e2e": q_raw_full_e2e,
     "clean_incremental_e2e": q_clean_incremental_e2e,
     "clean_full_e2e": q_clean_full_e2e,
+    "clean_incremental_enriched": q_clean_incremental_enriched,
+    "load_history": q_load_history,
+    "landing_missing_base": q_landing_missing_base,
+    "custom_transform": q_custom_transform,
+    "run_two_hops": q_run_two_hops,
     "run_report": q_run_report,
     "run_outcomes": q_run_outcomes,
     "stream_upsert": q_stream_upsert,

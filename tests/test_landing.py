@@ -111,3 +111,47 @@ def test_walk_matches_listing_and_skips_hidden(spark, tmp_base):
     assert [f.rsplit("/", 1)[1] for f, _ in got] == ["hour=11", "hour=10"]
     assert [len(fs) for _, fs in got] == [0, 1]
     assert [r.id for r in read_incremental(spark, tmp_base + "/kv", SCHEMA, 2).collect()] == [2]
+
+
+def test_catch_up_reads_every_hour_since_the_last_load(spark, tmp_base):
+    from lakeloom.plans.loads import load_raw_incremental
+    from lakeloom.spec import TableSpec
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
+
+    def hour(h, *ids):
+        folder = os.path.join(tmp_base, "it's", "2024", "1", "1", str(h))
+        os.makedirs(folder, exist_ok=True)
+        pq.write_table(pa.table({"id": pa.array(ids, pa.int64()),
+                                 "ts": pa.array([dt.datetime(2024, 1, 1, h)] * len(ids), pa.timestamp("us"))}),
+                       os.path.join(folder, f"f{ids[0]}.parquet"))
+
+    def spec(target, **kw):
+        return TableSpec(target=target, source="it's", load_type="INCREMENTAL", schema=schema, key=("id",),
+                         timestamp="ts", update_op=">=", landing_base=tmp_base, n_folders=1, **kw)
+
+    def ids(target):
+        return sorted(r.id for r in spark.table(target).collect())
+
+    hour(1, 1)
+    hour(9, 2)
+    for target, catch_up in (("caught_up", True), ("not_caught_up", False)):
+        load_raw_incremental(spark, spec(target, catch_up=catch_up), record=False)
+        assert ids(target) == [2]
+    hour(9, 3)                      # late, in an hour that was loaded
+    for h in (10, 11, 12):          # three runs were missed
+        hour(h, h)
+    load_raw_incremental(spark, spec("not_caught_up", catch_up=False), record=False)
+    assert ids("not_caught_up") == [2, 12]
+    assert load_raw_incremental(spark, spec("caught_up"), record=False).source_rows == 5
+    assert ids("caught_up") == [2, 3, 10, 11, 12]
+    assert load_raw_incremental(spark, spec("caught_up"), record=False).source_rows == 1
+
+
+def test_newest_folders_since_without_gateway(spark, tmp_base, monkeypatch):
+    from lakeloom.sources import landing
+    for h in ("1", "2", "9", "10"):
+        put(tmp_base, "2024", "1", "1", h, "a.parquet", [1])
+    want = [f for f, _ in landing.newest_folders(spark, tmp_base, 1, "2024/1/1/2")]
+    assert [f.rsplit("/", 1)[1] for f in want] == ["10", "9", "2"]
+    monkeypatch.setattr(landing, "walk_newest_folders", lambda *a: None)
+    assert [f for f, _ in landing.newest_folders(spark, tmp_base, 1, "2024/1/1/2")] == want

@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from lakeloom.workloads import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
 
-TABLES = "nation customer orders lineitem events".split()
+TABLES = "region nation customer orders lineitem events".split()
 
 
 def _norm(v):

@@ -17,8 +17,8 @@ def test_flagship_prunes_pushes_and_limits_before_shuffle(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     events = [s for s in schemas if "event_type" in s]
     assert events and "props" not in events[0]                 # column pruning
-    assert "EqualTo(o_orderstatus,O)" in plan                  # lookup filter at the scan
-    assert "IsNotNull(o_custkey)" in plan                      # NULL keys never shuffled
+    orders = [s for s in schemas if "o_custkey" in s]
+    assert orders and "o_orderstatus" not in orders[0]
     # both dedups keep one row per key per task before their exchange
     assert plan.count("WindowGroupLimit") >= 4 and plan.count("Partial") >= 2
     assert "LeftOuter" in plan
