@@ -326,6 +326,36 @@ def test_vectors(spark):
     assert vector_dedup.near_vectors(df.filter("vec_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("whole, n, mean", [(None, 6000, 0.85), (None, 3000, 0.7), (64, 1500, 0.85), (64, 1500, 0.0)])
+def test_vectors_that_share_a_direction(spark, monkeypatch, whole, n, mean):
+    if whole:                                          # so that passes are made
+        monkeypatch.setattr(vector_dedup, "WHOLE", whole)
+    rng = np.random.default_rng(11)
+    common = rng.standard_normal(64)
+    common /= np.linalg.norm(common)
+    x = rng.standard_normal((n, 64))
+    x = mean ** 0.5 * common + (1 - mean) ** 0.5 * x / np.linalg.norm(x, axis=1)[:, None]
+    for k in range(0, n // 10, 2):                     # planted pairs at about 0.935
+        u = x[k] / np.linalg.norm(x[k])
+        side = rng.standard_normal(64)
+        side -= side @ u * u
+        x[k + 1] = 0.935 * u + (1 - 0.935 ** 2) ** 0.5 * side / np.linalg.norm(side)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    root = np.arange(n)
+    while True:
+        new = np.array([min(root[i], *root[near[i]]) if near[i].any() else root[i] for i in range(n)])
+        if (new == root).all():
+            break
+        root = new
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(df).collect()}
+    wrong = [i for i in range(n) if got[i] != (near[i].sum(), root[i])]
+    assert near.sum() >= n // 10 and not wrong
+
+
 def test_pipeline(spark, tmp_path, small):
     import corpus_pipeline
     out = corpus_pipeline.run(spark, SF_SMALL)
