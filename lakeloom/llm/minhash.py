@@ -5,13 +5,16 @@ how often it occurs). Each shingle sends out a Poisson process whose rate is
 its weight; every arrival goes to a random one of ``REGISTERS`` registers, and
 a register keeps the shingle that arrived first. Arrivals end as soon as they
 are later than every register's first one. Two registers agree with
-probability equal to the probability Jaccard similarity of the documents.
+probability equal to the probability Jaccard similarity of the documents. The
+same with all weights 1 gives a second family of registers, which agree with
+probability equal to the plain Jaccard similarity; a document whose shingles
+all occur equally often has the same registers in both.
 
-Bands of registers file documents into buckets. In each bucket every document
+Bands of registers of both families file documents into buckets. In each bucket every document
 is compared with the bucket's first one; afterwards only documents of one
 bucket that are still in different groups are compared, in tiles of registers
 that return likely pairs only. A pair is first judged by its registers (only
-those far below the threshold leave) and then exactly, on its shingles: it is linked when its probability Jaccard or its plain Jaccard
+those far below the threshold in both families leave) and then exactly, on its shingles: it is linked when its probability Jaccard or its plain Jaccard
 similarity is at least ``THRESHOLD``. Groups are connected components; the
 smallest doc_id names a group and is the document that stays.
 
@@ -50,8 +53,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5
-#: Registers of a signature; bands use the first BANDS * ROWS, all of them
-#: estimate a pair's similarity.
+#: Registers of each family of a signature; bands use the first BANDS * ROWS,
+#: all of them estimate a pair's similarity.
 REGISTERS = 256
 #: A pair whose estimate lies this many standard deviations below the
 #: threshold leaves without an exact comparison (about 1 in 10,000 pairs at
@@ -114,6 +117,22 @@ def probminhash(packed: np.ndarray, at: np.ndarray, registers: int = REGISTERS)
     return out
 
 
+def both_families(packed: np.ndarray, at: np.ndarray, registers: int = REGISTERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighted and plain registers, and which rows have uneven weights (the
+    others' plain registers are their weighted ones)."""
+    weighted = probminhash(packed, at, registers)
+    size = np.diff(at)
+    row = np.repeat(np.arange(len(size)), size)
+    weight = packed & _COUNT
+    uneven = np.zeros(len(size), dtype=bool)
+    uneven[row[weight != weight[at[:-1][row]]]] = True
+    plain = weighted.copy()
+    if uneven.any():
+        own = (packed[uneven[row]] & ~_COUNT) | np.uint64(1)
+        plain[uneven] = probminhash(own, np.concatenate([[0], np.cumsum(size[uneven])]), registers)
+    return weighted, plain, uneven
+
+
 def similarities(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
     """Exact probability Jaccard and plain Jaccard of two packed sets."""
     ia, ib = a >> _ID, b >> _ID
@@ -143,28 +162,33 @@ def _steps(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.nd
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS) -> DataFrame:
-    """``_n, registers`` (little-endian uint32) of every row of ``_n, _t``
-    that has a word."""
+    """``_n, registers`` (little-endian uint32; weighted and plain ones, or one
+    family if they are the same) of every row of ``_n, _t`` that has a word."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offs in _steps(b, "_t"):
                 packed, at = weighted_shingles(data, offs, shingle)
-                got = probminhash(packed, at, registers).astype("<u4")
+                weighted, plain, uneven = both_families(packed, at, registers)
+                weighted, plain = weighted.astype("<u4"), plain.astype("<u4")
                 full = np.flatnonzero(np.diff(at) > 0)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("_n").slice(i, j - i).take(pa.array(full)),
-                     pa.array([got[k].tobytes() for k in full], pa.binary())], ["_n", "registers"])
+                     pa.array([weighted[k].tobytes() + (plain[k].tobytes() if uneven[k] else b"") for k in full],
+                              pa.binary())], ["_n", "registers"])
 
     return docs.select("_n", "_t").mapInArrow(sign, "_n long, registers binary")
 
 
-def _registers(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(len(column), -1)
+def _registers(column: pa.Array, registers: int = REGISTERS) -> np.ndarray:
+    """Registers by document, family and number."""
+    raw = b"".join(r if len(r) == 8 * registers else r + r for r in column.to_pylist())
+    return np.frombuffer(raw, dtype="<u4").reshape(len(column), 2, registers)
 
 
 def _band_keys(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    regs = registers[:, :bands * rows].reshape(len(registers), bands, rows)
-    key = np.broadcast_to(splitmix(np.arange(bands, dtype=np.uint64)), regs.shape[:2]).copy()
+    """Keys of the bands of both families, the weighted ones first."""
+    regs = registers[:, :, :bands * rows].reshape(len(registers), 2 * bands, rows)
+    key = np.broadcast_to(splitmix(np.arange(2 * bands, dtype=np.uint64)), regs.shape[:2]).copy()
     for k in range(rows):
         key = splitmix(key ^ regs[:, :, k].astype(np.uint64))
     return key.view(np.int64)
@@ -175,22 +199,27 @@ def _least(registers: int, threshold: float) -> float:
 
 
 def _bands(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``_n, bucket`` for each band."""
+    """``_n, bucket`` for each band; ``own``: the bucket may hold pairs that
+    share no weighted band (a plain band of documents whose families are the
+    same files them as their weighted band does)."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key = _band_keys(_registers(b.column("registers")), bands, rows)
-            yield pa.RecordBatch.from_pydict({"_n": np.repeat(b.column("_n").to_numpy(), bands).astype(np.int64),
-                                              "bucket": key.reshape(-1)})
+            regs = _registers(b.column("registers"))
+            key = _band_keys(regs, bands, rows)
+            own = np.ones(key.shape, dtype=bool)
+            own[:, bands:] = (regs[:, 0] != regs[:, 1]).any(axis=1)[:, None]
+            yield pa.RecordBatch.from_pydict({"_n": np.repeat(b.column("_n").to_numpy(), 2 * bands).astype(np.int64),
+                                              "bucket": key.reshape(-1), "own": own.reshape(-1)})
 
-    return signed.mapInArrow(split, "_n long, bucket long")
+    return signed.mapInArrow(split, "_n long, bucket long, own boolean")
 
 
 def _likely(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose registers do not rule out the threshold."""
+    """Pairs whose registers of one family do not rule out the threshold."""
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = _registers(b.column("ra")), _registers(b.column("rb"))
-            ok = (x == y).sum(axis=1) >= _least(x.shape[1], threshold)
+            ok = (x == y).sum(axis=2).max(axis=1) >= _least(x.shape[2], threshold)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     first = signed.select(F.col("_n").alias("a"), F.col("registers").alias("ra"))
@@ -208,7 +237,7 @@ def _likely_in_buckets(placed: DataFrame, signed: DataFrame, threshold: float, b
         for t, edges in runs(batches, ["bucket", "i", "j"]):
             regs, n, root = _registers(t["registers"].combine_chunks()), t["_n"].to_numpy(), t["root"].to_numpy()
             mine, i, j, bucket = (t[k].to_numpy() for k in ("mine", "i", "j", "bucket"))
-            least = _least(regs.shape[1], threshold)
+            least = _least(regs.shape[2], threshold)
             found: list[np.ndarray] = []
             for lo, hi in zip(edges, edges[1:]):
                 left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
@@ -216,10 +245,10 @@ def _likely_in_buckets(placed: DataFrame, signed: DataFrame, threshold: float, b
                 for x in left:
                     y = right[(root[right] != root[x]) & (n[right] > n[x] if i[lo] == j[lo] else True)]
                     same = regs[y] == regs[x]
-                    agree = same.sum(axis=1)
+                    agree = same.sum(axis=2).max(axis=1)
                     y, same, agree = y[agree >= least], same[agree >= least], agree[agree >= least]
                     if len(y):
-                        agreed = same[:, :bands * rows].reshape(len(y), bands, rows).all(axis=2).argmax(axis=1)
+                        agreed = same[:, :, :bands * rows].reshape(len(y), 2 * bands, rows).all(axis=2).argmax(axis=1)
                         key = _band_keys(regs[x:x + 1], bands, rows)[0]
                         here = key[agreed] == bucket[lo]
                         y, agree = y[here], agree[here]
@@ -270,9 +299,10 @@ def _groups(docs: DataFrame, shingle: int, threshold: float, bands: int, rows: i
     signed = written(signatures(docs, shingle)
                      .join(copies.select(F.col("rep").alias("_n")), "_n", "left_semi"), "minhash-registers")
     filed = _bands(signed, bands, rows)
-    buckets = written(filed.groupBy("bucket").agg(F.min("_n").alias("lead"), F.max("_n").alias("other"))
-                      .filter("lead < other").select("bucket", "lead"), "minhash-buckets")
-    members = written(_bands(signed, bands, rows).join(buckets, "bucket"), "minhash-members")
+    buckets = written(filed.groupBy("bucket").agg(F.min("_n").alias("lead"), F.max("_n").alias("other"),
+                                                   F.max("own").alias("own"))
+                      .filter("lead < other and own").select("bucket", "lead"), "minhash-buckets")
+    members = written(_bands(signed, bands, rows).drop("own").join(buckets, "bucket"), "minhash-members")
     pairs = written(members.filter("_n <> lead").select(F.col("lead").alias("a"), F.col("_n").alias("b")).distinct(),
                     "minhash-pairs")
     links = _verified(_likely(pairs, signed, threshold), docs, shingle, threshold, "minhash")

@@ -95,6 +95,15 @@ def test_near_copies_of_a_large_group_are_linked(spark):
     assert {r.class_id for r in got} == {0}
 
 
+def test_near_copies_with_repeated_lines_are_linked(spark):
+    rows = []                                   # half of a text once and m times: plain Jaccard 0.96
+    for i in range(40):
+        w = [f"t{i}w{k}" for k in range(200)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:100] * (3, 4, 5, 10)[i % 4] + w[100:]))]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(80)}
+
+
 def test_packing(spark, odd, empty):
     got = packing.pack_documents(odd, known_path("word_bpe_49k.json")).collect()
     want = Counter()
