@@ -5,8 +5,8 @@ hashed to ``BUCKETS``), weighted by TF-IDF: the share of the text's n-grams
 times the inverse document frequency. Document frequencies are counted over
 all labelled documents. Weights are fitted with follow-the-regularised-leader
 (per-coordinate rates, L1 and L2 penalty) on a bounded sample of them,
-``MAX_SAMPLE`` documents in all, spread evenly over the languages and chosen by
-a hash of the row; a fifth of the sample is left out and sets the temperature
+``MAX_SAMPLE`` different documents in all, spread evenly over the languages and
+chosen by a hash of the text, before they reach the driver; a fifth of the sample is left out and sets the temperature
 that calibrates the scores. Prediction reads every whole text.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every
@@ -23,10 +23,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import chunks, prepare
+from lakeloom.llm.common import chunks, prepare, written
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -156,8 +156,10 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_sample:
     prepare(spark)
     own = labelled.filter(F.col(lang).isNotNull()) \
         .select(F.coalesce(F.col(text), F.lit("")).alias("t"), F.col(lang).alias("l")) \
-        .filter(F.col("t").rlike(_LETTER))
-    sizes = {r["l"]: r["count"] for r in own.groupBy("l").count().collect()}
+        .filter(F.col("t").rlike(_LETTER)) \
+        .withColumns({"h": F.xxhash64(F.lit(5), "t"), "k": F.xxhash64(F.lit(6), "t")})
+    keys = written(own.select("l", "h", "k").distinct(), "lang-keys")      # copies count once
+    sizes = {r["l"]: r["count"] for r in keys.groupBy("l").count().collect()}
     if not sizes:
         return Model()
     langs = sorted(sizes)
@@ -189,17 +191,22 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_sample:
                     "bucket": [bucket[a:z].astype("<i4").tobytes() for a, z in zip(cut, cut[1:])],
                     "count": [count[a:z].astype("<i4").tobytes() for a, z in zip(cut, cut[1:])]})
 
-    share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, 1.1 * each / sizes[k]))])
-    chosen = own.withColumn("h", F.xxhash64(F.lit(5), "t")) \
-        .filter(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.element_at(share, F.col("l")))
+    # hashes small enough to be among the smallest (short of them about once
+    # in a billion), and of those the smallest of each language
+    enough = each + 6 * each ** 0.5 + 10
+    share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, enough / sizes[k]))])
+    place = F.shiftrightunsigned("h", 11)
+    few = keys.filter(place / float(1 << 53) < F.element_at(share, F.col("l"))) \
+        .withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy(place, "h", "k"))) \
+        .filter(F.col("n") <= each).drop("n")
+    chosen = own.join(F.broadcast(written(few, "lang-sample")), ["l", "h", "k"], "left_semi") \
+        .dropDuplicates(["l", "h", "k"]).select("t", "l", "h")
     got = sorted(chosen.mapInArrow(vectors, "l string, h long, bucket binary, count binary").collect(),
                  key=lambda r: (r["h"], r["l"]))
     taken: dict[str, int] = {}
     train, held = [], []
     for r in got:
         taken[r["l"]] = k = taken.get(r["l"], 0) + 1
-        if k > each:
-            continue
         at = np.frombuffer(r["bucket"], dtype="<i4")
         tf = np.frombuffer(r["count"], dtype="<i4").astype(np.float64)
         x = np.append(tf / tf.sum() * idf[at], 1.0)

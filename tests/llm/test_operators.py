@@ -300,6 +300,24 @@ def test_language_id(spark, odd, empty):
     assert {r.lang_pred for r in lang_id.predict(odd, lang_id.Model()).collect()} == {"und"}
 
 
+def test_language_sample_holds_different_texts(spark, monkeypatch):
+    texts = [f"some words of text number {i}" for i in range(400)]
+    low = spark.createDataFrame([(t,) for t in texts], "t string") \
+        .orderBy(F.shiftrightunsigned(F.xxhash64(F.lit(5), "t"), 11)).first()["t"]      # first to be chosen
+    rows = [(t, "en") for t in texts + [low] * 600] + [(f"mots du texte {i}", "fr") for i in range(300)]
+    seen = []
+    follow = lang_id._follow_leader
+
+    def spy(train, n):
+        seen.extend(train)
+        return follow(train, n)
+
+    monkeypatch.setattr(lang_id, "_follow_leader", spy)
+    lang_id.fit(spark.createDataFrame(rows, "text string, lang string"), max_sample=100)
+    assert Counter(y for _, _, y in seen) == {0: 40, 1: 40}
+    assert len({(at.tobytes(), x.tobytes()) for at, x, _ in seen}) == 80
+
+
 def test_mixing(spark, small, odd, empty):
     for docs in (small, odd):
         got = mixing.mix_sizes(docs).collect()
