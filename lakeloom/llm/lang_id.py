@@ -257,9 +257,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Rows of ``docs`` whose language is known: the text has a letter and,
-    where a model could be learned, its language scores ``min_score``."""
+    where a model could be learned, its language scores ``min_score`` or is the
+    one that the row names in ``lang``."""
     model = fit(docs.filter(~held_out()))
     ok = F.col("lang_pred") != "und" if model.langs else F.coalesce(F.col("text").rlike(_LETTER), F.lit(False))
     if len(model.langs) > 1:
-        ok = ok & (F.col("score") >= min_score)
+        ok = ok & ((F.col("score") >= min_score) | F.col("lang_pred").eqNullSafe(F.col("lang")))
     return predict(docs, model).filter(ok).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -318,6 +318,19 @@ def test_language_sample_holds_different_texts(spark, monkeypatch):
     assert len({(at.tobytes(), x.tobytes()) for at, x, _ in seen}) == 80
 
 
+def test_labelled_documents_with_a_low_score_stay(spark):
+    words = {"en": "the house and water", "fr": "une maison avec eau", "de": "das haus und wasser"}
+    rows = [(i, f"{words[k]} {words[k]}", k, "a") for i, k in enumerate(list(words) * 40)]
+    mixed = " ".join(words.values())
+    held = spark.range(1000, 1100).filter(lang_id.held_out("id")).first()[0]     # not learned from
+    model = lang_id.fit(spark.createDataFrame(rows, DOCS).filter(~lang_id.held_out()))
+    best = lang_id.predict(spark.createDataFrame([(held, mixed, None, "a")], DOCS), model).first()
+    assert best.score < 0.5
+    for label, kept in ((best.lang_pred, 1), (None, 0)):
+        docs = spark.createDataFrame([*rows, (held, mixed, label, "a")], DOCS)
+        assert lang_id.identified(docs).filter(F.col("doc_id") == held).count() == kept
+
+
 def test_mixing(spark, small, odd, empty):
     for docs in (small, odd):
         got = mixing.mix_sizes(docs).collect()
