@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import chat, fingerprints, lang_id, minhash, mixing, packing, substring_dedup, \
-    token_counts, token_files, vector_dedup
+from lakeloom.llm import chat, fim, fingerprints, lang_id, minhash, mixing, packing, pii, role_repair, \
+    substring_dedup, token_counts, token_files, vector_dedup
 from lakeloom.llm.tokens import known_path
 from lakeloom.session import scratch_path
 
@@ -81,6 +81,21 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document, restored from its output."""
+    return fim.fill_in_middle(_read(spark, sf_dir, "documents"))
+
+
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    return role_repair.repair_digest(role_repair.damaged(_read(spark, sf_dir, "conversations")))
+
+
+def op13_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, with the terms that disclose it."""
+    return pii.private_spans(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -92,10 +107,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_role_repair": op12_role_repair,
+    "op13_private_spans": op13_private_spans,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_substring_dedup": substring_dedup.SUBSTRING_SQL,
     "op9_mixing": mixing.MIX_SQL,
     "op10_embedding_near_dedup": vector_dedup.VECTOR_SQL,
+    "op11_fill_in_middle": fim.FIM_SQL,
+    "op12_role_repair": role_repair.REPAIR_SQL,
+    "op13_private_spans": pii.PII_SQL,
 }
