@@ -2,8 +2,8 @@
 
 Protected entities are the addresses, numbers and so on that four patterns find.
 Beside them, information-theoretic sanitisation finds terms that give an entity
-away. The corpus estimates, over its different texts, how often a term stands
-anywhere (``df``) and how often within ``CONTEXT`` code points of an entity e
+away. The corpus estimates, over all N documents, in how many a term stands
+anywhere (``df``) and in how many within ``CONTEXT`` code points of an entity e
 (``co``). Then p(e | t) = co / df, so the term leaves ``-log2(co / df)`` bits of
 e's information unknown; its pointwise mutual information with e is
 ``log2(co * N / (df * df_e))``. A term discloses e if it leaves at most
@@ -24,10 +24,10 @@ context's outer edge cuts does not count. A term inside or across an entity is
 not marked.
 
 Only DataFrame functions are used. Positions come from running sums over the
-pieces between matches, one text at a time and spilled like any window; equal
-texts are folded by two 64-bit hashes before anything is counted, so copies do
-not support a term and a hot text costs one row a task. Terms are counted for
-candidates only (those that two texts show beside one entity).
+pieces between matches, one text at a time and spilled like any window; rows of
+equal texts are folded by two 64-bit hashes and their number, so copies do not
+support a term and a hot text costs one row a task. Only candidates are counted
+in the corpus (terms that ``SUPPORT`` texts show beside one entity).
 
 A null text is empty, a null doc_id stays null; rows that repeat are returned
 as often as they occur. Other columns are not looked at. Empty tables give no
@@ -59,6 +59,9 @@ SUPPORT = 2
 #: co / df at least SHARE[0] / SHARE[1]; p(e | t) / p(e) at least LIFT.
 SHARE = (4, 5)
 LIFT = 8
+#: Rows up to which a table of terms or of text hashes is broadcast (terms are
+#: words, so some 20 MB).
+BROADCAST_KEYS = 300_000
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -98,7 +101,7 @@ def _holds() -> Column:
 
 def _entities(texts: DataFrame, context: int) -> DataFrame:
     """Base spans of the different texts: ``h, k, kind, value, start, end,
-    terms`` (different terms of the context)."""
+    rows`` (documents with this text) and ``terms`` (of the context)."""
     found = texts.select("h", "k", "t", *[
         F.when(F.col("t").contains(_NEEDS[n]) if _NEEDS[n] else F.lit(True),
                F.regexp_extract_all("t", F.lit(PATTERN[n]), F.lit(0))).alias(n) for n in KINDS])
@@ -111,49 +114,59 @@ def _entities(texts: DataFrame, context: int) -> DataFrame:
             F.left(x["part"], F.lit(context + 1)).alias("head"), F.right(x["part"], F.lit(context + 1)).alias("tail")))
         return F.when(F.size(kind) > 0, out)
 
-    each = [kept.select("h", "k", F.explode(pieces(n)).alias("p")).select("h", "k", "p.*") for n in KINDS]
-    rows = each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3])
-    placed = _placed(rows.dropDuplicates(["h", "k", "kind", "pos"]), ["h", "k", "kind"])
+    none = F.array().cast("array<struct<kind:string,pos:int,len:int,value:string,head:string,tail:string>>")
+    rows = kept.select("h", "k", F.explode(F.concat(*[F.coalesce(pieces(n), none) for n in KINDS])).alias("p")) \
+        .select("h", "k", "p.*")
+    rows = rows.groupBy("h", "k", "kind", "pos").agg(
+        F.any_value(F.struct("len", "value", "head", "tail")).alias("p"), F.count("*").alias("rows"))
+    placed = _placed(rows.select("h", "k", "kind", "pos", "rows", "p.*"), ["h", "k", "kind"])
     w = Window.partitionBy("h", "k", "kind").orderBy("pos")
     before = F.when(F.col("len") > context, F.regexp_replace("tail", rf"\A{TOKEN}", "")).otherwise(F.col("tail"))
     after = F.when(F.lead("len").over(w) > context, F.regexp_replace(F.lead("head").over(w), rf"{TOKEN}\z", "")) \
         .otherwise(F.lead("head").over(w))
     return placed.withColumn("context", F.concat(before, F.lit(" "), after)).filter(_holds()) \
-        .select("h", "k", "kind", "value", "start", "end", _terms(F.col("context")).alias("terms"))
+        .select("h", "k", "kind", "value", "start", "end", "rows", _terms(F.col("context")).alias("terms"))
 
 
 def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda x: F.length(x) >= SHORTEST))
 
 
-def _disclosing(texts: DataFrame, entities: DataFrame, n: int, support: int) -> tuple[DataFrame, DataFrame]:
-    """``term, sure`` of the disclosing terms, and ``h, k, term`` of the texts
-    that hold a candidate."""
-    shown = entities.select("h", "k", "kind", "value", F.explode("terms").alias("term")).distinct()
-    beside = written(shown.groupBy("kind", "value", "term").agg(F.count("*").alias("co"))
-                     .filter(F.col("co") >= support), "pii-beside")
-    frequent = entities.select("h", "k", "kind", "value").distinct().groupBy("kind", "value") \
-        .agg(F.count("*").alias("df_e"))
-    held = texts.select("h", "k", F.explode(_terms(F.col("t"))).alias("term")) \
-        .join(beside.select("term").distinct(), "term", "left_semi").distinct()
-    held = written(held, "pii-held")
-    df = held.groupBy("term").agg(F.count("*").alias("df"))
+def _small(keys: DataFrame) -> DataFrame:
+    """Broadcast a written table of keys where it is small enough."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def _holding(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``h, k, term`` of every row and each of its terms that is in ``terms``."""
+    return texts.select("h", "k", F.explode(_terms(F.col("t"))).alias("term")).join(_small(terms), "term", "left_semi")
+
+
+def _disclosing(texts: DataFrame, entities: DataFrame, n: int, support: int) -> DataFrame:
+    """``term, sure`` of the disclosing terms."""
+    shown = entities.select("h", "k", "kind", "value", "rows", F.explode("terms").alias("term")).distinct()
+    beside = written(shown.groupBy("kind", "value", "term").agg(F.sum("rows").alias("co"), F.count("*").alias("texts"))
+                     .filter(F.col("texts") >= support), "pii-beside")
+    candidates = written(beside.select("term").distinct(), "pii-candidates")
+    frequent = entities.select("h", "k", "kind", "value", "rows").distinct().groupBy("kind", "value") \
+        .agg(F.sum("rows").alias("df_e"))
+    df = _holding(texts, candidates).groupBy("term").agg(F.count("*").alias("df"))
     d = "decimal(38,0)"
     told = beside.join(df, "term").join(frequent, ["kind", "value"]).filter(
         (F.col("df") >= F.col("co")) & (F.col("co") * SHARE[1] >= F.col("df") * SHARE[0])
         & ((F.col("co").cast(d) * F.lit(n).cast(d)) >= (F.col("df").cast(d) * F.col("df_e").cast(d) * LIFT)))
-    return written(told.groupBy("term").agg(F.max(F.col("co") == F.col("df")).alias("sure")), "pii-terms"), held
+    return written(told.groupBy("term").agg(F.max(F.col("co") == F.col("df")).alias("sure")), "pii-terms")
 
 
-def _term_spans(texts: DataFrame, terms: DataFrame, held: DataFrame) -> DataFrame:
+def _term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """``h, k, start, end, sure`` of the terms in the different texts."""
-    some = held.join(terms, "term", "left_semi").select("h", "k").distinct()
-    parts = texts.join(some, ["h", "k"], "left_semi").select(
+    some = written(_holding(texts, terms).select("h", "k").distinct(), "pii-texts")
+    parts = texts.join(_small(some), ["h", "k"], "left_semi").select(
         "h", "k", F.posexplode(F.arrays_zip(F.split("t", TOKEN, -1).alias("part"),
                                             F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0)).alias("value")))) \
         .select("h", "k", "pos", F.length("col.part").alias("len"), F.col("col.value").alias("value"))
     placed = _placed(parts.dropDuplicates(["h", "k", "pos"]), ["h", "k"])
-    return placed.join(terms.withColumnRenamed("term", "value"), "value").select("h", "k", "start", "end", "sure")
+    return placed.join(_small(terms.withColumnRenamed("term", "value")), "value").select("h", "k", "start", "end", "sure")
 
 
 def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", context: int = CONTEXT,
@@ -163,11 +176,10 @@ def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cont
     texts = _texts(docs, doc_id, text)
     named = written(texts.select("doc_id", "h", "k"), "pii-rows")
     entities = written(_entities(texts, context), "pii-entities")
-    n = named.select("h", "k").distinct().count()
-    terms, held = _disclosing(texts, entities, n, support)
+    terms = _disclosing(texts, entities, named.count(), support)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     base = entities.select("h", "k", "start", rank.alias("rank"), "end", "kind", F.lit(True).alias("sure"))
-    more = _term_spans(texts, terms, held).select("h", "k", "start", F.lit(len(KINDS) + 1).alias("rank"), "end",
+    more = _term_spans(texts, terms).select("h", "k", "start", F.lit(len(KINDS) + 1).alias("rank"), "end",
                                                   F.lit(TERM).alias("kind"), "sure")
     own = Window.partitionBy("h", "k")
     ahead = own.orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
@@ -232,7 +244,7 @@ WITH kinds(kind, rank, pattern) AS (VALUES
   ('ip', 2, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
   ('card', 3, '[0-9](?:[\x20-]?[0-9])+'), ('phone', 4, '\+[0-9][\x20().0-9-]+[0-9]')),
 d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-u AS (SELECT DISTINCT t FROM d),
+u AS (SELECT t, count(*) AS n FROM d GROUP BY t),
 m AS (SELECT t, kind, unnest(regexp_extract_all(t, pattern)) AS value,
              generate_subscripts(regexp_extract_all(t, pattern), 1) AS pos,
              string_split_regex(t, pattern) AS parts, regexp_extract_all(t, pattern) AS all_ FROM u, kinds),
@@ -252,13 +264,13 @@ ctx AS (SELECT t, kind, value,
   CASE WHEN length(next) > 80 THEN regexp_replace(next[1:81], '[\p{L}\p{N}]+\z', '') ELSE next END AS c FROM e),
 shown AS (SELECT DISTINCT t, kind, value, term FROM
           (SELECT t, kind, value, unnest(regexp_extract_all(c, '[\p{L}\p{N}]+')) AS term FROM ctx) WHERE length(term) >= 3),
-beside AS (SELECT kind, value, term, count(*) AS co FROM shown GROUP BY ALL HAVING count(*) >= 2),
-freq AS (SELECT kind, value, count(DISTINCT t) AS df_e FROM e GROUP BY ALL),
-held AS (SELECT t, term FROM (SELECT t, unnest(list_distinct(regexp_extract_all(t, '[\p{L}\p{N}]+'))) AS term FROM u)
+beside AS (SELECT kind, value, term, sum(n) AS co FROM shown JOIN u USING (t) GROUP BY ALL HAVING count(*) >= 2),
+freq AS (SELECT kind, value, sum(n) AS df_e FROM (SELECT DISTINCT t, kind, value FROM e) JOIN u USING (t) GROUP BY ALL),
+held AS (SELECT t, n, term FROM (SELECT t, n, unnest(list_distinct(regexp_extract_all(t, '[\p{L}\p{N}]+'))) AS term FROM u)
          WHERE term IN (SELECT term FROM beside)),
-told AS (SELECT DISTINCT term FROM beside JOIN (SELECT term, count(*) AS df FROM held GROUP BY term) USING (term)
+told AS (SELECT DISTINCT term FROM beside JOIN (SELECT term, sum(n) AS df FROM held GROUP BY term) USING (term)
          JOIN freq USING (kind, value)
-         WHERE df >= co AND co * 5 >= df * 4 AND co * (SELECT count(*) FROM u) >= df * df_e * 8),
+         WHERE df >= co AND co * 5 >= df * 4 AND co * (SELECT count(*) FROM d) >= df * df_e * 8),
 tok AS (SELECT t, string_split_regex(t, '[\p{L}\p{N}]+') AS parts, regexp_extract_all(t, '[\p{L}\p{N}]+') AS all_
         FROM u WHERE t IN (SELECT t FROM held JOIN told USING (term))),
 run AS (SELECT t, value, sum(len + length(value)) OVER (PARTITION BY t ORDER BY pos) AS f FROM
