@@ -12,10 +12,12 @@ all occur equally often has the same registers in both.
 
 Bands of registers of both families file documents into buckets. In each bucket every document
 is compared with the bucket's first one; afterwards only documents of one
-bucket that are still in different groups are compared, in tiles of registers
-that return likely pairs only. A pair is first judged by its registers (only
-those far below the threshold in both families leave) and then exactly, on its shingles: it is linked when its probability Jaccard or its plain Jaccard
-similarity is at least ``THRESHOLD``. Groups are connected components; the
+bucket that are still in different groups are compared, in tiles that judge
+their pairs and return the links that join groups. A pair is first judged by its
+registers (only those far below the threshold in both families leave) and then
+exactly, on its shingles (44 bits of hash, weights up to 1,048,575): it is linked
+when its probability Jaccard or its plain Jaccard similarity is at least
+``THRESHOLD``. Groups are connected components; the
 smallest doc_id names a group and is the document that stays.
 
 Exact copies are folded first, by hash, so a group of copies of any size costs
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import (
@@ -227,51 +229,51 @@ def _likely(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "ra", "rb").mapInArrow(near, "a long, b long")
 
 
-def _likely_in_buckets(placed: DataFrame, signed: DataFrame, threshold: float, bands: int, rows: int,
-                       nearest: bool) -> DataFrame:
-    """Likely pairs of documents that share a bucket but no root
-    (``bucket, _n, root``). Registers are compared in tiles; a pair is
-    returned once, by the first band in which it agrees. ``nearest``: only
-    each document's likeliest partner of a tile."""
+def _joined_in_buckets(placed: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, bands: int,
+                       rows: int) -> DataFrame:
+    """Links between documents that share a bucket but no root (``bucket, _n,
+    root``). Registers and shingle sets meet in tiles; a pair is judged once, in
+    the first band in which it agrees, likeliest partners first, and exactly
+    unless links of this tile join the two already. So a tile returns at most
+    one link for each of its rows, however many of its pairs are likely."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, edges in runs(batches, ["bucket", "i", "j"]):
             regs, n, root = _registers(t["registers"].combine_chunks()), t["_n"].to_numpy(), t["root"].to_numpy()
             mine, i, j, bucket = (t[k].to_numpy() for k in ("mine", "i", "j", "bucket"))
+            raw = t["s"].combine_chunks()
             least = _least(regs.shape[2], threshold)
-            found: list[np.ndarray] = []
+            found: list[tuple[int, int]] = []
             for lo, hi in zip(edges, edges[1:]):
                 left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
                 right = lo + np.flatnonzero(mine[lo:hi] == j[lo])
+                group = np.unique(root[lo:hi], return_inverse=True)[1]        # of each row; joined below
                 for x in left:
-                    y = right[(root[right] != root[x]) & (n[right] > n[x] if i[lo] == j[lo] else True)]
+                    y = right[(group[right - lo] != group[x - lo]) & (n[right] > n[x] if i[lo] == j[lo] else True)]
                     same = regs[y] == regs[x]
                     agree = same.sum(axis=2).max(axis=1)
                     y, same, agree = y[agree >= least], same[agree >= least], agree[agree >= least]
-                    if len(y):
-                        agreed = same[:, :, :bands * rows].reshape(len(y), 2 * bands, rows).all(axis=2).argmax(axis=1)
-                        key = _band_keys(regs[x:x + 1], bands, rows)[0]
-                        here = key[agreed] == bucket[lo]
-                        y, agree = y[here], agree[here]
-                        if nearest and len(y) > 1:
-                            y = y[[int(agree.argmax())]]
-                        found.append(np.column_stack([np.minimum(n[x], n[y]), np.maximum(n[x], n[y])]))
-            pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+                    if not len(y):
+                        continue
+                    agreed = same[:, :, :bands * rows].reshape(len(y), 2 * bands, rows).all(axis=2).argmax(axis=1)
+                    key = _band_keys(regs[x:x + 1], bands, rows)[0]
+                    here = key[agreed] == bucket[lo]
+                    own = np.frombuffer(raw[int(x)].as_py(), dtype="<u8")
+                    for k in y[here][np.argsort(-agree[here], kind="stable")]:
+                        if group[k - lo] != group[x - lo] and max(similarities(
+                                own, np.frombuffer(raw[int(k)].as_py(), dtype="<u8"))) >= threshold:
+                            group[group == group[k - lo]] = group[x - lo]
+                            found.append((min(n[x], n[k]), max(n[x], n[k])))
+            pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     keys = ["bucket", "i", "j"]
-    tiles = tiled(placed, "bucket", "_n", BLOCK).join(signed, "_n")
-    return tiles.select(*keys, "mine", "_n", "root", "registers").repartitionByRange(range_parts(tiles), *keys) \
+    tiles = tiled(placed, "bucket", "_n", BLOCK).join(signed, "_n").join(sets, "_n")
+    return tiles.select(*keys, "mine", "_n", "root", "registers", "s").repartitionByRange(range_parts(tiles), *keys) \
         .sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
 
 
-def _verified(likely: DataFrame, docs: DataFrame, shingle: int, threshold: float, name: str) -> DataFrame:
-    """``a, b`` of those pairs that are similar enough, by their shingles."""
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [max(similarities(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8"))) >= threshold
-                  for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
+def _shingle_sets(docs: DataFrame, some: DataFrame, shingle: int, name: str) -> DataFrame:
+    """``_n, s`` (packed shingles) of those documents ``_n, _t`` whose ``_n`` is in ``some``."""
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offs in _steps(b, "_t"):
@@ -281,10 +283,20 @@ def _verified(likely: DataFrame, docs: DataFrame, shingle: int, threshold: float
                     [b.column("_n").slice(i, j - i),
                      pa.array([raw[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())], ["_n", "s"])
 
+    return written(docs.join(some, "_n", "left_semi").select("_n", "_t").mapInArrow(shingles, "_n long, s binary"), name)
+
+
+def _verified(likely: DataFrame, docs: DataFrame, shingle: int, threshold: float, name: str) -> DataFrame:
+    """``a, b`` of those pairs that are similar enough, by their shingles."""
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [max(similarities(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8"))) >= threshold
+                  for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
     likely = written(likely, f"{name}-likely")
     some = likely.select(F.col("a").alias("_n")).union(likely.select("b")).distinct()
-    sets = written(docs.join(some, "_n", "left_semi").select("_n", "_t").mapInArrow(shingles, "_n long, s binary"),
-                   f"{name}-sets")
+    sets = _shingle_sets(docs, some, shingle, f"{name}-sets")
     return written(likely.join(sets.select(F.col("_n").alias("a"), F.col("s").alias("sa")), "a")
                    .join(sets.select(F.col("_n").alias("b"), F.col("s").alias("sb")), "b")
                    .select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long"), f"{name}-links")
@@ -307,19 +319,16 @@ def _groups(docs: DataFrame, shingle: int, threshold: float, bands: int, rows: i
                     "minhash-pairs")
     links = _verified(_likely(pairs, signed, threshold), docs, shingle, threshold, "minhash")
     roots = connected_components(links, "minhash")
-    # documents of one bucket in different groups: first each one's likeliest
-    # partner, which joins most of what belongs together, then all that is left
-    for nearest in (True, False):
-        placed = members.select("bucket", "_n").join(roots.withColumnRenamed("node", "_n"), "_n", "left") \
-            .select("bucket", "_n", F.coalesce("root", "_n").alias("root"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-            .filter("lo < hi").select("bucket")
-        placed = written(placed.join(mixed, "bucket", "left_semi"), "minhash-mixed")
-        more = _verified(_likely_in_buckets(placed, signed, threshold, bands, rows, nearest), docs, shingle,
-                         threshold, "minhash-more")
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = connected_components(links, "minhash-all")
+    # documents of one bucket that are still in different groups
+    placed = members.select("bucket", "_n").join(roots.withColumnRenamed("node", "_n"), "_n", "left") \
+        .select("bucket", "_n", F.coalesce("root", "_n").alias("root"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+        .filter("lo < hi").select("bucket")
+    placed = written(placed.join(mixed, "bucket", "left_semi"), "minhash-mixed")
+    sets = _shingle_sets(docs, placed.select("_n").distinct(), shingle, "minhash-mixed-sets")
+    more = written(_joined_in_buckets(placed, signed, sets, threshold, bands, rows), "minhash-more")
+    if not more.isEmpty():
+        roots = connected_components(links.union(more), "minhash-all")
     named = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("h", "k", F.coalesce("root", "rep").alias("_root"))
     linked = texts.join(named, ["h", "k"]).select("_n", "_root")
@@ -345,17 +354,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` without near-duplicates: one document of each group,
-    one row of repeated rows."""
+    """Rows of ``docs`` without near-duplicates: one document of each group; of
+    rows that repeat its doc_id and text the first by all columns."""
     prepare(docs.sparkSession)
     one, names = numbered(docs, "minhash")
     groups = _groups(one, shingle, threshold, BANDS, ROWS)
-    cols = [F.col(f"d.{c}") for c in map("`{}`".format, docs.columns)]
     if names is None:
         gone = written(groups.filter("_n <> _root").select("_n"), "minhash-gone")
         return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("long") == F.col("g._n"), "left_anti")
     stay = written(groups.filter("_n = _root").select("_n").join(names, "_n"), "minhash-stay")
-    named = docs.select(*docs.columns, F.xxhash64(F.coalesce("text", F.lit(""))).alias("_lk_h"))
+    key, rank = "_lk_h", "_lk_r"
+    while key in docs.columns or rank in docs.columns:
+        key, rank = key + "_", rank + "_"
+    named = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     single = named.alias("d").join(stay.alias("s"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("s._id"))
-                                   & (F.col("d._lk_h") == F.col("s._h")), "left_semi")
-    return single.dropDuplicates(["doc_id", "_lk_h"]).alias("d").select(*cols)
+                                   & (F.col(f"d.{key}") == F.col("s._h")), "left_semi")
+    # of rows that repeat doc_id and text the first one by all columns, so that reruns agree
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"})
+    first = F.row_number().over(Window.partitionBy("doc_id", key).orderBy(whole))
+    return single.withColumn(rank, first).filter(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -404,3 +404,47 @@ def test_pipeline(spark, tmp_path, small):
     assert per.filter("n > 2048 or n <> end").count() == 0 and out.count() > 100
     spark.createDataFrame([], small.schema).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_group_returns_links_not_pairs(spark):
+    """Documents that resemble each other below the threshold make no rows; near
+    ones at most one for each row of their tiles."""
+    made = []
+    for n in (60, 120):
+        rng = np.random.default_rng(3)
+        base = [f"w{i}" for i in range(400)]
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for at in rng.choice(400, 9, replace=False):     # two of them: about 0.6 to 0.75
+                words[at] = f"x{i}q{at}"
+            rows.append((i, " ".join(words), "en", "a"))
+        rows += [(1000 + i, " ".join([f"v{k}" for k in range(400)] + [f"tail{i}"]), "en", "a") for i in range(n)]
+        docs = spark.createDataFrame(rows, DOCS)
+        kept = {}
+        link = minhash._joined_in_buckets
+
+        def spy(*args):
+            out = link(*args)
+            kept["rows"] = (args[0].count(), out.count())
+            return out
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(minhash, "_joined_in_buckets", spy)
+            got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+        sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, w in ((r[0], r[1].split()) for r in rows)}
+        root = {i: i for i in sets}
+        for i, j in ((i, j) for i in sets for j in sets if i < j):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if v == b else v for k, v in root.items()}
+        assert got == root
+        made.append(kept["rows"])
+    assert all(out <= placed for placed, out in made)
+
+
+def test_one_of_each_takes_the_first_row(spark):
+    rows = [(1, "x y z", "fr", "b"), (1, "x y z", "en", "c"), (1, "x y z", "en", None), (2, "other words", "en", "a"), (2, "more", "de", "a")]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("_lk_h", F.lit("clash"))
+    seen = {tuple(sorted(str(tuple(r)) for r in minhash.one_of_each(docs.repartition(k, "lang", "source")).collect())) for k in (1, 2, 5)}
+    assert len(seen) == 1 and len(next(iter(seen))) == 3 and minhash.one_of_each(docs).columns == docs.columns
