@@ -1,8 +1,8 @@
 """The four load flows, each one Spark plan plus one sink write.
 
-raw  INCREMENTAL: landing (newest N folders) -> schema -> prepare -> upsert (>=)
+raw  INCREMENTAL: landing (files not in the ledger) -> schema -> prepare -> upsert (>=)
 raw  FULL       : landing (newest snapshot)  -> schema -> prepare -> overwrite
-clean INCREMENTAL: table -> watermark filter -> columns -> prepare -> upsert (>)
+clean INCREMENTAL: table -> watermark filter (business time or arrival) -> columns -> prepare -> upsert (>)
 clean FULL       : table -> columns -> prepare -> overwrite
 
 ``prepare`` = named transforms + latest row per key. When no transform
@@ -15,18 +15,20 @@ duplicate, and the result is the same because each transform is row-wise
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import replace
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloom.functions.transforms import apply_transforms, transform_writes
 from lakeloom.operators.dedup import exact_duplicates_removed, latest_per_key
 from lakeloom.operators.watermark import after_date_watermark, after_watermark, high_watermark
 from lakeloom.sinks.history import append_history
-from lakeloom.sinks.tables import LoadResult, get_note, overwrite_table, set_note, upsert_table
-from lakeloom.sources.landing import ORDER_COL, folder_key, folder_of, newest_folder, read_full_snapshot, \
-    read_incremental
+from lakeloom.sinks.tables import LoadResult, get_note, overwrite_table, upsert_table
+from lakeloom.sources.landing import ORDER_COL, read_full_snapshot, read_incremental
+from lakeloom.sources.ledger import open_ledger, read_new_files
 from lakeloom.spec import FULL, INCREMENTAL, TableSpec
 
 log = logging.getLogger("lakeloom.loads")
@@ -86,46 +88,66 @@ def _finish(spark: SparkSession, result: LoadResult, record: bool,
     return result
 
 
+def _numbered(spark: SparkSession, df: DataFrame, spec: TableSpec, notes: dict[str, str]) -> DataFrame:
+    """Stamp a raw batch with its load number, the target's arrival watermark:
+    milliseconds, but always above the last load's."""
+    if not spec.load_col:
+        return df
+    number = max(int(time.time() * 1000), int(get_note(spark, spec.target, "load") or 0) + 1)
+    notes["load"] = str(number)
+    return df.withColumn(spec.load_col, F.lit(number).cast("long"))
+
+
 def load_raw_incremental(spark: SparkSession, spec: TableSpec, n_folders: int | None = -1,
                          record: bool = True) -> LoadResult:
-    """Newest ``n_folders`` landing folders merged with ``>=``.
-
-    With ``catch_up`` every folder since the newest one of the last load is
-    read too, so a missed run or an hour that is still filling loses nothing.
-    That folder is noted on the target after the merge; a job that dies
-    before only reads more folders the next time. A file that the footer
-    check left out holds the note at its folder until it is mended or removed.
+    """New landing files merged with ``>=``.
+
+    With ``catch_up`` the target keeps a ledger of the files it has taken
+    (:mod:`lakeloom.sources.ledger`). The first load reads the ``n_folders``
+    newest hour folders; every later one reads the files that the ledger does
+    not hold, in whatever folder they arrived, each once. The ledger's entry
+    takes effect with the merge, so a job that dies before loads the same files
+    again. A file that the footer check leaves out stays open until it is
+    mended or removed; it costs a look at its footer a load. Without
+    ``catch_up`` every load reads the ``n_folders`` newest folders.
     """
     n = spec.n_folders if n_folders == -1 else n_folders
     landing = _landing(spec)
-    upto = newest_folder(spark, landing) if spec.catch_up else None
-    seen = (get_note(spark, spec.target, "landing") or "|").rpartition("|") if spec.catch_up else ("", "", "")
-    since = unquote(seen[2]) if unquote(seen[0]) == landing else None
     order = spec.newest_file_wins and spec.dedups
     skipped: list = []
-    df = read_incremental(spark, landing, spec.schema, n,
-                          ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order,
-                          drift=spec.schema_drift, skipped=skipped, since=since)
-    df = prepare(df, spec, (ORDER_COL,) if order else ())
+    notes: dict[str, str] = {}
+    read = dict(ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order, drift=spec.schema_drift,
+                skipped=skipped)
+    ledger = None
+    if spec.catch_up:
+        ledger = open_ledger(spark, spec.target, landing, lambda key: get_note(spark, spec.target, key))
+        df, entry, files = read_new_files(spark, ledger, landing, spec.schema, n, late_days=spec.late_days, **read)
+        if df is None:
+            return _finish(spark, LoadResult(spec.target, "MERGE", "", 0, partitions_rewritten=0), record, skipped)
+        notes[ledger.key] = ledger.write(entry, files)
+    else:
+        df = read_incremental(spark, landing, spec.schema, n, **read)
+    df = _numbered(spark, prepare(df, spec, (ORDER_COL,) if order else ()), spec, notes)
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
-                       scope=upsert_scope(spec))
-    if upto:
-        upto = min([upto, *(folder_of(path) for path, _, _ in skipped)], key=folder_key)
-        set_note(spark, spec.target, "landing", f"{quote(landing, safe='/:')}|{quote(upto, safe='/=')}")
+                       scope=upsert_scope(spec), notes=notes)
+    if ledger:
+        ledger.tidy(notes[ledger.key])
     return _finish(spark, res, record, skipped)
 
 
 def load_raw_full(spark: SparkSession, spec: TableSpec, record: bool = True) -> LoadResult:
-    """Newest snapshot, replaced with its schema."""
+    """Newest finished snapshot, replaced with its schema."""
     order = spec.newest_file_wins and spec.dedups
     skipped: list = []
+    notes: dict[str, str] = {}
     df = read_full_snapshot(spark, _landing(spec), spec.schema, spec.snapshot_mode,
                             ignore_corrupt_files=spec.ignore_corrupt_files, with_order=order,
-                            drift=spec.schema_drift, skipped=skipped)
-    df = prepare(df, spec, (ORDER_COL,) if order else ())
+                            drift=spec.schema_drift, skipped=skipped, marker=spec.snapshot_marker,
+                            settle=spec.snapshot_settle)
+    df = _numbered(spark, prepare(df, spec, (ORDER_COL,) if order else ()), spec, notes)
     res = overwrite_table(df, spec.target, partition_cols=_partitions(spec, df),
-                          buckets=spec.buckets, bucket_cols=spec.key)
+                          buckets=spec.buckets, bucket_cols=spec.key, notes=notes)
     return _finish(spark, res, record, skipped)
 
 
@@ -147,11 +169,50 @@ def _target_date_partition(spec: TableSpec) -> str | None:
     return None
 
 
+def _newest_arrival(spark: SparkSession, df: DataFrame, spec: TableSpec) -> int | None:
+    """Greatest load number of the source: its property, or the column's maximum."""
+    listed = spark.catalog.tableExists(spec.source) and spark.catalog.getTable(spec.source).tableType != "TEMPORARY"
+    number = get_note(spark, spec.source, "load") if listed else None
+    if number is None:
+        wm = high_watermark(df, spec.arrival_col)
+        number = wm.value if wm else None
+    return None if number is None else int(number)
+
+
+def _arrived(spark: SparkSession, df: DataFrame, spec: TableSpec, notes: dict[str, str]) -> DataFrame | None:
+    """F1 by arrival: rows of raw loads that this target has not merged yet,
+    whatever their business time; None when there is no such load. The bounds
+    are literals, which reach the scan; the upper one keeps out rows of a raw
+    load that runs meanwhile. A source that was made anew has other numbers
+    than the last one merged, and is read whole if they are smaller."""
+    upto = _newest_arrival(spark, df, spec)
+    source, _, seen = (get_note(spark, spec.target, "arrival") or "").rpartition("|")
+    col = F.col(spec.arrival_col)
+    if upto is not None:
+        notes["arrival"] = f"{quote(spec.source)}|{upto}"
+        if source == quote(spec.source) and int(seen) == upto:
+            return None
+        if source == quote(spec.source) and int(seen) < upto:
+            df = df.filter((col > F.lit(int(seen))) & (col <= F.lit(upto)))
+        else:
+            df = df.filter(col.isNull() | (col <= F.lit(upto)))
+    return df.drop(spec.arrival_col)
+
+
 def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool = True) -> LoadResult:
-    """Rows after the target's high watermark, merged with ``>``;
-    the target is created from the batch when it does not exist yet."""
+    """Rows after the target's watermark, merged with ``>``; the target is
+    created from the batch when it does not exist yet.
+
+    The watermark is the target's newest business time, or with ``arrival_col``
+    the last raw load it has merged: then rows that are late, or edited under an
+    old business time, pass as well (the guard decides what they change)."""
     df = _source(spark, spec)
-    if spec.date_watermark_col:
+    notes: dict[str, str] = {}
+    if spec.arrival_col:
+        df = _arrived(spark, df, spec, notes)
+        if df is None:
+            return _finish(spark, LoadResult(spec.target, "MERGE", "", 0, partitions_rewritten=0), record)
+    elif spec.date_watermark_col:
         # when the target is partitioned by that date, only its newest partition is read
         wm = high_watermark(spec.target, spec.date_watermark_col, spark,
                             partition_col=spec.date_watermark_col)
@@ -166,7 +227,7 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
     df = prepare(df, spec)
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
-                       scope=upsert_scope(spec))
+                       scope=upsert_scope(spec), notes=notes)
     return _finish(spark, res, record)
 
 

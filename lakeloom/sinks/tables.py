@@ -32,7 +32,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -59,6 +59,13 @@ class LoadResult:
     skipped_files: int = 0                     # landing files left out by the footer check
 
 
+def _observed(obs: Observation) -> dict:
+    """Metrics of a write; none where the observed rows turned out empty and
+    adaptive execution dropped that part of the plan."""
+    row = obs._jo.getRow() if getattr(obs, "_jo", None) is not None else None
+    return {} if row is not None and row.schema() is None else obs.get
+
+
 def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -116,12 +123,12 @@ def heal(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {_quote(left)}")
 
 
-def _swap(spark: SparkSession, name: str, stage: str) -> None:
-    """Give ``stage`` the name: old definition aside, stage in, old one last."""
-    kept = [f"'{r['key']}' = '{r['value']}'" for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
-            if r["key"].startswith("lakeloom.")]
-    if kept:
-        spark.sql(f"ALTER TABLE {_quote(stage)} SET TBLPROPERTIES ({', '.join(kept)})")
+def _swap(spark: SparkSession, name: str, stage: str, notes: Mapping[str, str] | None = None) -> None:
+    """Give ``stage`` the name: old definition aside, stage in, old one last.
+    ``notes`` are set on the stage, so they appear together with its rows."""
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
+            if r["key"].startswith("lakeloom.")} | {f"lakeloom.{k}": v for k, v in (notes or {}).items()}
+    _set_properties(spark, stage, kept)
     tag = _split(stage)[1].rpartition(_STAGE)[2]
     aside = f"{name}{_ASIDE}{tag}"
     spark.sql(f"ALTER TABLE {_quote(name)} RENAME TO {_quote(aside)}")
@@ -144,7 +151,20 @@ def get_note(spark: SparkSession, name: str, key: str) -> str | None:
 
 
 def set_note(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {_quote(name)} SET TBLPROPERTIES ('lakeloom.{key}' = '{value}')")
+    _set_properties(spark, name, {f"lakeloom.{key}": value})
+
+
+def _set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
+    if properties:
+        text = ", ".join("'{}' = '{}'".format(k, v.replace("\\", "\\\\").replace("'", "\\'"))
+                         for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {_quote(name)} SET TBLPROPERTIES ({text})")
+
+
+def _noted(spark: SparkSession, name: str, notes: Mapping[str, str] | None) -> None:
+    """Set notes after a switch that could not carry them; a job that dies
+    before only repeats a load that the guard makes harmless."""
+    _set_properties(spark, name, {f"lakeloom.{k}": v for k, v in (notes or {}).items()})
 
 
 def _locations(spark: SparkSession, name: str) -> dict[tuple[str, ...], str]:
@@ -194,7 +214,7 @@ def _merge_into(source: DataFrame, name: str, keys: Sequence[str], ts: str, op:
     new, old = F.col(f"source.{ts}"), F.col(f"{name}.{ts}")
     (src.mergeInto(name, match).whenMatched(new >= old if op == ">=" else new > old).updateAll()
      .whenNotMatched().insertAll().merge())
-    return LoadResult(name, "MERGE", "", int(n.get.get("rows", 0)))
+    return LoadResult(name, "MERGE", "", int(_observed(n).get("rows", 0)))
 
 
 def _relocatable(spark: SparkSession, name: str, schema: T.StructType) -> bool:
@@ -219,9 +239,12 @@ def _relocatable(spark: SparkSession, name: str, schema: T.StructType) -> bool:
 
 def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | None = None,
                   buckets: int | None = None, bucket_cols: Sequence[str] = (),
-                  root: str | None = None, rebalance: bool = True) -> str:
+                  root: str | None = None, rebalance: bool = True,
+                  notes: Mapping[str, str] | None = None) -> str:
     """Write ``df`` as a new version of table ``name`` and register it.
 
+    ``notes`` become properties ``lakeloom.<key>`` of the table, with the switch.
+
     ``rebalance`` asks adaptive execution to rebalance rows by the partition
     columns before writing, so each date folder gets a few right-sized files
     instead of one small file per task.
@@ -250,6 +273,7 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     if not parts and not buckets and _relocatable(spark, name, df.schema):
         df.write.format("parquet").mode("errorifexists").save(path)
         spark.sql(f"ALTER TABLE {_quote(name)} SET LOCATION '{path}'")
+        _noted(spark, name, notes)
         spark.catalog.refreshTable(name)
         return path
     if parts and rebalance and not buckets:
@@ -263,11 +287,12 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
         # a new table: the catalog entry is created only once the data is written
         w.saveAsTable(name)
         _own(spark, name)
+        _noted(spark, name, notes)
         spark.catalog.refreshTable(name)
         return path
     w.saveAsTable(stage)
     _own(spark, stage)
-    _swap(spark, name, stage)
+    _swap(spark, name, stage, notes)
     # the write registered the stage's partitions and a rename keeps them; a
     # catalog that drops them on rename gets them back from the folders
     if parts and not spark.sql(f"SHOW PARTITIONS {_quote(name)}").limit(1).collect():
@@ -278,13 +303,14 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
 
 def overwrite_table(df: DataFrame, name: str, *, partition_cols: Sequence[str] | None = None,
                     buckets: int | None = None, bucket_cols: Sequence[str] = (),
-                    root: str | None = None, operation: str = "OVERWRITE") -> LoadResult:
+                    root: str | None = None, operation: str = "OVERWRITE",
+                    notes: Mapping[str, str] | None = None) -> LoadResult:
     """M4/M6: replace data and schema of ``name`` with ``df``."""
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     path = write_version(observed, name, partition_cols=partition_cols, buckets=buckets,
-                         bucket_cols=bucket_cols, root=root)
-    n = int(obs.get.get("rows", 0))
+                         bucket_cols=bucket_cols, root=root, notes=notes)
+    n = int(_observed(obs).get("rows", 0))
     return LoadResult(name, operation, path, n, inserted=n if operation == "CREATE" else 0,
                       rows_written=n)
 
@@ -292,7 +318,8 @@ def overwrite_table(df: DataFrame, name: str, *, partition_cols: Sequence[str] |
 def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: str,
                  op: str = ">", *, partition_cols: Sequence[str] | None = None,
                  buckets: int | None = None, root: str | None = None,
-                 create_if_missing: bool = True, scope: str = "auto") -> LoadResult:
+                 create_if_missing: bool = True, scope: str = "auto",
+                 notes: Mapping[str, str] | None = None) -> LoadResult:
     """M1/M2 (+ M3): merge ``source`` into table ``name`` with the guard
     ``source.ts op target.ts``; create the table from ``source`` when it does
     not exist. A failing merge raises and leaves the target untouched.
@@ -305,6 +332,8 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     then the batch's own, and the target is not scanned to find where its
     keys live. With ``"batch"`` a key whose partition did change is inserted
     again instead of updated, so use it only when that cannot happen.
+
+    ``notes`` become properties ``lakeloom.<key>`` of the table, with the switch.
     """
     if scope not in ("auto", "full", "batch"):
         raise ValueError(f"scope must be auto, full or batch, got {scope!r}")
@@ -312,13 +341,15 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     keys = as_tuple(keys)
     heal(spark, name)
     if spark.catalog.tableExists(name) and not check_target(spark, name):
-        return _merge_into(source, name, keys, ts, op)
+        res = _merge_into(source, name, keys, ts, op)
+        _noted(spark, name, notes)
+        return res
     if spark.catalog.tableExists(name) and scope != "full" and not buckets:
         parts = _partition_columns(spark, name)
         if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
                 and _scopable(spark.table(name).schema, parts):
             res = _upsert_partitions(source, name, keys, ts, op, parts, root,
-                                     batch_only=scope == "batch")
+                                     batch_only=scope == "batch", notes=notes)
             if res is not None:
                 return res
     src_obs = Observation()
@@ -337,9 +368,9 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     obs = Observation()
     merged = merged.observe(obs, *metric_columns())
     path = write_version(merged.drop(ACTION), name, partition_cols=partition_cols,
-                         buckets=buckets, bucket_cols=keys if buckets else (), root=root)
-    m = obs.get
-    return LoadResult(name, operation, path, int(src_obs.get.get("rows", 0)),
+                         buckets=buckets, bucket_cols=keys if buckets else (), root=root, notes=notes)
+    m = _observed(obs)
+    return LoadResult(name, operation, path, int(_observed(src_obs).get("rows", 0)),
                       inserted=int(m.get("inserted") or 0), updated=int(m.get("updated") or 0),
                       deleted=0, rows_written=int(m.get("rows") or 0))
 
@@ -376,7 +407,7 @@ _PLAIN = re.compile(r"^[A-Za-z0-9_.-]*$")
 
 def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
                        parts: tuple[str, ...], root: str | None,
-                       batch_only: bool = False) -> LoadResult | None:
+                       batch_only: bool = False, notes: Mapping[str, str] | None = None) -> LoadResult | None:
     """Rewrite only the partitions the batch touches; None -> caller falls
     back to a whole-table rewrite (NULL or unusual partition values)."""
     spark = source.sparkSession
@@ -398,6 +429,7 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
                         .select(*parts, pk.alias("_pk"), "_n").collect())
         n_src = sum(int(r["_n"]) for r in touched_rows)
         if not touched_rows:
+            _noted(spark, name, notes)
             return LoadResult(name, "MERGE", "", n_src, partitions_rewritten=0)
         if any(r[c] is None for r in touched_rows for c in parts) or \
                 any(not _PLAIN.match(str(r[c])) for r in touched_rows for c in parts):
@@ -412,7 +444,7 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         path = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}/v_{tag}"
         (current.drop(ACTION).hint("rebalance", *parts).write.mode("errorifexists")
          .partitionBy(*parts).parquet(path))
-        m = obs.get
+        m = _observed(obs)
     finally:
         src.unpersist()
     written_rows = m.get("written_partitions") or []
@@ -442,7 +474,7 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
     if where:
         spark.sql(f"ALTER TABLE {_quote(stage)} ADD " + " ".join(
             f"{_spec_sql(parts, vals, schema)} LOCATION '{loc}'" for vals, loc in where.items()))
-    _swap(spark, name, stage)
+    _swap(spark, name, stage, notes)
     spark.catalog.refreshTable(name)
     return LoadResult(name, "MERGE", path, n_src, inserted=int(m.get("inserted") or 0),
                       updated=int(m.get("updated") or 0), deleted=0,

@@ -18,8 +18,10 @@ list stays in Spark.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import re
+import time
 from collections.abc import Collection, Sequence
 
 from pyspark.errors import AnalysisException
@@ -74,15 +76,16 @@ def _base_pattern(base: str) -> str:
     return "^" + re.escape(plain) + r"/([^/]+)/([^/]+)/([^/]+)/([^/]+)/([^/]+)$"
 
 
-def list_landing_files(spark: SparkSession, base: str) -> DataFrame:
-    """Every file exactly four folder levels below ``base``.
+def list_landing_files(spark: SparkSession, base: str, folders: Sequence[str] | None = None) -> DataFrame:
+    """Every file exactly four folder levels below ``base`` (with
+    ``folders``: of these hour folders only).
 
     Missing ``base`` -> empty listing. Other errors (permissions, I/O)
     propagate rather than looking like "no files".
     """
     try:
         raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(base).select("path", "modificationTime", "length"))
+               .load(base if folders is None else list(folders)).select("path", "modificationTime", "length"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], LISTING_SCHEMA)
@@ -193,6 +196,22 @@ def folder_key(folder: str) -> tuple:
     return tuple(_name_key(name) for name in folder.split("/"))
 
 
+def folders_of_days(spark: SparkSession, base: str, days: int) -> list[str] | None:
+    """The hour folders of the newest one's day and the ``days`` before it;
+    None when folders are not named by numbers."""
+    newest = newest_folder(spark, base)
+    if newest is None:
+        return []
+    levels = [_name_key(name) for name in newest.split("/")]
+    if any(kind for kind, _, _ in levels):
+        return None
+    try:
+        day = dt.date(*[n for _, n, _ in levels[:3]]) - dt.timedelta(days=days)
+    except ValueError:
+        return None
+    return [f for f, _ in newest_folders(spark, base, 1, f"{day.year}/{day.month}/{day.day}/0")]
+
+
 def newest_folder(spark: SparkSession, base: str) -> str | None:
     """``y/m/d/h`` of the newest hour folder, None when there is none."""
     found = newest_folders(spark, base, 1)
@@ -269,13 +288,14 @@ class Screened(set):
 
 
 def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
-                 skipped: list | None = None) -> set[str]:
+                 skipped: list | None = None, allow_none: bool = False) -> set[str]:
     """Check the footers of ``files`` (listing rows) against ``schema``.
 
     ``off``: no check. ``report``: log and record failing files, read all.
     ``exclude``: leave failing files out. ``error``: raise if any fails.
     Returns the paths to leave out (only failing files reach the driver).
     Failing files are appended to ``skipped`` as ``(path, status, detail)``.
+    Unless ``allow_none``, it is an error to leave every file out.
     """
     if drift not in DRIFT_MODES:
         raise ValueError(f"drift must be one of {DRIFT_MODES}, got {drift!r}")
@@ -297,7 +317,7 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
     if drift == "report":
         return Screened(unchecked=unchecked)
     drop = Screened((p for p, _, _ in bad), unchecked=unchecked)
-    if files.count() <= len(drop):
+    if not allow_none and files.count() <= len(drop):
         raise ValueError(f"No readable parquet files left after the schema check "
                          f"({len(drop)} skipped)")
     return drop
@@ -334,16 +354,68 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
     return read_landing_folders(spark, [p for p in paths if p not in drop], schema, **opts)
 
 
+#: Folders that are looked at for a completion marker when none is named.
+MARKER_LOOKBACK = 8
+DEFAULT_MARKER = "_SUCCESS"
+
+
+def _has_marker(spark: SparkSession, folder: str, marker: str) -> bool:
+    got = _hadoop_fs(spark, f"{folder.rstrip('/')}/{marker}")
+    if got is None:
+        raise ValueError("completion markers are hidden files, which need the JVM gateway to be seen")
+    return got[0].exists(got[1])
+
+
+def _last_change(spark: SparkSession, folder: str) -> int:
+    """Newest modification time of a folder's files, hidden ones included, in ms."""
+    fs, path = _hadoop_fs(spark, folder)
+    return max([st.getModificationTime() for st in fs.listStatus(path)], default=0)
+
+
+def complete_snapshot(spark: SparkSession, base: str, marker: str | None = None,
+                      settle: float | None = None) -> tuple[str, list[str]]:
+    """L4: the newest *finished* hour folder and its Parquet files.
+
+    ``marker``: the file name an export writes last; the newest folder that
+    holds it is taken. ``settle``: minutes without a change after which a
+    folder counts as finished (for exports without a marker). With neither, a
+    newest folder without ``_SUCCESS`` is passed over only if one of the
+    ``MARKER_LOOKBACK`` newest folders has it (then the export does write it);
+    where no folder does, the newest one is taken.
+    """
+    newest = newest_folders(spark, base, 1)
+    if not newest:
+        raise ValueError(f"{base} holds no snapshot folder")
+    if marker is None and settle is None:
+        if not newest[0][1] or _hadoop_fs(spark, base) is None or _has_marker(spark, newest[0][0], DEFAULT_MARKER):
+            return newest[0]
+        for folder, files in newest_folders(spark, base, MARKER_LOOKBACK)[1:]:
+            if files and _has_marker(spark, folder, DEFAULT_MARKER):
+                log.warning("snapshot folder %s has no %s and is taken for unfinished; reading %s",
+                            newest[0][0], DEFAULT_MARKER, folder)
+                return folder, files
+        return newest[0]
+    now, n, seen = time.time() * 1000, 4, 0
+    while True:
+        found = newest_folders(spark, base, n)
+        for folder, files in found[seen:]:
+            if files and (marker is None or _has_marker(spark, folder, marker)) and \
+                    (settle is None or now - _last_change(spark, folder) >= settle * 60_000):
+                return folder, files
+        if len(found) < n:
+            raise ValueError(f"{base} holds no finished snapshot folder")
+        seen, n = len(found), n * 4
+
+
 def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
                        mode: str = "latest_file", *, ignore_corrupt_files: bool = True,
                        with_order: bool = False, drift: str = "off",
-                       skipped: list | None = None) -> DataFrame:
-    """The newest folder; then its greatest file name
-    (``latest_file``) or all its Parquet files (``latest_folder``)."""
-    folders = newest_folders(spark, base, 1)
-    if not folders:
-        raise ValueError(f"{base} holds no snapshot folder")
-    folder, files = folders[0]
+                       skipped: list | None = None, marker: str | None = None,
+                       settle: float | None = None) -> DataFrame:
+    """The newest finished folder (:func:`complete_snapshot`); then its
+    greatest file name (``latest_file``) or all its Parquet files
+    (``latest_folder``)."""
+    folder, files = complete_snapshot(spark, base, marker, settle)
     if not files:
         raise ValueError(f"snapshot folder {folder} holds no Parquet file")
     paths = files if mode == "latest_folder" else [max(files)]

@@ -50,6 +50,7 @@ EXTRA_CONFIG_KEYS = (
     "tiebreak", "fixed_partition", "prune_partition_col", "date_watermark_col",
     "watermark_inclusive", "watermark_lookback", "schema_drift", "n_folders", "snapshot_mode",
     "buckets", "dedup_without_timestamp", "strict_cast", "on_unknown_transform", "update_op",
+    "catch_up", "late_days", "load_col", "arrival_col", "snapshot_marker", "snapshot_settle",
 )
 EXTRA_TRANSFORM_CONFIG_KEYS = ("order_col", "order_tiebreak")
 
@@ -121,8 +122,13 @@ class TableSpec:
     # landing options
     landing_base: str | None = None
     n_folders: int | None = 2
-    catch_up: bool = True            # also read every folder since the last one loaded
+    catch_up: bool = True            # keep a ledger and read every file it does not hold
+    late_days: int | None = None     # list only this many days before the newest folder (None: all)
+    load_col: str | None = None      # raw: stamp rows with the number of the load that wrote them
+    arrival_col: str | None = None   # clean: the source's load_col, used as the watermark
     snapshot_mode: str = "latest_file"
+    snapshot_marker: str | None = None      # a file that only finished snapshot folders hold
+    snapshot_settle: float | None = None    # minutes without a change that finish a folder
     ignore_corrupt_files: bool = True
     newest_file_wins: bool = True
     schema_drift: str = "error"      # footer check: off | report | exclude | error

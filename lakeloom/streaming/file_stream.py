@@ -7,8 +7,15 @@ modification time, not by folder name, so correctness comes from the merge
 guard (``source.ts >= target.ts`` keeps the newest row whatever the batch
 order), never from arrival order. Each micro-batch is deduplicated and merged
 inside ``foreachBatch``. The checkpoint belongs to the target (by default it is
-derived from its name), and the last merged epoch is kept as a property of the
-target, so a batch replayed after a failure is not merged again.
+derived from its name). The last merged epoch is a property of the target that
+switches together with the rows, under the id that the checkpoint gives its
+query: a batch replayed after a failure is not merged again, and a fresh
+checkpoint, also one at the same place, starts its own count and loads every
+file anew.
+
+``drop_replays`` adds keyed state (:mod:`lakeloom.streaming.newest_state`): rows
+that are no newer than what the stream has seen of their key leave before the
+merge, so a re-delivery rewrites no partition.
 
 A file that does not fit the schema, or is not Parquet, fails the batch and the
 checkpoint does not advance, so no file is marked done unread. Only
@@ -27,8 +34,8 @@ so set it above the longest delay of a delivery.
 
 from __future__ import annotations
 
-import hashlib
-import re
+import json
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -36,26 +43,22 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeloom.plans.loads import _landing, _partitions, prepare, upsert_scope
 from lakeloom.session import warehouse_root
 from lakeloom.sinks.history import append_history
-from lakeloom.sinks.tables import upsert_table
+from lakeloom.sinks.tables import get_note, upsert_table
 from lakeloom.sources.landing import ORDER_COL, PARQUET_GLOB, enforce_schema, landing_order
 from lakeloom.spec import TableSpec
+from lakeloom.streaming.newest_state import newest_only, state_store
 
 
-def _last_epoch(spark: SparkSession, target: str, mark: str) -> int:
-    """Last epoch of this checkpoint that the target holds (-1: none)."""
-    if not spark.catalog.tableExists(target):
-        return -1
-    for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect():
-        if r["key"] == mark and re.fullmatch(r"\d+", r["value"]):
-            return int(r["value"])
-    return -1
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the streaming query that owns the checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: str | None = None,
                          available_now: bool = True, processing_time: str | None = None,
                          max_files_per_trigger: int | None = None,
                          clean_source: str | None = None, archive_dir: str | None = None,
-                         max_file_age: str | None = None,
+                         max_file_age: str | None = None, drop_replays: bool = False,
                          record: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what is there and stops.
 
@@ -88,16 +91,18 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
     stream = enforce_schema(stream, spec.schema, keep=order)
 
     checkpoint = checkpoint or f"{warehouse_root(spark)}/_streams/{spec.target}"
-    mark = f"lakeloom.epoch.{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    if drop_replays:
+        stream = newest_only(stream, spec.key, spec.timestamp, ignore=order)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        if epoch_id <= _last_epoch(spark, spec.target, mark):
+        mark = f"epoch.{_query_id(spark, checkpoint)}"
+        done = get_note(spark, spec.target, mark)
+        if done is not None and epoch_id <= int(done):
             return                      # a replay of a batch that was merged
         prepared = prepare(batch, spec, order)
         res = upsert_table(prepared, spec.target, spec.key, spec.timestamp, spec.update_op,
                            partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
-                           scope=upsert_scope(spec))
-        spark.sql(f"ALTER TABLE {spec.target} SET TBLPROPERTIES ('{mark}' = '{epoch_id}')")
+                           scope=upsert_scope(spec), notes={mark: str(epoch_id)})
         # the batch runs in a cloned session: the caller's one has its own cache
         spark.catalog.refreshTable(spec.target)
         if record:
@@ -105,8 +110,11 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
 
     w = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint))
+    if drop_replays:
+        w = w.outputMode("update")
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    with state_store(spark) if drop_replays else nullcontext():
+        return w.start()

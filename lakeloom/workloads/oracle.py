@@ -155,5 +155,10 @@ UNION ALL SELECT * FROM s""",
     "custom_transform": f"SELECT *, value > 50 AS high_value FROM ({_DEDUP_EVENTS}) d",
     "run_two_hops": _LOADED,
     "stream_upsert": f"SELECT *, {_YMD.format(c='ts')} FROM ({_DEDUP_EVENTS}) d",
+    "stream_redelivery": f"SELECT *, CAST(0 AS BIGINT) AS replay_rewrote FROM ({_LOADED})",
+    "stream_restart": _LOADED,
+    "landing_late_files": f"SELECT *, CAST(0 AS BIGINT) AS rows_read_again FROM ({_LOADED})",
+    "landing_snapshot_complete": "SELECT * FROM customer",
+    "clean_arrival_watermark": _LOADED,
     "revenue_latest_facts": _FACT_REVENUE,
 }

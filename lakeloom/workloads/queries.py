@@ -455,6 +455,97 @@ def q_clean_full_e2e(spark, sf_dir):
     return spark.table(spec.target)
 
 
+def _late(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events of the first load, of later hours, and those whose files arrive
+    last although their hours are old."""
+    ev = table(spark, sf_dir, "events")
+    old, late = F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"), F.col("event_id") % 7 == 3
+    return ev.filter(old & ~late), ev.filter(~old), ev.filter(old & late)
+
+
+def q_landing_late_files(spark, sf_dir):
+    """L3: files that arrive in hour folders older than the newest one loaded
+    are loaded, each once; a last load finds nothing."""
+    first, later, late = _late(spark, sf_dir)
+    base = scratch_path(spark, "landing-late")
+    spec = _events_raw_spec(_uniq("late_events"), base)
+    stage_landing(first, f"{base}/events_landing", "ts", one_file_per_folder=True)
+    load_raw_incremental(spark, spec, n_folders=None)
+    stage_landing(late, f"{base}/events_landing", "ts", one_file_per_folder=True)
+    stage_landing(later, f"{base}/events_landing", "ts", one_file_per_folder=True)
+    load_raw_incremental(spark, spec, n_folders=2)
+    again = load_raw_incremental(spark, spec, n_folders=2)
+    return spark.table(spec.target).withColumn("rows_read_again", F.lit(again.source_rows).cast("long"))
+
+
+def q_clean_arrival_watermark(spark, sf_dir):
+    """F1 by arrival: a third batch, older than the clean table's newest row,
+    reaches it because raw rows carry the number of the load that wrote them."""
+    base = scratch_path(spark, "landing-arrival")
+    raw = _events_raw_spec(_uniq("arrival_raw"), base).with_(load_col="load_no", n_folders=None)
+    clean = TableSpec(target=_uniq("arrival_clean"), source=raw.target, load_type=INCREMENTAL, category="FACT",
+                      columns=EVENT_COLS, key=EVENT_KEY, timestamp="ts", partition_cols=YMD_COLUMNS,
+                      transforms=("DERIVE_YMD",), tiebreak=("event_id",), arrival_col="load_no")
+    for batch in _late(spark, sf_dir):
+        stage_landing(batch, f"{base}/events_landing", "ts", one_file_per_folder=True)
+        load_raw_incremental(spark, raw)
+        load_clean_incremental(spark, clean)
+    return spark.table(clean.target)
+
+
+def q_landing_snapshot_complete(spark, sf_dir):
+    """L4: the newest folder holds a part of an export that has not finished
+    (no ``_SUCCESS``); the finished snapshot before it is read."""
+    cust = table(spark, sf_dir, "customer")
+    base = scratch_path(spark, "landing-unfinished")
+    cust.withColumn("c_acctbal", F.lit(0.0)).write.parquet(f"{base}/customer/2024/1/2/9")
+    cust.write.parquet(f"{base}/customer/2024/1/2/10")
+    (cust.filter(F.col("c_custkey") % 10 == 0).write
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/customer/2024/1/2/11"))
+    spec = TableSpec(target=_uniq("finished_customer"), source="customer", load_type=FULL, schema=CUSTOMER_SCHEMA,
+                     key=("c_custkey",), landing_base=base, snapshot_mode="latest_folder")
+    load_raw_full(spark, spec)
+    return spark.table(spec.target)
+
+
+def _drained(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+
+
+def q_stream_redelivery(spark, sf_dir):
+    """ST1 with keyed state: every file is delivered again and new ones with
+    it; then everything once more, which rewrites no partition."""
+    first, later, late = _late(spark, sf_dir)
+    base = scratch_path(spark, "landing-redelivery")
+    spec = _events_raw_spec(_uniq("redelivered_events"), base)
+    for batch in (first.unionByName(late), first.unionByName(late).unionByName(later)):
+        stage_landing(batch, f"{base}/events_landing", "ts", one_file_per_folder=True)
+        _drained(start_landing_stream(spark, spec, drop_replays=True))
+    stage_landing(later.unionByName(first), f"{base}/events_landing", "ts", one_file_per_folder=True)
+    _drained(start_landing_stream(spark, spec, drop_replays=True))
+    last = table_history(spark, spec.target).limit(1).select(F.col("partitions_rewritten").alias("replay_rewrote"))
+    return spark.table(spec.target).crossJoin(last)
+
+
+def q_stream_restart(spark, sf_dir):
+    """ST1: a stream that starts over with a fresh checkpoint at the same place
+    loads the files that came meanwhile."""
+    first, later, late = _late(spark, sf_dir)
+    base = scratch_path(spark, "landing-restart")
+    spec = _events_raw_spec(_uniq("restarted_events"), base)
+    checkpoint = scratch_path(spark, "restart-checkpoint")
+    stage_landing(first, f"{base}/events_landing", "ts", one_file_per_folder=True)
+    _drained(start_landing_stream(spark, spec, checkpoint=checkpoint, max_files_per_trigger=200, record=False))
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(checkpoint)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    stage_landing(later.unionByName(late), f"{base}/events_landing", "ts", one_file_per_folder=True)
+    _drained(start_landing_stream(spark, spec, checkpoint=checkpoint, record=False))
+    return spark.table(spec.target)
+
+
 def _report_specs(ok: str) -> list[TableSpec]:
     return [
         TableSpec(target=ok, source="events", load_type=FULL, category="FACT", columns=EVENT_COLS,
@@ -581,5 +672,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_report": q_run_report,
     "run_outcomes": q_run_outcomes,
     "stream_upsert": q_stream_upsert,
+    "stream_redelivery": q_stream_redelivery,
+    "stream_restart": q_stream_restart,
+    "landing_late_files": q_landing_late_files,
+    "landing_snapshot_complete": q_landing_snapshot_complete,
+    "clean_arrival_watermark": q_clean_arrival_watermark,
     "revenue_latest_facts": q_revenue_latest_facts,
 }

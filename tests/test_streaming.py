@@ -1,6 +1,10 @@
+import datetime as dt
+import os
+
 from lakeloom.operators import latest_per_key
 from lakeloom.session import scratch_path
-from lakeloom.spec import TableSpec
+from lakeloom.sinks.history import table_history
+from lakeloom.spec import YMD_COLUMNS, TableSpec
 from lakeloom.streaming import start_landing_stream
 from lakeloom.workloads.queries import EVENTS_SCHEMA, stage_landing
 
@@ -96,3 +100,88 @@ def test_stream_out_of_order_delivery_equals_batch(spark):
     want = latest_per_key(ev, ["user_id", "event_type"], "ts", ["event_id"])
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_fresh_checkpoint_at_the_same_place_loads_new_files(spark, tmp_base):
+    import shutil
+
+    from tests.test_ledger import deliver, ids, spec
+    s = spec("stream_restarted", f"{tmp_base}/in", schema_drift="error")
+    checkpoint = f"{tmp_base}/checkpoint"
+
+    def drain():
+        q = start_landing_stream(spark, s, checkpoint=checkpoint, max_files_per_trigger=1, record=False)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    for h in range(4):
+        deliver(f"{tmp_base}/in", h, [h])
+    drain()
+    shutil.rmtree(checkpoint)
+    for h in range(4):
+        os.remove(f"{tmp_base}/in/tbl/2024/1/1/{h}/part-0.parquet")
+    deliver(f"{tmp_base}/in", 5, [50])
+    drain()
+    assert ids(spark, "stream_restarted") == [0, 1, 2, 3, 50]
+
+
+def test_replayed_batch_is_merged_once(spark, tmp_base):
+    """A batch whose epoch the target already holds (the process died after the
+    merge, before the checkpoint's commit) is not merged again."""
+    import glob
+
+    from tests.test_ledger import deliver, spec
+    s = spec("stream_replayed", f"{tmp_base}/in", schema_drift="error")
+    checkpoint = f"{tmp_base}/checkpoint"
+    deliver(f"{tmp_base}/in", 1, [1, 2])
+    start_landing_stream(spark, s, checkpoint=checkpoint).awaitTermination()
+    for f in glob.glob(f"{checkpoint}/commits/*") + glob.glob(f"{checkpoint}/commits/.*"):
+        os.remove(f)                                     # the commit is lost
+    q = start_landing_stream(spark, s, checkpoint=checkpoint)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert table_history(spark, s.target).count() == 1 and spark.table(s.target).count() == 2
+
+
+def test_redelivery_rewrites_nothing(spark, tmp_base):
+    from tests.test_ledger import deliver, spec
+    s = spec("stream_states", f"{tmp_base}/in", schema_drift="error", partition_cols=YMD_COLUMNS,
+             transforms=("DERIVE_YMD",))
+
+    def drain():
+        q = start_landing_stream(spark, s, drop_replays=True)
+        q.awaitTermination()
+        assert q.exception() is None
+        return table_history(spark, s.target).first()
+
+    deliver(f"{tmp_base}/in", 1, [1] * 200 + [2, 3], "a")
+    assert drain().operation == "CREATE"
+    deliver(f"{tmp_base}/in", 1, [1] * 200 + [2, 3], "a", name="again.parquet")
+    last = drain()
+    assert (last.operation, last.source_rows, last.partitions_rewritten) == ("MERGE", 0, 0)
+    # an older row, the same time with another value, and a newer one
+    deliver(f"{tmp_base}/in", 1, [1], "older", name="older.parquet", at=dt.datetime(2023, 1, 1))
+    deliver(f"{tmp_base}/in", 1, [2], "fixed", name="zfixed.parquet")
+    deliver(f"{tmp_base}/in", 4, [3], "newer")
+    assert drain().partitions_rewritten == 1
+    assert {r.id: r.v for r in spark.table(s.target).collect()} == {1: "a", 2: "fixed", 3: "newer"}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_state_passes_null_keys_and_null_times(spark, tmp_base):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tests.test_ledger import spec
+    s = spec("stream_nulls", f"{tmp_base}/in", schema_drift="error")
+    folder = f"{tmp_base}/in/tbl/2024/1/1/1"
+    os.makedirs(folder)
+    rows = pa.table({"id": pa.array([None, 5, 6], pa.int64()),
+                     "ts": pa.array([dt.datetime(2024, 1, 1), None, dt.datetime(2024, 1, 1)], pa.timestamp("us")),
+                     "v": ["n", "t", "x"]})
+    for name in ("one", "two"):
+        pq.write_table(rows, f"{folder}/{name}.parquet")
+        q = start_landing_stream(spark, s, drop_replays=True, record=False)
+        q.awaitTermination()
+        assert q.exception() is None
+    assert sorted(str(r.id) for r in spark.table(s.target).collect()) == ["5", "6", "None", "None"]
