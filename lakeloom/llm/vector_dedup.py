@@ -1,18 +1,20 @@
-"""Near-duplicate vectors: all pairs of a label, or sorted projection passes
-where those cost less.
+"""Near-duplicate vectors by sorted projection passes.
 
 Vectors of one label (and one dimension) are compared by cosine in double
-precision; pairs at or above ``threshold`` are linked. A label of up to
-``WHOLE * LEAST`` vectors is compared whole, in tiles. Larger ones go through
-passes: vectors are ordered lexicographically by the concatenated signs of
-random projections, drawn anew for the pass, and every vector is compared with
-the next ``WINDOW`` ones. How many leading signs a partner must share to be
-within the window is measured for each vector in each pass, which gives the
-chance that the pass found a partner at the threshold. A vector leaves once its
-passes together miss such a partner with a probability of at most ``MISS``.
-What is left of a label is compared whole as soon as that costs no more than
-the passes made so far (signs hardly split vectors that share a direction).
-The links are united, and connected components follow.
+precision; pairs at or above ``threshold`` are linked. In a pass they are
+ordered lexicographically by the concatenated signs of random projections,
+drawn anew for the pass, and every vector is compared with the next ``WINDOW``
+ones. How many leading signs a partner must share to be within the window is
+measured for each vector in each pass, which gives the chance that the pass
+found a partner at the threshold. A vector leaves once its passes together miss
+such a partner with a probability of at most ``MISS``. Vectors that share a
+direction are hardly split by signs; what ``SETTLE`` passes have not settled of
+a label is compared whole, in tiles, as soon as that costs no more than the
+passes made. The links are united, and connected components follow.
+
+Passes carry vectors in single precision. A cosine further from the threshold
+than its rounding can be is decided there; the others are computed again in
+double precision.
 
 A window bounds candidates, not results: inside each component all pairs are
 then compared exactly, in tiles of two blocks per task, which gives every
@@ -48,17 +50,20 @@ from lakeloom.llm.common import (
 )
 
 THRESHOLD = 0.93
-WINDOW = 16
+WINDOW = 256
 MISS = 1e-4
 BITS = 62
-PASSES_PER_JOB = 4
+#: Passes of the first job and of each later one.
+FIRST_PASSES, MORE_PASSES = 2, 6
+#: Passes that every vector gets unless fewer settle it.
+SETTLE = 20
+#: Rows of one task of a pass; the window's width at its edges settles nothing.
+TASK_ROWS = 32_768
 #: Smallest block of a tile; blocks grow with the root of the component.
 BLOCK = 32
-#: Block of a tile where a label is compared whole: one copy of a vector in a
-#: tile then costs about as much as its copy in a pass.
+#: Block of a tile where the rest of a label is compared whole: one copy of a
+#: vector in a tile then costs about as much as its copy in a pass.
 WHOLE = 4096
-#: Copies for which no pass is tried first.
-LEAST = 16
 #: Rounding of two double dot products of unit vectors.
 _EPS = 1e-12
 
@@ -143,11 +148,30 @@ def _union(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _joined(near: np.ndarray, part: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links of a block (``near[left, right]``) that join parts; ``part`` is updated."""
+    a, b = [], []
+    for r in np.flatnonzero(near.any(axis=1)):
+        to = right[near[r]]
+        to = to[part[to] != part[left[r]]]
+        if len(to):
+            parts, at = np.unique(part[to], return_index=True)
+            part[np.isin(part, parts)] = part[left[r]]
+            a += [int(left[r])] * len(at)
+            b += to[at].tolist()
+    return a, b
+
+
+def _margin(dim: int) -> float:
+    """How far a single-precision cosine of unit vectors can be off."""
+    return 1.1 * (dim + 4) * 2.0 ** -24
+
+
 def pass_links(classes: DataFrame, numbers: list[int], threshold: float = THRESHOLD,
-               window: int = WINDOW) -> DataFrame:
+               window: int = WINDOW, parts: int | None = None) -> DataFrame:
     """``a, b`` linked within the windows of the given passes (as many as
-    keep each task's links connected), and without ``b`` what each vector
-    ``a`` gained in them."""
+    keep each block's links connected), ``sure`` or to be computed again, and
+    without ``b`` what each vector ``a`` gained in them."""
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dims, raw = b.column("dim").to_numpy(), b.column("unit").to_pylist()
@@ -155,16 +179,18 @@ def pass_links(classes: DataFrame, numbers: list[int], threshold: float = THRESH
                 mine = np.flatnonzero(dims == d)
                 x = np.frombuffer(b"".join(raw[i] for i in mine), dtype="<f8").reshape(len(mine), d)
                 own = b.take(pa.array(mine))
+                half = pa.array([r.tobytes() for r in x.astype("<f4")], pa.binary())
                 for p in numbers:
                     sign = (x @ _projection(int(d), p) >= 0).astype(np.int64)
                     code = sign @ (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(mine), p, np.int32)), own.column("label"), own.column("dim"),
-                         pa.array(code), own.column("c"), own.column("unit")],
+                         pa.array(code), own.column("c"), half],
                         ["pass", "label", "dim", "code", "c", "unit"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
+        close: set[tuple[int, int]] = set()
         tail: pa.Table | None = None
         last, number = None, 0
         seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -184,30 +210,53 @@ def pass_links(classes: DataFrame, numbers: list[int], threshold: float = THRESH
                 seen.append((group, t["code"].to_numpy()[old:], c[old:]))
                 last, number = keys[-1], int(group[-1])
             for i, j in zip(edge, edge[1:]):
-                x = np.frombuffer(b"".join(raw[i:j]), dtype="<f8").reshape(j - i, -1)
-                for step in range(1, min(window, j - i - 1) + 1):
-                    low = max(0, old - i - step)          # pairs inside the tail are done
-                    cos = np.einsum("ij,ij->i", x[low:len(x) - step], x[low + step:])
-                    hit = np.flatnonzero(cos >= threshold - _EPS) + low
-                    found += zip(c[i + hit].tolist(), c[i + hit + step].tolist())
+                x = np.frombuffer(b"".join(raw[i:j]), dtype="<f4").reshape(j - i, -1)
+                own, margin, part = c[i:j], _margin(x.shape[1]), np.arange(j - i)
+                for s in range(0, j - i, window):
+                    left, right = np.arange(s, min(j - i, s + window)), np.arange(s, min(j - i, s + 2 * window))
+                    cos = x[left] @ x[right].T
+                    gap = right[None, :] - left[:, None]
+                    cos[(gap < 1) | (gap > window)] = -2
+                    held = max(0, old - i - s)               # pairs inside the tail are done
+                    cos[:held, :held] = -2
+                    r, k = np.nonzero(np.abs(cos - threshold) <= margin)
+                    close.update(zip(own[left[r]].tolist(), own[right[k]].tolist()))
+                    for p, q in zip(*_joined(cos > threshold + margin, part, left, right)):
+                        found.append((int(own[p]), int(own[q])))
             tail = t.slice(max(0, t.num_rows - window))
             found = _union(found)
         if not seen:
             return
-        yield pa.RecordBatch.from_pydict({"a": pa.array([min(p) for p in found], pa.int64()),
-                                          "b": pa.array([max(p) for p in found], pa.int64()),
-                                          "gain": pa.nulls(len(found), pa.float64())})
+        links = [(min(p), max(p), True) for p in found] + [(min(p), max(p), False) for p in close]
+        yield pa.RecordBatch.from_pydict({"a": pa.array([x[0] for x in links], pa.int64()),
+                                          "b": pa.array([x[1] for x in links], pa.int64()),
+                                          "sure": pa.array([x[2] for x in links], pa.bool_()),
+                                          "gain": pa.nulls(len(links), pa.float64())})
         group, code, c = (np.concatenate(x) for x in zip(*seen))
         gain = _gains(group, code, threshold, window)
         for i in range(0, len(c), 65_536):
             own = slice(i, i + 65_536)
-            yield pa.RecordBatch.from_pydict({"a": c[own], "b": pa.nulls(len(c[own]), pa.int64()), "gain": gain[own]})
+            yield pa.RecordBatch.from_pydict({"a": c[own], "b": pa.nulls(len(c[own]), pa.int64()),
+                                              "sure": pa.nulls(len(c[own]), pa.bool_()), "gain": gain[own]})
 
     order = ["pass", "label", "dim", "code", "c"]
     return classes.select("c", "label", "dim", "unit") \
         .mapInArrow(coded, "pass int, label string, dim int, code long, c long, unit binary") \
-        .repartitionByRange(range_parts(classes), *order).sortWithinPartitions(*order) \
-        .mapInArrow(windows, "a long, b long, gain double")
+        .repartitionByRange(parts or range_parts(classes), *order).sortWithinPartitions(*order) \
+        .mapInArrow(windows, "a long, b long, sure boolean, gain double")
+
+
+def _settled_pairs(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``a, b`` whose cosine in double precision reaches the threshold."""
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [float(np.dot(np.frombuffer(x, "<f8"), np.frombuffer(y, "<f8"))) >= threshold - _EPS
+                  for x, y in zip(b.column("ua").to_pylist(), b.column("ub").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.join(classes.select(F.col("c").alias("a"), F.col("unit").alias("ua")), "a") \
+        .join(classes.select(F.col("c").alias("b"), F.col("unit").alias("ub")), "b") \
+        .select("a", "b", "ua", "ub").mapInArrow(exact, "a long, b long")
 
 
 def whole_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -226,16 +275,9 @@ def whole_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 for s in range(0, len(left), 512):
                     own = left[s:s + 512]
                     near = x[own] @ other >= threshold - _EPS
-                    for r in np.flatnonzero(near.any(axis=1)):
-                        to = right[near[r]]
-                        to = to[part[to] != part[own[r]]]
-                        if not len(to):
-                            continue
-                        parts, at = np.unique(part[to], return_index=True)
-                        to = to[at]
-                        part[np.isin(part, parts)] = part[own[r]]
-                        mate = c[lo + to]
-                        me = np.full(len(to), c[lo + own[r]])
+                    p, q = _joined(near, part, own, right)
+                    if p:
+                        me, mate = c[lo + np.array(p)], c[lo + np.array(q)]
                         found.append(np.column_stack([np.minimum(me, mate), np.maximum(me, mate)]))
             pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
             yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -248,30 +290,31 @@ def whole_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _links(classes: DataFrame, threshold: float, window: int, miss: float) -> DataFrame | None:
     """``a, b``: links that connect each component; None if no label has two vectors."""
-    todo = classes.select("c", "label", "dim", "unit")
+    alone = written(classes.groupBy("label", "dim").agg(F.count("*").alias("n")).filter("n > 1"), "vector-sizes")
+    todo = classes.select("c", "label", "dim", "unit").join(alone.select("label", "dim"), ["label", "dim"], "left_semi")
     links, gains, done = None, None, 0
-    while True:
-        limit = WHOLE * max(done, LEAST)
-        sizes = written(todo.groupBy("label", "dim").agg(F.count("*").alias("n"), F.min("c").alias("lead"))
-                        .filter("n > 1"), "vector-sizes")
-        few = sizes.filter(F.col("n") <= limit)
-        if not few.isEmpty():
-            own = written(whole_links(todo.join(few.select("label", "dim", "lead"), ["label", "dim"]), threshold)
-                          .distinct(), "vector-whole")
-            links = own if links is None else links.union(own)
-        many = sizes.filter(F.col("n") > limit)
-        if many.isEmpty():
-            return links
-        todo = written(todo.join(many.select("label", "dim"), ["label", "dim"], "left_semi"), "vector-todo")
-        out = written(pass_links(todo, list(range(done, done + PASSES_PER_JOB)), threshold, window), "vector-passes")
-        done += PASSES_PER_JOB
-        own = out.filter("b is not null").select("a", "b").distinct()
+    while (n := todo.count()):
+        some = MORE_PASSES if done else FIRST_PASSES
+        out = written(pass_links(todo, list(range(done, done + some)), threshold, window,
+                                 max(1, -(-n * some // TASK_ROWS))), "vector-passes")
+        done += some
+        own = out.filter("sure").select("a", "b").union(_settled_pairs(
+            out.filter("not sure").select("a", "b").distinct(), classes, threshold)).distinct()
         links = own if links is None else links.union(own)
         more = out.filter("b is null").select(F.col("a").alias("c"), "gain")
         gains = written((more if gains is None else gains.union(more)).groupBy("c").agg(F.sum("gain").alias("gain")),
                         "vector-gains")
         # of two vectors, the first to leave had the other in all its passes
-        todo = todo.join(gains.filter(F.col("gain") >= -math.log(miss)), "c", "left_anti")
+        todo = written(todo.join(gains.filter(F.col("gain") >= -math.log(miss)), "c", "left_anti"), "vector-todo")
+        if done < SETTLE:
+            continue
+        sizes = written(todo.groupBy("label", "dim").agg(F.count("*").alias("n"), F.min("c").alias("lead")),
+                        "vector-sizes")
+        few = sizes.filter(F.col("n") <= WHOLE * done)
+        links = links.union(written(whole_links(todo.join(few.select("label", "dim", "lead"), ["label", "dim"]), threshold)
+                                    .distinct(), "vector-whole"))
+        todo = written(todo.join(few.select("label", "dim"), ["label", "dim"], "left_anti"), "vector-todo")
+    return links
 
 
 def _link_counts(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:

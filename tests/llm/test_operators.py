@@ -125,6 +125,52 @@ def test_packing(spark, odd, empty):
     assert packing.pack_documents(empty, known_path("word_bpe_49k.json")).count() == 0
 
 
+def longest_fit(histogram, limit):
+    left, n = dict(histogram), 0
+    while left:
+        room, config = limit, {}
+        for size in sorted(left, reverse=True):
+            if size <= room:
+                config[size] = min(room // size, left[size])
+                room -= size * config[size]
+        times = min(left[k] // a for k, a in config.items())
+        n += times
+        left = {k: v - times * config.get(k, 0) for k, v in left.items() if v > times * config.get(k, 0)}
+    return n
+
+
+def test_plan_packs_no_worse_than_longest_fit():
+    """On the lengths of sf0.1 and multiples of them, and all by configurations."""
+    import pyarrow.parquet as pq
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist()
+    encoder = Encoder(known_path("word_bpe_49k.json"))
+    count = Counter()
+    for t in texts:
+        n = len(encoder._ids([t or ""])[0]) + 1
+        count.update([2048] * (n // 2048) + ([n % 2048] if n % 2048 else []))
+    for times in (1, 10, 100):
+        histogram = {k: v * times for k, v in count.items()}
+        plan = packing.pack_plan(histogram, 2048)
+        placed = Counter()
+        for sequences, config in plan:
+            assert sequences > 0 and sum(k * a for k, a in config.items()) <= 2048
+            for k, a in config.items():
+                placed[k] += sequences * a
+        assert placed == histogram
+        used = sum(x for x, _ in plan)
+        assert used <= longest_fit(histogram, 2048)
+        assert used <= -(-sum(k * v for k, v in histogram.items()) // 2048) + 10 and len(plan) < 4000
+
+
+@pytest.mark.parametrize("histogram, best", [({}, 0), ({5: 7}, 4), ({10: 1}, 1), ({6: 3, 4: 3}, 3), ({7: 2, 3: 1, 2: 2, 1: 1}, 3),
+                                             ({9: 1, 1: 1, 5: 2}, 2), ({4: 5}, 3), ({1: 25}, 3)])
+def test_plan_of_small_histograms(histogram, best):
+    plan = packing.pack_plan(histogram, 10)
+    assert sum(x for x, _ in plan) == best
+    with pytest.raises(ValueError):
+        packing.pack_plan({11: 1}, 10)
+
+
 def test_plan_is_near_the_bound():
     rng = np.random.default_rng(3)
     sizes = np.minimum(2048, np.exp(rng.normal(6, 1, 20_000)).astype(int) + 1)
@@ -366,10 +412,11 @@ def test_vectors(spark):
     assert vector_dedup.near_vectors(df.filter("vec_id < 0")).count() == 0
 
 
-@pytest.mark.parametrize("whole, n, mean", [(None, 6000, 0.85), (None, 3000, 0.7), (64, 1500, 0.85), (64, 1500, 0.0)])
+@pytest.mark.parametrize("whole, n, mean", [(None, 6000, 0.85), (None, 3000, 0.7), (16, 1500, 0.85), (16, 1500, 0.0)])
 def test_vectors_that_share_a_direction(spark, monkeypatch, whole, n, mean):
-    if whole:                                          # so that passes are made
+    if whole:                                          # so that passes alone settle most
         monkeypatch.setattr(vector_dedup, "WHOLE", whole)
+        monkeypatch.setattr(vector_dedup, "WINDOW", 32)
     rng = np.random.default_rng(11)
     common = rng.standard_normal(64)
     common /= np.linalg.norm(common)
