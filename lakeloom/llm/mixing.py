@@ -115,19 +115,43 @@ def _mixed(rows: DataFrame, meta: DataFrame, weights: tuple, share: float, most:
     targets = source_targets(meta.groupBy("_src").agg(F.sum("_size").alias("_total")), weights, share, most)
     params = written(_inclusion(meta, targets), "mix-sources")
     ranked = _with_source(meta, params).withColumn("_q", _order()).filter("_size > 0 and _q < double('inf')")
+    # rows that repeat doc_id and text are one entry of the ranking; the cut takes them one by one
+    folded = ranked.groupBy("_src", "_key", "_size", "_q", "_rest").agg(F.count("*").alias("_rows")) \
+        .withColumn("_all", F.col("_size") * F.col("_rows"))
     order = [F.col("_q"), F.col("_key")]
-    ranked = running_before(range_buckets(ranked.select("_src", "_size", "_key", "_q", "_rest"), order, "mix-rank"),
-                            ["_src"], order, "_size", "_before")
-    last = ranked.filter(F.col("_before") + F.col("_size") / 2 <= F.col("_rest")) \
-        .groupBy("_src").agg(F.max(F.struct("_q", "_key")).alias("_last"))
+    ranked = running_before(range_buckets(folded, order, "mix-rank"), ["_src"], order, "_all", "_before")
+    guess = F.floor((F.col("_rest") - F.col("_before")) / F.col("_size") + 0.5)
+
+    def fits(k: Column) -> Column:              # whether the k-th of the rows (from 1) comes nearer to the target
+        return F.col("_before") + (k - 1) * F.col("_size") + F.col("_size") / 2 <= F.col("_rest")
+
+    fit = F.when(fits(guess + 1), guess + 1).when(fits(guess), guess).otherwise(guess - 1)
+    ranked = ranked.withColumn("_fit", F.least(F.col("_rows"), fit))
+    last = ranked.filter("_fit >= 1").groupBy("_src").agg(F.max(F.struct("_q", "_key", "_fit", "_rows")).alias("_last"))
     cut = written(params.alias("a").join(last.alias("b"), F.col("a._src").eqNullSafe(F.col("b._src")), "left")
                   .select("a.*", "b._last"), "mix-cut")
-    drawn = F.coalesce(F.struct("_q", "_key") <= F.col("_last"), F.lit(False))
-    copies = F.col("_whole") + drawn.cast("long")
-    return _with_source(rows, cut).withColumn("_q", _order()).select(
-        *[F.col(f"`{c}`") for c in rows.columns if c not in _MIX], F.col("_size").alias("size"),
-        F.col("_total").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies"),
-        (F.col("_size") * copies).alias("taken"))
+    ours = _with_source(rows, cut).withColumn("_q", _order())
+    here, end = F.struct("_q", "_key"), F.struct(F.col("_last._q").alias("_q"), F.col("_last._key").alias("_key"))
+    split = F.coalesce((here == end) & (F.col("_last._fit") < F.col("_last._rows")), F.lit(False))
+
+    def counted(df: DataFrame, drawn: Column) -> DataFrame:
+        copies = F.col("_whole") + drawn.cast("long")
+        return df.select(*[F.col(f"`{c}`") for c in rows.columns if c not in _MIX], F.col("_size").alias("size"),
+                         F.col("_total").alias("source_size"), F.col("_target").alias("target"),
+                         copies.alias("copies"), (F.col("_size") * copies).alias("taken"))
+
+    if cut.filter("_last._fit < _last._rows").isEmpty():
+        return counted(ours, F.coalesce(here <= end, F.lit(False)))
+    # the rows that the cut falls among, in an order of their other columns (rows that are all equal: any)
+    others = F.to_json(F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in rows.columns if c not in (*_MIX, "text")]),
+                       {"ignoreNullFields": "false"})
+    among = written(ours.filter(split).withColumns({"_h": F.xxhash64(others), "_salt": F.rand(),
+                                                    "_one": F.lit(1).cast("long")}), "mix-among")
+    place = [F.col("_h"), F.col("_salt")]
+    placed = running_before(range_buckets(among, [F.col("_key"), *place], "mix-place"), ["_src", "_key"], place,
+                            "_one", "_rank")
+    return counted(ours.filter(~split), F.coalesce(here <= end, F.lit(False))) \
+        .unionByName(counted(placed, F.col("_rank") < F.col("_last._fit")))
 
 
 def _measured(docs: DataFrame, seed: int) -> DataFrame:

@@ -392,6 +392,32 @@ def test_mixing(spark, small, odd, empty):
     assert mixing.mix_sizes(empty).count() == 0 and mixing.mixed_copies(empty).count() == 0
 
 
+def test_mixing_cuts_repeated_rows_one_by_one(spark, tmp_path):
+    import duckdb
+    text = "one two three four"
+
+    def early(i):                              # the draw of a row, as the operator makes it
+        return hashlib.md5(f"0|{i}|{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()
+
+    seven = min(range(100), key=early)
+    rows = [(seven, text, "en", "b")] * 300 + [(i, "word " * (i % 9 + 1), "en", "abc"[i % 3]) for i in range(100, 500)]
+    rows += [(seven, text, "fr", "b")] * 50 + [(3, None, "en", None), (None, "no id", None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet') WHERE doc_id IS NOT NULL")
+    got = mixing.mix_sizes(docs.filter("doc_id is not null"))
+    found = con.sql(mixing.MIX_SQL)
+    want = found.fetchall()
+    assert Counter(str(tuple(r[c] for c in found.columns)) for r in got.collect()) == Counter(map(str, want))
+    # the cut falls among them
+    assert len(Counter(r.copies for r in got.filter(f"doc_id = {seven} and size = 4").collect())) == 2
+    copies = [sorted(map(str, mixing.mixed_copies(docs.repartition(k)).collect())) for k in (1, 6)]
+    assert copies[0] == copies[1]
+    b = [r for r in mixing.mix(docs).filter("source = 'b'").collect()]
+    assert abs(sum(r.taken for r in b) - b[0].target) <= 9
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.standard_normal(8).tolist(), int(i % 2)) for i in range(60)]
