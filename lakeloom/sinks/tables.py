@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.upsert import ACTION, INSERT, _any_null, guarded_upsert, metric_columns
 from lakeloom.session import warehouse_root
+from lakeloom.sinks.keys import holding_partitions, partition_key, write_index
 from lakeloom.spec import as_tuple
 
 
@@ -200,6 +201,7 @@ def prune_versions(spark: SparkSession, name: str, keep: int = 1, root: str | No
     gone = free[:len(free) - keep] if keep else free
     for n in gone:
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{n}"), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/_keys/{n}"), True)
     return [f"{base}/{n}" for n in gone]
 
 
@@ -319,7 +321,7 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
                  op: str = ">", *, partition_cols: Sequence[str] | None = None,
                  buckets: int | None = None, root: str | None = None,
                  create_if_missing: bool = True, scope: str = "auto",
-                 notes: Mapping[str, str] | None = None) -> LoadResult:
+                 notes: Mapping[str, str] | None = None, key_index: bool = False) -> LoadResult:
     """M1/M2 (+ M3): merge ``source`` into table ``name`` with the guard
     ``source.ts op target.ts``; create the table from ``source`` when it does
     not exist. A failing merge raises and leaves the target untouched.
@@ -334,6 +336,9 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     again instead of updated, so use it only when that cannot happen.
 
     ``notes`` become properties ``lakeloom.<key>`` of the table, with the switch.
+    ``key_index`` keeps bitmaps of each partition's keys beside its version
+    (:mod:`lakeloom.sinks.keys`), so that scope ``"auto"`` looks for the
+    batch's keys only in partitions that can hold one.
     """
     if scope not in ("auto", "full", "batch"):
         raise ValueError(f"scope must be auto, full or batch, got {scope!r}")
@@ -349,7 +354,7 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
         if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
                 and _scopable(spark.table(name).schema, parts):
             res = _upsert_partitions(source, name, keys, ts, op, parts, root,
-                                     batch_only=scope == "batch", notes=notes)
+                                     batch_only=scope == "batch", notes=notes, key_index=key_index)
             if res is not None:
                 return res
     src_obs = Observation()
@@ -370,13 +375,14 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     path = write_version(merged.drop(ACTION), name, partition_cols=partition_cols,
                          buckets=buckets, bucket_cols=keys if buckets else (), root=root, notes=notes)
     m = _observed(obs)
+    if key_index and partition_cols and not buckets:
+        write_index(spark, path, keys, as_tuple(partition_cols), spark.table(name).schema)
     return LoadResult(name, operation, path, int(_observed(src_obs).get("rows", 0)),
                       inserted=int(m.get("inserted") or 0), updated=int(m.get("updated") or 0),
                       deleted=0, rows_written=int(m.get("rows") or 0))
 
 
 # ---------------------------------------------------------------- partition scope
-_SEP = "\u0001"
 _SCOPABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.StringType)
 
 
@@ -407,13 +413,14 @@ _PLAIN = re.compile(r"^[A-Za-z0-9_.-]*$")
 
 def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
                        parts: tuple[str, ...], root: str | None,
-                       batch_only: bool = False, notes: Mapping[str, str] | None = None) -> LoadResult | None:
+                       batch_only: bool = False, notes: Mapping[str, str] | None = None,
+                       key_index: bool = False) -> LoadResult | None:
     """Rewrite only the partitions the batch touches; None -> caller falls
     back to a whole-table rewrite (NULL or unusual partition values)."""
     spark = source.sparkSession
     target = spark.table(name)
     schema = target.schema
-    pk = F.concat_ws(_SEP, *[F.col(c).cast("string") for c in parts])
+    pk = partition_key(parts)
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # the batch's own partitions, with its row count (one pass over the batch)
@@ -421,8 +428,14 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         if not batch_only:
             # partitions holding a key of the batch: key + partition columns only
             nn = ~_any_null(keys)
+            own = target
+            if key_index:
+                live = {"\u0001".join(v): loc for v, loc in _locations(spark, name).items()}
+                holding = holding_partitions(src, keys, live)
+                if holding is not None:
+                    own = target.filter(pk.isin(holding))
             touched = touched.unionByName(
-                target.select(*keys, *parts).filter(nn)
+                own.select(*keys, *parts).filter(nn)
                 .join(src.select(*keys).filter(nn).distinct(), list(keys), "left_semi")
                 .select(*parts).distinct().withColumn("_n", F.lit(0).cast("long")))
         touched_rows = (touched.groupBy(*parts).agg(F.sum("_n").alias("_n"))
@@ -447,6 +460,8 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         m = _observed(obs)
     finally:
         src.unpersist()
+    if key_index:
+        write_index(spark, path, keys, parts, schema)
     written_rows = m.get("written_partitions") or []
     written = {r["_pk"] for r in written_rows}
     # every written partition is switched in, even one the first pass did not

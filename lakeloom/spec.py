@@ -50,7 +50,7 @@ EXTRA_CONFIG_KEYS = (
     "tiebreak", "fixed_partition", "prune_partition_col", "date_watermark_col",
     "watermark_inclusive", "watermark_lookback", "schema_drift", "n_folders", "snapshot_mode",
     "buckets", "dedup_without_timestamp", "strict_cast", "on_unknown_transform", "update_op",
-    "catch_up", "late_days", "load_col", "arrival_col", "snapshot_marker", "snapshot_settle",
+    "key_index", "catch_up", "late_days", "load_col", "arrival_col", "snapshot_marker", "snapshot_settle",
 )
 EXTRA_TRANSFORM_CONFIG_KEYS = ("order_col", "order_tiebreak")
 
@@ -135,6 +135,7 @@ class TableSpec:
     # target layout
     buckets: int | None = None
     fixed_partition: bool = False      # a key's partition never changes -> upsert scope "batch"
+    key_index: bool = False            # keep bitmaps of the keys of each partition for upserts
     options: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self):

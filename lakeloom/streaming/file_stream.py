@@ -102,7 +102,7 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
         prepared = prepare(batch, spec, order)
         res = upsert_table(prepared, spec.target, spec.key, spec.timestamp, spec.update_op,
                            partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
-                           scope=upsert_scope(spec), notes={mark: str(epoch_id)})
+                           scope=upsert_scope(spec), key_index=spec.key_index, notes={mark: str(epoch_id)})
         # the batch runs in a cloned session: the caller's one has its own cache
         spark.catalog.refreshTable(spec.target)
         if record:

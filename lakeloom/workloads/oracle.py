@@ -125,6 +125,12 @@ s AS (
   FROM orders WHERE o_orderstatus = 'O' OR o_orderdate >= DATE '1998-01-01')
 SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)
 UNION ALL SELECT * FROM s""",
+    "upsert_key_index": """SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN hit THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,
+  CAST(year(o_orderdate) AS INTEGER) AS o_year,
+  CAST(CASE WHEN hit THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS TIMESTAMP) AS version_ts
+FROM (SELECT *, o_orderdate >= DATE '1998-01-01' OR (o_orderkey % 50 = 1 AND year(o_orderdate) IN (1994, 1996)) AS hit
+      FROM orders)""",
     "latest_load_history": (
         "SELECT o_orderpriority AS table_name, o_orderdate AS ts, o_orderstatus AS operation, "
         "o_orderkey AS load_id, o_totalprice AS rows_written FROM orders "

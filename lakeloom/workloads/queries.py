@@ -605,6 +605,23 @@ def q_upsert_fixed_partition(spark, sf_dir):
     return spark.table(name)
 
 
+def q_upsert_key_index(spark, sf_dir):
+    """J2/M2 with the key locator: re-priced orders of two customers' years
+    and new ones; only partitions that can hold their keys are looked at."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate")) \
+        .withColumn("version_ts", F.col("o_orderdate").cast("timestamp_ntz"))
+    name = _uniq("orders_indexed")
+    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("date")
+    upsert_table(orders.filter(old), name, ["o_orderkey"], "version_ts", ">", partition_cols=["o_year"], key_index=True)
+    batch = (orders.filter(~old | ((F.col("o_orderkey") % 50 == 1) & F.col("o_year").isin(1994, 1996)))
+             .withColumn("o_totalprice", F.col("o_totalprice") * 2)
+             .withColumn("version_ts", F.col("version_ts") + F.expr("INTERVAL 1 DAY")))
+    for part in (F.col("o_year") == 1994, F.col("o_year") != 1994):
+        upsert_table(batch.filter(part), name, ["o_orderkey"], "version_ts", ">", partition_cols=["o_year"],
+                     key_index=True)
+    return spark.table(name)
+
+
 def q_landing_schema_drift(spark, sf_dir):
     """The newest hour also holds a file whose ``user_id`` became text.
     With ``exclude`` the load skips that file and reports it; with ``error``
@@ -657,6 +674,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_ge": q_upsert_ge,
     "upsert_metrics": q_upsert_metrics,
     "upsert_fixed_partition": q_upsert_fixed_partition,
+    "upsert_key_index": q_upsert_key_index,
     "latest_load_history": q_latest_load_history,
     "create_on_missing": q_create_on_missing,
     "full_overwrite_partitioned": q_full_overwrite_partitioned,
