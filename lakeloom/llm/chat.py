@@ -22,7 +22,9 @@ role and text. Null role and text are empty, a null ``conv_id`` is one
 conversation, repeated rows are repeated turns, extra columns are ignored and
 an empty table gives no rows. A task streams through its rows in order and
 writes a conversation in parts of whole turns, so the longest conversation
-needs no more memory than its longest turn.
+needs no more memory than its longest turn. A template that does more with
+``messages`` than go through them once (an index, a length, a second or an inner
+loop) is given one conversation's rows as a list.
 """
 
 from __future__ import annotations
@@ -299,6 +301,43 @@ def fold(nodes: list[tuple]) -> list[tuple]:
     return out
 
 
+def names_used(nodes: Any, name: str) -> int:
+    """How often a tree (or expression) uses a name."""
+    if isinstance(nodes, tuple) and nodes[:1] == ("name",):
+        return int(nodes[1] == name)
+    if isinstance(nodes, tuple) and nodes[:1] in (("const",), ("text",)):
+        return 0
+    return sum(names_used(x, name) for x in nodes if isinstance(x, (tuple, list))) if isinstance(nodes, (tuple, list)) else 0
+
+
+def reads_once(nodes: list[tuple], name: str) -> bool:
+    """Whether a value is only gone through once, by one loop outside of loops,
+    so that it may be a stream."""
+    def loops(body: list[tuple]) -> int:
+        n = 0
+        for node in body:
+            if node[0] == "for":
+                n += node[2] == ("name", name)
+            elif node[0] == "gen":
+                n += loops(node[1])
+            elif node[0] == "if":
+                n += max(loops(own) for _, own in node[1])
+        return n
+
+    def most(body: list[tuple]) -> int:         # uses on one way through the branches
+        n = 0
+        for node in body:
+            if node[0] == "if":
+                n += sum(names_used(cond, name) for cond, _ in node[1]) + max(most(own) for _, own in node[1])
+            elif node[0] == "gen":
+                n += most(node[1])
+            else:
+                n += names_used(node, name)
+        return n
+
+    return most(nodes) == loops(nodes) <= 1
+
+
 # --- closures ---------------------------------------------------------------
 
 def _key(value: Any, key: Any) -> Any:
@@ -460,12 +499,15 @@ def format_conversations(rows: DataFrame, template: str = TURNS, control: tuple[
     formatted, spans`` (spans count from the part's start)."""
     prepare(rows.sparkSession)
     Template(template, control)                 # a faulty template fails here
+    once = reads_once(fold(parse(template)), "messages")
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = Template(template, control)
         held: list[dict] = []
         size = 0
         for conv, turns in _grouped(batches, "conv_id"):
+            if not once:
+                turns = list(turns)
             ahead, part = None, 0
             for text, spans in compiled.parts(part_chars, messages=turns):
                 if ahead is not None:

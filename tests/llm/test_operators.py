@@ -377,6 +377,21 @@ def test_labelled_documents_with_a_low_score_stay(spark):
         assert lang_id.identified(docs).filter(F.col("doc_id") == held).count() == kept
 
 
+@pytest.mark.parametrize("template, once, want", [
+    ("{% for m in messages %}{{ m.role }}.{% endfor %}", True, "system.user."),
+    ("{% if messages[0].role == 'system' %}S:{% endif %}{% for m in messages %}{{ m.text }}{% endfor %}", False, "S:be shorthi"),
+    ("{% for m in messages %}{{ m.role }}{% endfor %}|{% for m in messages %}{{ m.text }}{% endfor %}", False, "systemuser|be shorthi"),
+    ("{{ messages | length }}{% for m in messages %}{{ m.role }}{% endfor %}", False, "2systemuser"),
+    ("{% for m in messages %}{% for n in messages %}{{ n.role }}{% endfor %};{% endfor %}", False, "systemuser;systemuser;"),
+    ("{% if true %}{% for m in messages %}{{ m.text }}{% endfor %}{% else %}{{ messages | length }}{% endif %}", True, "be shorthi"),
+    ("{% set x = messages %}{% for m in x %}{{ m.role }}{% endfor %}{{ x | length }}", False, "systemuser2"),
+])
+def test_templates_may_use_messages_freely(spark, template, once, want):
+    assert chat.reads_once(chat.fold(chat.parse(template)), "messages") is once
+    rows = spark.createDataFrame([(1, 0, "system", "be short"), (1, 1, "user", "hi")], "conv_id long, turn long, role string, text string")
+    assert [r.formatted for r in chat.format_conversations(rows, template).collect()] == [want]
+
+
 def test_mixing(spark, small, odd, empty):
     for docs in (small, odd):
         got = mixing.mix_sizes(docs).collect()
