@@ -9,7 +9,8 @@ and each document's place among them, so one document or a range inside it can
 be decoded without expanding the rest.
 
 File format: Parquet rows ``shard, block, doc_ids, ends, symbols, rules,
-n_ids`` (little-endian binaries; see :func:`compress`).
+n_ids`` (little-endian binaries; see :func:`compress`), with the least and
+greatest doc_id of the block.
 
 Null text is empty (its end id only). Null doc_ids come last. Equal doc_ids
 follow each other by a hash of their text; repeated rows are written as often
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,13 @@ BLOCK_IDS = 1 << 20
 #: A pair must occur this often in a block to become a rule.
 MIN_COUNT = 16
 MAX_ROUNDS = 4
+#: Nonterminals that 16-bit symbols must leave room for; a larger vocabulary
+#: gets 32-bit symbols and up to ``WIDE_RULES`` nonterminals a block.
+NARROW_RULES = 1 << 13
+WIDE_RULES = 1 << 17
 
 SCHEMA = ("shard int, block int, doc_ids array<long>, ends binary, symbols binary, "
-          "rules binary, n_ids long, n_docs long, first_id long")
+          "rules binary, n_ids long, n_docs long, first_id long, last_id long")
 
 
 @dataclass
@@ -173,9 +179,10 @@ def compress(ids: np.ndarray, doc_end: np.ndarray, base: int) -> dict:
     ``ends`` (int64: end of each document among the symbols), ``rules``
     (uint32: left, right and expansion length of each nonterminal, after
     the first nonterminal's number and the width of a symbol)."""
-    seq, ends, rules = repair(ids, doc_end, base)
+    narrow = base + NARROW_RULES <= 1 << 16
+    seq, ends, rules = repair(ids, doc_end, base, max_symbol=1 << 16 if narrow else base + WIDE_RULES)
     size = Grammar.of(base, rules).size
-    narrow = base + len(rules) <= 1 << 16
+    narrow = base + len(rules) <= 1 << 16      # small blocks of a large vocabulary may fit as well
     head = np.array([[base, 2 if narrow else 4, len(rules)]], dtype="<u4")
     table = np.concatenate([head, np.column_stack([rules, size]).astype("<u4").reshape(-1, 3)])
     return {"ends": ends.astype("<i8").tobytes(), "rules": table.tobytes(),
@@ -210,7 +217,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2,
             names = pa.concat_arrays([h[0] for h in held])
             return pa.RecordBatch.from_pylist([
                 {"shard": shard, "block": block, "doc_ids": names.to_pylist(), **compress(ids, ends, base),
-                 "n_ids": len(ids), "n_docs": len(names), "first_id": names[0].as_py()}], schema=schema)
+                 "n_ids": len(ids), "n_docs": len(names), "first_id": pc.min(names).as_py(),
+                 "last_id": pc.max(names).as_py()}], schema=schema)
 
         for table in regrouped(batches, "t"):
             ids, offs = enc.encode(table["t"])
@@ -227,7 +235,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2,
 
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                         ("ends", pa.binary()), ("symbols", pa.binary()), ("rules", pa.binary()),
-                        ("n_ids", pa.int64()), ("n_docs", pa.int64()), ("first_id", pa.int64())])
+                        ("n_ids", pa.int64()), ("n_docs", pa.int64()), ("first_id", pa.int64()),
+                        ("last_id", pa.int64())])
     src = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t"))
     order = [F.col("d").asc_nulls_last(), F.xxhash64("t")]
     src.repartitionByRange(range_parts(src), *order).sortWithinPartitions(*order) \
@@ -268,13 +277,20 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
         "shard", "block", *(["ids"] if with_ids else []))
 
 
+def blocks_of(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """The blocks that hold ``doc_id``. Blocks follow the order of doc_ids, so
+    the bounds, which reach the scan, leave one or a few of them to be read."""
+    wanted = F.lit(doc_id).cast("long")
+    return spark.read.schema(SCHEMA).parquet(path) \
+        .filter((F.col("first_id") <= wanted) & (F.col("last_id") >= wanted) & F.array_contains("doc_ids", wanted))
+
+
 def read_document(spark: SparkSession, path: str, doc_id: int, start: int = 0,
                   stop: int | None = None) -> list[list[int]]:
     """Ids ``start..stop`` of every document stored under ``doc_id``; only
     blocks that name it are opened, and only the symbols of that range
     expanded."""
-    rows = spark.read.schema(SCHEMA).parquet(path) \
-        .filter(F.array_contains("doc_ids", F.lit(doc_id).cast("long"))).collect()
+    rows = blocks_of(spark, path, doc_id).collect()
     out = []
     for row in sorted(rows, key=lambda r: (r["shard"], r["block"])):
         grammar, symbols, ends = opened(row.asDict())

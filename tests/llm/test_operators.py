@@ -171,6 +171,34 @@ def test_plan_of_small_histograms(histogram, best):
         packing.pack_plan({11: 1}, 10)
 
 
+@pytest.mark.parametrize("base", [50_000, 60_000, 65_536, 70_000, 250_000])
+def test_rules_for_every_vocabulary(base):
+    rng = np.random.default_rng(4)
+    phrase = rng.integers(0, base, 40)
+    ids = np.concatenate([np.append(np.concatenate([rng.integers(0, base, 30), phrase]), 2) for _ in range(300)])
+    ends = np.cumsum([71] * 300)
+    row = token_files.compress(ids, ends, base)
+    grammar, symbols, at = token_files.opened(row)
+    assert len(grammar.rules) >= 20 and len(symbols) < 0.7 * len(ids)
+    assert (grammar.expand(symbols) == ids).all()
+    for i in (0, 7, 299):
+        own = symbols[(at[i - 1] if i else 0):at[i]]
+        assert (grammar.slice(own, 25, 60) == ids[71 * i:71 * (i + 1)][25:60]).all()
+
+
+def test_random_access_prunes_blocks(spark, small, tmp_path):
+    path = str(tmp_path / "ids")
+    token_files.write_tokens(small, known_path("byte_bpe_50k.json"), path, block_ids=2000)
+    wanted = small.orderBy("doc_id").select("doc_id", "text").collect()[57]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = token_files.blocks_of(spark, path, wanted.doc_id)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(first_id" in plan and "GreaterThanOrEqual(last_id" in plan
+    assert token_files.blocks_of(spark, path, wanted.doc_id).count() == 1
+    ids = ids_of("byte_bpe_50k.json", wanted.text)
+    assert token_files.read_document(spark, path, wanted.doc_id) == [[*ids.tolist(), 2]]
+
+
 def test_plan_is_near_the_bound():
     rng = np.random.default_rng(3)
     sizes = np.minimum(2048, np.exp(rng.normal(6, 1, 20_000)).astype(int) + 1)
