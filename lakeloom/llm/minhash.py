@@ -229,36 +229,65 @@ def _likely(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "ra", "rb").mapInArrow(near, "a long, b long")
 
 
-def _joined_in_buckets(placed: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, bands: int,
+def _partners(t: pa.Table, lo: int, hi: int, regs: np.ndarray, group: np.ndarray, least: float, bands: int,
+              rows: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of the tile ``t[lo:hi]`` with their likely partners, likeliest
+    first. A pair is likely in one bucket only, by the first band in which it
+    agrees; ``group`` (of the tile's rows) may grow while this goes on."""
+    n, mine, i, j, bucket = (t[k].to_numpy() for k in ("_n", "mine", "i", "j", "bucket"))
+    left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
+    right = lo + np.flatnonzero(mine[lo:hi] == j[lo])
+    for x in left:
+        y = right[(group[right - lo] != group[x - lo]) & (n[right] > n[x] if i[lo] == j[lo] else True)]
+        same = regs[y] == regs[x]
+        agree = same.sum(axis=2).max(axis=1)
+        y, same, agree = y[agree >= least], same[agree >= least], agree[agree >= least]
+        if len(y):
+            agreed = same[:, :, :bands * rows].reshape(len(y), 2 * bands, rows).all(axis=2).argmax(axis=1)
+            here = _band_keys(regs[x:x + 1], bands, rows)[0][agreed] == bucket[lo]
+            if here.any():
+                yield int(x), y[here][np.argsort(-agree[here], kind="stable")]
+
+
+_TILE = ["bucket", "i", "j"]
+
+
+def _in_tiles(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*_TILE, "mine", "_n", "root", *columns).repartitionByRange(range_parts(rows), *_TILE) \
+        .sortWithinPartitions(*_TILE)
+
+
+def _with_partner(placed: DataFrame, signed: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """Rows of tiles (``bucket, i, j, mine, _n, root``) that have a likely
+    partner of another root in their tile; they alone are compared exactly."""
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, edges in runs(batches, _TILE):
+            regs, root = _registers(t["registers"].combine_chunks()), t["root"].to_numpy()
+            least, some = _least(regs.shape[2], threshold), np.zeros(t.num_rows, dtype=bool)
+            for lo, hi in zip(edges, edges[1:]):
+                for x, y in _partners(t, lo, hi, regs, root[lo:hi], least, bands, rows):
+                    some[x] = some[y] = True
+            yield from t.select([*_TILE, "mine", "_n", "root"]).filter(pa.array(some)).to_batches()
+
+    tiles = tiled(placed, "bucket", "_n", BLOCK).join(signed, "_n")
+    return _in_tiles(tiles, ["registers"]).mapInArrow(look, "bucket long, i int, j int, mine int, _n long, root long")
+
+
+def _joined_in_buckets(likely: DataFrame, signed: DataFrame, sets: DataFrame, threshold: float, bands: int,
                        rows: int) -> DataFrame:
-    """Links between documents that share a bucket but no root (``bucket, _n,
-    root``). Registers and shingle sets meet in tiles; a pair is judged once, in
-    the first band in which it agrees, likeliest partners first, and exactly
-    unless links of this tile join the two already. So a tile returns at most
-    one link for each of its rows, however many of its pairs are likely."""
+    """Links between the rows of :func:`_with_partner`. A pair is judged
+    exactly unless links of this tile join the two already, so a tile returns
+    at most one link for each of its rows, however many pairs are likely."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, edges in runs(batches, ["bucket", "i", "j"]):
+        for t, edges in runs(batches, _TILE):
             regs, n, root = _registers(t["registers"].combine_chunks()), t["_n"].to_numpy(), t["root"].to_numpy()
-            mine, i, j, bucket = (t[k].to_numpy() for k in ("mine", "i", "j", "bucket"))
-            raw = t["s"].combine_chunks()
-            least = _least(regs.shape[2], threshold)
+            raw, least = t["s"].combine_chunks(), _least(regs.shape[2], threshold)
             found: list[tuple[int, int]] = []
             for lo, hi in zip(edges, edges[1:]):
-                left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
-                right = lo + np.flatnonzero(mine[lo:hi] == j[lo])
                 group = np.unique(root[lo:hi], return_inverse=True)[1]        # of each row; joined below
-                for x in left:
-                    y = right[(group[right - lo] != group[x - lo]) & (n[right] > n[x] if i[lo] == j[lo] else True)]
-                    same = regs[y] == regs[x]
-                    agree = same.sum(axis=2).max(axis=1)
-                    y, same, agree = y[agree >= least], same[agree >= least], agree[agree >= least]
-                    if not len(y):
-                        continue
-                    agreed = same[:, :, :bands * rows].reshape(len(y), 2 * bands, rows).all(axis=2).argmax(axis=1)
-                    key = _band_keys(regs[x:x + 1], bands, rows)[0]
-                    here = key[agreed] == bucket[lo]
-                    own = np.frombuffer(raw[int(x)].as_py(), dtype="<u8")
-                    for k in y[here][np.argsort(-agree[here], kind="stable")]:
+                for x, near in _partners(t, lo, hi, regs, group, least, bands, rows):
+                    own = np.frombuffer(raw[x].as_py(), dtype="<u8")
+                    for k in near:
                         if group[k - lo] != group[x - lo] and max(similarities(
                                 own, np.frombuffer(raw[int(k)].as_py(), dtype="<u8"))) >= threshold:
                             group[group == group[k - lo]] = group[x - lo]
@@ -266,10 +295,7 @@ def _joined_in_buckets(placed: DataFrame, signed: DataFrame, sets: DataFrame, th
             pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    keys = ["bucket", "i", "j"]
-    tiles = tiled(placed, "bucket", "_n", BLOCK).join(signed, "_n").join(sets, "_n")
-    return tiles.select(*keys, "mine", "_n", "root", "registers", "s").repartitionByRange(range_parts(tiles), *keys) \
-        .sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
+    return _in_tiles(likely.join(signed.join(sets, "_n"), "_n"), ["registers", "s"]).mapInArrow(compare, "a long, b long")
 
 
 def _shingle_sets(docs: DataFrame, some: DataFrame, shingle: int, name: str) -> DataFrame:
@@ -325,8 +351,9 @@ def _groups(docs: DataFrame, shingle: int, threshold: float, bands: int, rows: i
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
         .filter("lo < hi").select("bucket")
     placed = written(placed.join(mixed, "bucket", "left_semi"), "minhash-mixed")
-    sets = _shingle_sets(docs, placed.select("_n").distinct(), shingle, "minhash-mixed-sets")
-    more = written(_joined_in_buckets(placed, signed, sets, threshold, bands, rows), "minhash-more")
+    likely = written(_with_partner(placed, signed, threshold, bands, rows), "minhash-likely-rows")
+    sets = _shingle_sets(docs, likely.select("_n").distinct(), shingle, "minhash-likely-sets")
+    more = written(_joined_in_buckets(likely, signed, sets, threshold, bands, rows), "minhash-more")
     if not more.isEmpty():
         roots = connected_components(links.union(more), "minhash-all")
     named = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
