@@ -62,8 +62,9 @@ REGISTERS = 256
 #: threshold leaves without an exact comparison (about 1 in 10,000 pairs at
 #: the threshold).
 DEVIATIONS = 3.7
-#: Smallest block of a tile (registers of 512 documents are half a MB).
-BLOCK = 512
+#: Smallest block of a tile (registers of 1,024 documents are 1 to 2 MB; a row is
+#: copied once for each block of its bucket).
+BLOCK = 1024
 #: Documents that one step of the kernel works on.
 _DOCS = 2000
 _ID = np.uint64(20)                 # a packed shingle: 44 bits of hash, 20 of weight
