@@ -9,9 +9,11 @@ from lakeloom.sinks.history import (
     read_history,
     table_history,
 )
-from lakeloom.sinks.tables import LoadResult, overwrite_table, upsert_table, write_version
+from lakeloom.sinks.tables import LoadResult, overwrite_table, prune_versions, upsert_table, write_version
+from lakeloom.sinks.versions import read_version, restore, versions
 
 __all__ = [
     "LoadResult", "append_history", "history_view", "last_load", "latest_entries", "overwrite_table",
-    "read_history", "table_history", "upsert_table", "write_version",
+    "prune_versions", "read_history", "read_version", "restore", "table_history", "upsert_table", "versions",
+    "write_version",
 ]

@@ -9,7 +9,9 @@ entries a year). Each entry is written to its own ``entry=<tag>`` folder:
 appends from concurrent loads (threads of one run, or separate jobs) never
 share a job's temporary output folder, which appends into one shared folder
 do. Reading the newest entry per table is the same latest-row-per-key
-operator the loads use.
+operator the loads use. Each entry also keeps the definition that its load left
+(:data:`VERSION_SCHEMA`), which :mod:`lakeloom.sinks.versions` reads and restores;
+those columns are pruned from every other read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.dedup import latest_per_key
 from lakeloom.session import warehouse_root
-from lakeloom.sinks.tables import LoadResult
+from lakeloom.sinks.tables import LoadResult, definition
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -46,14 +48,29 @@ def history_path(spark: SparkSession, root: str | None = None) -> str:
     return f"{(root or warehouse_root(spark)).rstrip('/')}/_load_history"
 
 
-def append_history(spark: SparkSession, result: LoadResult, root: str | None = None) -> None:
+#: What an entry keeps to read its version again: the table's columns, its
+#: partition columns, where its data lies (of a partition, by its values) and
+#: the marks that loads keep in its properties. NULL for tables of other formats.
+VERSION_SCHEMA = T.StructType([
+    T.StructField("columns", T.StringType()),
+    T.StructField("partition_columns", T.ArrayType(T.StringType())),
+    T.StructField("locations", T.ArrayType(T.StructType([
+        T.StructField("values", T.ArrayType(T.StringType())), T.StructField("location", T.StringType())]))),
+    T.StructField("notes", T.MapType(T.StringType(), T.StringType())),
+])
+
+
+def append_history(spark: SparkSession, result: LoadResult, root: str | None = None) -> str:
+    """Record a load together with the definition it left; returns the entry's name."""
     row = (result.table, dt.datetime.now(dt.timezone.utc), result.operation, result.source_rows,
            result.inserted, result.updated, result.deleted, result.rows_written, result.path,
            result.skipped_files, result.partitions_rewritten)
     tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:12]}"
     folder = f"{history_path(spark, root)}/table_name={quote(result.table, safe='')}/entry={tag}"
-    (spark.createDataFrame([row], HISTORY_SCHEMA).drop("table_name").coalesce(1)
-     .write.mode("errorifexists").parquet(folder))
+    now = definition(spark, result.table) or (None,) * len(VERSION_SCHEMA.fields)
+    (spark.createDataFrame([(*row, *now)], T.StructType(HISTORY_SCHEMA.fields + VERSION_SCHEMA.fields))
+     .drop("table_name").coalesce(1).write.mode("errorifexists").parquet(folder))
+    return tag
 
 
 def read_history(spark: SparkSession, root: str | None = None) -> DataFrame:

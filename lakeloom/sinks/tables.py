@@ -32,7 +32,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -124,11 +124,14 @@ def heal(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {_quote(left)}")
 
 
-def _swap(spark: SparkSession, name: str, stage: str, notes: Mapping[str, str] | None = None) -> None:
+def _swap(spark: SparkSession, name: str, stage: str, notes: Mapping[str, str] | None = None,
+          without: Collection[str] = ()) -> None:
     """Give ``stage`` the name: old definition aside, stage in, old one last.
-    ``notes`` are set on the stage, so they appear together with its rows."""
+    ``notes`` are set on the stage, so they appear together with its rows; it
+    takes the old properties of this package but for those in ``without``."""
     kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
-            if r["key"].startswith("lakeloom.")} | {f"lakeloom.{k}": v for k, v in (notes or {}).items()}
+            if r["key"].startswith("lakeloom.") and r["key"] not in without}
+    kept |= {f"lakeloom.{k}": v for k, v in (notes or {}).items()}
     _set_properties(spark, stage, kept)
     tag = _split(stage)[1].rpartition(_STAGE)[2]
     aside = f"{name}{_ASIDE}{tag}"
@@ -181,16 +184,39 @@ def _locations(spark: SparkSession, name: str) -> dict[tuple[str, ...], str]:
     return out
 
 
-def prune_versions(spark: SparkSession, name: str, keep: int = 1, root: str | None = None) -> list[str]:
-    """Delete version folders of ``name`` that its definition does not refer
-    to, but for the ``keep`` newest of them; returns the deleted folders."""
+def definition(spark: SparkSession, name: str) -> tuple | None:
+    """``(columns as JSON, partition columns, [(values, location)], notes)`` of a
+    table of this sink, None for any other."""
+    if not spark.catalog.tableExists(name):
+        return None
+    d = _details(spark, name)
+    if f"{OWNED}=" not in d.get("Table Properties", "") or "Location" not in d:
+        return None
+    parts = _partition_columns(spark, name)
+    if parts and not hasattr(spark, "_jsparkSession"):      # Spark Connect shows no locations
+        return None
+    where = _locations(spark, name).items() if parts else [((), d["Location"])]
+    notes = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
+             if r["key"].startswith("lakeloom.") and r["key"] != OWNED}
+    return spark.table(name).schema.json(), list(parts), [(list(v), loc) for v, loc in where], notes
+
+
+def prune_versions(spark: SparkSession, name: str, keep: int = 1, root: str | None = None,
+                   entries: int = 10) -> list[str]:
+    """Delete version folders of ``name`` that neither its definition nor one of
+    its ``entries`` newest history entries refers to, but for the ``keep`` newest
+    of them; returns the deleted folders. Older entries can then no longer be
+    read or restored (:mod:`lakeloom.sinks.versions`)."""
+    from lakeloom.sinks.versions import drop_definitions, version_folders
     heal(spark, name)
+    kept = version_folders(spark, name, entries, root)
+    drop_definitions(spark, name)
     db, tbl = _split(name)
     base = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}"
     live = [_details(spark, name).get("Location", "")]
     if _partition_columns(spark, name):
         live += _locations(spark, name).values()
-    used = {m[1] for x in live if (m := re.search(r"/(v_\d+_[0-9a-f]{8})(/|$)", x))}
+    used = kept | {m[1] for x in live if (m := re.search(r"/(v_\d+_[0-9a-f]{8})(/|$)", x))}
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -411,6 +437,19 @@ def _spec_sql(parts: Sequence[str], values: Sequence, schema: T.StructType) -> s
 _PLAIN = re.compile(r"^[A-Za-z0-9_.-]*$")
 
 
+def _define(spark: SparkSession, name: str, schema: T.StructType, parts: Sequence[str],
+            where: Mapping[tuple[str, ...], str], path: str) -> None:
+    """Register ``name`` over folders that are there: ``path``, or the
+    locations ``where`` of its partitions."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) " if parts else ""
+    spark.sql(f"CREATE TABLE {_quote(name)} ({columns}) USING parquet {by}LOCATION '{path}' "
+              f"TBLPROPERTIES ('{OWNED}' = '1')")
+    if where:
+        spark.sql(f"ALTER TABLE {_quote(name)} ADD " + " ".join(
+            f"{_spec_sql(parts, vals, schema)} LOCATION '{loc}'" for vals, loc in where.items()))
+
+
 def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
                        parts: tuple[str, ...], root: str | None,
                        batch_only: bool = False, notes: Mapping[str, str] | None = None,
@@ -482,13 +521,7 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         else:
             where.pop(text, None)
     stage = f"{db + '.' if db else ''}{tbl}{_STAGE}{tag}"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {_quote(stage)} ({columns}) USING parquet "
-              f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) LOCATION '{path}' "
-              f"TBLPROPERTIES ('{OWNED}' = '1')")
-    if where:
-        spark.sql(f"ALTER TABLE {_quote(stage)} ADD " + " ".join(
-            f"{_spec_sql(parts, vals, schema)} LOCATION '{loc}'" for vals, loc in where.items()))
+    _define(spark, stage, schema, parts, where, path)
     _swap(spark, name, stage, notes)
     spark.catalog.refreshTable(name)
     return LoadResult(name, "MERGE", path, n_src, inserted=int(m.get("inserted") or 0),

@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 
@@ -115,3 +116,42 @@ def test_history_failure_does_not_fail_the_load(spark, monkeypatch, caplog):
                                       key=("k",), timestamp="ts")]).first()
     assert rep.status == "SUCCESS" and spark.table("hist_fail_t").count() == 1
     assert "history entry was not written" in caplog.text
+
+
+def test_a_run_goes_on_where_it_stopped(spark, monkeypatch):
+    from lakeloom.plans import runner
+    from lakeloom.spec import TableSpec
+    loaded, broken = [], {"dim"}
+
+    def load(_, s):
+        loaded.append(s.target)
+        if s.target in broken:
+            raise RuntimeError("not today")
+        return type("R", (), dict(source_rows=len(loaded), inserted=0, updated=0, skipped_files=0,
+                                  partitions_rewritten=None))
+
+    def table(target, source, **kw):
+        return TableSpec(target=target, source=source, **kw)
+
+    monkeypatch.setattr(runner, "load_table", load)
+    run = f"night/{uuid.uuid4().hex}"
+    specs = [table("raw", "landing"), table("clean", "raw"), table("dim", "elsewhere"), table("fact", "dim")]
+
+    def call(specs, run=run):
+        loaded.clear()
+        report = {r.table_name: (r.status, r.row_count) for r in runner.run_loads(spark, specs, run_id=run).collect()}
+        return sorted(loaded), report
+
+    done, report = call(specs)
+    assert done == ["clean", "dim", "raw"] and report["fact"][0] == "FAILED"
+    assert call(specs)[0] == ["dim"]                       # still broken: nothing else is loaded
+    broken.clear()
+    done, second = call(specs)
+    assert done == ["dim", "fact"] and {s for s, _ in second.values()} == {"SUCCESS"}
+    assert second["raw"] == report["raw"] and second["clean"] == report["clean"]
+    assert call(specs)[0] == []
+    # a changed configuration loads its table and what reads it
+    assert call([specs[0].with_(n_folders=5), *specs[1:]])[0] == ["clean", "raw"]
+    # another run starts from nothing
+    assert call(specs, run=f"other-{uuid.uuid4().hex}")[0] == ["clean", "dim", "fact", "raw"]
+    assert runner.run_state(spark, run).filter("status = 'SUCCESS'").count() == 4
