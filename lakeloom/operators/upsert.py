@@ -34,6 +34,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.widening import wider_type
 from lakeloom.spec import as_tuple
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
@@ -46,16 +47,23 @@ def _any_null(keys: Sequence[str]):
 
 def guarded_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                    ts: str, op: str = ">", *, action_col: str = ACTION,
-                   null_keys: str = "salt", salt_buckets: int = 1024) -> DataFrame:
+                   null_keys: str = "salt", salt_buckets: int = 1024, widen: bool = False) -> DataFrame:
     """Merge ``source`` into ``target``; returns the target's columns plus
     ``action_col``. ``source`` should hold one row per non-NULL key (run
-    :func:`~lakeloom.operators.dedup.latest_per_key` first)."""
+    :func:`~lakeloom.operators.dedup.latest_per_key` first).
+
+    Source values are cast to the target's types; with ``widen`` a column whose
+    source type is wider takes the type that holds both."""
     keys = as_tuple(keys)
     if op not in (">", ">="):
         raise ValueError(f"op must be '>' or '>=', got {op!r}")
     if null_keys not in ("salt", "split"):
         raise ValueError(f"null_keys must be 'salt' or 'split', got {null_keys!r}")
     tcols, scols = target.columns, source.columns
+    if widen:
+        own, new = {f.name: f.dataType for f in target.schema}, {f.name: f.dataType for f in source.schema}
+        wide = {c: w for c in tcols if c in new and (w := wider_type(own[c], new[c])) not in (None, own[c])}
+        target = target.select(*[F.col(c).cast(wide[c]).alias(c) if c in wide else F.col(c) for c in tcols])
     extra = [c for c in scols if c not in tcols]
     if extra:
         raise ValueError(f"source columns not in target: {extra}")

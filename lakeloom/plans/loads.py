@@ -130,7 +130,8 @@ def load_raw_incremental(spark: SparkSession, spec: TableSpec, n_folders: int |
     df = _numbered(spark, prepare(df, spec, (ORDER_COL,) if order else ()), spec, notes)
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
-                       scope=upsert_scope(spec), key_index=spec.key_index, notes=notes)
+                       scope=upsert_scope(spec), key_index=spec.key_index, notes=notes,
+                       widen=spec.schema_drift == "widen")
     if ledger:
         ledger.tidy(notes[ledger.key])
     return _finish(spark, res, record, skipped)
@@ -227,7 +228,8 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
     df = prepare(df, spec)
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
-                       scope=upsert_scope(spec), key_index=spec.key_index, notes=notes)
+                       scope=upsert_scope(spec), key_index=spec.key_index, notes=notes,
+                       widen=spec.schema_drift == "widen")
     return _finish(spark, res, record)
 
 

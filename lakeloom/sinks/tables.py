@@ -347,7 +347,8 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
                  op: str = ">", *, partition_cols: Sequence[str] | None = None,
                  buckets: int | None = None, root: str | None = None,
                  create_if_missing: bool = True, scope: str = "auto",
-                 notes: Mapping[str, str] | None = None, key_index: bool = False) -> LoadResult:
+                 notes: Mapping[str, str] | None = None, key_index: bool = False,
+                 widen: bool = False) -> LoadResult:
     """M1/M2 (+ M3): merge ``source`` into table ``name`` with the guard
     ``source.ts op target.ts``; create the table from ``source`` when it does
     not exist. A failing merge raises and leaves the target untouched.
@@ -365,6 +366,8 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     ``key_index`` keeps bitmaps of each partition's keys beside its version
     (:mod:`lakeloom.sinks.keys`), so that scope ``"auto"`` looks for the
     batch's keys only in partitions that can hold one.
+    ``widen``: a column that is wider in ``source`` becomes wider in the target
+    (untouched partitions keep their files, which read as the wider type).
     """
     if scope not in ("auto", "full", "batch"):
         raise ValueError(f"scope must be auto, full or batch, got {scope!r}")
@@ -380,7 +383,8 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
         if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
                 and _scopable(spark.table(name).schema, parts):
             res = _upsert_partitions(source, name, keys, ts, op, parts, root,
-                                     batch_only=scope == "batch", notes=notes, key_index=key_index)
+                                     batch_only=scope == "batch", notes=notes, key_index=key_index,
+                                     widen=widen)
             if res is not None:
                 return res
     src_obs = Observation()
@@ -394,7 +398,7 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
         # a target bucketed by the key keeps its bucketing only if the join is
         # on the key alone: then NULL keys bypass the join instead of salting
         merged = guarded_upsert(spark.table(name), source, keys, ts, op,
-                                null_keys="split" if buckets else "salt")
+                                null_keys="split" if buckets else "salt", widen=widen)
         operation = "MERGE"
     obs = Observation()
     merged = merged.observe(obs, *metric_columns())
@@ -416,6 +420,10 @@ def _partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
     return tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
 
 
+def _integral(t: T.DataType) -> bool:
+    return isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
 def _scopable(schema: T.StructType, parts: Sequence[str]) -> bool:
     return all(isinstance(schema[c].dataType, _SCOPABLE) for c in parts)
 
@@ -453,7 +461,7 @@ def _define(spark: SparkSession, name: str, schema: T.StructType, parts: Sequenc
 def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
                        parts: tuple[str, ...], root: str | None,
                        batch_only: bool = False, notes: Mapping[str, str] | None = None,
-                       key_index: bool = False) -> LoadResult | None:
+                       key_index: bool = False, widen: bool = False) -> LoadResult | None:
     """Rewrite only the partitions the batch touches; None -> caller falls
     back to a whole-table rewrite (NULL or unusual partition values)."""
     spark = source.sparkSession
@@ -468,7 +476,9 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
             # partitions holding a key of the batch: key + partition columns only
             nn = ~_any_null(keys)
             own = target
-            if key_index:
+            # the bitmaps hash keys as text, which widening changes for all but integers
+            if key_index and all(schema[k].dataType == src.schema[k].dataType
+                                 or _integral(schema[k].dataType) and _integral(src.schema[k].dataType) for k in keys):
                 live = {"\u0001".join(v): loc for v, loc in _locations(spark, name).items()}
                 holding = holding_partitions(src, keys, live)
                 if holding is not None:
@@ -487,7 +497,8 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
                 any(not _PLAIN.match(str(r[c])) for r in touched_rows for c in parts):
             return None
         touched = {r["_pk"]: tuple(r[c] for c in parts) for r in touched_rows}
-        current = guarded_upsert(target.filter(pk.isin(list(touched))), src, keys, ts, op)
+        current = guarded_upsert(target.filter(pk.isin(list(touched))), src, keys, ts, op, widen=widen)
+        schema = current.drop(ACTION).schema if widen else schema
         obs = Observation()
         current = current.observe(obs, *metric_columns(), F.collect_set(
             F.struct(pk.alias("_pk"), *[F.col(c) for c in parts])).alias("written_partitions"))

@@ -20,7 +20,8 @@ Anything else is drift, including reads Spark performs but which change the
 value (an int32 read as byte, a date read as its day number). A column the
 file lacks is not drift: it reads as NULL.
 
-Statuses: ``ok``; ``drift``; ``unreadable`` (the bytes are not a valid
+Statuses: ``ok``; ``wider`` (drift that a wider column type would hold without
+loss, see :func:`widened_schema`); ``drift``; ``unreadable`` (the bytes are not a valid
 Parquet file, which ``ignoreCorruptFiles`` would skip too); ``unchecked``
 (the file cannot be reached from Python: no pyarrow file system for the
 scheme, no HDFS library, credentials, network). When there is an unchecked file
@@ -32,14 +33,16 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-OK, DRIFT, UNREADABLE, UNCHECKED = "ok", "drift", "unreadable", "unchecked"
+from lakeloom.functions.widening import wider_type
+
+OK, DRIFT, UNREADABLE, UNCHECKED, WIDER = "ok", "drift", "unreadable", "unchecked", "wider"
 CHECK_SCHEMA = "path string, status string, detail string"
 
 # Decimal digits an integer of each Arrow type can hold.
@@ -93,6 +96,20 @@ def compatible(arrow_type, physical: str, target: T.DataType) -> bool:
     return name == target.simpleString()
 
 
+def file_type(arrow_type) -> T.DataType | None:
+    """The Spark type of a numeric or date file column, None for others."""
+    import pyarrow.types as pt
+    if pt.is_dictionary(arrow_type):
+        return file_type(arrow_type.value_type)
+    if pt.is_decimal(arrow_type):
+        return T.DecimalType(arrow_type.precision, arrow_type.scale) if arrow_type.precision <= 38 else None
+    if pt.is_date32(arrow_type):
+        return T.DateType()
+    return {"int8": T.ByteType(), "int16": T.ShortType(), "int32": T.IntegerType(), "int64": T.LongType(),
+            "uint8": T.ShortType(), "uint16": T.IntegerType(), "uint32": T.LongType(),
+            "uint64": T.DecimalType(20, 0), "float": T.FloatType(), "double": T.DoubleType()}.get(str(arrow_type))
+
+
 _URI_SAFE = ":/@!$&'()*+,;=-._~"
 
 
@@ -120,8 +137,10 @@ def _filesystem(path: str, cache: dict | None):
     return fs, inner
 
 
-def check_file(path: str, schema: T.StructType, cache: dict | None = None) -> tuple[str, str, str]:
-    """``(path, status, detail)`` for one file.
+def check_file(path: str, schema: T.StructType, cache: dict | None = None,
+               widen: bool = False) -> tuple[str, str, str]:
+    """``(path, status, detail)`` for one file. With ``widen``, drift that wider
+    columns would hold is ``wider``, its detail the columns' types as JSON.
 
     ``unreadable`` only when the bytes are not a valid Parquet file (no
     magic bytes, truncated footer): what ``ignoreCorruptFiles`` would skip.
@@ -146,18 +165,25 @@ def check_file(path: str, schema: T.StructType, cache: dict | None = None) -> tu
     arrow = md.schema.to_arrow_schema()
     physical = {md.schema.column(i).name: md.schema.column(i).physical_type
                 for i in range(md.num_columns)}
-    problems = []
+    problems, wide = [], {}
     for f in schema.fields:
         idx = arrow.get_field_index(f.name)
         if idx < 0:
             continue
         at = arrow.field(idx).type
         if not compatible(at, physical.get(f.name, ""), f.dataType):
-            problems.append(f"{f.name}: file {at} vs {f.dataType.simpleString()}")
+            own = file_type(at) if widen else None
+            common = wider_type(own, f.dataType) if own is not None else None
+            if common is not None and compatible(at, physical.get(f.name, ""), common):
+                wide[f.name] = common.jsonValue()
+            else:
+                problems.append(f"{f.name}: file {at} vs {f.dataType.simpleString()}")
+    if wide and not problems:
+        return path, WIDER, json.dumps(wide, sort_keys=True)
     return (path, DRIFT, "; ".join(problems)) if problems else (path, OK, "")
 
 
-def check_footers(files: DataFrame, schema: T.StructType, path_col: str = "path") -> DataFrame:
+def check_footers(files: DataFrame, schema: T.StructType, path_col: str = "path", widen: bool = False) -> DataFrame:
     """One ``(path, status, detail)`` row per file of ``files``; the footers
     are opened by the tasks that hold the paths."""
     from lakeloom.session import ship_package
@@ -168,19 +194,44 @@ def check_footers(files: DataFrame, schema: T.StructType, path_col: str = "path"
         expected = T.StructType.fromJson(json.loads(schema_json))
         cache: dict = {}
         for pdf in batches:
-            rows = [check_file(p, expected, cache) for p in pdf[path_col]]
+            rows = [check_file(p, expected, cache, widen) for p in pdf[path_col]]
             yield pd.DataFrame(rows, columns=["path", "status", "detail"])
 
     return files.select(path_col).mapInPandas(run, CHECK_SCHEMA)
 
 
-def failing_files(files: DataFrame, schema: T.StructType) -> tuple[list[tuple[str, str, str]], int]:
+def widened_schema(schema: T.StructType, found: Iterable[str]) -> T.StructType:
+    """``schema`` with the column types that hold it and all of ``found`` (the
+    details of ``wider`` files); raises where a column has no such type."""
+    types = {f.name: f.dataType for f in schema.fields}
+    for detail in found:
+        for name, value in json.loads(detail).items():
+            other = T._parse_datatype_json_value(value)
+            common = wider_type(types[name], other)
+            if common is None:
+                raise ValueError(f"landing files hold {name} as {types[name].simpleString()} and as "
+                                 f"{other.simpleString()}, which no type holds without loss")
+            types[name] = common
+    return T.StructType([T.StructField(f.name, types[f.name], f.nullable, f.metadata) for f in schema.fields])
+
+
+def failing_files(files: DataFrame, schema: T.StructType,
+                  widen: bool = False) -> tuple[list[tuple[str, str, str]], int]:
     """The files that drifted or cannot be read (only these reach the
-    driver), and the number of files that could not be looked at."""
+    driver), and the number of files that could not be looked at. With
+    ``widen`` also one row, without a path, for each kind of ``wider`` file."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
     seen = Observation()
-    checked = check_footers(files, schema).observe(
-        seen, F.count(F.when(F.col("status") == UNCHECKED, 1)).alias("unchecked"))
-    bad = checked.filter(f"status IN ('{DRIFT}', '{UNREADABLE}')").collect()
+    checked = check_footers(files, schema, widen=widen)
+    if widen:
+        failing = F.col("status").isin(DRIFT, UNREADABLE)
+        kinds = (checked.filter(failing | F.col("status").isin(WIDER, UNCHECKED))
+                 .groupBy("status", F.when(failing, F.col("path")).alias("path"),
+                          F.when(F.col("status") != UNCHECKED, F.col("detail")).alias("detail"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect())
+        return ([(r["path"], r["status"], r["detail"]) for r in kinds if r["status"] != UNCHECKED],
+                sum(r["n"] for r in kinds if r["status"] == UNCHECKED))
+    checked = checked.observe(seen, F.count(F.when(F.col("status") == UNCHECKED, 1)).alias("unchecked"))
+    bad = checked.filter(F.col("status").isin(DRIFT, UNREADABLE)).collect()
     return [(r["path"], r["status"], r["detail"]) for r in bad], int(seen.get["unchecked"] or 0)

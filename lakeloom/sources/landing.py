@@ -29,11 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.sources.drift import failing_files, uri_form
+from lakeloom.sources.drift import WIDER, failing_files, uri_form, widened_schema
 
 log = logging.getLogger("lakeloom.landing")
 
-DRIFT_MODES = ("off", "report", "exclude", "error")
+DRIFT_MODES = ("off", "report", "exclude", "error", "widen")
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 LEVELS = ("y", "m", "d", "h")
 ORDER_COL = "_landing_order"
@@ -280,11 +280,13 @@ def landing_order() -> Column:
 
 
 class Screened(set):
-    """Paths to leave out; ``unchecked`` files could not be looked at."""
+    """Paths to leave out; ``unchecked`` files could not be looked at;
+    ``schema`` is wider than the one asked for (mode ``widen``)."""
 
-    def __init__(self, paths=(), unchecked: int = 0):
+    def __init__(self, paths=(), unchecked: int = 0, schema: T.StructType | None = None):
         super().__init__(paths)
         self.unchecked = unchecked
+        self.schema = schema
 
 
 def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
@@ -293,6 +295,8 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
 
     ``off``: no check. ``report``: log and record failing files, read all.
     ``exclude``: leave failing files out. ``error``: raise if any fails.
+    ``widen``: files with wider numbers (a long where the schema says int, ...)
+    make the columns wider, for all files read; raise if any other fails.
     Returns the paths to leave out (only failing files reach the driver).
     Failing files are appended to ``skipped`` as ``(path, status, detail)``.
     Unless ``allow_none``, it is an error to leave every file out.
@@ -301,17 +305,22 @@ def screen_files(files: DataFrame, schema: T.StructType, drift: str = "exclude",
         raise ValueError(f"drift must be one of {DRIFT_MODES}, got {drift!r}")
     if drift == "off":
         return Screened()
-    bad, unchecked = failing_files(files, schema)
+    bad, unchecked = failing_files(files, schema, widen=drift == "widen")
+    wide = [detail for _, status, detail in bad if status == WIDER]
+    bad = [b for b in bad if b[1] != WIDER]
     if unchecked:
         log.warning("%d landing file(s) could not be opened for the footer check; they are read "
                     "without ignoreCorruptFiles, so a file that does not fit fails the load", unchecked)
+    wider = widened_schema(schema, wide) if wide else None
+    if wider is not None:
+        log.warning("landing files with wider columns: read as %s", wider.simpleString())
     if not bad:
-        return Screened(unchecked=unchecked)
+        return Screened(unchecked=unchecked, schema=wider)
     if skipped is not None:
         skipped.extend(bad)
     for path, status, detail in bad[:20]:
         log.warning("landing file %s: %s %s", path, status, detail)
-    if drift == "error":
+    if drift in ("error", "widen"):
         raise ValueError(f"{len(bad)} landing file(s) do not match the schema, "
                          f"e.g. {bad[0][0]}: {bad[0][1]} {bad[0][2]}")
     if drift == "report":
@@ -342,7 +351,7 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
             raise ValueError(f"{base} holds no Parquet file")
         drop = screen_files(parquet, schema, drift, skipped)
         opts["ignore_corrupt_files"] &= not drop.unchecked
-        return read_landing_folders(spark, [base], schema, recursive=True, exclude=drop, **opts)
+        return read_landing_folders(spark, [base], drop.schema or schema, recursive=True, exclude=drop, **opts)
     folders = newest_folders(spark, base, n_folders, since)
     if not folders:
         raise ValueError(f"{base} holds no hour folder to load")
@@ -351,7 +360,7 @@ def read_incremental(spark: SparkSession, base: str, schema: T.StructType, n_fol
         raise ValueError(f"the newest hour folders of {base} hold no Parquet file")
     drop = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
     opts["ignore_corrupt_files"] &= not drop.unchecked
-    return read_landing_folders(spark, [p for p in paths if p not in drop], schema, **opts)
+    return read_landing_folders(spark, [p for p in paths if p not in drop], drop.schema or schema, **opts)
 
 
 #: Folders that are looked at for a completion marker when none is named.
@@ -423,6 +432,6 @@ def read_full_snapshot(spark: SparkSession, base: str, schema: T.StructType,
         log.warning("snapshot folder %s holds %d Parquet files; mode %s reads only %s",
                     folder, len(files), mode, paths[0])
     drop = screen_files(_paths_frame(spark, paths), schema, drift, skipped)
-    return read_landing_folders(spark, [p for p in paths if p not in drop], schema,
+    return read_landing_folders(spark, [p for p in paths if p not in drop], drop.schema or schema,
                                 ignore_corrupt_files=ignore_corrupt_files and not drop.unchecked,
                                 with_order=with_order)

@@ -154,8 +154,8 @@ def read_new_files(spark: SparkSession, ledger: Ledger, base: str, schema: T.Str
     if first and n_folders is None and some is None:
         if own.isEmpty():
             raise ValueError(f"{base} holds no Parquet file")
-        return read_landing_folders(spark, [base], schema, recursive=True, exclude=drop, **opts), entry, files
+        return read_landing_folders(spark, [base], drop.schema or schema, recursive=True, exclude=drop, **opts), entry, files
     paths = [r["path"] for r in own.select("path").collect() if r["path"] not in drop]
     if first and not paths:
         raise ValueError(f"{base} holds no Parquet file to load")
-    return (read_landing_folders(spark, sorted(paths), schema, **opts) if paths else None), entry, files
+    return (read_landing_folders(spark, sorted(paths), drop.schema or schema, **opts) if paths else None), entry, files

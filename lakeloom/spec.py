@@ -131,7 +131,7 @@ class TableSpec:
     snapshot_settle: float | None = None    # minutes without a change that finish a folder
     ignore_corrupt_files: bool = True
     newest_file_wins: bool = True
-    schema_drift: str = "error"      # footer check: off | report | exclude | error
+    schema_drift: str = "error"      # footer check: off | report | exclude | error | widen (also the target)
     # target layout
     buckets: int | None = None
     fixed_partition: bool = False      # a key's partition never changes -> upsert scope "batch"
@@ -160,8 +160,8 @@ class TableSpec:
             raise ValueError(f"update_op must be '>' or '>=', got {self.update_op!r}")
         if self.on_unknown_transform not in ("error", "skip"):
             raise ValueError("on_unknown_transform must be 'error' or 'skip'")
-        if self.schema_drift not in ("off", "report", "exclude", "error"):
-            raise ValueError("schema_drift must be off, report, exclude or error")
+        if self.schema_drift not in ("off", "report", "exclude", "error", "widen"):
+            raise ValueError("schema_drift must be off, report, exclude, error or widen")
         if self.snapshot_mode not in ("latest_file", "latest_folder"):
             raise ValueError("snapshot_mode must be 'latest_file' or 'latest_folder'")
         if self.load_type == INCREMENTAL and not (self.key and self.timestamp):

@@ -166,5 +166,16 @@ FROM (SELECT *, o_orderdate >= DATE '1998-01-01' OR (o_orderkey % 50 = 1 AND yea
     "landing_late_files": f"SELECT *, CAST(0 AS BIGINT) AS rows_read_again FROM ({_LOADED})",
     "landing_snapshot_complete": "SELECT * FROM customer",
     "clean_arrival_watermark": _LOADED,
+    "landing_schema_widen": f"""SELECT event_id, ts, user_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-20'
+  THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value, props, "year", "month", "date"
+FROM ({_LOADED}) l""",
+    "version_restore": f"""SELECT *, {_YMD.format(c='ts')}, 'first' AS state FROM (SELECT * FROM events
+  WHERE ts < TIMESTAMP '2024-01-20' QUALIFY {_RN_EVENTS}) f
+UNION ALL SELECT *, 'restored' FROM ({_LOADED}) l""",
+    "run_resume": f"""SELECT * FROM (VALUES
+  ('resume_events', 'SUCCESS', (SELECT count(*) FROM ({_DEDUP_EVENTS}) d), CAST(1 AS BIGINT)),
+  ('resume_orders', 'SUCCESS', (SELECT count(*) FROM orders), CAST(1 AS BIGINT)),
+  ('resume_reader', 'SUCCESS', (SELECT count(*) FROM orders), CAST(1 AS BIGINT)))
+  AS r(table_name, status, row_count, loads)""",
     "revenue_latest_facts": _FACT_REVENUE,
 }

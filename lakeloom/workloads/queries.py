@@ -42,6 +42,7 @@ from lakeloom.plans.runner import outcome_counts, run_loads
 from lakeloom.session import scratch_path
 from lakeloom.sinks.history import latest_entries, table_history
 from lakeloom.sinks.tables import overwrite_table, upsert_table
+from lakeloom.sinks.versions import read_version, restore, versions
 from lakeloom.sources.landing import read_full_snapshot, read_incremental, read_landing_folders
 from lakeloom.sources.tables import read_table
 from lakeloom.spec import FULL, INCREMENTAL, YMD_COLUMNS, LookupSpec, TableSpec
@@ -640,6 +641,61 @@ def q_landing_schema_drift(spark, sf_dir):
     return report.select("table_name", "status", "row_count", "skipped_files")
 
 
+def q_landing_schema_widen(spark, sf_dir):
+    """D10 with ``widen``: the first hours hold ``user_id`` as int and ``value``
+    as float, later ones as long and double; both load whole, and the target's
+    columns become wider without rewriting its older partitions."""
+    ev = table(spark, sf_dir, "events")
+    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    narrow = {"user_id": F.col("user_id").cast("int"), "value": F.col("value").cast("float")}
+    base = scratch_path(spark, "landing-widen")
+    schema = T.StructType([{"user_id": T.StructField("user_id", T.IntegerType()),
+                            "value": T.StructField("value", T.FloatType())}.get(f.name, f) for f in EVENTS_SCHEMA])
+    spec = _events_raw_spec(_uniq("widened_events"), base).with_(schema=schema, schema_drift="widen", n_folders=None)
+    for batch in (ev.filter(F.col("ts") < cut).withColumns(narrow), ev.filter(F.col("ts") >= cut)):
+        stage_landing(batch, f"{base}/events_landing", "ts", one_file_per_folder=True)
+        load_raw_incremental(spark, spec)
+    return spark.table(spec.target)
+
+
+def q_version_restore(spark, sf_dir):
+    """M5: two loads and a bad third one; the first is read again, the second
+    is made the table's state."""
+    ev, raw = table(spark, sf_dir, "events"), _uniq("raw_events")
+    spec = TableSpec(target=_uniq("restored_events"), source=raw, load_type=INCREMENTAL, columns=EVENT_COLS,
+                     key=EVENT_KEY, timestamp="ts", tiebreak=("event_id",), partition_cols=YMD_COLUMNS,
+                     transforms=("DERIVE_YMD",))
+    first = ev.filter(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    bad = ev.withColumn("value", F.lit(-1.0)).withColumn("ts", F.col("ts") + F.expr("INTERVAL 40 DAYS"))
+    for source in (first, ev, bad):
+        overwrite_table(source, raw)
+        load_clean_incremental(spark, spec)
+    entries = [r["version"] for r in versions(spark, spec.target).select("version").collect()]
+    restore(spark, spec.target, entries[1])
+    states = (("first", read_version(spark, spec.target, entries[2])), ("restored", spark.table(spec.target)))
+    one, two = (df.withColumn("state", F.lit(s)) for s, df in states)
+    return one.unionByName(two)
+
+
+def q_run_resume(spark, sf_dir):
+    """A run in which one table's source is missing, and the same run
+    again after it came: the table and its reader load, the rest does not."""
+    register_inputs(spark, sf_dir, ("events",))
+    names = {n: _uniq(n) for n in ("resume_events", "resume_orders", "resume_reader")}
+    late = _uniq("late_orders")
+    specs = [TableSpec(target=names["resume_events"], source="events", columns=EVENT_COLS, key=EVENT_KEY,
+                       timestamp="ts", tiebreak=("event_id",)),
+             TableSpec(target=names["resume_orders"], source=late),
+             TableSpec(target=names["resume_reader"], source=names["resume_orders"])]
+    run = _uniq("run")
+    run_loads(spark, specs, run_id=run)
+    table(spark, sf_dir, "orders").createOrReplaceTempView(late)
+    report = run_loads(spark, specs, run_id=run)
+    loads = [table_history(spark, n).select("table_name") for n in names.values()]
+    counts = loads[0].union(loads[1]).union(loads[2]).groupBy("table_name").agg(F.count(F.lit(1)).alias("loads"))
+    return _renamed(report.join(counts, "table_name", "left"), names).select("table_name", "status", "row_count", "loads")
+
+
 def q_revenue_latest_facts(spark, sf_dir):
     """Flagship: columns -> DERIVE_YMD -> latest per key -> PRICE_REVENUE."""
     spec = TableSpec(target="flagship", source="facts", key=("shop_id", "event_type"),
@@ -695,5 +751,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_late_files": q_landing_late_files,
     "landing_snapshot_complete": q_landing_snapshot_complete,
     "clean_arrival_watermark": q_clean_arrival_watermark,
+    "landing_schema_widen": q_landing_schema_widen,
+    "version_restore": q_version_restore,
+    "run_resume": q_run_resume,
     "revenue_latest_facts": q_revenue_latest_facts,
 }
