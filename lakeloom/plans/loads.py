@@ -27,6 +27,7 @@ from lakeloom.operators.dedup import exact_duplicates_removed, latest_per_key
 from lakeloom.operators.watermark import after_date_watermark, after_watermark, high_watermark
 from lakeloom.sinks.history import append_history
 from lakeloom.sinks.tables import LoadResult, get_note, overwrite_table, upsert_table
+from lakeloom.sinks.views import rows_table
 from lakeloom.sources.landing import ORDER_COL, read_full_snapshot, read_incremental
 from lakeloom.sources.ledger import open_ledger, read_new_files
 from lakeloom.spec import FULL, INCREMENTAL, TableSpec
@@ -68,6 +69,10 @@ def upsert_scope(spec: TableSpec) -> str:
     return "batch" if spec.fixed_partition else "auto"
 
 
+def _layout(spec: TableSpec) -> dict:
+    return {"stable_view": spec.stable_view, "hash_ranges": spec.hash_ranges}
+
+
 def _landing(spec: TableSpec) -> str:
     if not spec.landing_base or spec.schema is None:
         raise ValueError(f"{spec.target}: a raw load needs landing_base and schema")
@@ -131,7 +136,7 @@ def load_raw_incremental(spark: SparkSession, spec: TableSpec, n_folders: int |
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
                        scope=upsert_scope(spec), key_index=spec.key_index, notes=notes,
-                       widen=spec.schema_drift == "widen")
+                       widen=spec.schema_drift == "widen", **_layout(spec))
     if ledger:
         ledger.tidy(notes[ledger.key])
     return _finish(spark, res, record, skipped)
@@ -148,7 +153,7 @@ def load_raw_full(spark: SparkSession, spec: TableSpec, record: bool = True) ->
                             settle=spec.snapshot_settle)
     df = _numbered(spark, prepare(df, spec, (ORDER_COL,) if order else ()), spec, notes)
     res = overwrite_table(df, spec.target, partition_cols=_partitions(spec, df),
-                          buckets=spec.buckets, bucket_cols=spec.key, notes=notes)
+                          buckets=spec.buckets, bucket_cols=spec.key, notes=notes, **_layout(spec))
     return _finish(spark, res, record, skipped)
 
 
@@ -161,6 +166,11 @@ def _source(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return df
 
 
+def _rows(spark: SparkSession, spec: TableSpec) -> str:
+    """The table that holds the target's rows, with its partitions in the catalog."""
+    return rows_table(spark, spec.target) or spec.target
+
+
 def _target_date_partition(spec: TableSpec) -> str | None:
     """The target's ``date`` partition when DERIVE_YMD derives it from the
     watermark column itself (then the newest partition holds the max)."""
@@ -215,11 +225,11 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
             return _finish(spark, LoadResult(spec.target, "MERGE", "", 0, partitions_rewritten=0), record)
     elif spec.date_watermark_col:
         # when the target is partitioned by that date, only its newest partition is read
-        wm = high_watermark(spec.target, spec.date_watermark_col, spark,
+        wm = high_watermark(_rows(spark, spec), spec.date_watermark_col, spark,
                             partition_col=spec.date_watermark_col)
         df = after_date_watermark(df, spec.date_watermark_col, wm)
     elif spec.timestamp:
-        wm = high_watermark(spec.target, spec.timestamp, spark,
+        wm = high_watermark(_rows(spark, spec), spec.timestamp, spark,
                             partition_col=_target_date_partition(spec))
         df = after_watermark(df, spec.timestamp, wm, inclusive=spec.watermark_inclusive,
                              lookback=spec.watermark_lookback, prune_col=spec.prune_partition_col)
@@ -229,7 +239,7 @@ def load_clean_incremental(spark: SparkSession, spec: TableSpec, record: bool =
     res = upsert_table(df, spec.target, spec.key, spec.timestamp, spec.update_op,
                        partition_cols=_partitions(spec, df), buckets=spec.buckets,
                        scope=upsert_scope(spec), key_index=spec.key_index, notes=notes,
-                       widen=spec.schema_drift == "widen")
+                       widen=spec.schema_drift == "widen", **_layout(spec))
     return _finish(spark, res, record)
 
 
@@ -240,7 +250,7 @@ def load_clean_full(spark: SparkSession, spec: TableSpec, record: bool = True) -
         df = df.select(*spec.columns)
     df = prepare(df, spec)
     res = overwrite_table(df, spec.target, partition_cols=_partitions(spec, df),
-                          buckets=spec.buckets, bucket_cols=spec.key)
+                          buckets=spec.buckets, bucket_cols=spec.key, **_layout(spec))
     return _finish(spark, res, record)
 
 

@@ -11,9 +11,10 @@ from lakeloom.sinks.history import (
 )
 from lakeloom.sinks.tables import LoadResult, overwrite_table, prune_versions, upsert_table, write_version
 from lakeloom.sinks.versions import read_version, restore, versions
+from lakeloom.sinks.views import rows_table
 
 __all__ = [
     "LoadResult", "append_history", "history_view", "last_load", "latest_entries", "overwrite_table",
-    "prune_versions", "read_history", "read_version", "restore", "table_history", "upsert_table", "versions",
+    "prune_versions", "read_history", "read_version", "restore", "rows_table", "table_history", "upsert_table", "versions",
     "write_version",
 ]

@@ -42,7 +42,10 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.upsert import ACTION, INSERT, _any_null, guarded_upsert, metric_columns
 from lakeloom.session import warehouse_root
+from lakeloom.sinks.catalog import _ASIDE, _ROWS, _STAGE, OWNED, _details, _exists, _properties, _quote, \
+    _set_properties, _siblings, _split
 from lakeloom.sinks.keys import holding_partitions, partition_key, write_index
+from lakeloom.sinks.views import RANGE, layout, layout_note, rows_table, switch_view, with_range
 from lakeloom.spec import as_tuple
 
 
@@ -67,25 +70,8 @@ def _observed(obs: Observation) -> dict:
     return {} if row is not None and row.schema() is None else obs.get
 
 
-def _quote(name: str) -> str:
-    return ".".join(f"`{p}`" for p in name.split("."))
-
-
-def _split(name: str) -> tuple[str | None, str]:
-    parts = name.split(".")
-    return (".".join(parts[:-1]) or None, parts[-1])
-
-
-#: Table property of every table this sink creates.
-OWNED = "lakeloom.sink"
+#: Formats without row-level operations.
 _FILES = {"parquet", "orc", "csv", "json", "text", "avro", "hive", "binaryfile", "xml"}
-_ASIDE = "__old_"
-_STAGE = "__stage_"
-
-
-def _details(spark: SparkSession, name: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(name)}").collect()
-    return {r[0]: r[1] for r in rows if r[0] in ("Provider", "Type", "Table Properties", "Location")}
 
 
 def check_target(spark: SparkSession, name: str) -> bool:
@@ -101,22 +87,11 @@ def check_target(spark: SparkSession, name: str) -> bool:
                      "it is left as it is")
 
 
-def _siblings(spark: SparkSession, name: str, mark: str) -> list[str]:
-    """Definitions that a swap of ``name`` may have left, oldest first."""
-    db, tbl = _split(name)
-    where = f" IN {_quote(db)}" if db else ""
-    if db and not spark.catalog.databaseExists(db):
-        return []
-    rows = spark.sql(f"SHOW TABLES{where} LIKE '{tbl}{mark}*'").collect()
-    own = re.compile(re.escape(tbl + mark) + r"\d+_[0-9a-f]{8}", re.I)
-    return sorted(f"{db + '.' if db else ''}{r['tableName']}" for r in rows if own.fullmatch(r["tableName"]))
-
-
 def heal(spark: SparkSession, name: str) -> None:
     """Undo a swap that did not finish: the set-aside definition gets its name
     back, left-over stage definitions go (their folders stay)."""
     aside = _siblings(spark, name, _ASIDE)
-    if aside and not spark.catalog.tableExists(name):
+    if aside and not _exists(spark, name):
         spark.sql(f"ALTER TABLE {_quote(aside[-1])} RENAME TO {_quote(name)}")
         spark.catalog.refreshTable(name)
         aside = aside[:-1]
@@ -129,8 +104,7 @@ def _swap(spark: SparkSession, name: str, stage: str, notes: Mapping[str, str] |
     """Give ``stage`` the name: old definition aside, stage in, old one last.
     ``notes`` are set on the stage, so they appear together with its rows; it
     takes the old properties of this package but for those in ``without``."""
-    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
-            if r["key"].startswith("lakeloom.") and r["key"] not in without}
+    kept = {k: v for k, v in _properties(spark, name).items() if k not in without}
     kept |= {f"lakeloom.{k}": v for k, v in (notes or {}).items()}
     _set_properties(spark, stage, kept)
     tag = _split(stage)[1].rpartition(_STAGE)[2]
@@ -147,22 +121,16 @@ def _own(spark: SparkSession, name: str) -> None:
 def get_note(spark: SparkSession, name: str, key: str) -> str | None:
     """Table property ``lakeloom.<key>`` of ``name``; swaps keep it."""
     heal(spark, name)
-    if not spark.catalog.tableExists(name):
+    if not _exists(spark, name):
         return None
-    found = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
-             if r["key"] == f"lakeloom.{key}"]
-    return found[0] if found else None
+    found = _properties(spark, name)
+    if "lakeloom.view" in found:
+        found = _properties(spark, rows_table(spark, name) or name)
+    return found.get(f"lakeloom.{key}")
 
 
 def set_note(spark: SparkSession, name: str, key: str, value: str) -> None:
-    _set_properties(spark, name, {f"lakeloom.{key}": value})
-
-
-def _set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
-    if properties:
-        text = ", ".join("'{}' = '{}'".format(k, v.replace("\\", "\\\\").replace("'", "\\'"))
-                         for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {_quote(name)} SET TBLPROPERTIES ({text})")
+    _set_properties(spark, rows_table(spark, name) or name, {f"lakeloom.{key}": value})
 
 
 def _noted(spark: SparkSession, name: str, notes: Mapping[str, str] | None) -> None:
@@ -187,8 +155,9 @@ def _locations(spark: SparkSession, name: str) -> dict[tuple[str, ...], str]:
 def definition(spark: SparkSession, name: str) -> tuple | None:
     """``(columns as JSON, partition columns, [(values, location)], notes)`` of a
     table of this sink, None for any other."""
-    if not spark.catalog.tableExists(name):
+    if not _exists(spark, name):
         return None
+    name = rows_table(spark, name) or name
     d = _details(spark, name)
     if f"{OWNED}=" not in d.get("Table Properties", "") or "Location" not in d:
         return None
@@ -196,8 +165,7 @@ def definition(spark: SparkSession, name: str) -> tuple | None:
     if parts and not hasattr(spark, "_jsparkSession"):      # Spark Connect shows no locations
         return None
     where = _locations(spark, name).items() if parts else [((), d["Location"])]
-    notes = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
-             if r["key"].startswith("lakeloom.") and r["key"] != OWNED}
+    notes = {k: v for k, v in _properties(spark, name).items() if k != OWNED}
     return spark.table(name).schema.json(), list(parts), [(list(v), loc) for v, loc in where], notes
 
 
@@ -213,9 +181,11 @@ def prune_versions(spark: SparkSession, name: str, keep: int = 1, root: str | No
     drop_definitions(spark, name)
     db, tbl = _split(name)
     base = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}"
-    live = [_details(spark, name).get("Location", "")]
-    if _partition_columns(spark, name):
-        live += _locations(spark, name).values()
+    live = []
+    for held in _siblings(spark, name, _ROWS) if rows_table(spark, name) else [name]:
+        live.append(_details(spark, held).get("Location", ""))
+        if _partition_columns(spark, held):
+            live += _locations(spark, held).values()
     used = kept | {m[1] for x in live if (m := re.search(r"/(v_\d+_[0-9a-f]{8})(/|$)", x))}
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
@@ -249,7 +219,7 @@ def _relocatable(spark: SparkSession, name: str, schema: T.StructType) -> bool:
     """An existing external, unpartitioned, unbucketed Parquet table whose
     columns (names and types) equal ``schema``: a new version only has to
     be pointed at, in one catalog call."""
-    if not spark.catalog.tableExists(name):
+    if not _exists(spark, name):
         return False
     t = spark.catalog.getTable(name)
     if (t.tableType or "").upper() != "EXTERNAL":
@@ -294,7 +264,7 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
     path = f"{root}/{(db + '.') if db else ''}{tbl}/v_{tag}"
     stage = f"{db + '.' if db else ''}{tbl}{_STAGE}{tag}"
     heal(spark, name)
-    if spark.catalog.tableExists(name) and not check_target(spark, name):
+    if _exists(spark, name) and not check_target(spark, name):
         raise ValueError(f"{name} has its own table format; write to it with that format")
     if db and not spark.catalog.databaseExists(db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}")
@@ -311,7 +281,7 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
         w = w.partitionBy(*parts)
     if buckets:
         w = w.bucketBy(buckets, *as_tuple(bucket_cols))
-    if not spark.catalog.tableExists(name):
+    if not _exists(spark, name):
         # a new table: the catalog entry is created only once the data is written
         w.saveAsTable(name)
         _own(spark, name)
@@ -332,10 +302,24 @@ def write_version(df: DataFrame, name: str, *, partition_cols: Sequence[str] | N
 def overwrite_table(df: DataFrame, name: str, *, partition_cols: Sequence[str] | None = None,
                     buckets: int | None = None, bucket_cols: Sequence[str] = (),
                     root: str | None = None, operation: str = "OVERWRITE",
-                    notes: Mapping[str, str] | None = None) -> LoadResult:
-    """M4/M6: replace data and schema of ``name`` with ``df``."""
+                    notes: Mapping[str, str] | None = None, stable_view: bool = False,
+                    hash_ranges: int | None = None) -> LoadResult:
+    """M4/M6: replace data and schema of ``name`` with ``df``. With
+    ``stable_view`` or ``hash_ranges`` (of ``bucket_cols``), or where ``name``
+    is a view of this sink already, the view is switched
+    (:mod:`lakeloom.sinks.views`)."""
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    shown = _view_target(df.sparkSession, name, stable_view or bool(hash_ranges), partition_cols, buckets, hash_ranges)
+    if shown is not None:
+        stored = layout(df.sparkSession, shown)
+        keys = as_tuple(bucket_cols) or (stored[1] if stored else ())
+        n_ranges = hash_ranges or (stored[0] if stored and not partition_cols else None)
+        if n_ranges and not (keys and set(keys) <= set(df.columns)):
+            n_ranges = None
+        path = _write_rows(observed, name, shown, partition_cols, keys, n_ranges, root, notes)
+        n = int(_observed(obs).get("rows", 0))
+        return LoadResult(name, operation, path, n, inserted=n if operation == "CREATE" else 0, rows_written=n)
     path = write_version(observed, name, partition_cols=partition_cols, buckets=buckets,
                          bucket_cols=bucket_cols, root=root, notes=notes)
     n = int(_observed(obs).get("rows", 0))
@@ -348,7 +332,8 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
                  buckets: int | None = None, root: str | None = None,
                  create_if_missing: bool = True, scope: str = "auto",
                  notes: Mapping[str, str] | None = None, key_index: bool = False,
-                 widen: bool = False) -> LoadResult:
+                 widen: bool = False, stable_view: bool = False,
+                 hash_ranges: int | None = None) -> LoadResult:
     """M1/M2 (+ M3): merge ``source`` into table ``name`` with the guard
     ``source.ts op target.ts``; create the table from ``source`` when it does
     not exist. A failing merge raises and leaves the target untouched.
@@ -368,17 +353,26 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
     batch's keys only in partitions that can hold one.
     ``widen``: a column that is wider in ``source`` becomes wider in the target
     (untouched partitions keep their files, which read as the wider type).
+    ``stable_view`` makes ``name`` a view over version tables, which one catalog
+    call switches; ``hash_ranges`` lays the rows of a target without partition
+    columns out in that many ranges of the key's hash, behind such a view, so
+    that an upsert reads and rewrites the ranges of its keys only
+    (:mod:`lakeloom.sinks.views`). An existing view stays one.
     """
     if scope not in ("auto", "full", "batch"):
         raise ValueError(f"scope must be auto, full or batch, got {scope!r}")
     spark = source.sparkSession
     keys = as_tuple(keys)
     heal(spark, name)
-    if spark.catalog.tableExists(name) and not check_target(spark, name):
+    shown = _view_target(spark, name, stable_view or bool(hash_ranges), partition_cols, buckets, hash_ranges)
+    if shown is not None:
+        return _upsert_view(source, name, shown, keys, ts, op, partition_cols, hash_ranges, root,
+                            create_if_missing, scope, notes, key_index, widen)
+    if _exists(spark, name) and not check_target(spark, name):
         res = _merge_into(source, name, keys, ts, op)
         _noted(spark, name, notes)
         return res
-    if spark.catalog.tableExists(name) and scope != "full" and not buckets:
+    if _exists(spark, name) and scope != "full" and not buckets:
         parts = _partition_columns(spark, name)
         if parts and set(parts) == set(as_tuple(partition_cols) or parts) \
                 and _scopable(spark.table(name).schema, parts):
@@ -389,7 +383,7 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
                 return res
     src_obs = Observation()
     source = source.observe(src_obs, F.count(F.lit(1)).alias("rows"))
-    if not spark.catalog.tableExists(name):
+    if not _exists(spark, name):
         if not create_if_missing:
             raise ValueError(f"target table {name} does not exist")
         merged = source.withColumn(ACTION, F.lit(INSERT))
@@ -412,6 +406,100 @@ def upsert_table(source: DataFrame, name: str, keys: str | Sequence[str], ts: st
                       deleted=0, rows_written=int(m.get("rows") or 0))
 
 
+# ---------------------------------------------------------------- stable views
+def _view_target(spark: SparkSession, name: str, wanted: bool, partition_cols, buckets: int | None,
+                 hash_ranges: int | None) -> str | None:
+    """The rows table that the view ``name`` shows, "" for a view to be made,
+    None where ``name`` is, or is to be, a plain table."""
+    shown = rows_table(spark, name)
+    if shown is None and not wanted:
+        return None
+    if shown is None and _exists(spark, name):
+        raise ValueError(f"{name} is a table; a stable view needs a name of its own (or drop the definition)")
+    if buckets:
+        raise ValueError(f"{name}: a stable view takes hash_ranges instead of buckets")
+    if hash_ranges and partition_cols:
+        raise ValueError(f"{name}: hash_ranges are for targets without partition columns")
+    if hash_ranges is not None and hash_ranges < 1:
+        raise ValueError(f"{name}: hash_ranges must be 1 or more")
+    return shown or ""
+
+
+def _write_rows(df: DataFrame, name: str, shown: str, partition_cols: str | Sequence[str] | None,
+                keys: Sequence[str], ranges: int | None, root: str | None,
+                notes: Mapping[str, str] | None) -> str:
+    """Write ``df`` as a whole new version and let the view ``name`` show it."""
+    spark = df.sparkSession
+    parts = as_tuple(partition_cols)
+    if ranges:
+        df, parts = with_range(df, keys, ranges), (RANGE,)
+        notes = {**(notes or {}), "ranges": layout_note(ranges, keys)}
+    missing = [c for c in parts if c not in df.columns]
+    if missing:
+        raise ValueError(f"{name}: partition columns not in data: {missing}")
+    db, tbl = _split(name)
+    if db and not spark.catalog.databaseExists(db):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(db)}")
+    tag = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+    path = f"{(root or warehouse_root(spark)).rstrip('/')}/{(db + '.') if db else ''}{tbl}/v_{tag}"
+    w = (df.hint("rebalance", *parts) if parts else df).write.format("parquet").mode("errorifexists")
+    w = w.option("path", path)
+    rows = f"{name}{_ROWS}{tag}"
+    (w.partitionBy(*parts) if parts else w).saveAsTable(rows)
+    _own(spark, rows)
+    switch_view(spark, name, rows, shown, notes, without=() if ranges else ("lakeloom.ranges",))
+    return path
+
+
+def _upsert_view(source: DataFrame, name: str, shown: str, keys: tuple[str, ...], ts: str, op: str,
+                 partition_cols, hash_ranges: int | None, root: str | None, create_if_missing: bool,
+                 scope: str, notes: Mapping[str, str] | None, key_index: bool, widen: bool) -> LoadResult:
+    """Merge into the rows behind a stable view. A key's range never changes, so
+    a target in hash ranges is not looked through for the batch's keys; another
+    number of ranges or another key lays the whole table out anew."""
+    spark = source.sparkSession
+    if not shown and not create_if_missing:
+        raise ValueError(f"target table {name} does not exist")
+    stored = layout(spark, shown)
+    ranges = hash_ranges or (stored[0] if stored and not partition_cols else None)
+    if shown and scope != "full":
+        schema = spark.table(shown).schema
+        parts = _partition_columns(spark, shown)
+        if ranges:
+            same = stored == (ranges, keys) and all(
+                k in source.columns and (schema[k].dataType == source.schema[k].dataType or not widen
+                                         or _integral(schema[k].dataType) and _integral(source.schema[k].dataType))
+                for k in keys)
+            batch = with_range(source, keys, ranges, schema) if same else None
+        else:
+            same = not stored and bool(parts) and set(parts) == set(as_tuple(partition_cols) or parts) \
+                and _scopable(schema, parts)
+            batch = source
+        if same:
+            res = _upsert_partitions(batch, name, keys, ts, op, parts, root, batch_only=bool(ranges) or scope == "batch",
+                                     notes=notes, key_index=key_index and not ranges, widen=widen, shown=shown)
+            if res is not None:
+                return res
+    src_obs, obs = Observation(), Observation()
+    source = source.observe(src_obs, F.count(F.lit(1)).alias("rows"))
+    if shown:
+        old = spark.table(shown)
+        old = old.drop(RANGE) if stored else old
+        merged = guarded_upsert(old, source, keys, ts, op, widen=widen)
+        if not ranges and not partition_cols:
+            partition_cols = [c for c in _partition_columns(spark, shown) if c != RANGE or not stored]
+    else:
+        merged = source.withColumn(ACTION, F.lit(INSERT))
+    merged = merged.observe(obs, *metric_columns()).drop(ACTION)
+    path = _write_rows(merged, name, shown, partition_cols, keys, ranges, root, notes)
+    m = _observed(obs)
+    if key_index and partition_cols and not ranges:
+        write_index(spark, path, keys, as_tuple(partition_cols), spark.table(name).schema)
+    return LoadResult(name, "MERGE" if shown else "CREATE", path, int(_observed(src_obs).get("rows", 0)),
+                      inserted=int(m.get("inserted") or 0), updated=int(m.get("updated") or 0),
+                      rows_written=int(m.get("rows") or 0))
+
+
 # ---------------------------------------------------------------- partition scope
 _SCOPABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.StringType)
 
@@ -461,11 +549,14 @@ def _define(spark: SparkSession, name: str, schema: T.StructType, parts: Sequenc
 def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts: str, op: str,
                        parts: tuple[str, ...], root: str | None,
                        batch_only: bool = False, notes: Mapping[str, str] | None = None,
-                       key_index: bool = False, widen: bool = False) -> LoadResult | None:
+                       key_index: bool = False, widen: bool = False,
+                       shown: str | None = None) -> LoadResult | None:
     """Rewrite only the partitions the batch touches; None -> caller falls
-    back to a whole-table rewrite (NULL or unusual partition values)."""
+    back to a whole-table rewrite (NULL or unusual partition values).
+    ``shown``: the rows table that the stable view ``name`` shows."""
     spark = source.sparkSession
-    target = spark.table(name)
+    own_name = shown or name
+    target = spark.table(own_name)
     schema = target.schema
     pk = partition_key(parts)
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
@@ -479,7 +570,7 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
             # the bitmaps hash keys as text, which widening changes for all but integers
             if key_index and all(schema[k].dataType == src.schema[k].dataType
                                  or _integral(schema[k].dataType) and _integral(src.schema[k].dataType) for k in keys):
-                live = {"\u0001".join(v): loc for v, loc in _locations(spark, name).items()}
+                live = {"\u0001".join(v): loc for v, loc in _locations(spark, own_name).items()}
                 holding = holding_partitions(src, keys, live)
                 if holding is not None:
                     own = target.filter(pk.isin(holding))
@@ -491,7 +582,7 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
                         .select(*parts, pk.alias("_pk"), "_n").collect())
         n_src = sum(int(r["_n"]) for r in touched_rows)
         if not touched_rows:
-            _noted(spark, name, notes)
+            _noted(spark, own_name, notes)
             return LoadResult(name, "MERGE", "", n_src, partitions_rewritten=0)
         if any(r[c] is None for r in touched_rows for c in parts) or \
                 any(not _PLAIN.match(str(r[c])) for r in touched_rows for c in parts):
@@ -524,17 +615,20 @@ def _upsert_partitions(source: DataFrame, name: str, keys: tuple[str, ...], ts:
         return "/".join(f"{c}={v}" for c, v in zip(parts, vals))
 
     # the new list of partitions: untouched ones keep their locations
-    where = {v: loc for v, loc in _locations(spark, name).items()}
+    where = {v: loc for v, loc in _locations(spark, own_name).items()}
     for key, vals in touched.items():
         text = tuple(str(v) for v in vals)
         if key in written:
             where[text] = f"{path}/{dirname(vals)}"
         else:
             where.pop(text, None)
-    stage = f"{db + '.' if db else ''}{tbl}{_STAGE}{tag}"
+    stage = f"{name}{_ROWS if shown else _STAGE}{tag}"
     _define(spark, stage, schema, parts, where, path)
-    _swap(spark, name, stage, notes)
-    spark.catalog.refreshTable(name)
+    if shown:
+        switch_view(spark, name, stage, shown, notes)
+    else:
+        _swap(spark, name, stage, notes)
+        spark.catalog.refreshTable(name)
     return LoadResult(name, "MERGE", path, n_src, inserted=int(m.get("inserted") or 0),
                       updated=int(m.get("updated") or 0), deleted=0,
                       rows_written=int(m.get("rows") or 0), partitions_rewritten=len(written))

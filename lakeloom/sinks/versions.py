@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.sinks.history import HISTORY_SCHEMA, VERSION_SCHEMA, append_history, history_path
-from lakeloom.sinks.tables import _STAGE, LoadResult, _define, _noted, _partition_columns, _quote, _siblings, _split, \
-    _swap, heal, write_version
+from lakeloom.sinks.catalog import _ROWS, _STAGE, _exists, _properties, _quote, _siblings, _split
+from lakeloom.sinks.tables import LoadResult, _define, _noted, _partition_columns, _swap, heal, write_version
+from lakeloom.sinks.views import RANGE, rows_table, switch_view
 
 _AT = "__at_"
 _FOLDER = r"/(v_\d+_[0-9a-f]{8})(/|$)"
@@ -99,9 +100,10 @@ def read_version(spark: SparkSession, name: str, version: str | None = None, *,
     _kept(spark, name, entry)
     db, tbl = _split(name)
     own = f"{db + '.' if db else ''}{tbl}{_AT}{entry['version'][:22]}"
-    if not spark.catalog.tableExists(own):
+    if not _exists(spark, own):
         _register(spark, own, entry)
-    return spark.table(own)
+    own_rows = spark.table(own)
+    return own_rows.drop(RANGE) if "lakeloom.ranges" in (entry["notes"] or {}) else own_rows
 
 
 def restore(spark: SparkSession, name: str, version: str | None = None, *, at: dt.datetime | None = None,
@@ -112,13 +114,24 @@ def restore(spark: SparkSession, name: str, version: str | None = None, *, at: d
     heal(spark, name)
     entry = _entry(spark, name, version, at, root)
     _kept(spark, name, entry)
-    now = spark.catalog.listColumns(name) if spark.catalog.tableExists(name) else []
+    now = spark.catalog.listColumns(name) if _exists(spark, name) else []
     notes = dict(entry["notes"] or {}) if marks else {}
-    cleared = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(name)}").collect()
-               if r["key"].startswith("lakeloom.")} - set(notes) - {"lakeloom.sink"} if now and marks else set()
+    shown = rows_table(spark, name)
+    cleared = set(_properties(spark, shown or name)) - set(notes) - {"lakeloom.sink"} if now and marks else set()
+    entry_notes = entry["notes"] or {}
+    if "lakeloom.ranges" in entry_notes:        # the layout belongs to the rows, not to the marks
+        notes["lakeloom.ranges"] = entry_notes["lakeloom.ranges"]
+    else:
+        cleared.add("lakeloom.ranges")
     notes = {k.removeprefix("lakeloom."): v for k, v in notes.items()}
     path = entry["locations"][0]["location"] if entry["locations"] else ""
-    if any(c.isBucket for c in now):
+    if shown or not now and "lakeloom.shown" in entry_notes:
+        rows = f"{name}{_ROWS}{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+        _register(spark, rows, entry)
+        switch_view(spark, name, rows, shown, notes, without=cleared)
+    elif "lakeloom.ranges" in entry_notes:
+        raise ValueError(f"{name} is a plain table now; version {entry['version']} is one of a stable view")
+    elif any(c.isBucket for c in now):
         buckets = int(next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(name)}").collect()
                            if r[0] == "Num Buckets"))
         path = write_version(read_version(spark, name, entry["version"], root=root), name, buckets=buckets,

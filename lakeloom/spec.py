@@ -50,7 +50,7 @@ EXTRA_CONFIG_KEYS = (
     "tiebreak", "fixed_partition", "prune_partition_col", "date_watermark_col",
     "watermark_inclusive", "watermark_lookback", "schema_drift", "n_folders", "snapshot_mode",
     "buckets", "dedup_without_timestamp", "strict_cast", "on_unknown_transform", "update_op",
-    "key_index", "catch_up", "late_days", "load_col", "arrival_col", "snapshot_marker", "snapshot_settle",
+    "key_index", "stable_view", "hash_ranges", "catch_up", "late_days", "load_col", "arrival_col", "snapshot_marker", "snapshot_settle",
 )
 EXTRA_TRANSFORM_CONFIG_KEYS = ("order_col", "order_tiebreak")
 
@@ -136,6 +136,8 @@ class TableSpec:
     buckets: int | None = None
     fixed_partition: bool = False      # a key's partition never changes -> upsert scope "batch"
     key_index: bool = False            # keep bitmaps of the keys of each partition for upserts
+    stable_view: bool = False          # readers' name is a view that one catalog call switches
+    hash_ranges: int | None = None     # no partition columns: ranges of the key's hash (behind such a view)
     options: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -164,6 +166,8 @@ class TableSpec:
             raise ValueError("schema_drift must be off, report, exclude, error or widen")
         if self.snapshot_mode not in ("latest_file", "latest_folder"):
             raise ValueError("snapshot_mode must be 'latest_file' or 'latest_folder'")
+        if self.hash_ranges and (self.partition_cols or self.buckets or not self.key):
+            raise ValueError(f"{self.target}: hash_ranges need a key, and neither partition_cols nor buckets")
         if self.load_type == INCREMENTAL and not (self.key and self.timestamp):
             raise ValueError(
                 f"{self.target}: an INCREMENTAL load needs both key and timestamp")

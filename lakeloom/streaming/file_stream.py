@@ -40,7 +40,7 @@ from contextlib import nullcontext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.plans.loads import _landing, _partitions, prepare, upsert_scope
+from lakeloom.plans.loads import _layout, _landing, _partitions, prepare, upsert_scope
 from lakeloom.session import warehouse_root
 from lakeloom.sinks.history import append_history
 from lakeloom.sinks.tables import get_note, upsert_table
@@ -102,7 +102,8 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
         prepared = prepare(batch, spec, order)
         res = upsert_table(prepared, spec.target, spec.key, spec.timestamp, spec.update_op,
                            partition_cols=_partitions(spec, prepared), buckets=spec.buckets,
-                           scope=upsert_scope(spec), key_index=spec.key_index, notes={mark: str(epoch_id)})
+                           scope=upsert_scope(spec), key_index=spec.key_index, notes={mark: str(epoch_id)},
+                           **_layout(spec))
         # the batch runs in a cloned session: the caller's one has its own cache
         spark.catalog.refreshTable(spec.target)
         if record:

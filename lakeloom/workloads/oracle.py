@@ -131,6 +131,13 @@ UNION ALL SELECT * FROM s""",
   CAST(CASE WHEN hit THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS TIMESTAMP) AS version_ts
 FROM (SELECT *, o_orderdate >= DATE '1998-01-01' OR (o_orderkey % 50 = 1 AND year(o_orderdate) IN (1994, 1996)) AS hit
       FROM orders)""",
+    "upsert_hash_ranges": """SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN hit THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,
+  CAST(CASE WHEN hit THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS TIMESTAMP) AS version_ts
+FROM (SELECT *, o_orderdate >= DATE '1998-01-01' OR o_orderkey % 50 = 1 AS hit FROM orders)""",
+    "stable_view_switch": (
+        "SELECT *, CAST(ts AS DATE) AS day FROM events "
+        "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1"),
     "latest_load_history": (
         "SELECT o_orderpriority AS table_name, o_orderdate AS ts, o_orderstatus AS operation, "
         "o_orderkey AS load_id, o_totalprice AS rows_written FROM orders "

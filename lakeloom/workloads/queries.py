@@ -623,6 +623,36 @@ def q_upsert_key_index(spark, sf_dir):
     return spark.table(name)
 
 
+def q_upsert_hash_ranges(spark, sf_dir):
+    """M1/M2 into a table without partition columns, laid out in ranges of the
+    key's hash behind a stable view: re-priced and new orders, then the same
+    batch in more ranges, then late rows that the guard keeps out."""
+    orders = table(spark, sf_dir, "orders").withColumn("version_ts", F.col("o_orderdate").cast("timestamp_ntz"))
+    name = _uniq("orders_ranges")
+    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("date")
+    upsert_table(orders.filter(old), name, ["o_orderkey"], "version_ts", ">", hash_ranges=16)
+    batch = (orders.filter(~old | (F.col("o_orderkey") % 50 == 1))
+             .withColumn("o_totalprice", F.col("o_totalprice") * 2)
+             .withColumn("version_ts", F.col("version_ts") + F.expr("INTERVAL 1 DAY")))
+    upsert_table(batch.filter(old), name, ["o_orderkey"], "version_ts", ">")
+    upsert_table(batch.filter(~old), name, ["o_orderkey"], "version_ts", ">", hash_ranges=32)
+    upsert_table(orders.withColumn("o_totalprice", F.lit(0.0).cast(orders.schema["o_totalprice"].dataType)), name,
+                 ["o_orderkey"], "version_ts", ">")
+    return spark.table(name)
+
+
+def q_stable_view_switch(spark, sf_dir):
+    """M4/M6 behind a stable view: replaced with another schema, then merged
+    by date partition."""
+    name = _uniq("events_view")
+    overwrite_table(table(spark, sf_dir, "orders"), name, stable_view=True)      # a different schema first
+    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    latest = latest_per_key(ev, ["user_id"], "ts", ["event_id"])
+    overwrite_table(latest.filter(F.col("user_id") % 3 != 0), name, partition_cols=["day"])
+    upsert_table(latest.filter(F.col("user_id") % 3 == 0), name, ["user_id"], "ts", ">", partition_cols=["day"])
+    return spark.table(name)
+
+
 def q_landing_schema_drift(spark, sf_dir):
     """The newest hour also holds a file whose ``user_id`` became text.
     With ``exclude`` the load skips that file and reports it; with ``error``
@@ -731,6 +761,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_metrics": q_upsert_metrics,
     "upsert_fixed_partition": q_upsert_fixed_partition,
     "upsert_key_index": q_upsert_key_index,
+    "upsert_hash_ranges": q_upsert_hash_ranges,
+    "stable_view_switch": q_stable_view_switch,
     "latest_load_history": q_latest_load_history,
     "create_on_missing": q_create_on_missing,
     "full_overwrite_partitioned": q_full_overwrite_partitioned,
