@@ -185,3 +185,61 @@ def test_state_passes_null_keys_and_null_times(spark, tmp_base):
         q.awaitTermination()
         assert q.exception() is None
     assert sorted(str(r.id) for r in spark.table(s.target).collect()) == ["5", "6", "None", "None"]
+
+
+def test_state_calls_grow_with_buckets_not_keys():
+    """One call settles all keys of a bucket, exactly by key."""
+    import numpy as np
+    import pandas as pd
+
+    from lakeloom.streaming import newest_state
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def sent(state, *rows):
+        cols = ["v", *newest_state._MARKS]
+        frames = [pd.DataFrame([r], columns=cols) for r in rows]
+        out = list(newest_state._newer((7,), iter(frames), state))
+        return [v for f in out for v in f["v"]]
+
+    def row(v, key, t, null=False):
+        return (v, t, hash((v, key)) % (1 << 62), key, -key, null, 7)
+
+    state = State()
+    many = [row(f"a{k}", k, 10) for k in range(300)]
+    assert len(sent(state, *many, row("n", 1, 10, True))) == 301
+    # again: nothing but the NULL key; older, as new with another value, newer
+    assert sent(state, *many, row("n", 1, 10, True)) == ["n"]
+    assert sent(state, row("old", 5, 9), row("fixed", 5, 10), row("new", 6, 11), row("first", 900, 1)) == ["fixed", "new", "first"]
+    assert sent(state, *many[:5], *many[7:], many[5], many[6], row("fixed", 5, 10), row("new", 6, 11)) == []
+    assert len(np.frombuffer(state.get[0], dtype="<i8")) == 4 * 302
+
+
+def test_stream_state_has_one_group_a_bucket(spark, tmp_base):
+    """Four times BUCKETS keys keep at most BUCKETS state rows, and a
+    second delivery of all of them passes nothing."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from lakeloom.streaming.newest_state import BUCKETS
+    from tests.test_ledger import spec
+    s = spec("stream_buckets", f"{tmp_base}/in", schema_drift="error")
+    folder = f"{tmp_base}/in/tbl/2024/1/1/1"
+    os.makedirs(folder)
+    rows = pa.table({"id": pa.array(range(4 * BUCKETS), pa.int64()),
+                     "ts": pa.array([dt.datetime(2024, 1, 1)] * (4 * BUCKETS), pa.timestamp("us")),
+                     "v": ["x"] * (4 * BUCKETS)})
+    for name, passed in (("one", 4 * BUCKETS), ("two", 0)):
+        pq.write_table(rows, f"{folder}/{name}.parquet")
+        q = start_landing_stream(spark, s, drop_replays=True)
+        q.awaitTermination()
+        assert q.exception() is None
+        states = [o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]]
+        assert states and max(states) <= BUCKETS
+        last = table_history(spark, s.target).first()
+        assert last.source_rows == passed
+    assert spark.table(s.target).count() == 4 * BUCKETS
