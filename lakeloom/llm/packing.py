@@ -3,11 +3,13 @@
 Documents become pieces of at most ``limit`` tokens. The number of pieces of
 each length (at most ``limit`` numbers) is all the driver sees. A
 configuration says how many pieces of each length share one sequence; the
-program "fewest sequences whose configurations hold every piece" is solved by
-multiplicative weights: lengths lose weight as they are covered, a knapsack
-prices the next configuration, and its multiplicity is rounded to whole
-sequences (see :func:`pack_plan`), so every slot holds exactly one piece. Spark
-then numbers the pieces of each length and reads their place off the plan.
+program "fewest sequences whose configurations hold every piece" is solved in
+fractions by multiplicative weights: lengths lose weight as they are covered, a
+knapsack prices the next configuration, and a lower bound from the program's
+dual says how far the solution is from the best (:func:`configuration_lp`).
+Its multiplicities are rounded to whole sequences (:func:`pack_plan`), so every
+slot holds exactly one piece. Spark then numbers the pieces of each length and
+reads their place off the plan.
 
 Null text is an empty document (its end id only). Repeated rows, equal
 doc_ids and null doc_ids are separate documents. An empty table gives no
@@ -82,21 +84,118 @@ def _knapsack(size: np.ndarray, value: np.ndarray, limit: int) -> list[int]:
     return out
 
 
-def pack_plan(histogram: dict[int, int], limit: int, columns: int = 64,
-              rate: float = 4.0) -> list[tuple[int, dict[int, int]]]:
+def _bound(size: np.ndarray, demand: np.ndarray, price: np.ndarray, limit: int) -> float:
+    """The program's value is at least this: prices scaled so that no
+    configuration is worth more than 1 are a solution of its dual."""
+    worth = np.zeros(limit + 1)
+    worth[size] = price
+    best = np.zeros(limit + 1)
+    for room in range(1, limit + 1):
+        best[room] = max(best[room - 1], float((worth[1:room + 1] + best[:room][::-1]).max()))
+    return float((demand * price).sum() / best[limit])
+
+
+def _configuration(size: np.ndarray, demand: np.ndarray, left: np.ndarray, price: np.ndarray, limit: int,
+                   draw: np.random.Generator, columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """The longest length that is not covered yet and the most valuable rest
+    over ``columns`` lengths drawn by the tokens they still hold."""
+    open_ = np.flatnonzero(left > 0)
+    lead = int(open_[-1])
+    room = limit - int(size[lead])
+    free = demand.copy()
+    free[lead] -= 1
+    pool = open_[(size[open_] <= room) & (free[open_] > 0)]
+    if len(pool) > columns:
+        key = np.log(draw.random(len(pool))) / (left[pool] * size[pool])
+        items, copies = pool[np.argpartition(-key, columns)[:columns]], np.ones(columns, dtype=np.int64)
+    else:                                   # few lengths: several copies of each
+        items, copies = [], []
+        for j in pool.tolist():
+            most, n = min(int(free[j]), room // int(size[j])), 1
+            while most > 0:
+                items.append(j)
+                copies.append(min(n, most))
+                most, n = most - min(n, most), 2 * n
+        items, copies = np.array(items, dtype=np.int64), np.array(copies, dtype=np.int64)
+    config = {lead: 1}
+    if len(items):
+        for k in _knapsack(size[items] * copies, price[items] * copies, room):
+            j = int(items[k])
+            config[j] = config.get(j, 0) + int(copies[k])
+    return np.array(list(config)), np.array(list(config.values()))
+
+
+def _start_price(size: np.ndarray, limit: int, k: int) -> np.ndarray:
+    """Prices under which no configuration is worth more than 1: a length's
+    share of the limit (k = 0), or how many ``k + 1``-ths of the limit it fills,
+    by ``k`` (a length of just that many: its share)."""
+    share = size / limit
+    return np.where(size * (k + 1) % limit == 0, share, size * (k + 1) // limit / k) if k else share
+
+
+#: Start prices, steps and rates of the multiplicative weights, tried until the
+#: gap is small. The first rate (None) moves a price by less than one token.
+_LADDER = ((0, 1.0, None), (0, 0.5, None), (1, 1.0, None), (2, 1.0, None), (3, 1.0, None), (4, 1.0, None),
+           (0, 0.5, 0.25), (0, 0.25, 1.0), (0, 0.125, 4.0))
+_GAP = 1e-5
+#: Of programs of so few sequences one configuration is rounded at a time.
+_TAIL = 32
+
+
+def configuration_lp(size: np.ndarray, demand: np.ndarray, limit: int, draw: np.random.Generator,
+                     columns: int = 128) -> tuple[list[tuple[float, np.ndarray, np.ndarray]], float, float]:
+    """``(configurations, value, bound)`` of the program "fewest sequences, in
+    fractions, whose configurations hold every piece": multiplicity, lengths
+    (indices of ``size``, ascending) and their pieces.
+
+    Multiplicative weights: a length's price is a start price times a weight
+    that falls by ``exp(-rate * share)`` with the share of its pieces that a
+    step covers. A knapsack prices the configuration that is taken next, as
+    often as its scarcest length allows (at most ``step`` of that length's
+    pieces). The prices on the way give lower bounds of the value by an exact
+    knapsack over all lengths. Other start prices, smaller steps and higher
+    rates follow until value and bound differ by less than ``_GAP`` or a
+    sequence.
+    """
+    best: list = []
+    value, bound = np.inf, 0.0
+    for k, step, rate in _LADDER:
+        rate = 0.9 / limit if rate is None else rate
+        start = _start_price(size, limit, k)
+        price = start + (1e-3 * size / limit if k else 0)       # of equal prices the fuller sequence
+        if start.any():
+            bound = max(bound, _bound(size, demand, start, limit))
+        left, weight = demand.astype(np.float64), np.ones(len(size))
+        found, used, mark = [], 0.0, 0.875
+        tokens = float((left * size).sum())
+        while left.any():
+            if (left * size).sum() <= mark * tokens:            # eight times a pass
+                bound = max(bound, _bound(size, demand, price * weight, limit))
+                mark -= 0.125
+            js, a = _configuration(size, demand, left, price * weight, limit, draw, columns)
+            times = float(min((left[js] / a).min(), step * (demand[js] / a).min()))
+            found.append((times, js, a))
+            used += times
+            left[js] -= times * a
+            left[js[left[js] < 1e-9 * demand[js]]] = 0.0
+            weight[js] *= np.exp(-rate * times * a / demand[js])
+        if used < value:
+            best, value = found, used
+        if value <= max(bound * (1 + _GAP), np.ceil(bound)):
+            break
+    return best, value, bound
+
+
+def pack_plan(histogram: dict[int, int], limit: int, columns: int = 128) -> list[tuple[int, dict[int, int]]]:
     """``(sequences, {length: pieces})``: every piece of the histogram in
     exactly one slot, no configuration over ``limit``.
 
-    The covering program is "fewest sequences whose configurations hold every
-    piece". A length's weight falls by ``exp(-rate * share)`` with the share of
-    its pieces that a step covers; its price is its part of the limit (the
-    program's dual solution when sequences can be filled) raised by less than
-    one token's part for its weight. A knapsack prices the configuration that is
-    taken next: the longest length that is not covered yet, and the most
-    valuable rest over ``columns`` lengths drawn by the tokens they still hold.
-    Its multiplicity, what the scarcest of its lengths allows, is rounded down
-    to a whole number of sequences. So each step uses up a length, and all
-    pieces are placed by priced configurations.
+    The configuration program is solved in fractions (:func:`configuration_lp`)
+    and rounded: the whole part of each multiplicity is taken, and one more with
+    the probability of its fraction where the pieces are there. What is left is
+    a smaller program, solved and rounded the same way until nothing is left; of
+    the last ``_TAIL`` sequences the longest length's configuration alone is
+    rounded (up, where it is a fraction) before the next one is solved.
     """
     left_of = {int(k): int(v) for k, v in histogram.items() if v}
     if left_of and not 1 <= min(left_of) <= max(left_of) <= limit:
@@ -105,42 +204,22 @@ def pack_plan(histogram: dict[int, int], limit: int, columns: int = 64,
     if limit in left_of:
         plan.append((left_of.pop(limit), {limit: 1}))
     size = np.array(sorted(left_of), dtype=np.int64)
-    total = np.array([left_of[int(x)] for x in size], dtype=np.int64)
-    left, weight = total.copy(), np.ones(len(size))
+    left = np.array([left_of[int(x)] for x in size], dtype=np.int64)
     draw = np.random.default_rng(limit)
-    open_ = np.arange(len(size))
-    while len(open_):
-        lead = int(open_[-1])
-        room = limit - int(size[lead])
-        free = left.copy()
-        free[lead] -= 1
-        pool = open_[(size[open_] <= room) & (free[open_] > 0)]
-        if len(pool) > columns:
-            held = free[pool] * size[pool].astype(np.float64)
-            key = np.log(draw.random(len(pool))) / held
-            items, copies = pool[np.argpartition(-key, columns)[:columns]], np.ones(columns, dtype=np.int64)
-        else:                                   # few lengths: several copies of each
-            items, copies = [], []
-            for j in pool.tolist():
-                most, n = min(int(free[j]), room // int(size[j])), 1
-                while most > 0:
-                    items.append(j)
-                    copies.append(min(n, most))
-                    most, n = most - min(n, most), 2 * n
-            items, copies = np.array(items, dtype=np.int64), np.array(copies, dtype=np.int64)
-        config = {lead: 1}
-        if len(items):
-            own = size[items] * copies
-            price = own * (1 + 0.9 * weight[items] / limit)
-            for k in _knapsack(own, price, room):
-                j = int(items[k])
-                config[j] = config.get(j, 0) + int(copies[k])
-        js, a = np.array(list(config)), np.array(list(config.values()))
-        times = int((left[js] // a).min())
-        plan.append((times, {int(size[j]): int(n) for j, n in zip(js, a)}))
-        left[js] -= times * a
-        weight[js] *= np.exp(-rate * times * a / total[js])
-        open_ = open_[left[open_] > 0]
+    while len(size):
+        configs, value, _ = configuration_lp(size, left, limit, draw, columns)
+        wanted, more = [int(x + 1e-6) for x, _, _ in configs], []
+        if value > _TAIL:
+            more = [k for k in draw.permutation(len(configs)).tolist() if draw.random() < configs[k][0] - wanted[k]]
+        if not sum(wanted) + len(more) or value <= _TAIL:
+            wanted = [max(wanted[0], 1)]            # the longest length's
+        for k, times in [*enumerate(wanted), *((k, 1) for k in more)]:
+            _, js, a = configs[k]
+            times = min(times, int((left[js] // a).min()))
+            if times:
+                plan.append((times, {int(size[j]): int(n) for j, n in zip(js, a)}))
+                left[js] -= times * a
+        size, left = size[left > 0], left[left > 0]
     return plan
 
 

@@ -162,6 +162,30 @@ def test_plan_packs_no_worse_than_longest_fit():
         assert used <= -(-sum(k * v for k, v in histogram.items()) // 2048) + 10 and len(plan) < 4000
 
 
+@pytest.mark.parametrize("histogram, gap", [({700: 1000}, 0), ({1100: 100, 700: 10}, 1e-4), ({683: 999, 1025: 500, 400: 77}, 1e-4),
+                                            ({k: 50 for k in range(600, 1500)}, 1e-4), ({k: 7 for k in range(1, 2048)}, 1e-4),
+                                            (dict(zip(*np.unique(np.minimum(2047, np.exp(np.random.default_rng(3).normal(
+                                                6, 1, 20_000)).astype(int) + 1), return_counts=True))), 2e-4)])
+def test_configuration_program_is_solved_to_a_measured_gap(histogram, gap):
+    size = np.array(sorted(histogram))
+    demand = np.array([histogram[int(k)] for k in size])
+    configs, value, bound = packing.configuration_lp(size, demand, 2048, np.random.default_rng(1))
+    held = np.zeros(len(size))
+    for x, js, a in configs:
+        assert x > 0 and (size[js] * a).sum() <= 2048
+        held[js] += x * a
+    assert np.allclose(held, demand) and np.isclose(sum(x for x, _, _ in configs), value)
+    assert bound <= value * (1 + 1e-12) and value <= bound * (1 + gap) + 1e-6 + (gap > 0)
+
+
+def test_plan_where_sequences_cannot_be_filled():
+    """The fullest sequence of a 1025 holds two 400s, but 683s have to go beside them."""
+    histogram = {683: 999, 1025: 500, 400: 77}
+    plan = packing.pack_plan(histogram, 2048)
+    assert sum((Counter({k: x * a for k, a in c.items()}) for x, c in plan), Counter()) == histogram
+    assert sum(x for x, _ in plan) == 750
+
+
 @pytest.mark.parametrize("histogram, best", [({}, 0), ({5: 7}, 4), ({10: 1}, 1), ({6: 3, 4: 3}, 3), ({7: 2, 3: 1, 2: 2, 1: 1}, 3),
                                              ({9: 1, 1: 1, 5: 2}, 2), ({4: 5}, 3), ({1: 25}, 3)])
 def test_plan_of_small_histograms(histogram, best):
