@@ -46,7 +46,7 @@ from lakeloom.sinks.history import append_history
 from lakeloom.sinks.tables import get_note, upsert_table
 from lakeloom.sources.landing import ORDER_COL, PARQUET_GLOB, enforce_schema, landing_order
 from lakeloom.spec import TableSpec
-from lakeloom.streaming.newest_state import newest_only, state_store
+from lakeloom.streaming.newest_state import BUCKETS, newest_only, state_store
 
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -59,11 +59,12 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
                          max_files_per_trigger: int | None = None,
                          clean_source: str | None = None, archive_dir: str | None = None,
                          max_file_age: str | None = None, drop_replays: bool = False,
-                         record: bool = True) -> StreamingQuery:
+                         state_buckets: int = BUCKETS, record: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what is there and stops.
 
     ``clean_source``: ``"archive"`` (move processed files under
     ``archive_dir``, which must lie outside the landing base) or ``"delete"``.
+    ``state_buckets``: state rows of ``drop_replays`` (of one checkpoint always the same).
     """
     if not spec.dedups:
         raise ValueError(f"{spec.target}: a streaming upsert needs key and timestamp")
@@ -92,7 +93,7 @@ def start_landing_stream(spark: SparkSession, spec: TableSpec, *, checkpoint: st
 
     checkpoint = checkpoint or f"{warehouse_root(spark)}/_streams/{spec.target}"
     if drop_replays:
-        stream = newest_only(stream, spec.key, spec.timestamp, ignore=order)
+        stream = newest_only(stream, spec.key, spec.timestamp, ignore=order, buckets=state_buckets)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         mark = f"epoch.{_query_id(spark, checkpoint)}"

@@ -11,7 +11,7 @@ Keys are filed by hash in ``buckets`` buckets, and a bucket's keys are one state
 value, which one Python call reads, compares and writes: a micro-batch costs a
 call for each bucket it touches, not for each key. A key is known by two 64-bit
 hashes. A bucket is read and written whole, so take more buckets where keys
-exceed some hundred millions. Another number of buckets at the same checkpoint
+exceed some hundred millions (``state_buckets``). Another number of buckets at the same checkpoint
 finds no state for most keys, so it lets more rows pass once.
 
 A hot key is spread: the state is kept per key and ``salt`` values of the row's
